@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from marquee.plans.etl import EtlFrames, etl_from_fixtures
-from marquee.session import apply_session_conf
+from marquee.session import apply_session_conf, scratch_path
 from marquee.sources.fixtures import Fixtures
 from marquee.sources.tables import Tables
 
@@ -24,6 +25,11 @@ class QueryContext:
     def etl(self) -> EtlFrames:
         return etl_from_fixtures(self.fixtures)
 
+    def landing(self, kind: str) -> str:
+        """Landing-zone path for this data directory, under the shared checkpoint folder."""
+        key = hashlib.sha1(self.data_dir.encode()).hexdigest()[:12]
+        return scratch_path(self.spark, "landing", key, kind)
+
     @property
     def curated(self) -> DataFrame:
         """The curated table as the ETL produces it (lazy)."""

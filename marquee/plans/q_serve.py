@@ -1 +1,121 @@
-"""Registered queries."""
+"""Registered queries: curated load, lookups, listings and dashboard data."""
+
+from __future__ import annotations
+
+from marquee.config import ALERTS, CRITICAL_ALERT_PATTERN, PRIORITY_ACTIONS
+from marquee.operators import serve as S
+from marquee.operators.final import load_check, load_sample
+from marquee.plans.oracle import _q, cte, with_ctes
+from marquee.plans.registry import query
+from marquee.sinks.curated import read_current, write_curated
+
+LOOKUP_ID = 11
+LOOKUP_CLASS = "18"
+
+cte("dash", """
+select id_pelicula, titulo, coalesce(reproducciones_mensuales, 0) as reproducciones_mensuales,
+  fecha_estreno, coalesce(popularidad_api, 0) as popularidad_api,
+  coalesce(votos_promedio_api, 0) as votos_promedio_api, clasificacion_edad_local,
+  alerta_accion, fecha_actualizacion
+from curated""", "curated")
+
+_KPI_SQL = f"""count(*) as total_peliculas,
+  cast(coalesce(sum(reproducciones_mensuales), 0) as bigint) as total_reproducciones,
+  replace(format('{{:,}}', cast(coalesce(sum(reproducciones_mensuales), 0) as bigint)), ',', '.')
+    as total_reproducciones_txt,
+  count_if(coalesce(regexp_matches(alerta_accion, '{CRITICAL_ALERT_PATTERN}'), false)) as alertas_criticas,
+  count_if(coalesce(alerta_accion in ({_q(PRIORITY_ACTIONS)}), false)) as acciones_prioritarias"""
+
+
+@query("load_roundtrip", "W1 W4", with_ctes("select * from curated", "curated"))
+def load_roundtrip(ctx):
+    base = ctx.landing("dw_peliculas_analitica")
+    write_curated(ctx.curated, base)
+    return read_current(ctx.spark, base)
+
+
+@query("load_check", "A3", with_ctes(
+    "select count(*) as total_cargado, count(*) - count(distinct id_pelicula) as ids_duplicados "
+    "from curated", "curated"))
+def load_check_q(ctx):
+    return load_check(ctx.curated)
+
+
+@query("load_sample", "D5 D8", with_ctes("""
+select id_pelicula, titulo, reproducciones_mensuales, popularidad_api, clasificacion_edad_local,
+       alerta_accion, fecha_actualizacion from curated order by id_pelicula limit 10""", "curated"))
+def load_sample_q(ctx):
+    return load_sample(ctx.curated)
+
+
+@query("dw_list", "D4", with_ctes("select * from curated order by id_pelicula", "curated"))
+def dw_list(ctx):
+    return S.list_films(ctx.curated)
+
+
+@query("dw_by_id", "P15", with_ctes(
+    f"select * from curated where id_pelicula = {LOOKUP_ID}", "curated"))
+def dw_by_id(ctx):
+    return S.film_by_id(ctx.curated, LOOKUP_ID)
+
+
+@query("dw_json", "P18")
+def dw_json(ctx):
+    return S.films_json(ctx.curated)
+
+
+@query("dw_by_class", "P16", with_ctes(
+    f"select * from curated where clasificacion_edad_local = '{LOOKUP_CLASS}'", "curated"))
+def dw_by_class(ctx):
+    return S.by_class(ctx.curated, LOOKUP_CLASS)
+
+
+@query("dashboard_base", "P17", with_ctes("select * from dash", "dash"))
+def dashboard_base(ctx):
+    return S.dashboard_base(ctx.curated)
+
+
+@query("kpi_summary", "A5 P19 P21", with_ctes(f"select {_KPI_SQL} from dash", "dash"))
+def kpi_summary(ctx):
+    return S.kpi_summary(S.dashboard_base(ctx.curated))
+
+
+@query("kpi_by_class", "A5 P16", with_ctes(
+    f"select clasificacion_edad_local, {_KPI_SQL} from dash "
+    "where clasificacion_edad_local is not null group by clasificacion_edad_local", "dash"))
+def kpi_by_class(ctx):
+    return S.kpi_by_class(S.dashboard_base(ctx.curated))
+
+
+@query("top10_votes", "D6", with_ctes(
+    "select id_pelicula, titulo, votos_promedio_api from dash "
+    "order by votos_promedio_api desc, id_pelicula limit 10", "dash"))
+def top10_votes(ctx):
+    return S.top_by_votes(S.dashboard_base(ctx.curated))
+
+
+@query("class_options", "D7", with_ctes(
+    "select distinct clasificacion_edad_local from curated "
+    "where clasificacion_edad_local is not null order by 1", "curated"))
+def class_options(ctx):
+    return S.class_options(ctx.curated)
+
+
+@query("operational_table", "P20 P25", with_ctes("""
+select id_pelicula, titulo, clasificacion_edad_local, reproducciones_mensuales, popularidad_api,
+  alerta_accion,
+  case when contains(alerta_accion, 'Control Parental') then 'critica'
+       when contains(alerta_accion, 'Oportunidad de Marketing') then 'oportunidad' end as resaltado
+from dash""", "dash"))
+def operational_table(ctx):
+    return S.operational_table(S.dashboard_base(ctx.curated))
+
+
+@query("scatter_points", "P26", with_ctes(
+    "select id_pelicula, popularidad_api as x, reproducciones_mensuales as y, "
+    "clasificacion_edad_local as color, titulo as hover from dash", "dash"))
+def scatter_points(ctx):
+    return S.scatter_points(S.dashboard_base(ctx.curated))
+
+
+__all__ = ["ALERTS"]

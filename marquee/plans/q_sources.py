@@ -1 +1,78 @@
-"""Registered queries."""
+"""Registered queries: source scans, landed API responses, id candidates, curated scans."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from marquee.plans.oracle import _strip, cte, with_ctes
+from marquee.plans.registry import query
+from marquee.sinks.files import write_csv, write_jsonl, write_text
+from marquee.sources.api import (api_id_candidates, parse_detail, read_api_pages,
+                                 read_api_responses, valid_ids_numeric)
+from marquee.sources.curated import model_columns
+from marquee.sources.restrictions import read_restrictions_csv
+from marquee.sources.staging import select_staging, staging_count
+
+cte("stg_ids", f"select {_strip('id_pelicula')} as id from stg_raw", "stg_raw")
+
+
+@query("stg_extract", "S1", with_ctes("select * from stg_raw", "stg_raw"))
+def stg_extract(ctx):
+    return select_staging(ctx.fixtures.staging)
+
+
+@query("stg_count", "S2", with_ctes("select count(*) as total_registros from stg_raw", "stg_raw"))
+def stg_count(ctx):
+    return staging_count(select_staging(ctx.fixtures.staging))
+
+
+@query("restr_extract", "S3 W5", with_ctes("select * from restr_raw", "restr_raw"))
+def restr_extract(ctx):
+    # Land the restrictions as a headed CSV, then scan it back with the reader.
+    path = write_csv(ctx.fixtures.restrictions, ctx.landing("restricciones_csv"))
+    return read_restrictions_csv(ctx.spark, path, with_ord=True)
+
+
+@query("api_extract", "S4", with_ctes("select * from api_raw", "api_raw"))
+def api_extract(ctx):
+    # Land one JSON line per API response, then scan and parse the landing zone.
+    path = write_jsonl(ctx.fixtures.api_responses, ctx.landing("api_detalle"))
+    return parse_detail(read_api_responses(ctx.spark, path))
+
+
+@query("api_parse_detail", "S5", with_ctes("select * from api_raw", "api_raw"))
+def api_parse(ctx):
+    return parse_detail(ctx.fixtures.api_responses)
+
+
+@query("api_flatten_pages", "S6", with_ctes(
+    "select cast(floor(p_partkey / 20) + 1 as integer) as page, p_partkey as id, p_name as titulo "
+    "from part"))
+def api_flatten_pages(ctx):
+    path = write_text(ctx.fixtures.api_pages, ctx.landing("api_paginas"))
+    return read_api_pages(ctx.spark, path)
+
+
+@query("api_id_candidates", "S7", with_ctes(
+    "select distinct id from stg_ids where regexp_matches(id, '^[0-9]+$') order by id", "stg_ids"))
+def api_candidates(ctx):
+    return api_id_candidates(ctx.fixtures.staging)
+
+
+@query("valid_ids_numeric", "S8", with_ctes(
+    "select distinct cast(id as bigint) as id_pelicula from stg_ids "
+    "where regexp_matches(id, '^[0-9]+$') order by id_pelicula", "stg_ids"))
+def valid_ids(ctx):
+    return valid_ids_numeric(ctx.fixtures.staging)
+
+
+@query("dw_scan", "S9", with_ctes("select * from curated", "curated"))
+def dw_scan(ctx):
+    return ctx.curated
+
+
+@query("dw_model_columns", "S10", with_ctes(
+    "select id_pelicula, titulo, reproducciones_mensuales, popularidad_api, votos_promedio_api, "
+    "clasificacion_edad_local, alerta_accion, fecha_actualizacion from curated", "curated"))
+def dw_model_columns(ctx):
+    return model_columns(ctx.curated)

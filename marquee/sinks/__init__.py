@@ -1,0 +1,10 @@
+from marquee.sinks.curated import (LoadValidationError, current_version, dry_run, null_normalised,
+                                  read_current, validate_before_load, write_curated,
+                                  write_curated_jdbc, write_curated_table)
+from marquee.sinks.files import write_csv, write_jsonl, write_text
+
+__all__ = [
+    "LoadValidationError", "current_version", "dry_run", "null_normalised", "read_current",
+    "validate_before_load", "write_curated", "write_curated_jdbc", "write_curated_table",
+    "write_csv", "write_jsonl", "write_text",
+]
