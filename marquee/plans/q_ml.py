@@ -1 +1,311 @@
-"""Registered queries."""
+"""Registered queries: classifier inputs/split/evaluation and clustering features/metrics.
+
+Model fits (random forest, KMeans restarts) are iterative and seeded
+differently from any SQL engine, so their outputs are registered without an
+oracle. Everything around them — target, features, split, weights, feature
+preprocessing, metrics and summaries for a fixed labelling — has one.
+"""
+
+from __future__ import annotations
+
+from functools import lru_cache
+
+from pyspark.sql import functions as F
+
+from marquee import config as C
+from marquee.operators import classifier as M
+from marquee.operators import clustering as K
+from marquee.plans.oracle import _q, cte, with_ctes
+from marquee.plans.registry import query
+
+# Fixed labelling used by the SQL-checkable cluster queries.
+FIXED_K = 4
+# Levels present in the test data (oracle side; the Spark side derives them).
+ORACLE_ML_LEVELS = ("14", "18", "TE", "TE+7", C.UNKNOWN_CLASS)
+ORACLE_CLUSTER_LEVELS = ("14", "18", "TE", "TE+7")
+
+
+def _hash_sql(x: str, seed: int = C.SEED) -> str:
+    m = 4294967296
+    e = f"((({x} % {m}) + {m}) % {m} + {seed}) % {m}"
+    for _ in range(2):
+        e = f"xor({e}, ({e}) >> 16)"
+        e = f"(({e}) * 73244475) % {m}"
+    return f"xor({e}, ({e}) >> 16)"
+
+
+cte("ml_base", f"""
+select id_pelicula,
+  cast(coalesce(alerta_accion in ({_q(C.PRIORITY_ACTIONS)}), false) as integer) as objetivo,
+  coalesce(try_cast(popularidad_api as double), 0) as popularidad_api,
+  coalesce(try_cast(votos_promedio_api as double), 0) as votos_promedio_api,
+  coalesce(try_cast(reproducciones_mensuales as double), 0) as reproducciones_mensuales,
+  coalesce(clasificacion_edad_local, '{C.UNKNOWN_CLASS}') as clasificacion_edad_local
+from curated""", "curated")
+
+cte("ml_split", f"""
+select * exclude (rn, n), rn <= ceil(n * 0.2::double) as es_test
+from (select *, row_number() over (partition by objetivo order by h, id_pelicula) as rn,
+             count(*) over (partition by objetivo) as n
+      from (select *, {_hash_sql('id_pelicula')} as h from ml_base))""", "ml_base")
+
+
+@query("ml_target", "P22", with_ctes("select id_pelicula, objetivo from ml_base", "ml_base"))
+def ml_target(ctx):
+    return M.with_target(ctx.curated).select("id_pelicula", "objetivo")
+
+
+@query("ml_features", "P23 M1", with_ctes(
+    "select id_pelicula, objetivo, popularidad_api, votos_promedio_api, reproducciones_mensuales, "
+    + ", ".join(f"cast(clasificacion_edad_local = '{v}' as integer) as \"clasificacion_edad_local_{v}\""
+                for v in ORACLE_ML_LEVELS[1:]) + " from ml_base", "ml_base"))
+def ml_features(ctx):
+    frame = M.model_frame(ctx.curated)
+    return M.dummy_columns(frame, M.class_levels(frame))
+
+
+@query("stratified_split", "M2", with_ctes(
+    "select id_pelicula, objetivo, es_test from ml_split", "ml_split"))
+def stratified_split(ctx):
+    return M.stratified_split(M.model_frame(ctx.curated)).select("id_pelicula", "objetivo", "es_test")
+
+
+@query("class_weights", "M3", with_ctes("""
+select objetivo, count(*) as n,
+  cast(sum(count(*)) over () as double) / (count(*) over () * count(*)) as peso
+from ml_split where not es_test group by objetivo""", "ml_split"))
+def class_weights(ctx):
+    split = M.stratified_split(M.model_frame(ctx.curated))
+    return M.class_weights(split.where(~F.col("es_test")))
+
+
+def _predictions(ctx):
+    _, pred = M.train_and_predict(M.model_frame(ctx.curated))
+    return pred
+
+
+@query("rf_predictions", "M4 M8")
+def rf_predictions(ctx):
+    return _predictions(ctx)
+
+
+@query("eval_accuracy", "M5")
+def eval_accuracy(ctx):
+    return M.accuracy(_predictions(ctx))
+
+
+@query("eval_confusion", "M6")
+def eval_confusion(ctx):
+    return M.confusion(_predictions(ctx))
+
+
+@query("eval_report", "M7")
+def eval_report(ctx):
+    return M.classification_report(_predictions(ctx))
+
+
+# -- clustering -----------------------------------------------------------------------------
+
+_Z = [K.z_name(c) for c in K.NUMERIC]
+_OH = [K.onehot_name(v) for v in ORACLE_CLUSTER_LEVELS]
+_DIMS = _Z + _OH
+
+
+def _band_sql(k: int) -> str:
+    return (f"cast(least({k - 1}, greatest(0, floor(coalesce(cast(popularidad_api as double), 0)"
+            f" * {k} / 200))) as integer)")
+
+
+cte("cl_med", """
+select median(cast(reproducciones_mensuales as double)) as med_r,
+       median(cast(popularidad_api as double)) as med_p,
+       median(cast(votos_promedio_api as double)) as med_v
+from curated""", "curated")
+
+cte("cl_imp", """
+select c.id_pelicula, c.popularidad_api as pop_raw,
+  coalesce(cast(reproducciones_mensuales as double), med_r) as r,
+  coalesce(cast(popularidad_api as double), med_p) as p,
+  coalesce(cast(votos_promedio_api as double), med_v) as v,
+  clasificacion_edad_local
+from curated c, cl_med""", "curated", "cl_med")
+
+cte("cl_mode", """
+select clasificacion_edad_local as moda from curated where clasificacion_edad_local is not null
+group by 1 order by count(*) desc, 1 limit 1""", "curated")
+
+cte("cl_feat", f"""
+select id_pelicula, pop_raw as popularidad_api,
+  (r - mr) / case when sr = 0 then 1 else sr end as {_Z[0]},
+  (p - mp) / case when sp = 0 then 1 else sp end as {_Z[1]},
+  (v - mv) / case when sv = 0 then 1 else sv end as {_Z[2]},
+  {", ".join(f"cast(coalesce(clasificacion_edad_local, moda) = '{lv}' as double) as \"{n}\""
+             for lv, n in zip(ORACLE_CLUSTER_LEVELS, _OH))}
+from cl_imp,
+  (select avg(r) as mr, stddev_pop(r) as sr, avg(p) as mp, stddev_pop(p) as sp,
+          avg(v) as mv, stddev_pop(v) as sv from cl_imp) m,
+  cl_mode""", "cl_imp", "cl_mode")
+
+
+def _q_ident(n: str) -> str:
+    return f'"{n}"'
+
+
+def _metrics_sql(k: int) -> str:
+    dims = [_q_ident(d) for d in _DIMS]
+    sq = " + ".join(f"{d} * {d}" for d in dims)
+    sums = ", ".join(f"sum({d}) as s{i}" for i, d in enumerate(dims))
+    dot = " + ".join(f"p.{d} * cs.s{i}" for i, d in enumerate(dims))
+    psq = " + ".join(f"p.{d} * p.{d}" for d in dims)
+    cent = " + ".join(f"(p.{d} - cs.s{i} / cs.n) * (p.{d} - cs.s{i} / cs.n)" for i, d in enumerate(dims))
+    return f"""(
+with pts as (select *, {_band_sql(k)} as cluster from cl_feat),
+cs as (select cluster as c, count(*) as n, sum({sq}) as q, {sums} from pts group by cluster),
+pair as (select p.id_pelicula, p.cluster as own, cs.c, cs.n,
+                {psq} + cs.q / cs.n - 2 * ({dot}) / cs.n as d
+         from pts p cross join cs),
+per as (select id_pelicula, max(case when c = own then n end) as n_own,
+               max(case when c = own then d * n / greatest(n - 1, 1) end) as a,
+               min(case when c <> own then d end) as b
+        from pair group by id_pelicula),
+sil as (select avg(case when n_own <= 1 then 0 when a < b then 1 - a / b
+                        when a > b then b / a - 1 else 0 end) as s from per),
+ine as (select sum({cent}) as i from pts p join cs on cs.c = p.cluster)
+select {k} as k, round(s, 6) as silhouette_score, round(i, 6) as inercia from sil, ine)"""
+
+
+@lru_cache(maxsize=8)
+def _prep(ctx):
+    return K.fit_preprocessing(ctx.curated)
+
+
+def _fixed_features(ctx, k: int):
+    prep = _prep(ctx)
+    cur = ctx.curated.withColumn("cluster", K.popularity_bands(ctx.curated, k))
+    return K.feature_columns(cur, prep, keep=("cluster",)), K.feature_names(prep)
+
+
+@query("cluster_features", "M9 M10 M11 M12", with_ctes(
+    "select id_pelicula, " + ", ".join(f"round({z}, 9) as {z}" for z in _Z) + ", "
+    + ", ".join(_q_ident(o) for o in _OH) + " from cl_feat", "cl_feat"))
+def cluster_features(ctx):
+    feats = K.feature_columns(ctx.curated, _prep(ctx))
+    return feats.select("id_pelicula", *[F.round(z, 9).alias(z) for z in _Z],
+                        *[c for c in feats.columns if c.startswith(K.CLASS_COL)])
+
+
+def _fixed_metrics(ctx, k: int):
+    feats, names = _fixed_features(ctx, k)
+    feats = feats.persist()
+    sil = K.silhouette_sq(feats, names).collect()[0][0]
+    ine = K.inertia(feats, names).collect()[0][0]
+    feats.unpersist()
+    return sil, ine
+
+
+def _metrics_frame(ctx, ks):
+    rows = [(k, *_fixed_metrics(ctx, k)) for k in ks]
+    df = ctx.spark.createDataFrame(rows, "k int, silhouette_score double, inercia double")
+    return df.select("k", F.round("silhouette_score", 6).alias("silhouette_score"),
+                     F.round("inercia", 6).alias("inercia"))
+
+
+@query("inertia_fixed", "M14", with_ctes(
+    f"select inercia from {_metrics_sql(FIXED_K)}", "cl_feat"))
+def inertia_fixed(ctx):
+    feats, names = _fixed_features(ctx, FIXED_K)
+    return K.inertia(feats, names).select(F.round("inercia", 6).alias("inercia"))
+
+
+@query("silhouette_fixed", "M15", with_ctes(
+    f"select silhouette_score from {_metrics_sql(FIXED_K)}", "cl_feat"))
+def silhouette_fixed(ctx):
+    feats, names = _fixed_features(ctx, FIXED_K)
+    return K.silhouette_sq(feats, names).select(F.round("silhouette_score", 6).alias("silhouette_score"))
+
+
+@query("k_metrics_fixed", "M13 M14 M15", with_ctes(
+    " union all ".join(f"select * from {_metrics_sql(k)}" for k in C.K_RANGE), "cl_feat"))
+def k_metrics_fixed(ctx):
+    return _metrics_frame(ctx, C.K_RANGE)
+
+
+@query("best_k", "D9", with_ctes(
+    "select k as mejor_k, silhouette_score from ("
+    + " union all ".join(f"select * from {_metrics_sql(k)}" for k in C.K_RANGE)
+    + ") order by silhouette_score desc, k limit 1", "cl_feat"))
+def best_k_q(ctx):
+    return K.best_k(_metrics_frame(ctx, C.K_RANGE))
+
+
+cte("cl_banded", f"select *, {_band_sql(FIXED_K)} as cluster from curated", "curated")
+cte("cl_summary", """
+select cluster, count(id_pelicula) as peliculas,
+  avg(reproducciones_mensuales) as promedio_reproducciones,
+  avg(popularidad_api) as promedio_popularidad,
+  avg(votos_promedio_api) as promedio_votos
+from cl_banded group by cluster""", "cl_banded")
+cte("cl_segments", f"""
+select cluster, case
+  when promedio_votos < {C.SEGMENT_VOTES_LOW} then '{C.SEGMENT_LOW_RATING}'
+  when promedio_popularidad >= {C.SEGMENT_POPULARITY_HIGH} and promedio_reproducciones >= {C.SEGMENT_PLAYS_HIGH}
+    then '{C.SEGMENT_GLOBAL_POPULAR}'
+  when promedio_reproducciones >= {C.SEGMENT_PLAYS_LOCAL} and promedio_votos >= {C.SEGMENT_VOTES_GOOD}
+    then '{C.SEGMENT_LOCAL_CONSOLIDATED}'
+  when promedio_reproducciones < {C.SEGMENT_PLAYS_HIGH} and promedio_votos >= {C.SEGMENT_VOTES_GOOD}
+    then '{C.SEGMENT_MODERATE}'
+  else '{C.SEGMENT_STABLE}' end as segmento_cluster
+from cl_summary""", "cl_summary")
+
+
+def _banded(ctx):
+    return ctx.curated.withColumn("cluster", K.popularity_bands(ctx.curated, FIXED_K))
+
+
+@query("cluster_summary", "A6", with_ctes("""
+select cluster, peliculas, round(promedio_reproducciones, 6) as promedio_reproducciones,
+  round(promedio_popularidad, 6) as promedio_popularidad, round(promedio_votos, 6) as promedio_votos
+from cl_summary""", "cl_summary"))
+def cluster_summary(ctx):
+    s = K.cluster_summary(_banded(ctx))
+    return s.select("cluster", "peliculas",
+                    *[F.round(c, 6).alias(c) for c in ("promedio_reproducciones",
+                                                       "promedio_popularidad", "promedio_votos")])
+
+
+@query("segment_labels", "P24 J5", with_ctes("""
+select b.id_pelicula, b.cluster, s.segmento_cluster
+from cl_banded b left join cl_segments s on s.cluster = b.cluster""", "cl_banded", "cl_segments"))
+def segment_labels(ctx):
+    return K.with_segments(_banded(ctx)).select("id_pelicula", "cluster", "segmento_cluster")
+
+
+@query("cluster_distribution", "A7", with_ctes("""
+select b.cluster, s.segmento_cluster, count(*) as peliculas
+from cl_banded b left join cl_segments s on s.cluster = b.cluster
+group by b.cluster, s.segmento_cluster""", "cl_banded", "cl_segments"))
+def cluster_distribution(ctx):
+    return K.distribution(K.with_segments(_banded(ctx)))
+
+
+def _model_features(ctx):
+    from pyspark.ml import Pipeline
+    prep = _prep(ctx)
+    return Pipeline(stages=K.preprocessing_stages(prep)).fit(ctx.curated).transform(ctx.curated)
+
+
+@query("k_metrics", "M13 M14 M15")
+def k_metrics(ctx):
+    metrics, _ = K.kmeans_search(_model_features(ctx))
+    return metrics
+
+
+@query("kmeans_clusters", "M16 P24 J5")
+def kmeans_clusters(ctx):
+    metrics, _ = K.kmeans_search(_model_features(ctx))
+    k = K.best_k(metrics).collect()[0]["mejor_k"]
+    model = K.fit_final(ctx.curated, _prep(ctx), k)
+    clustered = model.transform(ctx.curated).select(
+        "id_pelicula", "titulo", "reproducciones_mensuales", "popularidad_api", "votos_promedio_api",
+        "clasificacion_edad_local", "alerta_accion", "fecha_actualizacion", "cluster")
+    return K.with_segments(clustered)
