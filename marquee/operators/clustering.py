@@ -10,6 +10,7 @@ statistics (count, feature sums, squared-norm sums) and never pair points.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -170,11 +171,24 @@ def popularity_bands(df: DataFrame, k: int) -> Column:
 
 # -- KMeans search and final model --------------------------------------------------------
 
+def _best_of(features: DataFrame, k: int, restarts: int, seed: int, parallelism: int):
+    """Fit ``restarts`` seeds of KMeans(k) concurrently; keep the lowest cost."""
+    def fit(r: int):
+        m = KMeans(k=k, seed=seed + r, featuresCol="features", predictionCol="cluster").fit(features)
+        return m.summary.trainingCost, r, m
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        fits = list(pool.map(fit, range(restarts)))
+    cost, _, model = min(fits, key=lambda t: (t[0], t[1]))
+    return cost, model
+
+
 def kmeans_search(features: DataFrame, ks=C.K_RANGE, restarts: int = C.KMEANS_RESTARTS,
-                  seed: int = C.SEED) -> tuple[DataFrame, dict]:
+                  seed: int = C.SEED, parallelism: int = 4) -> tuple[DataFrame, dict]:
     """For each k: the lowest-cost model over ``restarts`` seeds; its silhouette and cost.
 
-    Returns (metrics frame, {k: model}). ``features`` has a ``features`` vector.
+    Returns (metrics frame, {k: model}). ``features`` has a ``features`` vector;
+    it is cached for the duration of the search. Restarts are independent
+    Spark jobs submitted from ``parallelism`` driver threads.
     """
     spark = features.sparkSession
     features = features.select("features").persist()
@@ -183,15 +197,10 @@ def kmeans_search(features: DataFrame, ks=C.K_RANGE, restarts: int = C.KMEANS_RE
     rows, models = [], {}
     try:
         for k in ks:
-            best = None
-            for r in range(restarts):
-                m = KMeans(k=k, seed=seed + r, featuresCol="features", predictionCol="cluster").fit(features)
-                cost = m.summary.trainingCost
-                if best is None or cost < best[0]:
-                    best = (cost, m)
-            sil = evaluator.evaluate(best[1].transform(features))
-            rows.append((int(k), float(sil), float(best[0])))
-            models[k] = best[1]
+            cost, model = _best_of(features, k, restarts, seed, parallelism)
+            sil = evaluator.evaluate(model.transform(features))
+            rows.append((int(k), float(sil), float(cost)))
+            models[k] = model
     finally:
         features.unpersist()
     metrics = spark.createDataFrame(rows, "k int, silhouette_score double, inercia double")
@@ -205,20 +214,15 @@ def best_k(metrics: DataFrame) -> DataFrame:
 
 
 def fit_final(df: DataFrame, prep: ClusterPrep, k: int, restarts: int = C.KMEANS_RESTARTS,
-              seed: int = C.SEED) -> PipelineModel:
+              seed: int = C.SEED, parallelism: int = 4) -> PipelineModel:
     """Preprocessing + KMeans(k), best of ``restarts`` seeds, as one PipelineModel."""
-    stages = preprocessing_stages(prep)
-    pre = Pipeline(stages=stages).fit(df)
+    pre = Pipeline(stages=preprocessing_stages(prep)).fit(df)
     feats = pre.transform(df).select("features").persist()
     try:
-        best = None
-        for r in range(restarts):
-            m = KMeans(k=k, seed=seed + r, predictionCol="cluster").fit(feats)
-            if best is None or m.summary.trainingCost < best[0]:
-                best = (m.summary.trainingCost, m)
+        _, model = _best_of(feats, k, restarts, seed, parallelism)
     finally:
         feats.unpersist()
-    return PipelineModel(stages=[*pre.stages, best[1]])
+    return PipelineModel(stages=[*pre.stages, model])
 
 
 # -- summaries and segment names --------------------------------------------------------------
