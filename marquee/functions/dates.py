@@ -9,7 +9,19 @@ from marquee.config import DATE_FORMATS
 from marquee.functions.text import strip_blanks
 
 
+# Cheap shape tests run before each parser, so text that cannot match a
+# format (words, other layouts) never reaches the date parser's failure path.
+_SHAPES = {
+    "yyyy-M-d": r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$",
+    "d/M/yyyy": r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$",
+}
+
+
 def parse_date(c: Column | str, formats: tuple[str, ...] = DATE_FORMATS) -> Column:
     """ISO (yyyy-M-d), then day/month/year; impossible dates and words -> null."""
     s = strip_blanks(c)
-    return F.coalesce(*[F.try_to_date(s, f) for f in formats])
+    tries = []
+    for f in formats:
+        parsed = F.try_to_date(s, f)
+        tries.append(F.when(s.rlike(_SHAPES[f]), parsed) if f in _SHAPES else parsed)
+    return F.coalesce(*tries)

@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Unicode-aware blank class: Java's (?U)\s plus the four ASCII separators
-# (0x1c-0x1f) that Python's str.isspace() also treats as blank.
-_BLANK = r"[\s\x1c-\x1f]"
-_STRIP = rf"(?U)^{_BLANK}+|{_BLANK}+$"
-_RUN = rf"(?U){_BLANK}+"
+# The 29 code points treated as blank (the Unicode whitespace
+# set of Python's str.isspace, which the reproduced cleaning strips).
+BLANK_CHARS = (
+    "\u0009\u000a\u000b\u000c\u000d\u001c\u001d\u001e\u001f\u0020\u0085\u00a0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+# Regex class of the same set (Java \\uXXXX escapes), for collapsing inner runs.
+_RUN = "[" + "".join(f"\\u{ord(ch):04x}" for ch in BLANK_CHARS) + "]+"
 # Runs of cased letters, or runs of anything else; title case applies per run.
 _CASED_RUNS = r"([\p{Lu}\p{Ll}\p{Lt}]+|[^\p{Lu}\p{Ll}\p{Lt}]+)"
 
@@ -19,8 +23,11 @@ def _col(c: Column | str) -> Column:
 
 
 def strip_blanks(c: Column | str) -> Column:
-    """Remove leading/trailing Unicode blanks (``trim`` only removes spaces)."""
-    return F.regexp_replace(_col(c), _STRIP, "")
+    """Remove leading/trailing Unicode blanks (``trim`` alone only removes spaces).
+
+    ``btrim`` with a character set is a plain scan from both ends — no regex.
+    """
+    return F.btrim(_col(c), F.lit(BLANK_CHARS))
 
 
 def collapse_blanks(c: Column | str) -> Column:

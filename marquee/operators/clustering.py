@@ -63,16 +63,27 @@ class ClusterPrep:
 
 
 def fit_preprocessing(df: DataFrame) -> ClusterPrep:
+    """Exact statistics for the preprocessing, from distributed aggregations.
+
+    The four input columns are cached for the few selection passes of the
+    exact medians and released afterwards.
+    """
     require_columns(df, (*NUMERIC, CLASS_COL), "curated table")
-    med = {c: exact_median(df, c) for c in NUMERIC}
-    imputed = {c: F.coalesce(F.col(c).cast("double"), F.lit(med[c])) for c in NUMERIC}
-    aggs = []
-    for c in NUMERIC:
-        aggs += [F.avg(imputed[c]).alias(f"m_{c}"), F.stddev_pop(imputed[c]).alias(f"s_{c}")]
-    row = df.agg(*aggs).collect()[0]
-    mode = most_frequent(df, CLASS_COL)
-    levels = sorted(r[0] for r in df.select(F.coalesce(F.col(CLASS_COL), F.lit(mode)).alias("l"))
-                    .where(F.col("l").isNotNull()).distinct().limit(MAX_CLUSTERS).collect())
+    cols = df.select(*NUMERIC, CLASS_COL).persist()
+    try:
+        med = {c: exact_median(cols, c) for c in NUMERIC}
+        imputed = {c: F.coalesce(F.col(c).cast("double"), F.lit(med[c])) for c in NUMERIC}
+        aggs = []
+        for c in NUMERIC:
+            aggs += [F.avg(imputed[c]).alias(f"m_{c}"), F.stddev_pop(imputed[c]).alias(f"s_{c}")]
+        row = cols.agg(*aggs).collect()[0]
+        mode = most_frequent(cols, CLASS_COL)
+        levels = sorted(r[0] for r in cols.select(F.coalesce(F.col(CLASS_COL), F.lit(mode)).alias("l"))
+                        .where(F.col("l").isNotNull()).distinct().limit(MAX_CLUSTERS + 1).collect())
+    finally:
+        cols.unpersist()
+    if len(levels) > MAX_CLUSTERS:
+        raise ValueError(f"{CLASS_COL} has more than {MAX_CLUSTERS} levels")
     return ClusterPrep(med, {c: row[f"m_{c}"] for c in NUMERIC}, {c: row[f"s_{c}"] for c in NUMERIC},
                        mode, tuple(levels))
 

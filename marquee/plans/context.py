@@ -34,3 +34,15 @@ class QueryContext:
     def curated(self) -> DataFrame:
         """The curated table as the ETL produces it (lazy)."""
         return self.etl.final
+
+    @cached_property
+    def stored_curated(self) -> DataFrame:
+        """The curated table loaded once (validated versioned write) and read back.
+
+        Multi-pass consumers (model fitting, exact medians, split histograms)
+        read this instead of re-running the ETL lineage on every pass.
+        """
+        from marquee.sinks.curated import read_current, write_curated
+        base = self.landing("dw_peliculas_analitica")
+        write_curated(self.etl.final, base)
+        return read_current(self.spark, base)

@@ -8,6 +8,10 @@ the documented semantics, independently of the Spark code path.
 from __future__ import annotations
 
 from marquee import config as C
+from marquee.functions.text import BLANK_CHARS
+
+_BLANK_LIT = "'" + BLANK_CHARS + "'"
+_BLANK_RUN = "[" + "".join(f"\\x{{{ord(ch):04x}}}" for ch in BLANK_CHARS) + "]+"
 
 
 def _q(values) -> str:
@@ -15,7 +19,7 @@ def _q(values) -> str:
 
 
 def _strip(x: str) -> str:
-    return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+    return f"trim({x}, {_BLANK_LIT})"
 
 
 def _id(x: str) -> str:
@@ -25,7 +29,7 @@ def _id(x: str) -> str:
 
 
 def _title(x: str) -> str:
-    t = f"nullif(regexp_replace({_strip(x)}, '\\s+', ' ', 'g'), '')"
+    t = f"nullif(regexp_replace({_strip(x)}, '{_BLANK_RUN}', ' ', 'g'), '')"
     runs = f"regexp_extract_all({t}, '([\\p{{Lu}}\\p{{Ll}}\\p{{Lt}}]+|[^\\p{{Lu}}\\p{{Ll}}\\p{{Lt}}]+)')"
     tc = f"list_aggregate(list_transform({runs}, lambda r: upper(r[1]) || lower(r[2:])), 'string_agg', '')"
     return f"(case when upper({t}) = {t} and lower({t}) <> {t} then {tc} else {t} end)"
@@ -142,7 +146,7 @@ where rn = 1""", "restr_valid")
 
 cte("api_typed", f"""
 select {_id('cast(id_pelicula_api as varchar)')} as id_pelicula,
-  nullif(regexp_replace({_strip('titulo_api')}, '\\s+', ' ', 'g'), '') as titulo_api,
+  nullif(regexp_replace({_strip('titulo_api')}, '{_BLANK_RUN}', ' ', 'g'), '') as titulo_api,
   case when isnan(popularidad_api) then null else popularidad_api end as popularidad_api,
   case when isnan(votos_promedio_api) then null else votos_promedio_api end as votos_promedio_api
 from api_raw""", "api_raw")

@@ -52,7 +52,7 @@ from (select *, row_number() over (partition by objetivo order by h, id_pelicula
 
 @query("ml_target", "P22", with_ctes("select id_pelicula, objetivo from ml_base", "ml_base"))
 def ml_target(ctx):
-    return M.with_target(ctx.curated).select("id_pelicula", "objetivo")
+    return M.with_target(ctx.stored_curated).select("id_pelicula", "objetivo")
 
 
 @query("ml_features", "P23 M1", with_ctes(
@@ -60,14 +60,14 @@ def ml_target(ctx):
     + ", ".join(f"cast(clasificacion_edad_local = '{v}' as integer) as \"clasificacion_edad_local_{v}\""
                 for v in ORACLE_ML_LEVELS[1:]) + " from ml_base", "ml_base"))
 def ml_features(ctx):
-    frame = M.model_frame(ctx.curated)
+    frame = M.model_frame(ctx.stored_curated)
     return M.dummy_columns(frame, M.class_levels(frame))
 
 
 @query("stratified_split", "M2", with_ctes(
     "select id_pelicula, objetivo, es_test from ml_split", "ml_split"))
 def stratified_split(ctx):
-    return M.stratified_split(M.model_frame(ctx.curated)).select("id_pelicula", "objetivo", "es_test")
+    return M.stratified_split(M.model_frame(ctx.stored_curated)).select("id_pelicula", "objetivo", "es_test")
 
 
 @query("class_weights", "M3", with_ctes("""
@@ -75,12 +75,12 @@ select objetivo, count(*) as n,
   cast(sum(count(*)) over () as double) / (count(*) over () * count(*)) as peso
 from ml_split where not es_test group by objetivo""", "ml_split"))
 def class_weights(ctx):
-    split = M.stratified_split(M.model_frame(ctx.curated))
+    split = M.stratified_split(M.model_frame(ctx.stored_curated))
     return M.class_weights(split.where(~F.col("es_test")))
 
 
 def _predictions(ctx):
-    _, pred = M.train_and_predict(M.model_frame(ctx.curated))
+    _, pred = M.train_and_predict(M.model_frame(ctx.stored_curated))
     return pred
 
 
@@ -176,12 +176,12 @@ select {k} as k, round(s, 6) as silhouette_score, round(i, 6) as inercia from si
 
 @lru_cache(maxsize=8)
 def _prep(ctx):
-    return K.fit_preprocessing(ctx.curated)
+    return K.fit_preprocessing(ctx.stored_curated)
 
 
 def _fixed_features(ctx, k: int):
     prep = _prep(ctx)
-    cur = ctx.curated.withColumn("cluster", K.popularity_bands(ctx.curated, k))
+    cur = ctx.stored_curated.withColumn("cluster", K.popularity_bands(ctx.stored_curated, k))
     return K.feature_columns(cur, prep, keep=("cluster",)), K.feature_names(prep)
 
 
@@ -189,7 +189,7 @@ def _fixed_features(ctx, k: int):
     "select id_pelicula, " + ", ".join(f"round({z}, 9) as {z}" for z in _Z) + ", "
     + ", ".join(_q_ident(o) for o in _OH) + " from cl_feat", "cl_feat"))
 def cluster_features(ctx):
-    feats = K.feature_columns(ctx.curated, _prep(ctx))
+    feats = K.feature_columns(ctx.stored_curated, _prep(ctx))
     return feats.select("id_pelicula", *[F.round(z, 9).alias(z) for z in _Z],
                         *[c for c in feats.columns if c.startswith(K.CLASS_COL)])
 
@@ -259,7 +259,7 @@ from cl_summary""", "cl_summary")
 
 
 def _banded(ctx):
-    return ctx.curated.withColumn("cluster", K.popularity_bands(ctx.curated, FIXED_K))
+    return ctx.stored_curated.withColumn("cluster", K.popularity_bands(ctx.stored_curated, FIXED_K))
 
 
 @query("cluster_summary", "A6", with_ctes("""
@@ -291,7 +291,7 @@ def cluster_distribution(ctx):
 def _model_features(ctx):
     from pyspark.ml import Pipeline
     prep = _prep(ctx)
-    return Pipeline(stages=K.preprocessing_stages(prep)).fit(ctx.curated).transform(ctx.curated)
+    return Pipeline(stages=K.preprocessing_stages(prep)).fit(ctx.stored_curated).transform(ctx.stored_curated)
 
 
 @query("k_metrics", "M13 M14 M15")
@@ -304,8 +304,8 @@ def k_metrics(ctx):
 def kmeans_clusters(ctx):
     metrics, _ = K.kmeans_search(_model_features(ctx))
     k = K.best_k(metrics).collect()[0]["mejor_k"]
-    model = K.fit_final(ctx.curated, _prep(ctx), k)
-    clustered = model.transform(ctx.curated).select(
+    model = K.fit_final(ctx.stored_curated, _prep(ctx), k)
+    clustered = model.transform(ctx.stored_curated).select(
         "id_pelicula", "titulo", "reproducciones_mensuales", "popularidad_api", "votos_promedio_api",
         "clasificacion_edad_local", "alerta_accion", "fecha_actualizacion", "cluster")
     return K.with_segments(clustered)
