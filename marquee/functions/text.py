@@ -12,8 +12,9 @@ BLANK_CHARS = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-# Regex class of the same set (Java \\uXXXX escapes), for collapsing inner runs.
-_RUN = "[" + "".join(f"\\u{ord(ch):04x}" for ch in BLANK_CHARS) + "]+"
+# The same set as a regex class: Java's Unicode White_Space (?U)\s is the set
+# above minus 0x1c-0x1f, which are added back. Used to collapse inner runs.
+_RUN = r"(?U)[\s\x1c-\x1f]+"
 # Runs of cased letters, or runs of anything else; title case applies per run.
 _CASED_RUNS = r"([\p{Lu}\p{Ll}\p{Lt}]+|[^\p{Lu}\p{Ll}\p{Lt}]+)"
 
@@ -56,12 +57,27 @@ def title_case(c: Column | str) -> Column:
     return F.array_join(F.transform(runs, lambda r: F.initcap(r)), "")
 
 
-def clean_title(c: Column | str) -> Column:
-    """Strip, collapse blanks, empty -> null, title-case only all-upper titles."""
-    t = blank_to_null(collapse_blanks(strip_blanks(c)))
+def normalise_title(c: Column | str) -> Column:
+    """Strip, collapse blanks, empty -> null."""
+    return blank_to_null(collapse_blanks(strip_blanks(c)))
+
+
+def title_if_upper(t: Column | str) -> Column:
+    """Title-case a normalised title only when it is written wholly in capitals."""
+    t = _col(t)
     return F.when(is_all_upper(t), title_case(t)).otherwise(t)
 
 
+def clean_title(c: Column | str) -> Column:
+    """``title_if_upper(normalise_title(c))`` as one expression.
+
+    Inside a DataFrame prefer two projections (see ``operators.clean``): the
+    normalised title is referenced four times and Catalyst keeps an expensive
+    expression in its own projection instead of repeating it.
+    """
+    return title_if_upper(normalise_title(c))
+
+
 def clean_token(c: Column | str, upper: bool = False) -> Column:
     """Strip, optionally upper-case, empty -> null."""
     t = strip_blanks(c)

@@ -13,8 +13,8 @@ from marquee.config import DEFAULT_CONFIG, NULL_SERVER, CatalogConfig
 from marquee.functions.dates import parse_date
 from marquee.functions.guards import require_columns
 from marquee.functions.numeric import first_digit_run, to_double, to_int_id
-from marquee.functions.text import (blank_to_null, clean_title, clean_token, collapse_blanks,
-                                    strip_blanks)
+from marquee.functions.text import (blank_to_null, clean_token, collapse_blanks, normalise_title,
+                                    strip_blanks, title_if_upper)
 from marquee.operators.dedup import first_per_key
 from marquee.sources.fixtures import API_COLUMNS, RESTRICTION_COLUMNS, STAGING_COLUMNS
 
@@ -49,7 +49,9 @@ def clean_server(c: str = "servidor_origen"):
 
 def clean_texts(df: DataFrame) -> DataFrame:
     """Title -> ``titulo_limpio``; server: blank or the null-server token -> null."""
-    return (df.withColumn("titulo_limpio", clean_title("titulo_original"))
+    # Two projections: the normalised title is computed once, then reused.
+    return (df.withColumn("titulo_limpio", normalise_title("titulo_original"))
+              .withColumn("titulo_limpio", title_if_upper("titulo_limpio"))
               .withColumn("servidor_origen", clean_server()))
 
 
