@@ -76,3 +76,14 @@ def dw_scan(ctx):
     "clasificacion_edad_local, alerta_accion, fecha_actualizacion from curated", "curated"))
 def dw_model_columns(ctx):
     return model_columns(ctx.curated)
+
+
+@query("api_stream_ingest", "S4 S5 (streaming)", with_ctes("select * from api_raw", "api_raw"))
+def api_stream_ingest(ctx):
+    # Land the responses, ingest them incrementally (available-now trigger), read the table.
+    from marquee.session import scratch_path
+    from marquee.streaming import current_api_records, ingest_api_responses
+    run = scratch_path(ctx.spark, "streams", "api_ingest_run", unique=True)
+    landing = write_jsonl(ctx.fixtures.api_responses, f"{run}/landing")
+    ingest_api_responses(ctx.spark, landing, f"{run}/table", f"{run}/checkpoint").awaitTermination()
+    return current_api_records(ctx.spark, f"{run}/table")

@@ -41,7 +41,7 @@ def read_api_responses(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RESPONSE_SCHEMA).json(path)
 
 
-def parse_detail(responses: DataFrame) -> DataFrame:
+def parse_detail(responses: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Landed responses -> (id_pelicula_api, titulo_api, popularidad_api, votos_promedio_api).
 
     * transport failure (no status) -> no row;
@@ -60,6 +60,7 @@ def parse_detail(responses: DataFrame) -> DataFrame:
             F.when(ok, detail["title"]).alias("titulo_api"),
             F.when(ok, to_double(detail["popularity"])).alias("popularidad_api"),
             F.when(ok, to_double(detail["vote_average"])).alias("votos_promedio_api"),
+            *keep,
         )
     )
 

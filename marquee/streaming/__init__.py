@@ -1,0 +1,3 @@
+from marquee.streaming.landing import current_api_records, ingest_api_responses, response_stream
+
+__all__ = ["current_api_records", "ingest_api_responses", "response_stream"]
