@@ -57,3 +57,23 @@ FIXED_RUN_TS = dt.datetime(2026, 1, 1, 0, 0, 0)
 def etl_from_fixtures(fx: Fixtures, cfg: CatalogConfig = DEFAULT_CONFIG,
                       run_ts: dt.datetime | None = FIXED_RUN_TS) -> EtlFrames:
     return build_etl(fx.staging, fx.restrictions, fx.api, cfg, run_ts)
+
+
+def run_etl(staging_raw: DataFrame, restrictions_raw: DataFrame, api_raw: DataFrame,
+            target: str | None = None, load: bool = True, cfg: CatalogConfig = DEFAULT_CONFIG,
+            run_ts: dt.datetime | None = None) -> DataFrame | str:
+    """Run the whole ETL; raise on any failure (no silent ``None``).
+
+    With ``load`` the constraints are checked, a new curated version is
+    written under ``target`` and verified, and its path is returned. Without
+    it (dry run) the validated final frame is returned and nothing is written.
+    """
+    from marquee.sinks.curated import validate_before_load, write_curated
+
+    frames = build_etl(staging_raw, restrictions_raw, api_raw, cfg, run_ts)
+    validate_before_load(frames.ruled)
+    if not load:
+        return frames.final
+    if not target:
+        raise ValueError("target path required when load=True")
+    return write_curated(frames.final, target)

@@ -106,3 +106,16 @@ def test_constraint_validation(spark):
     bad = good.withColumn("titulo", F.lit(None).cast("string"))
     with pytest.raises(LoadValidationError):
         validate_before_load(bad)
+
+
+def test_run_etl_dry_run_and_load(spark, tmp_dir):
+    from marquee.functions.guards import shape
+    from marquee.plans.etl import run_etl
+    from marquee.sources import Fixtures, Tables
+    from tests.conftest import SF001
+
+    fx = Fixtures(Tables(spark, SF001))
+    final = run_etl(fx.staging, fx.restrictions, fx.api, load=False)
+    assert shape(final) == (150, 9)
+    version = run_etl(fx.staging, fx.restrictions, fx.api, target=os.path.join(tmp_dir, "dw"))
+    assert spark.read.parquet(version).count() == 150
