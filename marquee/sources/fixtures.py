@@ -34,8 +34,11 @@ def staging_rows(orders: DataFrame, part: DataFrame) -> DataFrame:
     ok, ck, name = F.col("o_orderkey"), F.col("o_custkey"), F.col("p_name")
     ck_txt = ck.cast("string")
     plays_n = (ok * 31 % (F.lit(1000) + ck % 10 * 1000)).cast("string")
+    # At scale ``part`` is far too large to broadcast, so the derivation is a
+    # shuffle join on the film id; stating it keeps small runs on the same plan
+    # (and spreads the per-row cleaning over the shuffle partitions).
     return (
-        o.join(p, o.o_custkey == p.p_partkey, "left")
+        o.join(p.hint("merge"), o.o_custkey == p.p_partkey, "left")
         .select(
             ok.alias("ord"),
             F.when(ok % 97 == 0, F.lit("ID-ERR"))
