@@ -95,6 +95,7 @@ def stratified_split(df: DataFrame, label: str = LABEL, key: str = KEY,
 def class_weights(train: DataFrame, label: str = LABEL) -> DataFrame:
     """Balanced weights n / (k * n_class) over the training rows (one row per class)."""
     per_class = train.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    # The un-keyed windows run over the per-class counts: one row per class.
     k = F.count(F.lit(1)).over(Window.partitionBy())
     total = F.sum("n").over(Window.partitionBy())
     return per_class.select(label, "n", (total.cast("double") / (k * F.col("n"))).alias("peso"))

@@ -20,7 +20,11 @@ def final_projection(df: DataFrame, run_ts: dt.datetime | None = None) -> DataFr
     start time floored to the second. Popularity and votes are stored as
     32-bit floats, as the target column type does.
     """
-    ts = F.lit(run_ts).cast("timestamp") if run_ts is not None else F.current_timestamp()
+    # The target column is a zone-less DATETIME: a wall-clock timestamp_ntz
+    # (session-local "now", or the pinned time given as text), so no process
+    # or session time zone can shift it.
+    ts = (F.lit(run_ts.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz") if run_ts is not None
+          else F.localtimestamp())
     return df.select(
         F.col("id_pelicula").try_cast("int").alias("id_pelicula"),
         F.col("titulo"),
@@ -30,7 +34,7 @@ def final_projection(df: DataFrame, run_ts: dt.datetime | None = None) -> DataFr
         F.col("votos_promedio_api").cast("float").alias("votos_promedio_api"),
         F.col("clasificacion_edad_local"),
         F.col("alerta_accion"),
-        F.date_trunc("second", ts).alias("fecha_actualizacion"),
+        F.date_trunc("second", ts).cast("timestamp_ntz").alias("fecha_actualizacion"),
     )
 
 

@@ -149,6 +149,6 @@ def test_build_etl_final_schema(spark, staging):
         "id_pelicula": "int", "titulo": "string", "reproducciones_mensuales": "int",
         "fecha_estreno": "date", "popularidad_api": "float", "votos_promedio_api": "float",
         "clasificacion_edad_local": "string", "alerta_accion": "string",
-        "fecha_actualizacion": "timestamp"}
+        "fecha_actualizacion": "timestamp_ntz"}
     ts = {r.fecha_actualizacion for r in e.final.collect()}
     assert ts == {dt.datetime(2026, 1, 1, 12, 0, 0)}  # floored to the second

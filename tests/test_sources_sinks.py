@@ -82,7 +82,7 @@ def _curated(spark, ids):
           dt.datetime(2026, 1, 1)) for i in ids],
         "id_pelicula int, titulo string, reproducciones_mensuales int, fecha_estreno date, "
         "popularidad_api float, votos_promedio_api float, clasificacion_edad_local string, "
-        "alerta_accion string, fecha_actualizacion timestamp")
+        "alerta_accion string, fecha_actualizacion timestamp_ntz")
 
 
 def test_versioned_load_and_switch(spark, tmp_dir):
