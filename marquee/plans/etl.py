@@ -8,7 +8,8 @@ restrictions de-duplication); the two left joins reuse that partitioning.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 
@@ -21,33 +22,74 @@ from marquee.operators.rules import apply_rules
 from marquee.sources.fixtures import Fixtures
 
 
-@dataclass(frozen=True)
 class EtlFrames:
-    """Every intermediate of one run (all lazy)."""
+    """Every intermediate of one run, each built on first use (all lazy).
 
-    staging_raw: DataFrame
-    restrictions_raw: DataFrame
-    api_raw: DataFrame
-    staging_clean: DataFrame
-    consolidated: DataFrame
-    restrictions: DataFrame
-    api: DataFrame
-    integrated: DataFrame
-    ruled: DataFrame
-    final: DataFrame
+    A query that needs one branch (say the consolidated staging rows) plans
+    only that branch: building a DataFrame costs driver round trips, so the
+    API and restrictions frames are not constructed unless asked for.
+    """
+
+    def __init__(self, staging_raw: DataFrame | Callable[[], DataFrame],
+                 restrictions_raw: DataFrame | Callable[[], DataFrame],
+                 api_raw: DataFrame | Callable[[], DataFrame],
+                 cfg: CatalogConfig = DEFAULT_CONFIG, run_ts: dt.datetime | None = None):
+        self._sources = {"staging_raw": staging_raw, "restrictions_raw": restrictions_raw,
+                         "api_raw": api_raw}
+        self.cfg = cfg
+        self.run_ts = run_ts
+
+    def _source(self, name: str) -> DataFrame:
+        src = self._sources[name]
+        return src if isinstance(src, DataFrame) else src()
+
+    @cached_property
+    def staging_raw(self) -> DataFrame:
+        return self._source("staging_raw")
+
+    @cached_property
+    def restrictions_raw(self) -> DataFrame:
+        return self._source("restrictions_raw")
+
+    @cached_property
+    def api_raw(self) -> DataFrame:
+        return self._source("api_raw")
+
+    @cached_property
+    def staging_clean(self) -> DataFrame:
+        return clean_staging(self.staging_raw, self.cfg)
+
+    @cached_property
+    def consolidated(self) -> DataFrame:
+        return consolidate(self.staging_clean)
+
+    @cached_property
+    def restrictions(self) -> DataFrame:
+        return clean_restrictions(self.restrictions_raw, self.cfg)
+
+    @cached_property
+    def api(self) -> DataFrame:
+        return clean_api(self.api_raw)
+
+    @cached_property
+    def integrated(self) -> DataFrame:
+        return integrate(self.consolidated, self.api, self.restrictions)
+
+    @cached_property
+    def ruled(self) -> DataFrame:
+        return apply_rules(self.integrated, self.cfg)
+
+    @cached_property
+    def final(self) -> DataFrame:
+        return final_projection(self.ruled, self.run_ts)
 
 
-def build_etl(staging_raw: DataFrame, restrictions_raw: DataFrame, api_raw: DataFrame,
+def build_etl(staging_raw: DataFrame | Callable[[], DataFrame],
+              restrictions_raw: DataFrame | Callable[[], DataFrame],
+              api_raw: DataFrame | Callable[[], DataFrame],
               cfg: CatalogConfig = DEFAULT_CONFIG, run_ts: dt.datetime | None = None) -> EtlFrames:
-    staging_clean = clean_staging(staging_raw, cfg)
-    consolidated = consolidate(staging_clean)
-    restrictions = clean_restrictions(restrictions_raw, cfg)
-    api = clean_api(api_raw)
-    integrated = integrate(consolidated, api, restrictions)
-    ruled = apply_rules(integrated, cfg)
-    final = final_projection(ruled, run_ts)
-    return EtlFrames(staging_raw, restrictions_raw, api_raw, staging_clean, consolidated,
-                     restrictions, api, integrated, ruled, final)
+    """The ETL over three sources (frames, or zero-argument builders of them)."""
+    return EtlFrames(staging_raw, restrictions_raw, api_raw, cfg, run_ts)
 
 
 # Fixed run timestamp for reproducible query results (the live load uses now()).
@@ -56,7 +98,7 @@ FIXED_RUN_TS = dt.datetime(2026, 1, 1, 0, 0, 0)
 
 def etl_from_fixtures(fx: Fixtures, cfg: CatalogConfig = DEFAULT_CONFIG,
                       run_ts: dt.datetime | None = FIXED_RUN_TS) -> EtlFrames:
-    return build_etl(fx.staging, fx.restrictions, fx.api, cfg, run_ts)
+    return build_etl(lambda: fx.staging, lambda: fx.restrictions, lambda: fx.api, cfg, run_ts)
 
 
 def run_etl(staging_raw: DataFrame, restrictions_raw: DataFrame, api_raw: DataFrame,

@@ -3,12 +3,19 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 TABLE_NAMES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
                "events", "documents", "embeddings", "pages", "benchmark", "labels",
                "conversations")
 
 
+# Schema of each table path, read from its footer once per process. The file
+# listing is still done on every read, so new or removed files are seen; only
+# the footer round trip (about 0.15 s on the driver per read) is saved.
+_SCHEMAS: dict[str, StructType] = {}
+
+
 class Tables:
     """``Tables(spark, dir).orders`` -> ``spark.read.parquet(dir/orders.parquet)``."""
 
@@ -17,7 +24,13 @@ class Tables:
         self.data_dir = data_dir.rstrip("/")
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.data_dir}/{name}.parquet")
+        path = f"{self.data_dir}/{name}.parquet"
+        schema = _SCHEMAS.get(path)
+        if schema is None:
+            df = self.spark.read.parquet(path)
+            _SCHEMAS[path] = df.schema
+            return df
+        return self.spark.read.schema(schema).parquet(path)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLE_NAMES:
