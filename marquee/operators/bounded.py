@@ -1,0 +1,32 @@
+"""Joins against small derived tables, broadcast only behind a size check.
+
+A per-class or per-cluster table is small by construction, but its size is a
+property of the data, so it is checked: at most ``max_rows + 1`` rows are
+fetched. Within the bound the fetched rows become a local relation that is
+broadcast (its size is now known, and the aggregate behind it is not
+recomputed); beyond it the join stays a shuffle join on the key.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def bounded_rows(small: DataFrame, max_rows: int) -> DataFrame | None:
+    """``small`` as a local relation when it has at most ``max_rows`` rows, else None."""
+    rows = small.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return None
+    return small.sparkSession.createDataFrame(rows, small.schema)
+
+
+def join_small(big: DataFrame, small: DataFrame, on: str | Sequence[str], how: str = "inner",
+               max_rows: int = 10_000) -> DataFrame:
+    """``big`` joined with ``small``: broadcast when ``small`` is within ``max_rows``."""
+    local = bounded_rows(small, max_rows)
+    if local is None:
+        return big.join(small, on, how)
+    return big.join(F.broadcast(local), on, how)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from marquee.config import DEFAULT_CONFIG, RF_TREES, SEED, TEST_SHARE, UNKNOWN_CLASS, CatalogConfig
 from marquee.functions.guards import require_columns
+from marquee.operators.bounded import join_small
 
 NUMERIC_FEATURES = ("popularidad_api", "votos_promedio_api", "reproducciones_mensuales")
 CLASS_COL = "clasificacion_edad_local"
@@ -73,7 +74,8 @@ def stratified_split(df: DataFrame, label: str = LABEL, key: str = KEY,
     No window spans a whole class: the rank is located on a per-class
     histogram of 2**bucket_bits hash buckets (at most that many rows per
     class), and only the single boundary bucket of each class is ranked row
-    by row. The boundary table has one row per class and is broadcast.
+    by row. The boundary table has one row per class and is broadcast after
+    a size check.
     """
     h = split_hash(F.col(key), seed)
     d = df.withColumn("_h", h).withColumn("_b", F.shiftright(F.col("_h"), 32 - bucket_bits))
@@ -84,7 +86,7 @@ def stratified_split(df: DataFrame, label: str = LABEL, key: str = KEY,
     boundary = (hist.where((F.col("_cum") - F.col("_n") < F.col("_q")) & (F.col("_cum") >= F.col("_q")))
                 .select(label, F.col("_b").alias("_bstar"),
                         (F.col("_q") - (F.col("_cum") - F.col("_n"))).alias("_r")))
-    d = d.join(F.broadcast(boundary), label, "left")
+    d = join_small(d, boundary, label, "left", max_rows=MAX_LEVELS)
     edge = d.where(F.col("_b") == F.col("_bstar"))
     rank = F.row_number().over(Window.partitionBy(label, "_b").orderBy("_h", key))
     edge = edge.withColumn("es_test", rank <= F.col("_r"))
@@ -102,8 +104,9 @@ def class_weights(train: DataFrame, label: str = LABEL) -> DataFrame:
 
 
 def weighted(train: DataFrame, label: str = LABEL) -> DataFrame:
-    """Attach the class weight (broadcast join: one row per class)."""
-    return train.join(F.broadcast(class_weights(train, label).select(label, "peso")), label)
+    """Attach the class weight (one row per class, broadcast after a size check)."""
+    return join_small(train, class_weights(train, label).select(label, "peso"), label,
+                      max_rows=MAX_LEVELS)
 
 
 # -- model ------------------------------------------------------------------------

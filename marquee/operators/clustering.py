@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from marquee import config as C
 from marquee.functions.guards import require_columns
+from marquee.operators.bounded import join_small
 from marquee.operators.stats import exact_median, most_frequent
 
 NUMERIC = ("reproducciones_mensuales", "popularidad_api", "votos_promedio_api")
@@ -267,9 +268,10 @@ def segment_names(summary: DataFrame, label: str = "cluster") -> DataFrame:
 
 
 def with_segments(clustered: DataFrame, label: str = "cluster") -> DataFrame:
-    """Attach the segment name; the label table has one row per cluster (broadcast)."""
+    """Attach the segment name; the label table has one row per cluster
+    (broadcast after a size check)."""
     names = segment_names(cluster_summary(clustered, label), label)
-    return clustered.join(F.broadcast(names), label, "left")
+    return join_small(clustered, names, label, "left", max_rows=MAX_CLUSTERS)
 
 
 def distribution(segmented: DataFrame, label: str = "cluster") -> DataFrame:
