@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from marquee import config as C
 from marquee.functions.guards import require_columns
 from marquee.operators.bounded import join_small
-from marquee.operators.stats import exact_median, most_frequent
+from marquee.operators.stats import exact_quantiles
 
 NUMERIC = ("reproducciones_mensuales", "popularidad_api", "votos_promedio_api")
 CLASS_COL = "clasificacion_edad_local"
@@ -72,19 +72,22 @@ def fit_preprocessing(df: DataFrame) -> ClusterPrep:
     require_columns(df, (*NUMERIC, CLASS_COL), "curated table")
     cols = df.select(*NUMERIC, CLASS_COL).persist()
     try:
-        med = {c: exact_median(cols, c) for c in NUMERIC}
+        med = exact_quantiles(cols, NUMERIC, 0.5)
         imputed = {c: F.coalesce(F.col(c).cast("double"), F.lit(med[c])) for c in NUMERIC}
         aggs = []
         for c in NUMERIC:
             aggs += [F.avg(imputed[c]).alias(f"m_{c}"), F.stddev_pop(imputed[c]).alias(f"s_{c}")]
         row = cols.agg(*aggs).collect()[0]
-        mode = most_frequent(cols, CLASS_COL)
-        levels = sorted(r[0] for r in cols.select(F.coalesce(F.col(CLASS_COL), F.lit(mode)).alias("l"))
-                        .where(F.col("l").isNotNull()).distinct().limit(MAX_CLUSTERS + 1).collect())
+        # One bounded pass gives the class counts: the mode (ties -> smallest
+        # level) and the levels after imputing it (the non-null levels).
+        counts = (cols.where(F.col(CLASS_COL).isNotNull()).groupBy(CLASS_COL)
+                  .agg(F.count(F.lit(1)).alias("_n")).limit(MAX_CLUSTERS + 1).collect())
     finally:
         cols.unpersist()
-    if len(levels) > MAX_CLUSTERS:
+    if len(counts) > MAX_CLUSTERS:
         raise ValueError(f"{CLASS_COL} has more than {MAX_CLUSTERS} levels")
+    mode = min(counts, key=lambda r: (-r["_n"], r[CLASS_COL]))[CLASS_COL] if counts else None
+    levels = sorted(r[CLASS_COL] for r in counts)
     return ClusterPrep(med, {c: row[f"m_{c}"] for c in NUMERIC}, {c: row[f"s_{c}"] for c in NUMERIC},
                        mode, tuple(levels))
 
@@ -136,12 +139,8 @@ def _mean_sq_dist(names: list[str], st: dict) -> Column:
     return sq + F.lit(st["q"] / n) - F.lit(2.0) * dot
 
 
-def silhouette_sq(features: DataFrame, names: list[str], label: str = "cluster") -> DataFrame:
-    """Mean silhouette with squared Euclidean distance (Spark's definition):
-    a = own-cluster mean distance excluding the point, b = nearest other
-    cluster; singletons score 0. Linear in the rows: the k cluster
-    statistics enter the per-row expression as literals."""
-    stats = cluster_stats(features, names, label)
+def _silhouette_expr(names: list[str], stats: list[dict], label: str) -> Column:
+    """Per-row silhouette (squared Euclidean) from the k cluster statistics."""
     if len(stats) < 2:
         raise ValueError("silhouette needs at least two clusters")
     lab = F.col(label)
@@ -155,23 +154,43 @@ def silhouette_sq(features: DataFrame, names: list[str], label: str = "cluster")
     for st in stats:
         other = F.when(lab != st["c"], d[st["c"]])
         b = other if b is None else F.least(b, other)
-    s = (F.when(own_n <= 1, F.lit(0.0))
-          .when(a < b, F.lit(1.0) - a / b)
-          .when(a > b, b / a - F.lit(1.0))
-          .otherwise(F.lit(0.0)))
-    return features.agg(F.avg(s).alias("silhouette_score"))
+    return (F.when(own_n <= 1, F.lit(0.0))
+             .when(a < b, F.lit(1.0) - a / b)
+             .when(a > b, b / a - F.lit(1.0))
+             .otherwise(F.lit(0.0)))
 
 
-def inertia(features: DataFrame, names: list[str], label: str = "cluster") -> DataFrame:
-    """Sum of squared distances to the assigned cluster mean."""
-    stats = cluster_stats(features, names, label)
+def _inertia_expr(names: list[str], stats: list[dict], label: str) -> Column:
+    """Per-row squared distance to the row's cluster mean."""
     lab = F.col(label)
     dist = F.lit(None).cast("double")
     for st in stats:
         n = float(st["n"])
         e = sum(((F.col(c) - F.lit(s / n)) ** 2 for c, s in zip(names, st["s"])), F.lit(0.0))
         dist = F.when(lab == st["c"], e).otherwise(dist)
-    return features.agg(F.sum(dist).alias("inercia"))
+    return dist
+
+
+def silhouette_sq(features: DataFrame, names: list[str], label: str = "cluster") -> DataFrame:
+    """Mean silhouette with squared Euclidean distance (Spark's definition):
+    a = own-cluster mean distance excluding the point, b = nearest other
+    cluster; singletons score 0. Linear in the rows: the k cluster
+    statistics enter the per-row expression as literals."""
+    stats = cluster_stats(features, names, label)
+    return features.agg(F.avg(_silhouette_expr(names, stats, label)).alias("silhouette_score"))
+
+
+def inertia(features: DataFrame, names: list[str], label: str = "cluster") -> DataFrame:
+    """Sum of squared distances to the assigned cluster mean."""
+    stats = cluster_stats(features, names, label)
+    return features.agg(F.sum(_inertia_expr(names, stats, label)).alias("inercia"))
+
+
+def cluster_metrics(features: DataFrame, names: list[str], label: str = "cluster") -> DataFrame:
+    """Silhouette and inertia together: one statistics pass, one aggregation."""
+    stats = cluster_stats(features, names, label)
+    return features.agg(F.avg(_silhouette_expr(names, stats, label)).alias("silhouette_score"),
+                        F.sum(_inertia_expr(names, stats, label)).alias("inercia"))
 
 
 def popularity_bands(df: DataFrame, k: int) -> Column:

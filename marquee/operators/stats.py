@@ -69,8 +69,97 @@ def exact_median(df: DataFrame, col: str) -> float | None:
     return exact_quantile(df, col, 0.5)
 
 
+def _clean(c: str):
+    x = F.col(c).cast("double")
+    return F.when(x.isNotNull() & ~F.isnan(x), x)
+
+
+def exact_quantiles(df: DataFrame, cols: Sequence[str], q: float = 0.5, buckets: int = 1024,
+                    final_limit: int = 20000) -> dict[str, float | None]:
+    """``exact_quantile`` of several columns, narrowed together.
+
+    One aggregation gives every column's count and range; then each round is
+    at most two jobs for all columns at once: one histogram (``buckets`` rows
+    per column still too wide) and one collection of the final candidates
+    (at most ``final_limit`` values per column). The columns are unpivoted
+    row-wise (``explode`` of an array of (column index, value) pairs) inside
+    the scan stage, never materialised.
+    """
+    cols = list(cols)
+    r = df.agg(*[e for i, c in enumerate(cols)
+                 for e in (F.count(_clean(c)).alias(f"n{i}"), F.min(_clean(c)).alias(f"lo{i}"),
+                           F.max(_clean(c)).alias(f"hi{i}"))]).collect()[0]
+    long = (df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("i"), _clean(c).alias("x"))
+                                          for i, c in enumerate(cols)])).alias("v"))
+            .select("v.i", "v.x").where(F.col("x").isNotNull()))
+    result: dict[str, float | None] = {}
+    state = {}  # column index -> [k_lo, k_hi, lo, hi, offset, count in range]
+    for i, c in enumerate(cols):
+        n = r[f"n{i}"]
+        if not n:
+            result[c] = None
+            continue
+        pos = q * (n - 1)
+        state[i] = [math.floor(pos), math.ceil(pos), r[f"lo{i}"], r[f"hi{i}"], 0, n, pos]
+
+    def in_range(idx):
+        cond = None
+        for j in idx:
+            e = (F.col("i") == j) & (F.col("x") >= F.lit(state[j][2])) & (F.col("x") <= F.lit(state[j][3]))
+            cond = e if cond is None else cond | e
+        return long.where(cond)
+
+    def finish(j, v_lo, v_hi):
+        k_lo, _, _, _, _, _, pos = state.pop(j)
+        result[cols[j]] = v_lo + (pos - k_lo) * (v_hi - v_lo)
+
+    while state:
+        for j in [j for j, st in state.items() if st[2] == st[3]]:
+            finish(j, state[j][2], state[j][2])
+        ready = [j for j, st in state.items() if st[5] <= final_limit]
+        wide = [j for j in state if j not in ready]
+        if ready:
+            vals: dict[int, list] = {j: [] for j in ready}
+            for row in in_range(ready).collect():
+                vals[row["i"]].append(row["x"])
+            for j in ready:
+                v = sorted(vals[j])
+                k_lo, k_hi, _, _, off = state[j][:5]
+                finish(j, v[k_lo - off], v[k_hi - off])
+        if wide:
+            lo_e = F.lit(None).cast("double")
+            w_e = F.lit(None).cast("double")
+            for j in wide:
+                lo_e = F.when(F.col("i") == j, F.lit(state[j][2])).otherwise(lo_e)
+                w_e = F.when(F.col("i") == j, F.lit((state[j][3] - state[j][2]) / buckets)).otherwise(w_e)
+            b = F.least(F.floor((F.col("x") - lo_e) / w_e).cast("int"), F.lit(buckets - 1))
+            hist = (in_range(wide).groupBy("i", b.alias("b"))
+                    .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+                    .collect())
+            for j in wide:
+                rows = sorted((h for h in hist if h["i"] == j), key=lambda h: h["b"])
+                k_lo, k_hi, _, _, off = state[j][:5]
+                seen, first, last, before, inside = off, None, None, off, 0
+                for h in rows:
+                    if first is None and k_lo < seen + h["n"]:
+                        first, before = h, seen
+                    if first is not None:
+                        inside += h["n"]
+                    if k_hi < seen + h["n"]:
+                        last = h
+                        break
+                    seen += h["n"]
+                if first is not last:
+                    # Adjacent ranks in different buckets: the lower one is the
+                    # top of its bucket, the upper one the bottom of the next.
+                    finish(j, first["hi"], last["lo"])
+                else:
+                    state[j][2:6] = [first["lo"], first["hi"], before, inside]
+    return result
+
+
 def medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:
-    return {c: exact_median(df, c) for c in cols}
+    return exact_quantiles(df, cols, 0.5)
 
 
 def most_frequent(df: DataFrame, col: str):

@@ -197,10 +197,11 @@ def cluster_features(ctx):
 def _fixed_metrics(ctx, k: int):
     feats, names = _fixed_features(ctx, k)
     feats = feats.persist()
-    sil = K.silhouette_sq(feats, names).collect()[0][0]
-    ine = K.inertia(feats, names).collect()[0][0]
-    feats.unpersist()
-    return sil, ine
+    try:
+        row = K.cluster_metrics(feats, names).collect()[0]
+    finally:
+        feats.unpersist()
+    return row["silhouette_score"], row["inercia"]
 
 
 def _metrics_frame(ctx, ks):

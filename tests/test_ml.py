@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from marquee import config as C
 from marquee.operators import classifier as M
 from marquee.operators import clustering as K
-from marquee.operators.stats import exact_median, exact_quantile, most_frequent
+from marquee.operators.stats import exact_median, exact_quantile, exact_quantiles, most_frequent
 
 
 def test_g1_confusion_and_report(spark):
@@ -63,6 +63,26 @@ def test_exact_median_matches_numpy(spark):
     assert math.isclose(exact_quantile(even, "x", 0.9), float(np.quantile(ref, 0.9)), abs_tol=1e-12)
 
 
+def test_exact_quantiles_several_columns(spark):
+    rng = np.random.default_rng(7)
+    n = 5001
+    a = rng.normal(size=n)
+    b = np.where(np.arange(n) % 2 == 0, 0.0, 1.0)             # two values, split between buckets
+    c = np.concatenate([rng.integers(0, 5, n - 1), [1e12]])    # ties and one far outlier
+    rows = [(float(x), float(y), float(z), None) for x, y, z in zip(a, b, c)]
+    rows += [(float("nan"), None, float("nan"), None)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double")
+    even = spark.createDataFrame(rows[1:n], df.schema)                # an even count
+    for frame, ref in ((df, {"a": a, "b": b, "c": c}),
+                       (even, {"a": a[1:n], "b": b[1:n], "c": c[1:n]})):
+        for limit in (20000, 100, 1):
+            for q in (0.5, 0.25, 0.9):
+                got = exact_quantiles(frame, ["a", "b", "c", "d"], q, buckets=16, final_limit=limit)
+                assert got["d"] is None
+                for k in ("a", "b", "c"):
+                    assert math.isclose(got[k], float(np.quantile(ref[k], q)), rel_tol=0, abs_tol=1e-9), (k, q, limit)
+
+
 def test_mode_ties_take_smallest(spark):
     df = spark.createDataFrame([("b",), ("a",), ("b",), ("a",), (None,), (None,), (None,)], "c string")
     assert most_frequent(df, "c") == "a"
