@@ -80,15 +80,6 @@ def after_clean_nulls(staging_clean: DataFrame, api_clean: DataFrame) -> DataFra
     return metric_rows(stg).unionByName(metric_rows(api))
 
 
-def stage_counts(stages: dict[str, DataFrame]) -> DataFrame:
-    """(etapa, filas) for each named frame; one count aggregation per stage."""
-    out = None
-    for name, df in stages.items():
-        row = df.agg(F.lit(name).alias("etapa"), F.count(F.lit(1)).alias("filas"))
-        out = row if out is None else out.unionByName(row)
-    return out
-
-
 def dirty_plays(staging_clean: DataFrame) -> DataFrame:
     """Rows whose raw plays text was dirty: mentions 'views' (any case), is 'N/A' or missing."""
     t = strip_blanks("reproducciones_original")

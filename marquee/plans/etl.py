@@ -11,7 +11,8 @@ import datetime as dt
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from marquee.config import DEFAULT_CONFIG, CatalogConfig
 from marquee.operators.clean import clean_api, clean_restrictions, clean_staging
@@ -33,15 +34,17 @@ class EtlFrames:
     def __init__(self, staging_raw: DataFrame | Callable[[], DataFrame],
                  restrictions_raw: DataFrame | Callable[[], DataFrame],
                  api_raw: DataFrame | Callable[[], DataFrame],
-                 cfg: CatalogConfig = DEFAULT_CONFIG, run_ts: dt.datetime | None = None):
+                 cfg: CatalogConfig = DEFAULT_CONFIG, run_ts: dt.datetime | None = None,
+                 tap: Callable[[str, DataFrame], DataFrame] | None = None):
         self._sources = {"staging_raw": staging_raw, "restrictions_raw": restrictions_raw,
                          "api_raw": api_raw}
         self.cfg = cfg
         self.run_ts = run_ts
+        self._tap = tap or (lambda name, df: df)
 
     def _source(self, name: str) -> DataFrame:
         src = self._sources[name]
-        return src if isinstance(src, DataFrame) else src()
+        return self._tap(name, src if isinstance(src, DataFrame) else src())
 
     @cached_property
     def staging_raw(self) -> DataFrame:
@@ -57,39 +60,75 @@ class EtlFrames:
 
     @cached_property
     def staging_clean(self) -> DataFrame:
-        return clean_staging(self.staging_raw, self.cfg)
+        return self._tap("staging_clean", clean_staging(self.staging_raw, self.cfg))
 
     @cached_property
     def consolidated(self) -> DataFrame:
-        return consolidate(self.staging_clean)
+        return self._tap("consolidated", consolidate(self.staging_clean))
 
     @cached_property
     def restrictions(self) -> DataFrame:
-        return clean_restrictions(self.restrictions_raw, self.cfg)
+        return self._tap("restrictions", clean_restrictions(self.restrictions_raw, self.cfg))
 
     @cached_property
     def api(self) -> DataFrame:
-        return clean_api(self.api_raw)
+        return self._tap("api", clean_api(self.api_raw))
 
     @cached_property
     def integrated(self) -> DataFrame:
-        return integrate(self.consolidated, self.api, self.restrictions)
+        return self._tap("integrated", integrate(self.consolidated, self.api, self.restrictions))
 
     @cached_property
     def ruled(self) -> DataFrame:
-        return apply_rules(self.integrated, self.cfg)
+        return self._tap("ruled", apply_rules(self.integrated, self.cfg))
 
     @cached_property
     def final(self) -> DataFrame:
-        return final_projection(self.ruled, self.run_ts)
+        return self._tap("final", final_projection(self.ruled, self.run_ts))
+
+
+# Stages whose row counts a run reports (name in the frames -> reported name).
+COUNTED_STAGES = {
+    "staging_raw": "staging", "restrictions_raw": "restricciones", "api_raw": "api",
+    "staging_clean": "staging_limpio", "consolidated": "consolidado",
+    "restrictions": "restricciones_limpio", "api": "api_limpio",
+    "integrated": "integrado", "final": "final",
+}
+
+
+class StageCounter:
+    """Row counts of every ETL stage, observed while the run executes.
+
+    Each counted stage carries a ``Dataset.observe`` count, so the numbers
+    come out of the one job that runs the ETL (the load), not from extra
+    passes over the sources.
+    """
+
+    def __init__(self):
+        self._obs: dict[str, Observation] = {}
+
+    def tap(self, name: str, df: DataFrame) -> DataFrame:
+        if name not in COUNTED_STAGES:
+            return df
+        obs = self._obs[name] = Observation(f"filas_{name}")
+        return df.observe(obs, F.count(F.lit(1)).alias("filas"))
+
+    def counts(self) -> list[tuple[str, int]]:
+        """(stage, rows) in pipeline order; call after the run's action."""
+        return [(label, int(self._obs[name].get["filas"]))
+                for name, label in COUNTED_STAGES.items() if name in self._obs]
 
 
 def build_etl(staging_raw: DataFrame | Callable[[], DataFrame],
               restrictions_raw: DataFrame | Callable[[], DataFrame],
               api_raw: DataFrame | Callable[[], DataFrame],
-              cfg: CatalogConfig = DEFAULT_CONFIG, run_ts: dt.datetime | None = None) -> EtlFrames:
-    """The ETL over three sources (frames, or zero-argument builders of them)."""
-    return EtlFrames(staging_raw, restrictions_raw, api_raw, cfg, run_ts)
+              cfg: CatalogConfig = DEFAULT_CONFIG, run_ts: dt.datetime | None = None,
+              tap: Callable[[str, DataFrame], DataFrame] | None = None) -> EtlFrames:
+    """The ETL over three sources (frames, or zero-argument builders of them).
+
+    ``tap(stage, df)`` may wrap each stage as it is built (see ``StageCounter``).
+    """
+    return EtlFrames(staging_raw, restrictions_raw, api_raw, cfg, run_ts, tap)
 
 
 # Fixed run timestamp for reproducible query results (the live load uses now()).
@@ -97,22 +136,26 @@ FIXED_RUN_TS = dt.datetime(2026, 1, 1, 0, 0, 0)
 
 
 def etl_from_fixtures(fx: Fixtures, cfg: CatalogConfig = DEFAULT_CONFIG,
-                      run_ts: dt.datetime | None = FIXED_RUN_TS) -> EtlFrames:
-    return build_etl(lambda: fx.staging, lambda: fx.restrictions, lambda: fx.api, cfg, run_ts)
+                      run_ts: dt.datetime | None = FIXED_RUN_TS,
+                      tap: Callable[[str, DataFrame], DataFrame] | None = None) -> EtlFrames:
+    return build_etl(lambda: fx.staging, lambda: fx.restrictions, lambda: fx.api, cfg, run_ts, tap)
 
 
 def run_etl(staging_raw: DataFrame, restrictions_raw: DataFrame, api_raw: DataFrame,
             target: str | None = None, load: bool = True, cfg: CatalogConfig = DEFAULT_CONFIG,
-            run_ts: dt.datetime | None = None) -> DataFrame | str:
+            run_ts: dt.datetime | None = None,
+            counter: StageCounter | None = None) -> DataFrame | str:
     """Run the whole ETL; raise on any failure (no silent ``None``).
 
     With ``load`` the constraints are checked, a new curated version is
     written under ``target`` and verified, and its path is returned. Without
     it (dry run) the validated final frame is returned and nothing is written.
+    A ``counter`` collects the per-stage row counts of the run.
     """
     from marquee.sinks.curated import validate_before_load, write_curated
 
-    frames = build_etl(staging_raw, restrictions_raw, api_raw, cfg, run_ts)
+    frames = build_etl(staging_raw, restrictions_raw, api_raw, cfg, run_ts,
+                       counter.tap if counter else None)
     validate_before_load(frames.ruled)
     if not load:
         return frames.final

@@ -110,12 +110,19 @@ def test_constraint_validation(spark):
 
 def test_run_etl_dry_run_and_load(spark, tmp_dir):
     from marquee.functions.guards import shape
-    from marquee.plans.etl import run_etl
+    from marquee.plans.etl import StageCounter, run_etl
     from marquee.sources import Fixtures, Tables
     from tests.conftest import SF001
 
     fx = Fixtures(Tables(spark, SF001))
     final = run_etl(fx.staging, fx.restrictions, fx.api, load=False)
     assert shape(final) == (150, 9)
-    version = run_etl(fx.staging, fx.restrictions, fx.api, target=os.path.join(tmp_dir, "dw"))
+    counter = StageCounter()
+    version = run_etl(fx.staging, fx.restrictions, fx.api, target=os.path.join(tmp_dir, "dw"),
+                      counter=counter)
     assert spark.read.parquet(version).count() == 150
+    counts = dict(counter.counts())
+    # Observed during the run; equal to counting each stage on its own.
+    assert counts["staging"] == counts["staging_limpio"] == fx.staging.count()
+    assert counts["restricciones"] == fx.restrictions.count()
+    assert counts["consolidado"] == counts["integrado"] == counts["final"] == 150
