@@ -38,67 +38,67 @@ def load_roundtrip(ctx):
     "select count(*) as total_cargado, count(*) - count(distinct id_pelicula) as ids_duplicados "
     "from curated", "curated"))
 def load_check_q(ctx):
-    return load_check(ctx.curated)
+    return load_check(ctx.stored_curated)
 
 
 @query("load_sample", "D5 D8", with_ctes("""
 select id_pelicula, titulo, reproducciones_mensuales, popularidad_api, clasificacion_edad_local,
        alerta_accion, fecha_actualizacion from curated order by id_pelicula limit 10""", "curated"))
 def load_sample_q(ctx):
-    return load_sample(ctx.curated)
+    return load_sample(ctx.stored_curated)
 
 
 @query("dw_list", "D4", with_ctes("select * from curated order by id_pelicula", "curated"))
 def dw_list(ctx):
-    return S.list_films(ctx.curated)
+    return S.list_films(ctx.stored_curated)
 
 
 @query("dw_by_id", "P15", with_ctes(
     f"select * from curated where id_pelicula = {LOOKUP_ID}", "curated"))
 def dw_by_id(ctx):
-    return S.film_by_id(ctx.curated, LOOKUP_ID)
+    return S.film_by_id(ctx.stored_curated, LOOKUP_ID)
 
 
 @query("dw_json", "P18")
 def dw_json(ctx):
-    return S.films_json(ctx.curated)
+    return S.films_json(ctx.stored_curated)
 
 
 @query("dw_by_class", "P16", with_ctes(
     f"select * from curated where clasificacion_edad_local = '{LOOKUP_CLASS}'", "curated"))
 def dw_by_class(ctx):
-    return S.by_class(ctx.curated, LOOKUP_CLASS)
+    return S.by_class(ctx.stored_curated, LOOKUP_CLASS)
 
 
 @query("dashboard_base", "P17", with_ctes("select * from dash", "dash"))
 def dashboard_base(ctx):
-    return S.dashboard_base(ctx.curated)
+    return S.dashboard_base(ctx.stored_curated)
 
 
 @query("kpi_summary", "A5 P19 P21", with_ctes(f"select {_KPI_SQL} from dash", "dash"))
 def kpi_summary(ctx):
-    return S.kpi_summary(S.dashboard_base(ctx.curated))
+    return S.kpi_summary(S.dashboard_base(ctx.stored_curated))
 
 
 @query("kpi_by_class", "A5 P16", with_ctes(
     f"select clasificacion_edad_local, {_KPI_SQL} from dash "
     "where clasificacion_edad_local is not null group by clasificacion_edad_local", "dash"))
 def kpi_by_class(ctx):
-    return S.kpi_by_class(S.dashboard_base(ctx.curated))
+    return S.kpi_by_class(S.dashboard_base(ctx.stored_curated))
 
 
 @query("top10_votes", "D6", with_ctes(
     "select id_pelicula, titulo, votos_promedio_api from dash "
     "order by votos_promedio_api desc, id_pelicula limit 10", "dash"))
 def top10_votes(ctx):
-    return S.top_by_votes(S.dashboard_base(ctx.curated))
+    return S.top_by_votes(S.dashboard_base(ctx.stored_curated))
 
 
 @query("class_options", "D7", with_ctes(
     "select distinct clasificacion_edad_local from curated "
     "where clasificacion_edad_local is not null order by 1", "curated"))
 def class_options(ctx):
-    return S.class_options(ctx.curated)
+    return S.class_options(ctx.stored_curated)
 
 
 @query("operational_table", "P20 P25", with_ctes("""
@@ -108,14 +108,14 @@ select id_pelicula, titulo, clasificacion_edad_local, reproducciones_mensuales,
        when contains(alerta_accion, 'Oportunidad de Marketing') then 'oportunidad' end as resaltado
 from dash""", "dash"))
 def operational_table(ctx):
-    return S.operational_table(S.dashboard_base(ctx.curated))
+    return S.operational_table(S.dashboard_base(ctx.stored_curated))
 
 
 @query("scatter_points", "P26", with_ctes(
     "select id_pelicula, popularidad_api as x, reproducciones_mensuales as y, "
     "clasificacion_edad_local as color, titulo as hover from dash", "dash"))
 def scatter_points(ctx):
-    return S.scatter_points(S.dashboard_base(ctx.curated))
+    return S.scatter_points(S.dashboard_base(ctx.stored_curated))
 
 
 __all__ = ["ALERTS"]

@@ -68,14 +68,14 @@ def valid_ids(ctx):
 
 @query("dw_scan", "S9", with_ctes("select * from curated", "curated"))
 def dw_scan(ctx):
-    return ctx.curated
+    return ctx.stored_curated
 
 
 @query("dw_model_columns", "S10", with_ctes(
     "select id_pelicula, titulo, reproducciones_mensuales, popularidad_api, votos_promedio_api, "
     "clasificacion_edad_local, alerta_accion, fecha_actualizacion from curated", "curated"))
 def dw_model_columns(ctx):
-    return model_columns(ctx.curated)
+    return model_columns(ctx.stored_curated)
 
 
 @query("api_stream_ingest", "S4 S5 (streaming)", with_ctes("select * from api_raw", "api_raw"))
