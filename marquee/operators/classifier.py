@@ -122,13 +122,24 @@ def forest_pipeline(num_trees: int = RF_TREES, max_depth: int = 10, seed: int =
     return Pipeline(stages=[indexer, onehot, assemble, forest])
 
 
+def without_summaries(model: PipelineModel) -> PipelineModel:
+    """The fitted pipeline with each stage copied, which drops training summaries.
+
+    A fitted model keeps its training summary (predictions frame, session);
+    the summary would otherwise travel inside every task closure of
+    ``transform``.
+    """
+    return PipelineModel(stages=[st.copy() if getattr(st, "hasSummary", False) else st
+                                 for st in model.stages])
+
+
 def train_and_predict(frame: DataFrame, num_trees: int = RF_TREES, max_depth: int = 10,
                       seed: int = SEED) -> tuple[PipelineModel, DataFrame]:
     """Split, weight, fit on train, predict test -> (model, (id, y_real, y_pred))."""
     split = stratified_split(frame, seed=seed)
     train = weighted(split.where(~F.col("es_test")))
     test = split.where(F.col("es_test"))
-    model = forest_pipeline(num_trees, max_depth, seed).fit(train)
+    model = without_summaries(forest_pipeline(num_trees, max_depth, seed).fit(train))
     pred = model.transform(test).select(
         KEY, F.col(LABEL).alias("y_real"), F.col("prediction").cast("int").alias("y_pred"))
     return model, pred

@@ -206,7 +206,9 @@ def _best_of(features: DataFrame, k: int, restarts: int, seed: int, parallelism:
     """Fit ``restarts`` seeds of KMeans(k) concurrently; keep the lowest cost."""
     def fit(r: int):
         m = KMeans(k=k, seed=seed + r, featuresCol="features", predictionCol="cluster").fit(features)
-        return m.summary.trainingCost, r, m
+        # Keep the cost, drop the training summary (copy): it would travel
+        # inside every task closure of ``transform``.
+        return m.summary.trainingCost, r, m.copy()
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         fits = list(pool.map(fit, range(restarts)))
     cost, _, model = min(fits, key=lambda t: (t[0], t[1]))

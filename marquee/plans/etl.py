@@ -101,7 +101,11 @@ class StageCounter:
 
     Each counted stage carries a ``Dataset.observe`` count, so the numbers
     come out of the one job that runs the ETL (the load), not from extra
-    passes over the sources.
+    passes over the sources. In Spark 4.1 a session that has served an
+    ``Observation`` can no longer be serialized, which breaks fitted models
+    that still hold a training summary (it references the session); the
+    model operators here drop those summaries, and ``source_counts`` counts
+    in a child session (``spark.newSession()``).
     """
 
     def __init__(self):

@@ -8,6 +8,7 @@ from marquee.operators.dedup import duplicated_rows, first_per_key
 from marquee.operators.profile import (after_clean_nulls, date_rows, dirty_plays, domain_profile,
                                        duplicate_row_count, id_profile, null_counts,
                                        value_profile)
+from marquee.plans.context import QueryContext
 from marquee.plans.etl import StageCounter, etl_from_fixtures
 from marquee.plans.oracle import _q, _strip, with_ctes
 from marquee.plans.registry import query
@@ -104,9 +105,11 @@ _STAGES = (("staging", "stg_raw"), ("restricciones", "restr_raw"), ("api", "api_
     *[t for _, t in _STAGES]))
 def source_counts(ctx):
     # One run of the whole ETL (no-op sink) with a row count observed at
-    # every stage; the nine counts come out of that single job.
+    # every stage; the nine counts come out of that single job. The run uses a
+    # child session, so the observation bookkeeping stays out of the caller's.
+    run = QueryContext(ctx.spark.newSession(), ctx.data_dir)
     counter = StageCounter()
-    e = etl_from_fixtures(ctx.fixtures, tap=counter.tap)
+    e = etl_from_fixtures(run.fixtures, tap=counter.tap)
     e.final.write.format("noop").mode("overwrite").save()
     return ctx.spark.createDataFrame(counter.counts(), "etapa string, filas bigint")
 

@@ -1,0 +1,33 @@
+"""Size-checked broadcast joins against small derived tables."""
+
+from pyspark.sql import functions as F
+
+from marquee.operators.bounded import bounded_rows, join_small
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_small_side_is_broadcast_within_bound(spark):
+    big = spark.range(0, 5000).withColumn("k", F.col("id") % 3)
+    small = big.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    out = join_small(big, small, "k", "left", max_rows=10)
+    assert "BroadcastExchange" in _plan(out) or "BroadcastHashJoin" in _plan(out)
+    got = {r.k: r.n for r in out.select("k", "n").distinct().collect()}
+    assert got == {0: 1667, 1: 1667, 2: 1666}
+
+
+def test_side_over_bound_stays_a_shuffle_join(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = spark.range(0, 5000).withColumn("k", F.col("id") % 50)
+        small = big.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+        assert bounded_rows(small, 10) is None
+        out = join_small(big, small, "k", "left", max_rows=10)
+        plan = _plan(out)
+        assert "BroadcastHashJoin" not in plan and "BroadcastExchange" not in plan
+        assert out.count() == 5000
+        assert out.where(F.col("n") != 100).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
