@@ -17,6 +17,8 @@ from marquee.sources.tables import Tables
 # ETL's output; the serving and model queries of the same process read it
 # instead of re-running the ETL and writing another version each time.
 _LOADED: dict[str, str] = {}
+# Models fitted on a loaded version (several queries report on one fit).
+_FITTED: dict[tuple, object] = {}
 
 
 class QueryContext:
@@ -49,9 +51,21 @@ class QueryContext:
         read this instead of re-running the ETL lineage on every pass. The
         load happens once per data directory and process.
         """
+        return self.spark.read.parquet(self.stored_version)
+
+    @cached_property
+    def stored_version(self) -> str:
+        """Path of the curated version this process loaded for the data directory."""
         from marquee.sinks.curated import write_curated
         base = self.landing("dw_peliculas_analitica")
         version = _LOADED.get(base)
         if version is None:
             version = _LOADED[base] = write_curated(self.etl.final, base)
-        return self.spark.read.parquet(version)
+        return version
+
+    def fitted(self, kind: str, fit):
+        """A model fitted on the loaded curated version, once per version and application."""
+        key = (self.spark.sparkContext.applicationId, self.stored_version, kind)
+        if key not in _FITTED:
+            _FITTED[key] = fit()
+        return _FITTED[key]

@@ -8,7 +8,6 @@ preprocessing, metrics and summaries for a fixed labelling — has one.
 
 from __future__ import annotations
 
-from functools import lru_cache
 
 from pyspark.sql import functions as F
 
@@ -80,7 +79,7 @@ def class_weights(ctx):
 
 
 def _predictions(ctx):
-    _, pred = M.train_and_predict(M.model_frame(ctx.stored_curated))
+    _, pred = ctx.fitted("forest", lambda: M.train_and_predict(M.model_frame(ctx.stored_curated)))
     return pred
 
 
@@ -174,9 +173,8 @@ ine as (select sum({cent}) as i from pts p join cs on cs.c = p.cluster)
 select {k} as k, round(s, 6) as silhouette_score, round(i, 6) as inercia from sil, ine)"""
 
 
-@lru_cache(maxsize=8)
 def _prep(ctx):
-    return K.fit_preprocessing(ctx.stored_curated)
+    return ctx.fitted("cluster_prep", lambda: K.fit_preprocessing(ctx.stored_curated))
 
 
 def _fixed_features(ctx, k: int):
@@ -295,15 +293,19 @@ def _model_features(ctx):
     return Pipeline(stages=K.preprocessing_stages(prep)).fit(ctx.stored_curated).transform(ctx.stored_curated)
 
 
+def _search(ctx):
+    return ctx.fitted("kmeans_search", lambda: K.kmeans_search(_model_features(ctx)))
+
+
 @query("k_metrics", "M13 M14 M15")
 def k_metrics(ctx):
-    metrics, _ = K.kmeans_search(_model_features(ctx))
+    metrics, _ = _search(ctx)
     return metrics
 
 
 @query("kmeans_clusters", "M16 P24 J5")
 def kmeans_clusters(ctx):
-    metrics, _ = K.kmeans_search(_model_features(ctx))
+    metrics, _ = _search(ctx)
     k = K.best_k(metrics).collect()[0]["mejor_k"]
     model = K.fit_final(ctx.stored_curated, _prep(ctx), k)
     clustered = model.transform(ctx.stored_curated).select(
