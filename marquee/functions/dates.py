@@ -10,10 +10,14 @@ from marquee.functions.text import strip_blanks
 
 
 # Cheap shape tests run before each parser, so text that cannot match a
-# format (words, other layouts) never reaches the date parser's failure path.
+# format (words, other layouts, day 0 or over 31, month 0 or over 12, such as
+# "00/00/0000") never reaches the date parser's failure path. Only days a
+# month lacks (31/02) are left to the parser.
+_DAY = r"(0?[1-9]|[12][0-9]|3[01])"
+_MONTH = r"(0?[1-9]|1[0-2])"
 _SHAPES = {
-    "yyyy-M-d": r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$",
-    "d/M/yyyy": r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$",
+    "yyyy-M-d": rf"^[0-9]{{4}}-{_MONTH}-{_DAY}$",
+    "d/M/yyyy": rf"^{_DAY}/{_MONTH}/[0-9]{{4}}$",
 }
 
 
