@@ -15,6 +15,9 @@ BLANK_CHARS = (
 # The same set as a regex class: Java's Unicode White_Space (?U)\s is the set
 # above minus 0x1c-0x1f, which are added back. Used to collapse inner runs.
 _RUN = r"(?U)[\s\x1c-\x1f]+"
+# Text needs collapsing only if it has two blanks in a row or a blank other
+# than the plain space; most titles have neither and skip the rewrite.
+_NEEDS_COLLAPSE = r"(?U)[\s\x1c-\x1f]{2}|[^\S ]|[\x1c-\x1f]"
 # Runs of cased letters, or runs of anything else; title case applies per run.
 _CASED_RUNS = r"([\p{Lu}\p{Ll}\p{Lt}]+|[^\p{Lu}\p{Ll}\p{Lt}]+)"
 
@@ -33,7 +36,8 @@ def strip_blanks(c: Column | str) -> Column:
 
 def collapse_blanks(c: Column | str) -> Column:
     """Replace every run of blanks with one space."""
-    return F.regexp_replace(_col(c), _RUN, " ")
+    c = _col(c)
+    return F.when(c.rlike(_NEEDS_COLLAPSE), F.regexp_replace(c, _RUN, " ")).otherwise(c)
 
 
 def blank_to_null(c: Column | str) -> Column:
