@@ -11,9 +11,11 @@ falls below zero (overfitting), the step goes the other way. Several numpy
 logistic classifiers are trained this way, each in a task of its own on the
 positives and its own draw of unlabelled documents, and their weights averaged.
 
-A document's features are the distinct words of its whole text and their 4 to
-6 byte beginnings, hashed; the fit keeps those that mark positives most. The
-score is the logistic of the summed weights of the features present.
+A document's features are the words of its whole text and their 4 to 6 byte
+beginnings, hashed, as occurrences per ``UNIT`` words (short texts are eased by
+``EASE`` words more). The fit keeps those found in at least ``min_share`` of the
+positives and, by the class prior, mostly in positives. The score is the
+logistic of the weighted sum.
 
 Fitting reads a bounded sample (``max_positive`` and ``bags`` times
 ``max_unlabelled`` documents, smallest hashes of their ids first); scoring reads
@@ -26,6 +28,7 @@ An empty table gives no rows. Extra columns are not read.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from zlib import crc32
@@ -42,6 +45,7 @@ from marquee.llm.decontaminate import text_hash, words_of
 PREFIXES = (4, 5, 6)
 SPACE = (1 << 22) - 1
 CACHE = 1 << 17
+UNIT, EASE = 100, 50
 
 
 @dataclass(frozen=True)
@@ -50,7 +54,9 @@ class ToxicParams:
     max_unlabelled: int = 4000
     bags: int = 3
     features: int = 512
-    steps: int = 250
+    min_share: float = 0.02
+    min_purity: float = 0.6
+    steps: int = 400
     rate: float = 0.1
     l2: float = 1e-4
 
@@ -66,44 +72,62 @@ def word_features(word: bytes) -> tuple[int, ...]:
     return (crc32(word) & SPACE, *(crc32(word[:k] + b"*") & SPACE for k in PREFIXES if len(word) > k))
 
 
-def text_features(data: bytes) -> list[int]:
-    return sorted({f for w in set(words_of(data)) for f in word_features(w)})
+def text_features(data: bytes) -> dict[int, float]:
+    """Feature -> occurrences per UNIT words."""
+    words = words_of(data)
+    scale = UNIT / (len(words) + EASE)
+    out: dict[int, float] = {}
+    for w, n in Counter(words).items():
+        for f in word_features(w):
+            out[f] = out.get(f, 0.0) + n * scale
+    return out
 
 
 def feature_rows(docs: DataFrame) -> DataFrame:
-    """(bag, positive, features) of the sampled documents."""
+    """(bag, positive, features, amounts) of the sampled documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             feats = [text_features(t or b"") for t in b.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(feats, pa.list_(pa.int32()))],
-                                             ["bag", "positive", "features"])
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), pa.array([list(x) for x in feats], pa.list_(pa.int32())),
+                 pa.array([list(x.values()) for x in feats], pa.list_(pa.float32()))],
+                ["bag", "positive", "features", "amounts"])
 
     own = docs.select("bag", "positive", F.col("text").cast("binary").alias("text"))
-    return own.mapInArrow(run, "bag int, positive boolean, features array<int>")
+    return own.mapInArrow(run, "bag int, positive boolean, features array<int>, amounts array<float>")
 
 
-def chosen_features(pos: list[np.ndarray], unl: list[np.ndarray], limit: int) -> np.ndarray:
-    """Hashed features present more often in positives than in unlabelled text, by z-score."""
-    ids, inverse = np.unique(np.concatenate([*pos, *unl, np.zeros(0, np.int32)]), return_inverse=True)
-    cut = sum(map(len, pos))
-    in_p = np.bincount(inverse[:cut], minlength=len(ids))
-    in_u = np.bincount(inverse[cut:], minlength=len(ids))
-    p, u = in_p / len(pos), (in_u + 1) / (len(unl) + 1)
-    z = (p - u) / np.sqrt(u * (1 - np.minimum(u, 0.999)) / len(pos) + 1e-12)
-    z[(in_p < 2) | (p <= u)] = 0
-    best = np.argsort(-z, kind="stable")[:limit]
-    return np.sort(ids[best[z[best] > 3]])
+Rows = list[tuple[np.ndarray, np.ndarray]]
 
 
-def dense(rows: list[np.ndarray], chosen: np.ndarray) -> np.ndarray:
-    """0/1 matrix of the chosen features, with a column of ones for the bias."""
+def totals(rows: Rows, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per feature: how many rows have it, and its mean amount over all rows."""
+    place = np.searchsorted(ids, np.concatenate([np.zeros(0, np.int32), *(r[0] for r in rows)]))
+    amounts = np.concatenate([np.zeros(0, np.float32), *(r[1] for r in rows)])
+    return (np.bincount(place, minlength=len(ids)),
+            np.bincount(place, weights=amounts, minlength=len(ids)) / len(rows))
+
+
+def chosen_features(pos: Rows, unl: Rows, prior: float, p: ToxicParams) -> np.ndarray:
+    """Features in enough positives whose amount in unlabelled text the positives in it explain, most telling first."""
+    ids = np.unique(np.concatenate([np.zeros(0, np.int32), *(r[0] for r in (*pos, *unl))]))
+    (in_p, mean_p), (_, mean_u) = totals(pos, ids), totals(unl, ids)
+    purity = prior * mean_p / np.maximum(mean_u, 1e-12)
+    fit = (in_p >= max(2, p.min_share * len(pos))) & (purity >= p.min_purity)
+    gain = np.where(fit, mean_p, 0)
+    best = np.argsort(-gain, kind="stable")[:p.features]
+    return np.sort(ids[best[gain[best] > 0]])
+
+
+def dense(rows: Rows, chosen: np.ndarray) -> np.ndarray:
+    """Matrix of the chosen features' amounts, with a column of ones for the bias."""
     x = np.zeros((len(rows), len(chosen) + 1), np.float32)
     x[:, -1] = 1
     if len(chosen):
-        for i, r in enumerate(rows):
-            at = np.searchsorted(chosen, r)
-            at[at == len(chosen)] = 0
-            x[i, at[chosen[at] == r]] = 1
+        for i, (f, amount) in enumerate(rows):
+            at = np.minimum(np.searchsorted(chosen, f), len(chosen) - 1)
+            hit = chosen[at] == f
+            x[i, at[hit]] = amount[hit]
     return x
 
 
@@ -162,11 +186,12 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, eligible: Column, p: ToxicP
     share = float(prior)
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        pos = [np.asarray(x, np.int32) for x in pdf.loc[pdf.positive, "features"]]
-        unl = [np.asarray(x, np.int32) for x in pdf.loc[~pdf.positive, "features"]]
+        rows = [(np.asarray(f, np.int32), np.asarray(a, np.float32)) for f, a in zip(pdf["features"], pdf["amounts"])]
+        pos = [r for r, y in zip(rows, pdf["positive"]) if y]
+        unl = [r for r, y in zip(rows, pdf["positive"]) if not y]
         if not pos or not unl:
             return pd.DataFrame({"feature": [-1], "weight": [np.log(share / (1 - share))]})
-        chosen = chosen_features(pos, unl, p.features)
+        chosen = chosen_features(pos, unl, share, p)
         w = fit_nnpu(dense(pos, chosen), dense(unl, chosen), share, p.steps, p.rate, p.l2)
         return pd.DataFrame({"feature": [*chosen.tolist(), -1], "weight": w})
 
@@ -187,25 +212,27 @@ def score_toxicity(docs: DataFrame, model: ToxicModel) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, bias = shared.value.weights, shared.value.bias
-        known: dict[bytes, tuple[int, ...]] = {}
+        known: dict[bytes, float] = {}
 
-        def marks(word: bytes) -> tuple[int, ...]:
+        def weigh(word: bytes) -> float:
             if len(known) > CACHE:
                 known.clear()
-            got = known[word] = tuple(f for f in word_features(word) if f in weights)
+            got = known[word] = sum(weights.get(f, 0.0) for f in word_features(word))
             return got
 
         for b in batches:
             scores = []
             for t in b.column(2).to_pylist():
-                found: set[int] = set()
-                for w in set(words_of(t or b"")):
-                    hit = known.get(w)
-                    if hit is None:
-                        hit = marks(w)
-                    if hit:
-                        found.update(hit)
-                scores.append(bias + sum(weights[f] for f in sorted(found)))
+                words = words_of(t or b"")
+                marked = {}
+                for w in set(words):
+                    weight = known.get(w)
+                    if weight is None:
+                        weight = weigh(w)
+                    if weight:
+                        marked[w] = weight
+                total = sum(words.count(w) * marked[w] for w in sorted(marked))
+                scores.append(bias + total * UNIT / (len(words) + EASE))
             g = np.clip(np.array(scores, np.float64), -500, 500)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(1 / (1 + np.exp(-g)))],
                                              ["doc_id", "text_hash", "score"])
