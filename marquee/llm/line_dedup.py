@@ -99,23 +99,26 @@ def line_bitmaps(docs: DataFrame, min_docs: int = 10, min_chars: int = 1,
     return dropped_lines(docs, min_docs, min_chars, keep_first)
 
 
+ADDED = ("n_lines", "n_dropped", "keep_runs", "kept_text")
+
+
 def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1,
                 keep_first: bool = False) -> DataFrame:
     """The documents with n_lines, n_dropped, keep_runs (the bitmap) and kept_text added.
 
-    Rows, their number and every other column stay as they are.
+    Rows, their number and every other column stay as they are; a column that
+    has one of the added names is replaced.
     """
     gone = line_bitmaps(docs, min_docs, min_chars, keep_first).select(
         F.col("doc_id").alias("g_id"), F.col("text_hash").alias("g_hash"), "dropped")
-    own = document_key(docs)
-    none = F.array().cast("array<int>")
+    others = [f"`{c}`" for c in docs.columns if c not in ADDED]
+    own = document_key(docs.select("doc_id", F.col("text").alias("text"), F.struct(*others).alias("row")))
     lines = text_lines(F.col("text"))
     out = (own.join(gone, F.col("doc_id").eqNullSafe(F.col("g_id")) & (F.col("text_hash") == F.col("g_hash")), "left")
-           .drop("g_id", "g_hash", "text_hash")
-           .withColumn("n_lines", F.size(lines))
-           .withColumn("dropped", F.coalesce("dropped", none))
+           .select("row", "text", F.size(lines).alias("n_lines"),
+                   F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped"))
            .withColumn("n_dropped", F.size("dropped"))
-           .withColumn("keep_runs", keep_runs(F.col("dropped"), F.col("n_lines")))
-           .drop("dropped"))
+           .withColumn("keep_runs", keep_runs(F.col("dropped"), F.col("n_lines"))))
     kept = F.array_join(F.flatten(F.transform("keep_runs", lambda r: F.slice(lines, r["start"] + 1, r["length"]))), "\n")
-    return out.withColumn("kept_text", F.when(F.col("n_dropped") == 0, F.coalesce(F.col("text"), F.lit(""))).otherwise(kept))
+    kept = F.when(F.col("n_dropped") == 0, F.coalesce(F.col("text"), F.lit(""))).otherwise(kept)
+    return out.select("row.*", "n_lines", "n_dropped", "keep_runs", kept.alias("kept_text"))
