@@ -11,14 +11,20 @@ from marquee.plans.etl import EtlFrames, etl_from_fixtures
 from marquee.session import apply_session_conf, scratch_path
 from marquee.sources.fixtures import Fixtures
 from marquee.sources.tables import Tables
+from marquee.storage import fingerprint, remove_older
 
 
-# Curated versions loaded by this process, by landing path. A load is the
-# ETL's output; the serving and model queries of the same process read it
-# instead of re-running the ETL and writing another version each time.
-_LOADED: dict[str, str] = {}
+# Tables the ETL derives its sources from.
+INPUTS = ("orders", "part", "customer")
+
+# Curated versions loaded by this process, by the fingerprint of the input
+# files: the serving and model queries read a load instead of running the ETL
+# again, until an input file is added, removed or rewritten.
+_LOADED: dict[tuple, str] = {}
 # Models fitted on a loaded version (several queries report on one fit).
 _FITTED: dict[tuple, object] = {}
+# Hours after which another run's landed files are removed.
+LANDING_HOURS = 24.0
 
 
 class QueryContext:
@@ -34,9 +40,18 @@ class QueryContext:
         return etl_from_fixtures(self.fixtures)
 
     def landing(self, kind: str) -> str:
-        """Landing-zone path for this data directory, under the shared checkpoint folder."""
+        """A new landing path of this call alone, under the shared checkpoint folder.
+
+        Frames read their landed files lazily, so these stay until they are a
+        day old and some later run clears them.
+        """
+        remove_older(self.spark, scratch_path(self.spark, "landing", kind), LANDING_HOURS)
+        return scratch_path(self.spark, "landing", kind, unique=True)
+
+    def curated_base(self) -> str:
+        """The curated table's folder for this data directory."""
         key = hashlib.sha1(self.data_dir.encode()).hexdigest()[:12]
-        return scratch_path(self.spark, "landing", key, kind)
+        return scratch_path(self.spark, "curated", key)
 
     @property
     def curated(self) -> DataFrame:
@@ -45,23 +60,25 @@ class QueryContext:
 
     @cached_property
     def stored_curated(self) -> DataFrame:
-        """The curated table loaded once (validated versioned write) and read back.
+        """The curated table loaded once (validated, versioned) and read back.
 
         Multi-pass consumers (model fitting, exact medians, split histograms)
         read this instead of re-running the ETL lineage on every pass. The
-        load happens once per data directory and process.
+        load happens once per process and state of the input files.
         """
         return self.spark.read.parquet(self.stored_version)
 
     @cached_property
     def stored_version(self) -> str:
         """Path of the curated version this process loaded for the data directory."""
-        from marquee.sinks.curated import write_curated
-        base = self.landing("dw_peliculas_analitica")
-        version = _LOADED.get(base)
-        if version is None:
-            version = _LOADED[base] = write_curated(self.etl.final, base)
-        return version
+        from marquee.sinks.curated import load_curated
+        files = fingerprint(self.spark, *(f"{self.data_dir}/{t}.parquet" for t in INPUTS))
+        key = self.spark.sparkContext.applicationId, self.data_dir, files
+        if key not in _LOADED:
+            # a folder of its own: other processes prune versions in theirs
+            base = scratch_path(self.spark, "curated", "served", unique=True)
+            _LOADED[key] = load_curated(self.etl.ruled, base, self.etl.run_ts)
+        return _LOADED[key]
 
     def fitted(self, kind: str, fit):
         """A model fitted on the loaded curated version, once per version and application."""

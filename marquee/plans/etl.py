@@ -92,20 +92,19 @@ COUNTED_STAGES = {
     "staging_raw": "staging", "restrictions_raw": "restricciones", "api_raw": "api",
     "staging_clean": "staging_limpio", "consolidated": "consolidado",
     "restrictions": "restricciones_limpio", "api": "api_limpio",
-    "integrated": "integrado", "final": "final",
+    "integrated": "integrado", "ruled": "final",
 }
 
 
 class StageCounter:
-    """Row counts of every ETL stage, observed while the run executes.
-
-    Each counted stage carries a ``Dataset.observe`` count, so the numbers
-    come out of the one job that runs the ETL (the load), not from extra
-    passes over the sources. In Spark 4.1 a session that has served an
-    ``Observation`` can no longer be serialized, which breaks fitted models
-    that still hold a training summary (it references the session); the
-    model operators here drop those summaries, and ``source_counts`` counts
-    in a child session (``spark.newSession()``).
+    """Row counts of every ETL stage, observed while the run executes: for monitoring.
+
+    Each counted stage carries a ``Dataset.observe`` count, so the numbers come
+    out of the one job that runs the ETL. They are approximate: where a lost
+    executor makes tasks run again, their rows count again. Exact counts are
+    ``source_counts``. Use a child session (``spark.newSession()``): in Spark
+    4.1 a session that has served an ``Observation`` can't be serialized, which
+    breaks models that hold a training summary.
     """
 
     def __init__(self):
@@ -151,18 +150,19 @@ def run_etl(staging_raw: DataFrame, restrictions_raw: DataFrame, api_raw: DataFr
             counter: StageCounter | None = None) -> DataFrame | str:
     """Run the whole ETL; raise on any failure (no silent ``None``).
 
-    With ``load`` the constraints are checked, a new curated version is
-    written under ``target`` and verified, and its path is returned. Without
-    it (dry run) the validated final frame is returned and nothing is written.
-    A ``counter`` collects the per-stage row counts of the run.
+    With ``load`` the ETL runs once into a candidate, the constraints are
+    checked on it, a new version is written under ``target``, verified and
+    published, and its path is returned. Without it (dry run) the validated
+    final frame is returned and nothing is written. A ``counter`` collects the
+    per-stage row counts of the run.
     """
-    from marquee.sinks.curated import validate_before_load, write_curated
+    from marquee.sinks.curated import load_curated, validate_before_load
 
     frames = build_etl(staging_raw, restrictions_raw, api_raw, cfg, run_ts,
                        counter.tap if counter else None)
-    validate_before_load(frames.ruled)
     if not load:
+        validate_before_load(frames.ruled)
         return frames.final
     if not target:
         raise ValueError("target path required when load=True")
-    return write_curated(frames.final, target)
+    return load_curated(frames.ruled, target, run_ts)

@@ -7,7 +7,7 @@ from marquee.operators import serve as S
 from marquee.operators.final import load_check, load_sample
 from marquee.plans.oracle import _q, cte, with_ctes
 from marquee.plans.registry import query
-from marquee.sinks.curated import read_current, write_curated
+from marquee.sinks.curated import load_curated, read_current
 
 LOOKUP_ID = 11
 LOOKUP_CLASS = "18"
@@ -27,10 +27,11 @@ _KPI_SQL = f"""count(*) as total_peliculas,
   count_if(coalesce(alerta_accion in ({_q(PRIORITY_ACTIONS)}), false)) as acciones_prioritarias"""
 
 
-@query("load_roundtrip", "W1 W4", with_ctes("select * from curated", "curated"))
+@query("load_roundtrip", "W1 W2", with_ctes("select * from curated", "curated"))
 def load_roundtrip(ctx):
+    # Validate, write, verify and publish in one run of the ETL, then read what is current.
     base = ctx.landing("dw_peliculas_analitica")
-    write_curated(ctx.curated, base)
+    load_curated(ctx.etl.ruled, base, ctx.etl.run_ts)
     return read_current(ctx.spark, base)
 
 
@@ -59,7 +60,27 @@ def dw_by_id(ctx):
     return S.film_by_id(ctx.stored_curated, LOOKUP_ID)
 
 
-@query("dw_json", "P18")
+def _json_text(c: str) -> str:
+    """A JSON string of a text column (quotes and backslashes escaped)."""
+    return f"""coalesce('"' || replace(replace({c}, '\\', '\\\\'), '"', '\\"') || '"', 'null')"""
+
+
+def _json_float(c: str) -> str:
+    """A 32-bit float as the shortest decimal that gives it back, with a point."""
+    return f"coalesce(cast({c} as varchar), 'null')"
+
+
+@query("dw_json", "P18", with_ctes(f"""
+select id_pelicula,
+  '{{"id_pelicula":' || id_pelicula || ',"titulo":' || {_json_text('titulo')}
+  || ',"reproducciones_mensuales":' || coalesce(cast(reproducciones_mensuales as varchar), 'null')
+  || ',"fecha_estreno":' || coalesce('"' || strftime(fecha_estreno, '%Y-%m-%d') || '"', 'null')
+  || ',"popularidad_api":' || {_json_float('popularidad_api')}
+  || ',"votos_promedio_api":' || {_json_float('votos_promedio_api')}
+  || ',"clasificacion_edad_local":' || {_json_text('clasificacion_edad_local')}
+  || ',"alerta_accion":' || {_json_text('alerta_accion')}
+  || ',"fecha_actualizacion":"' || strftime(fecha_actualizacion, '%Y-%m-%dT%H:%M:%S') || '"}}' as json
+from curated""", "curated"))
 def dw_json(ctx):
     return S.films_json(ctx.stored_curated)
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -15,6 +14,9 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Hash aggregation of collected sets falls back to sorting beyond this many
+    # keys a task; the default of 128 makes every per-film consolidation sort.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "200000",
 }
 
 
@@ -58,20 +60,16 @@ def apply_session_conf(spark: SparkSession) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting must point at shared storage; it is read, not
-    invented. Only when it is unset (unit tests, a bare local session) do we
-    create one.
+    The setting must point at shared storage; it is read, not invented. Tests
+    that run without it set the context's checkpoint folder themselves.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
         root = sc.getCheckpointDir()
     if not root:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir is not set; point it at shared storage")
-        root = tempfile.mkdtemp(prefix="marquee-ckpt-")
-        sc.setCheckpointDir(root)
-    elif not sc.getCheckpointDir():
+        raise RuntimeError("spark.checkpoint.dir is not set; point it at shared storage")
+    if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root.rstrip("/")
 

@@ -1,10 +1,11 @@
-from marquee.sinks.curated import (LoadValidationError, current_version, dry_run, null_normalised,
-                                  read_current, validate_before_load, write_curated,
-                                  write_curated_jdbc, write_curated_table)
+from marquee.sinks.curated import (LoadValidationError, current_version, load_curated, read_current,
+                                  validate_before_load, write_curated, write_curated_jdbc)
+from marquee.sinks.models import write_classifier, write_segmentation
+from marquee.sinks.staging import replace_staging
 from marquee.sinks.files import write_csv, write_jsonl, write_text
 
 __all__ = [
-    "LoadValidationError", "current_version", "dry_run", "null_normalised", "read_current",
-    "validate_before_load", "write_curated", "write_curated_jdbc", "write_curated_table",
-    "write_csv", "write_jsonl", "write_text",
+    "LoadValidationError", "current_version", "load_curated", "read_current",
+    "validate_before_load", "write_curated", "write_curated_jdbc",
+    "write_csv", "write_jsonl", "write_text", "write_classifier", "write_segmentation", "replace_staging",
 ]

@@ -1,22 +1,26 @@
-"""Curated-table load: validate, write a new version, check it, then switch.
-
-A parquet overwrite is not transactional (readers can see a half-deleted
-directory). Each load writes a fresh ``version=<id>`` directory, verifies the
-written data (row count and repeated ids), and only then replaces the small
-``_current`` pointer; readers resolve the pointer. Re-running a load writes
-another version and leaves the previous one readable until the switch.
+"""Curated-table load: write a candidate, validate it, write a version, verify, publish.
+
+The ETL runs once per load: its output is written as a candidate with the wide
+types it was computed in, the constraints are checked on those files, and the
+typed version is written from them. A version becomes current by creating one
+empty marker file named after it; nothing is overwritten, so a reader sees
+either the old or the new version and a crash leaves the old one. Versions
+older than the newest ``keep`` are removed after publishing.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from marquee.config import JDBC_BATCH_SIZE
-from marquee.operators.final import constraint_violations, load_check, total_violations
+from marquee.operators.final import constraint_violations, final_projection, load_check, total_violations
+from marquee.storage import create_marker, folder_names, remove
+
+MARKERS = "_published"
 
 
 class LoadValidationError(RuntimeError):
@@ -31,60 +35,72 @@ def validate_before_load(ruled: DataFrame) -> dict:
     return row.asDict()
 
 
-def write_curated(final: DataFrame, base_path: str, expected_rows: int | None = None) -> str:
-    """Write a new version under ``base_path`` and point ``_current`` at it.
+def new_version(base_path: str) -> tuple[str, str]:
+    """(name, path) of a version to write; names sort by time."""
+    name = f"{time.time_ns():020d}_{uuid.uuid4().hex[:8]}"
+    return name, f"{base_path.rstrip('/')}/version={name}"
+
+
+def publish(spark: SparkSession, base_path: str, name: str, keep: int = 3) -> None:
+    """Make a written version current, then remove all but the newest ``keep``."""
+    base = base_path.rstrip("/")
+    create_marker(spark, f"{base}/{MARKERS}/{name}")
+    for old in folder_names(spark, f"{base}/{MARKERS}")[:-keep]:
+        remove(spark, f"{base}/{MARKERS}/{old}")
+        remove(spark, f"{base}/version={old}")
 
-    Returns the version path. The post-write check reads the written files
-    back (one aggregation job) and fails the load on repeated ids or a row
-    count different from ``expected_rows``.
+
+def write_curated(final: DataFrame, base_path: str, expected_rows: int | None = None, keep: int = 3) -> str:
+    """Write a typed frame as a new version, read it back for its checks, publish it; returns its path.
+
+    Repeated ids, or a row count other than ``expected_rows``, fail the load:
+    the files go and the current version stays.
     """
     spark = final.sparkSession
-    version = f"{base_path.rstrip('/')}/version={int(time.time())}_{uuid.uuid4().hex[:8]}"
-    final.write.mode("errorifexists").parquet(version)
-    check = load_check(spark.read.parquet(version)).collect()[0]
+    name, path = new_version(base_path)
+    final.write.mode("errorifexists").parquet(path)
+    check = load_check(spark.read.parquet(path)).collect()[0]
     if check["ids_duplicados"] or (expected_rows is not None and check["total_cargado"] != expected_rows):
-        raise LoadValidationError(f"post-load check failed for {version}: {check.asDict()}")
-    spark.createDataFrame([(version,)], "version string").coalesce(1) \
-        .write.mode("overwrite").text(f"{base_path.rstrip('/')}/_current")
-    return version
+        remove(spark, path)
+        raise LoadValidationError(f"post-load check failed: {check.asDict()}")
+    publish(spark, base_path, name, keep)
+    return path
+
+
+def load_curated(ruled: DataFrame, base_path: str, run_ts: dt.datetime | None = None, keep: int = 3) -> str:
+    """The validated load of the rule output: one run of the ETL, whatever is checked; returns the version's path."""
+    spark = ruled.sparkSession
+    candidate = f"{base_path.rstrip('/')}/_candidate={uuid.uuid4().hex}"
+    ruled.write.parquet(candidate)
+    try:
+        stored = spark.read.schema(ruled.schema).parquet(candidate)
+        validate_before_load(stored)
+        return write_curated(final_projection(stored, run_ts), base_path, stored.count(), keep)
+    finally:
+        remove(spark, candidate)
 
 
 def current_version(spark: SparkSession, base_path: str) -> str:
-    """The version path the pointer names (one tiny text read)."""
-    rows = spark.read.text(f"{base_path.rstrip('/')}/_current").collect()
-    if not rows:
+    """The path of the version published last."""
+    names = folder_names(spark, f"{base_path.rstrip('/')}/{MARKERS}")
+    if not names:
         raise FileNotFoundError(f"no curated version under {base_path}")
-    return rows[0][0]
+    return f"{base_path.rstrip('/')}/version={names[-1]}"
 
 
 def read_current(spark: SparkSession, base_path: str) -> DataFrame:
     return spark.read.parquet(current_version(spark, base_path))
 
 
-def write_curated_table(final: DataFrame, table: str) -> None:
-    """Catalog variant: full replace of a managed table."""
-    final.write.mode("overwrite").format("parquet").saveAsTable(table)
-
-
-def write_curated_jdbc(final: DataFrame, url: str, table: str = "dw_peliculas_analitica",
-                       properties: dict | None = None, batch_size: int = JDBC_BATCH_SIZE) -> None:
-    """Database variant: truncate + insert in batches (keeps the table's DDL)."""
-    (final.write.mode("overwrite")
-          .option("truncate", True).option("batchsize", batch_size)
-          .jdbc(url, table, properties=dict(properties or {})))
-
+def write_curated_jdbc(ruled: DataFrame, url: str, table: str = "dw_peliculas_analitica",
+                       properties: dict | None = None, batch_size: int = JDBC_BATCH_SIZE,
+                       run_ts: dt.datetime | None = None) -> None:
+    """Database variant: validate, then truncate + insert in batches (keeps the table's DDL).
 
-def dry_run(final: DataFrame) -> DataFrame:
-    """The load switched off: the frame that would be written, untouched."""
-    return final
-
-
-def null_normalised(df: DataFrame) -> DataFrame:
-    """NaN -> null in every floating column (nulls are native elsewhere)."""
-    cols = []
-    for name, dtype in df.dtypes:
-        if dtype in ("double", "float"):
-            cols.append(F.nanvl(F.col(name), F.lit(None).cast(dtype)).alias(name))
-        else:
-            cols.append(F.col(name))
-    return df.select(*cols)
+    The insert is not one transaction across tasks: load a staging table and
+    rename it there where readers must not see a half-filled one.
+    """
+    validate_before_load(ruled)
+    (final_projection(ruled, run_ts).write.mode("overwrite")
+     .option("truncate", True).option("batchsize", batch_size)
+     .jdbc(url, table, properties=dict(properties or {})))

@@ -7,9 +7,10 @@ from pyspark.sql import DataFrame
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", sep: str = ",") -> str:
-    """UTF-8 CSV with a header row; leading/trailing blanks are kept as data."""
+    """UTF-8 CSV with a header row; leading/trailing blanks are kept as data, quotes are doubled."""
     (df.write.mode(mode)
        .option("header", True).option("sep", sep).option("encoding", "UTF-8")
+       .option("escape", '"')
        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
        .csv(path))
     return path

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from marquee.sinks.curated import (LoadValidationError, current_version, read_current,
+from marquee.operators.clean import clean_restrictions
+from marquee.sinks.curated import (LoadValidationError, current_version, load_curated, read_current,
                                    validate_before_load, write_curated)
 from marquee.sinks.files import write_csv
 from marquee.sources.api import (api_id_candidates, flatten_pages, parse_detail,
@@ -28,6 +29,43 @@ def test_restrictions_csv_reader(spark, tmp_dir):
     assert dict(read_restrictions_csv(spark, path).dtypes)["clasificacion_chile"] == "string"
 
 
+HEADER = "id_pelicula,clasificacion_chile,advertencia_contenido,bloqueo_horario_infantil\n"
+
+
+def test_plain_restrictions_keep_file_order_and_quotes(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "plain")
+    os.makedirs(path)
+    with open(os.path.join(path, "a.csv"), "w", encoding="utf-8") as f:
+        f.write(HEADER + '5,TE+7,first,NO\n6,18,"dice ""x"", y",SI\n5,14,second,SI\n')
+        f.write("".join(f"{k},14,filler {k},NO\n" for k in range(1000, 9000)))
+        f.write("6,14,late,NO\n")
+    with open(os.path.join(path, "b.csv"), "w", encoding="utf-8") as f:
+        f.write(HEADER + "5,18,other file,SI\n7,TE,only here,NO\n")
+    for size in ("128m", "20k"):  # one split a file, and many
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            rows = {r.id_pelicula: r for r in clean_restrictions(read_restrictions_csv(spark, path)).where("id_pelicula < 10").collect()}
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        assert (rows[5].clasificacion_chile, rows[5].bloqueo_horario_infantil) == ("TE+7", "NO")
+        assert (rows[6].advertencia_contenido, rows[6].bloqueo_horario_infantil) == ('dice "x", y', "SI")
+        assert rows[7].advertencia_contenido == "only here"
+
+
+def test_csv_multi_line_cells_and_round_trip(spark, tmp_dir):
+    df = spark.createDataFrame([("1", "TE", 'a "quoted", cell', "NO"), ("2", "14", "two\nlines", "SI")],
+                               "id_pelicula string, clasificacion_chile string, advertencia_contenido string, bloqueo_horario_infantil string")
+    path = write_csv(df, os.path.join(tmp_dir, "ml"))
+    rows = {r.id_pelicula: r.advertencia_contenido for r in read_restrictions_csv(spark, path, multi_line=True).collect()}
+    assert rows == {"1": 'a "quoted", cell', "2": "two\nlines"}
+
+
+def test_jdbc_hash_predicates_are_exhaustive():
+    from marquee.sources.staging import hash_predicates
+
+    assert len(set(hash_predicates(8))) == 8 and all(p.endswith(f"= {i}") for i, p in enumerate(hash_predicates(8)))
+
+
 def test_restrictions_csv_missing_path(spark, tmp_dir):
     with pytest.raises(AnalysisException):
         read_restrictions_csv(spark, os.path.join(tmp_dir, "nope.csv")).collect()
@@ -92,6 +130,69 @@ def test_versioned_load_and_switch(spark, tmp_dir):
     v2 = write_curated(_curated(spark, [1, 2]), base)
     assert v2 != v1 and read_current(spark, base).count() == 2
     assert spark.read.parquet(v1).count() == 3  # previous version stays readable
+    for n in range(3):
+        write_curated(_curated(spark, [n]), base)
+    assert not os.path.exists(v1) and read_current(spark, base).first().id_pelicula == 2  # old ones are pruned
+
+
+def _ruled(spark, rows):
+    import datetime as dt
+    return spark.createDataFrame(
+        [(i, t, p, dt.date(2024, 1, 1), 1.0, 1.0, "TE", "Monitorear sin acción inmediata") for i, t, p in rows],
+        "id_pelicula bigint, titulo string, reproducciones_mensuales bigint, fecha_estreno date, "
+        "popularidad_api double, votos_promedio_api double, clasificacion_edad_local string, alerta_accion string")
+
+
+@pytest.mark.parametrize("bad", [(5, None, 1), (5, "T", 2 ** 40), (2 ** 40, "T", 1), (1, "again", 1), (5, "x" * 300, 1)])
+def test_violating_load_leaves_the_current_version(spark, tmp_dir, bad):
+    base = os.path.join(tmp_dir, "dw_validated")
+    good = load_curated(_ruled(spark, [(1, "A", 1), (2, "B", None)]), base)
+    with pytest.raises(LoadValidationError):
+        load_curated(_ruled(spark, [(1, "A", 1), bad]), base)
+    assert current_version(spark, base) == good and read_current(spark, base).count() == 2
+    assert not [n for n in os.listdir(base) if n.startswith("_candidate")]
+
+
+def test_staging_replace(spark, tmp_dir):
+    from marquee.sinks.staging import replace_staging
+    from marquee.sources.staging import read_staging
+
+    cols = "ord long, id_pelicula string, titulo_original string, reproducciones_mensuales string, " \
+           "fecha_estreno_plataforma string, servidor_origen string, extra int"
+    base = os.path.join(tmp_dir, "stg")
+    for n in (3, 5):
+        replace_staging(spark.createDataFrame([(k, str(k), None, "1", "", "x", 0) for k in range(n)], cols), base)
+        assert read_staging(spark, current_version(spark, base)).count() == n
+
+
+def test_serving_sees_rewritten_inputs(spark, tmp_dir):
+    import shutil
+
+    from marquee.plans.registry import spark_queries
+    from tests.conftest import SF001
+
+    folder = os.path.join(tmp_dir, "data")
+    shutil.copytree(SF001, folder)
+    q = spark_queries()
+    before = q["dw_list"](spark, folder).count()
+    import pyarrow.parquet as pq
+    cut = pq.read_table(f"{SF001}/orders.parquet", filters=[("o_custkey", "<=", 50)])
+    os.chmod(folder, 0o755)  # the given tables are read-only, and copies keep that
+    os.replace(shutil.copy(f"{SF001}/orders.parquet", f"{tmp_dir}/old"), f"{folder}/orders.parquet")
+    os.chmod(f"{folder}/orders.parquet", 0o644)
+    pq.write_table(cut, f"{folder}/orders.parquet")
+    after = q["dw_list"](spark, folder).count()
+    assert after < before and after == q["final_dw"](spark, folder).count()
+
+
+def test_landing_runs_do_not_disturb_each_other(spark):
+    from marquee.plans.registry import spark_queries
+    from tests.conftest import SF001
+
+    q = spark_queries()
+    for name in ("restr_extract", "restr_extract_plain", "api_extract", "api_flatten_pages", "staging_replace"):
+        first, second = q[name](spark, SF001), q[name](spark, SF001)
+        assert first.count() == second.count() > 0
 
 
 def test_load_rejects_repeated_ids(spark, tmp_dir):
@@ -122,7 +223,7 @@ def test_run_etl_dry_run_and_load(spark, tmp_dir):
                       counter=counter)
     assert spark.read.parquet(version).count() == 150
     counts = dict(counter.counts())
-    # Observed during the run; equal to counting each stage on its own.
+    # Observed during the run; equal to counting each stage where no task runs twice.
     assert counts["staging"] == counts["staging_limpio"] == fx.staging.count()
     assert counts["restricciones"] == fx.restrictions.count()
     assert counts["consolidado"] == counts["integrado"] == counts["final"] == 150
