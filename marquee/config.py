@@ -48,11 +48,11 @@ ALERTS = (
 
 # Classifier target: alerts that count as "priority action".
 PRIORITY_ACTIONS = (
-    "Revisar dato de reproducciones",
-    "Mover a banner principal nocturno y bloquear de portada infantil",
-    "Bloquear de portada infantil",
-    "Potenciar en portada principal",
-    "Revisar calidad antes de promocionar",
+    ALERT_CHECK_PLAYS,
+    ALERT_NIGHT_BANNER_AND_BLOCK,
+    ALERT_BLOCK_KIDS,
+    ALERT_BOOST,
+    ALERT_CHECK_QUALITY,
 )
 
 # Classifier: label given to a missing age class before one-hot encoding.
@@ -114,6 +114,13 @@ class CatalogConfig:
     # ("1.500 visitas" -> 1500). Off by default: the first digit run wins.
     thousands_sep: str | None = None
     date_formats: tuple[str, ...] = field(default=DATE_FORMATS)
+    # Models. Iterations of one KMeans fit (it stops earlier once converged);
+    # depth of the forest's trees (30 is the most Spark allows; a tree of depth
+    # 30 needs memory for its nodes, at most two per training row); most levels
+    # of the age class, whose list is held on the driver.
+    kmeans_iterations: int = 300
+    forest_depth: int = 30
+    max_class_levels: int = 1000
 
 
 DEFAULT_CONFIG = CatalogConfig()

@@ -4,19 +4,17 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.config import DEFAULT_CONFIG, RF_TREES, SEED, TEST_SHARE, UNKNOWN_CLASS, CatalogConfig
 from marquee.functions.guards import require_columns
-from marquee.operators.bounded import join_small
 
 NUMERIC_FEATURES = ("popularidad_api", "votos_promedio_api", "reproducciones_mensuales")
 CLASS_COL = "clasificacion_edad_local"
 LABEL = "objetivo"
 KEY = "id_pelicula"
-MAX_LEVELS = 1000
 
 
 def with_target(curated: DataFrame, cfg: CatalogConfig = DEFAULT_CONFIG) -> DataFrame:
@@ -36,12 +34,11 @@ def model_frame(curated: DataFrame, cfg: CatalogConfig = DEFAULT_CONFIG) -> Data
     )
 
 
-def class_levels(df: DataFrame, col: str = CLASS_COL) -> list[str]:
-    """Distinct levels, sorted; the class column is a validated closed domain,
-    and a guard refuses to pull an unbounded level list to the driver."""
-    rows = df.select(col).distinct().limit(MAX_LEVELS + 1).collect()
-    if len(rows) > MAX_LEVELS:
-        raise ValueError(f"{col} has more than {MAX_LEVELS} levels")
+def class_levels(df: DataFrame, col: str = CLASS_COL, cfg: CatalogConfig = DEFAULT_CONFIG) -> list[str]:
+    """Distinct levels, sorted; more than ``cfg.max_class_levels`` is an error, as the list is held on the driver."""
+    rows = df.select(col).distinct().limit(cfg.max_class_levels + 1).collect()
+    if len(rows) > cfg.max_class_levels:
+        raise ValueError(f"{col} has more than {cfg.max_class_levels} levels")
     return sorted(r[0] for r in rows)
 
 
@@ -67,31 +64,38 @@ def split_hash(key: Column, seed: int = SEED) -> Column:
 
 def stratified_split(df: DataFrame, label: str = LABEL, key: str = KEY,
                      test_share: float = TEST_SHARE, seed: int = SEED,
-                     bucket_bits: int = 16) -> DataFrame:
+                     bucket_bits: int = 16, cfg: CatalogConfig = DEFAULT_CONFIG) -> DataFrame:
     """Add ``es_test``: per class, the ``ceil(test_share * n_class)`` rows first
     by (hash(key), key) form the test set — an exact stratified split.
 
-    No window spans a whole class: the rank is located on a per-class
-    histogram of 2**bucket_bits hash buckets (at most that many rows per
-    class), and only the single boundary bucket of each class is ranked row
-    by row. The boundary table has one row per class and is broadcast after
-    a size check.
+    Every row comes back: a null label is a class of its own, and null keys come
+    last in their class. No window spans a whole class: the boundary is located
+    on a per-class histogram of 2**bucket_bits hash buckets, of which one row
+    per class (at most ``cfg.max_class_levels``) becomes literals; only each
+    class's boundary bucket is ranked row by row.
     """
-    h = split_hash(F.col(key), seed)
+    top = 1 << 32
+    h = F.coalesce(split_hash(F.col(key), seed), F.lit(top))
     d = df.withColumn("_h", h).withColumn("_b", F.shiftright(F.col("_h"), 32 - bucket_bits))
     hist = d.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_n"))
     running = Window.partitionBy(label).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
     hist = (hist.withColumn("_cum", F.sum("_n").over(running))
                 .withColumn("_q", F.ceil(F.sum("_n").over(Window.partitionBy(label)) * F.lit(test_share))))
-    boundary = (hist.where((F.col("_cum") - F.col("_n") < F.col("_q")) & (F.col("_cum") >= F.col("_q")))
-                .select(label, F.col("_b").alias("_bstar"),
-                        (F.col("_q") - (F.col("_cum") - F.col("_n"))).alias("_r")))
-    d = join_small(d, boundary, label, "left", max_rows=MAX_LEVELS)
-    edge = d.where(F.col("_b") == F.col("_bstar"))
+    edges = (hist.where((F.col("_cum") - F.col("_n") < F.col("_q")) & (F.col("_cum") >= F.col("_q")))
+             .select(label, "_b", (F.col("_q") - (F.col("_cum") - F.col("_n"))).alias("_r"))
+             .limit(cfg.max_class_levels + 1).collect())
+    if len(edges) > cfg.max_class_levels:
+        raise ValueError(f"{label} has more than {cfg.max_class_levels} classes")
+    bstar, quota = F.lit(-1).cast("long"), F.lit(0).cast("long")  # a class without test rows
+    for e in edges:
+        own = F.col(label).eqNullSafe(F.lit(e[label]))
+        bstar = F.when(own, F.lit(e["_b"]).cast("long")).otherwise(bstar)
+        quota = F.when(own, F.lit(e["_r"]).cast("long")).otherwise(quota)
+    d = d.withColumn("_e", F.col("_b") - bstar).withColumn("_r", quota)
     rank = F.row_number().over(Window.partitionBy(label, "_b").orderBy("_h", key))
-    edge = edge.withColumn("es_test", rank <= F.col("_r"))
-    rest = d.where(F.col("_b") != F.col("_bstar")).withColumn("es_test", F.col("_b") < F.col("_bstar"))
-    return rest.unionByName(edge).drop("_h", "_b", "_bstar", "_r")
+    edge = d.where("_e = 0").withColumn("es_test", rank <= F.col("_r"))
+    rest = d.where("_e <> 0").withColumn("es_test", F.col("_e") < 0)
+    return rest.unionByName(edge).drop("_h", "_b", "_e", "_r")
 
 
 def class_weights(train: DataFrame, label: str = LABEL) -> DataFrame:
@@ -103,17 +107,28 @@ def class_weights(train: DataFrame, label: str = LABEL) -> DataFrame:
     return per_class.select(label, "n", (total.cast("double") / (k * F.col("n"))).alias("peso"))
 
 
-def weighted(train: DataFrame, label: str = LABEL) -> DataFrame:
-    """Attach the class weight (one row per class, broadcast after a size check)."""
-    return join_small(train, class_weights(train, label).select(label, "peso"), label,
-                      max_rows=MAX_LEVELS)
+def weighted(train: DataFrame, label: str = LABEL, cfg: CatalogConfig = DEFAULT_CONFIG) -> DataFrame:
+    """Attach the class weight; the weights (one per class) enter the expression as literals."""
+    rows = class_weights(train, label).limit(cfg.max_class_levels + 1).collect()
+    if len(rows) > cfg.max_class_levels:
+        raise ValueError(f"{label} has more than {cfg.max_class_levels} classes")
+    weight = F.lit(None).cast("double")
+    for r in rows:
+        weight = F.when(F.col(label).eqNullSafe(F.lit(r[label])), F.lit(r["peso"])).otherwise(weight)
+    return train.withColumn("peso", weight)
 
 
 # -- model ------------------------------------------------------------------------
 
-def forest_pipeline(num_trees: int = RF_TREES, max_depth: int = 10, seed: int = SEED) -> Pipeline:
-    """Class one-hot (first level alphabetically dropped) + numeric features -> forest."""
-    indexer = StringIndexer(inputCol=CLASS_COL, outputCol="_clase_idx", stringOrderType="alphabetDesc")
+def forest_pipeline(levels: list[str], num_trees: int = RF_TREES, max_depth: int = DEFAULT_CONFIG.forest_depth,
+                    seed: int = SEED) -> Pipeline:
+    """Class one-hot (first level alphabetically dropped) + numeric features -> forest.
+
+    ``levels`` are the classes of the whole frame, so a class that only the test
+    rows have is known to the encoder.
+    """
+    indexer = StringIndexerModel.from_labels(sorted(levels, reverse=True), inputCol=CLASS_COL,
+                                             outputCol="_clase_idx", handleInvalid="error")
     onehot = OneHotEncoder(inputCols=["_clase_idx"], outputCols=["_clase_vec"], dropLast=True)
     assemble = VectorAssembler(inputCols=[*NUMERIC_FEATURES, "_clase_vec"], outputCol="features")
     forest = RandomForestClassifier(labelCol=LABEL, featuresCol="features", weightCol="peso",
@@ -133,14 +148,20 @@ def without_summaries(model: PipelineModel) -> PipelineModel:
                                  for st in model.stages])
 
 
-def train_and_predict(frame: DataFrame, num_trees: int = RF_TREES, max_depth: int = 10,
-                      seed: int = SEED) -> tuple[PipelineModel, DataFrame]:
-    """Split, weight, fit on train, predict test -> (model, (id, y_real, y_pred))."""
-    split = stratified_split(frame, seed=seed)
-    train = weighted(split.where(~F.col("es_test")))
-    test = split.where(F.col("es_test"))
-    model = without_summaries(forest_pipeline(num_trees, max_depth, seed).fit(train))
-    pred = model.transform(test).select(
+def train_and_predict(frame: DataFrame, num_trees: int = RF_TREES, max_depth: int | None = None,
+                      seed: int = SEED, cfg: CatalogConfig = DEFAULT_CONFIG) -> tuple[PipelineModel, DataFrame]:
+    """Split, weight, fit on train, predict test -> (model, (id, y_real, y_pred)).
+
+    The training rows are cached while the stages are fitted, so the split runs once.
+    """
+    split = stratified_split(frame, seed=seed, cfg=cfg)
+    levels = class_levels(frame, cfg=cfg)
+    train = weighted(split.where(~F.col("es_test")), cfg=cfg).persist()
+    try:
+        model = without_summaries(forest_pipeline(levels, num_trees, max_depth or cfg.forest_depth, seed).fit(train))
+    finally:
+        train.unpersist()
+    pred = model.transform(split.where(F.col("es_test"))).select(
         KEY, F.col(LABEL).alias("y_real"), F.col("prediction").cast("int").alias("y_pred"))
     return model, pred
 

@@ -56,7 +56,7 @@ def clean_texts(df: DataFrame) -> DataFrame:
 
 
 def clean_staging(df: DataFrame, cfg: CatalogConfig = DEFAULT_CONFIG) -> DataFrame:
-    """All staging column cleaners in the reference order (one projection)."""
+    """All staging column cleaners in their fixed order (one projection)."""
     require_columns(df, STAGING_COLUMNS, "staging")
     return (df.transform(clean_ids)
               .transform(clean_plays, cfg)

@@ -22,13 +22,11 @@ from pyspark.sql import functions as F
 
 from marquee import config as C
 from marquee.functions.guards import require_columns
-from marquee.operators.bounded import join_small
 from marquee.operators.stats import exact_quantiles
 
 NUMERIC = ("reproducciones_mensuales", "popularidad_api", "votos_promedio_api")
 CLASS_COL = "clasificacion_edad_local"
 KEY = "id_pelicula"
-MAX_CLUSTERS = 1000
 
 
 def z_name(c: str) -> str:
@@ -63,7 +61,7 @@ class ClusterPrep:
         return f"SELECT *, {', '.join(cols)} FROM __THIS__"
 
 
-def fit_preprocessing(df: DataFrame) -> ClusterPrep:
+def fit_preprocessing(df: DataFrame, cfg: C.CatalogConfig = C.DEFAULT_CONFIG) -> ClusterPrep:
     """Exact statistics for the preprocessing, from distributed aggregations.
 
     The four input columns are cached for the few selection passes of the
@@ -81,11 +79,11 @@ def fit_preprocessing(df: DataFrame) -> ClusterPrep:
         # One bounded pass gives the class counts: the mode (ties -> smallest
         # level) and the levels after imputing it (the non-null levels).
         counts = (cols.where(F.col(CLASS_COL).isNotNull()).groupBy(CLASS_COL)
-                  .agg(F.count(F.lit(1)).alias("_n")).limit(MAX_CLUSTERS + 1).collect())
+                  .agg(F.count(F.lit(1)).alias("_n")).limit(cfg.max_class_levels + 1).collect())
     finally:
         cols.unpersist()
-    if len(counts) > MAX_CLUSTERS:
-        raise ValueError(f"{CLASS_COL} has more than {MAX_CLUSTERS} levels")
+    if len(counts) > cfg.max_class_levels:
+        raise ValueError(f"{CLASS_COL} has more than {cfg.max_class_levels} levels")
     mode = min(counts, key=lambda r: (-r["_n"], r[CLASS_COL]))[CLASS_COL] if counts else None
     levels = sorted(r[CLASS_COL] for r in counts)
     return ClusterPrep(med, {c: row[f"m_{c}"] for c in NUMERIC}, {c: row[f"s_{c}"] for c in NUMERIC},
@@ -118,19 +116,44 @@ def feature_names(prep: ClusterPrep) -> list[str]:
 
 # -- metrics from per-cluster statistics ------------------------------------------------
 
-def cluster_stats(features: DataFrame, names: list[str], label: str = "cluster") -> list[dict]:
-    """Per cluster: count, feature sums and squared-norm sum (k rows to the driver)."""
+def cluster_stats(features: DataFrame, names: list[str], label: str = "cluster",
+                  max_clusters: int = 1000) -> list[dict]:
+    """Per cluster: count, feature sums and squared-norm sum (k rows to the driver; pass a larger k if need be)."""
     sq = sum((F.col(c) * F.col(c) for c in names), F.lit(0.0))
     rows = (features.groupBy(label)
             .agg(F.count(F.lit(1)).alias("_n"), F.sum(sq).alias("_q"),
                  *[F.sum(c).alias(f"_s{i}") for i, c in enumerate(names)])
-            .limit(MAX_CLUSTERS + 1).collect())
-    if len(rows) > MAX_CLUSTERS:
-        raise ValueError("too many clusters")
+            .limit(max_clusters + 1).collect())
+    if len(rows) > max_clusters:
+        raise ValueError(f"{label} has more than {max_clusters} values")
     return [{"c": r[label], "n": r["_n"], "q": r["_q"],
              "s": [r[f"_s{i}"] for i in range(len(names))]} for r in rows]
 
 
+def many_cluster_stats(features: DataFrame, names: list[str], labels: list[str],
+                       max_clusters: int = 1000) -> dict[str, list[dict]]:
+    """``cluster_stats`` of several labellings in one aggregation (a row per labelling and cluster)."""
+    sq = sum((F.col(c) * F.col(c) for c in names), F.lit(0.0))
+    tall = features.select(*names, F.explode(F.array(*[
+        F.struct(F.lit(x).alias("by"), F.col(x).alias("c")) for x in labels])).alias("l"))
+    rows = (tall.groupBy("l.by", "l.c").agg(F.count(F.lit(1)).alias("_n"), F.sum(sq).alias("_q"),
+                                            *[F.sum(c).alias(f"_s{i}") for i, c in enumerate(names)])
+            .limit(max_clusters * len(labels) + 1).collect())
+    if len(rows) > max_clusters * len(labels):
+        raise ValueError(f"more than {max_clusters} clusters in a labelling")
+    return {x: [{"c": r["c"], "n": r["_n"], "q": r["_q"], "s": [r[f"_s{i}"] for i in range(len(names))]}
+                for r in rows if r["by"] == x] for x in labels}
+
+
+def many_cluster_metrics(features: DataFrame, names: list[str], labels: list[str]) -> dict[str, tuple[float, float]]:
+    """(silhouette, inertia) of several labellings: one statistics pass and one aggregation for all."""
+    stats = many_cluster_stats(features, names, labels)
+    row = features.agg(*[e for i, x in enumerate(labels) for e in (
+        F.avg(_silhouette_expr(names, stats[x], x)).alias(f"s{i}"),
+        F.sum(_inertia_expr(names, stats[x], x)).alias(f"i{i}"))]).collect()[0]
+    return {x: (row[f"s{i}"], row[f"i{i}"]) for i, x in enumerate(labels)}
+
+
 def _mean_sq_dist(names: list[str], st: dict) -> Column:
     """Mean squared distance from each row to the points of one cluster."""
     n = float(st["n"])
@@ -205,7 +228,8 @@ def popularity_bands(df: DataFrame, k: int) -> Column:
 def _best_of(features: DataFrame, k: int, restarts: int, seed: int, parallelism: int):
     """Fit ``restarts`` seeds of KMeans(k) concurrently; keep the lowest cost."""
     def fit(r: int):
-        m = KMeans(k=k, seed=seed + r, featuresCol="features", predictionCol="cluster").fit(features)
+        m = KMeans(k=k, seed=seed + r, maxIter=C.DEFAULT_CONFIG.kmeans_iterations,
+                   featuresCol="features", predictionCol="cluster").fit(features)
         # Keep the cost, drop the training summary (copy): it would travel
         # inside every task closure of ``transform``.
         return m.summary.trainingCost, r, m.copy()
@@ -247,14 +271,19 @@ def best_k(metrics: DataFrame) -> DataFrame:
 
 
 def fit_final(df: DataFrame, prep: ClusterPrep, k: int, restarts: int = C.KMEANS_RESTARTS,
-              seed: int = C.SEED, parallelism: int = 4) -> PipelineModel:
-    """Preprocessing + KMeans(k), best of ``restarts`` seeds, as one PipelineModel."""
+              seed: int = C.SEED, parallelism: int = 4, model=None) -> PipelineModel:
+    """Preprocessing + KMeans(k), best of ``restarts`` seeds, as one PipelineModel.
+
+    ``model`` is the search's model for k, if there was a search: the same fits
+    need not run again.
+    """
     pre = Pipeline(stages=preprocessing_stages(prep)).fit(df)
-    feats = pre.transform(df).select("features").persist()
-    try:
-        _, model = _best_of(feats, k, restarts, seed, parallelism)
-    finally:
-        feats.unpersist()
+    if model is None:
+        feats = pre.transform(df).select("features").persist()
+        try:
+            _, model = _best_of(feats, k, restarts, seed, parallelism)
+        finally:
+            feats.unpersist()
     return PipelineModel(stages=[*pre.stages, model])
 
 
@@ -288,11 +317,15 @@ def segment_names(summary: DataFrame, label: str = "cluster") -> DataFrame:
                                               F.col("promedio_votos")).alias("segmento_cluster"))
 
 
-def with_segments(clustered: DataFrame, label: str = "cluster") -> DataFrame:
-    """Attach the segment name; the label table has one row per cluster
-    (broadcast after a size check)."""
-    names = segment_names(cluster_summary(clustered, label), label)
-    return join_small(clustered, names, label, "left", max_rows=MAX_CLUSTERS)
+def with_segments(clustered: DataFrame, label: str = "cluster", max_clusters: int = 1000) -> DataFrame:
+    """Attach the segment name; the k names enter the expression as literals."""
+    rows = segment_names(cluster_summary(clustered, label), label).limit(max_clusters + 1).collect()
+    if len(rows) > max_clusters:
+        raise ValueError(f"{label} has more than {max_clusters} values")
+    name = F.lit(None).cast("string")
+    for r in rows:
+        name = F.when(F.col(label).eqNullSafe(F.lit(r[label])), F.lit(r["segmento_cluster"])).otherwise(name)
+    return clustered.withColumn("segmento_cluster", name)
 
 
 def distribution(segmented: DataFrame, label: str = "cluster") -> DataFrame:

@@ -18,15 +18,16 @@ def consolidate(df: DataFrame) -> DataFrame:
 
     Rows without a valid id are dropped before grouping (null keys form no
     group). All five aggregates combine partially on the map side, so a film
-    holding a third of the rows still ships one row per map task.
+    holding a third of the rows still ships one row per map task. The set of
+    servers is bounded by the distinct servers of one film.
     """
-    first_title = F.expr(
-        "min_by(titulo_limpio, struct(ord, titulo_limpio)) FILTER (WHERE titulo_limpio IS NOT NULL)")
+    # min ignores nulls: rows without a title have no candidate
+    first_title = F.min(F.when(F.col("titulo_limpio").isNotNull(), F.struct("ord", "titulo_limpio")))
     return (
         df.where(F.col("id_pelicula").isNotNull())
         .groupBy("id_pelicula")
         .agg(
-            first_title.alias("titulo_interno"),
+            first_title["titulo_limpio"].alias("titulo_interno"),
             F.max("reproducciones_mensuales").alias("reproducciones_mensuales"),
             F.min("fecha_estreno_plataforma").alias("fecha_estreno"),
             F.count(F.lit(1)).alias("cantidad_registros_origen"),

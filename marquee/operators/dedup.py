@@ -2,26 +2,19 @@
 
 ``row_number() over (partition by key order by ord) = 1`` sends every row of
 a key to one task and sorts it there; with one hot key that is a third of the
-data in one task. ``min_by(row, ordering)`` is an aggregate: each map task
+data in one task. ``min(struct(ord, rest))`` is an aggregate: each map task
 keeps one candidate per key before the shuffle, so a hot key costs one row per
-map partition on the wire.
+map partition on the wire, and every column travels once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _ordering(df: DataFrame, order_by: Sequence[str], key: Sequence[str]) -> Column:
-    # Order columns first; the remaining columns break ties so the result is
-    # deterministic even when the arrival order is missing (null) or repeated.
-    rest = [c for c in df.columns if c not in order_by and c not in key]
-    return F.struct(*[F.col(c) for c in (*order_by, *rest)])
-
-
 def first_per_key(df: DataFrame, key: str | Sequence[str], order_by: Sequence[str] = ("ord",),
                   drop_null_keys: bool = True) -> DataFrame:
     """One row per ``key``: the row that comes first by ``order_by``."""
@@ -32,18 +25,27 @@ def first_per_key(df: DataFrame, key: str | Sequence[str], order_by: Sequence[st
             c = F.col(k).isNotNull()
             cond = c if cond is None else cond & c
         df = df.where(cond)
-    value_cols = [c for c in df.columns if c not in keys]
-    picked = (df.groupBy(*keys)
-              .agg(F.min_by(F.struct(*value_cols), _ordering(df, list(order_by), keys)).alias("_first")))
-    return picked.select(*keys, *[F.col(f"_first.{c}").alias(c) for c in value_cols]).select(*df.columns)
-
-
-def duplicated_rows(df: DataFrame, key: str) -> DataFrame:
-    """Rows whose ``key`` appears more than once (every copy), sorted by key.
-
-    The per-key counts are aggregated map-side; the semi join back is the
-    only full shuffle, and AQE splits a hot key's partition on the left side.
+    # Order columns first; the remaining columns break ties, so the result is
+    # deterministic even when the arrival order is repeated.
+    order = list(order_by)
+    rest = [c for c in df.columns if c not in order and c not in keys]
+    if not order and not rest:
+        return df.distinct()
+    picked = df.groupBy(*keys).agg(F.min(F.struct(*order, *rest)).alias("_first"))
+    return picked.select(*keys, "_first.*").select(*df.columns)
+
+
+def duplicated_rows(df: DataFrame, key: str, keys: DataFrame | None = None) -> DataFrame:
+    """Rows whose ``key`` appears more than once (every copy).
+
+    ``keys`` may be a cheaper frame of the same rows that has the key alone; the
+    counts come from it and combine map-side. Null keys repeat one another: they
+    go round the join (one group of them would be a single task), kept or
+    dropped as a whole. AQE splits a hot key's partition of the semi join.
     """
-    dup_keys = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-                .where(F.col("_n") > 1).select(key))
-    return df.join(dup_keys, df[key].eqNullSafe(dup_keys[key]), "left_semi")
+    keys = df.select(key) if keys is None else keys.select(key)
+    dup_keys = keys.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(key)
+    out = df.join(dup_keys, key, "left_semi").select(*df.columns)
+    if len(keys.where(F.col(key).isNull()).take(2)) < 2:
+        return out
+    return out.unionByName(df.where(F.col(key).isNull()))

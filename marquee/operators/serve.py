@@ -34,7 +34,8 @@ def films_json(curated: DataFrame) -> DataFrame:
         "id_pelicula",
         F.to_json(F.struct(*CURATED_COLUMNS),
                   {"ignoreNullFields": "false", "dateFormat": "yyyy-MM-dd",
-                   "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss"}).alias("json"))
+                   "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss",
+                   "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss"}).alias("json"))
 
 
 def by_class(curated: DataFrame, age_class: str | None) -> DataFrame:

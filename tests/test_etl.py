@@ -18,12 +18,12 @@ STG = "ord bigint, id_pelicula string, titulo_original string, reproducciones_me
       "fecha_estreno_plataforma string, servidor_origen string"
 
 STAGING_ROWS = [
-    (1, "11", None, "5000 views", "2025-05-12", "Servidor_CL_Principal"),
+    (1, "11", None, "5000 views", "2025-05-12", "Nodo_Andes_Uno"),
     (2, "  11  ", "THE MATRIX", "N/A", "01/01/2024", "Null_Server"),
-    (3, "11", "the matrix", "7000", "PENDIENTE", " Node_Santiago_East "),
-    (4, "ID-ERR", "Lost", "10", "2020-01-01", "Servidor_Latam_Backup"),
+    (3, "11", "the matrix", "7000", "SIN FECHA", " Nodo_Valle_Tres "),
+    (4, "ID-ERR", "Lost", "10", "2020-01-01", "Nodo_Costa_Dos"),
     (5, "12", "  ", None, "00/00/0000", "Null_Server"),
-    (6, "13", "Only One", "2500", "3/2/2023", "Servidor_CL_Principal"),
+    (6, "13", "Only One", "2500", "3/2/2023", "Nodo_Andes_Uno"),
 ]
 
 
@@ -40,7 +40,7 @@ def test_consolidate(spark, staging):
     assert r["reproducciones_mensuales"] == 7000
     assert r["fecha_estreno"] == dt.date(2024, 1, 1)
     assert r["cantidad_registros_origen"] == 3
-    assert r["servidores_origen"] == "Node_Santiago_East, Servidor_CL_Principal"
+    assert r["servidores_origen"] == "Nodo_Andes_Uno, Nodo_Valle_Tres"
     assert rows[12]["titulo_interno"] is None and rows[12]["servidores_origen"] is None
     assert rows[12]["cantidad_registros_origen"] == 1
 
@@ -52,11 +52,11 @@ def test_consolidate_is_order_independent(spark, staging):
     assert sorted(consolidate(clean_staging(shuffled)).collect()) == base
 
 
-def test_first_per_key_without_order_is_deterministic(spark):
-    df = spark.createDataFrame([(None, 1, "b"), (None, 1, "a"), (None, 2, "c")],
+def test_first_per_key_follows_the_order_not_the_values(spark):
+    df = spark.createDataFrame([(2, 1, "a"), (1, 1, "b"), (5, 2, None), (6, 2, "c"), (1, None, "z")],
                                "ord bigint, k bigint, v string")
     got = sorted((r.k, r.v) for r in first_per_key(df, "k").collect())
-    assert got == [(1, "a"), (2, "c")]
+    assert got == [(1, "b"), (2, None)]
 
 
 def test_duplicated_rows_include_null_keys(spark):
@@ -87,6 +87,14 @@ def test_api_clean(spark):
     assert len(rows) == 1 and rows[0].titulo_api == "A B" and rows[0].popularidad_api is None
 
 
+def test_api_clean_keeps_the_response_landed_first(spark):
+    df = spark.createDataFrame([(2, 9, None, None, None), (1, 9, "first", 5.0, 6.0), (3, 9, "third", 1.0, 1.0),
+                                (7, 8, "late", 1.0, 1.0), (4, 8, None, None, None)],
+                               "ord bigint, id_pelicula_api bigint, titulo_api string, popularidad_api double, votos_promedio_api double")
+    got = {r.id_pelicula: r.titulo_api for r in clean_api(df).collect()}
+    assert got == {9: "first", 8: None}
+
+
 def _rule_frame(spark, rows):
     return spark.createDataFrame(rows, "id bigint, reproducciones_mensuales bigint, "
                                        "popularidad_api double, votos_promedio_api double, "

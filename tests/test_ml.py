@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from marquee import config as C
 from marquee.operators import classifier as M
 from marquee.operators import clustering as K
-from marquee.operators.stats import exact_median, exact_quantile, exact_quantiles, most_frequent
+import pytest
+
+from marquee.operators.stats import exact_quantiles, medians
 
 
 def test_g1_confusion_and_report(spark):
@@ -56,11 +58,35 @@ def test_exact_median_matches_numpy(spark):
     vals = [float(v) for v in rng.integers(0, 50, 30001)] + [float("nan"), None]
     df = spark.createDataFrame([(v,) for v in vals], "x double")
     clean = [v for v in vals if v is not None and not math.isnan(v)]
-    assert exact_median(df, "x") == float(np.median(clean))
+    assert medians(df, ["x"])["x"] == float(np.median(clean))
     even = spark.createDataFrame([(float(v),) for v in rng.normal(size=40000)], "x double")
     ref = np.array([r.x for r in even.collect()])
-    assert math.isclose(exact_quantile(even, "x", 0.5), float(np.median(ref)), rel_tol=0, abs_tol=0)
-    assert math.isclose(exact_quantile(even, "x", 0.9), float(np.quantile(ref, 0.9)), abs_tol=1e-12)
+    for q in (0.5, 0.9):
+        assert math.isclose(exact_quantiles(even, ["x"], q)["x"], float(np.quantile(ref, q)), abs_tol=1e-12)
+
+
+@pytest.mark.parametrize("limit", [20000, 2])
+def test_exact_quantiles_with_infinities_and_huge_ranges(spark, limit):
+    inf = float("inf")
+    cols = {"a": [inf] * 3 + [1.0, 2.0, 3.0, 4.0, 5.0, 6.0], "b": [-inf] * 5 + [1.0, 2.0, 3.0, inf],
+            "c": [-1.7e308, 1.7e308, 0.0, 1.0, 2.0, 3.0, 4.0, 5.0, 1e300], "d": [inf] * 9, "e": [1.0, -inf] + [None] * 7}
+    df = spark.createDataFrame(list(zip(*cols.values())), ", ".join(f"{c} double" for c in cols))
+    for q in (0.0, 0.25, 0.5, 0.75, 1.0):
+        got = exact_quantiles(df, list(cols), q, buckets=8, final_limit=limit)
+        for c, vals in cols.items():
+            v = sorted(x for x in vals if x is not None)
+            pos = q * (len(v) - 1)
+            lo, hi = v[math.floor(pos)], v[math.ceil(pos)]
+            share = pos - math.floor(pos)
+            want = lo if lo == hi or share == 0 else lo * (1 - share) + hi * share
+            assert got[c] == pytest.approx(want), (c, q)
+
+
+def test_exact_quantiles_refuses_to_loop(spark):
+    tiny = 5e-324
+    df = spark.createDataFrame([(0.0,)] * 5 + [(tiny,)] * 5, "x double")
+    with pytest.raises(ArithmeticError):
+        exact_quantiles(df, ["x"], 0.5, buckets=8, final_limit=2)
 
 
 def test_exact_quantiles_several_columns(spark):
@@ -83,9 +109,33 @@ def test_exact_quantiles_several_columns(spark):
                     assert math.isclose(got[k], float(np.quantile(ref[k], q)), rel_tol=0, abs_tol=1e-9), (k, q, limit)
 
 
-def test_mode_ties_take_smallest(spark):
-    df = spark.createDataFrame([("b",), ("a",), ("b",), ("a",), (None,), (None,), (None,)], "c string")
-    assert most_frequent(df, "c") == "a"
+def test_stratified_split_loses_no_row(spark):
+    """Null keys and null labels, repeated keys, tiny classes."""
+    rows = ([(k, k % 2) for k in range(40)] + [(None, 1)] * 3 + [(None, None)] * 4 + [(k, None) for k in range(100, 110)]
+            + [(7, 1)] * 5 + [(500, 2)])
+    df = spark.createDataFrame(rows, "id_pelicula long, objetivo int")
+    for bits in (4, 16):
+        out = M.stratified_split(df, bucket_bits=bits).collect()
+        assert sorted(((r.id_pelicula, r.objetivo) for r in out), key=str) == sorted(rows, key=str)
+        for label in (0, 1, 2, None):
+            own = [r for r in out if r.objetivo == label]
+            assert sum(r.es_test for r in own) == math.ceil(0.2 * len(own))
+            if any(not r.es_test and r.id_pelicula is not None for r in own):
+                assert not any(r.es_test and r.id_pelicula is None for r in own)  # null keys come last
+    lone = spark.createDataFrame([(None, 1), (1, 1), (2, None), (3, 0), (4, 0), (5, 0)], df.schema)
+    assert M.stratified_split(lone).count() == 6
+    assert M.stratified_split(df.limit(0)).count() == 0
+
+
+def test_forest_knows_classes_seen_only_in_test_rows(spark):
+    rows = [(k, k % 2, float(k % 2) * 10 + k % 3, 1.0, 2.0, "A" if k % 3 else "B") for k in range(60)]
+    frame = spark.createDataFrame(rows, "id_pelicula long, objetivo int, popularidad_api double, votos_promedio_api double, "
+                                        "reproducciones_mensuales double, clasificacion_edad_local string")
+    test_ids = [r.id_pelicula for r in M.stratified_split(frame).where("es_test").collect()]
+    rare = frame.withColumn("clasificacion_edad_local", F.when(F.col("id_pelicula").isin(test_ids[:3]), "only in test")
+                            .otherwise(F.col("clasificacion_edad_local")))
+    _, pred = M.train_and_predict(rare, num_trees=5, max_depth=4)
+    assert sorted(r.id_pelicula for r in pred.collect()) == sorted(test_ids)
 
 
 def test_stratified_split_exact_counts(spark):
