@@ -76,10 +76,10 @@ select o_orderkey as ord,
          then concat(cast(o_orderkey * 31 % (1000 + o_custkey % 10 * 1000) as varchar(20)), ' views')
        else cast(o_orderkey * 31 % (1000 + o_custkey % 10 * 1000) as varchar(20)) end as reproducciones_mensuales,
   case o_orderkey % 3 when 0 then strftime(o_orderdate,'%Y-%m-%d') when 1 then strftime(o_orderdate,'%d/%m/%Y')
-       else case o_orderkey % 4 when 0 then 'Próximamente' when 1 then 'PENDIENTE'
+       else case o_orderkey % 4 when 0 then 'Por confirmar' when 1 then 'SIN FECHA'
                                 when 2 then '' else '00/00/0000' end end as fecha_estreno_plataforma,
-  case o_orderkey % 4 when 0 then 'Servidor_CL_Principal' when 1 then 'Servidor_Latam_Backup'
-                      when 2 then ' Node_Santiago_East ' else 'Null_Server' end as servidor_origen
+  case o_orderkey % 4 when 0 then 'Nodo_Andes_Uno' when 1 then 'Nodo_Costa_Dos'
+                      when 2 then ' Nodo_Valle_Tres ' else 'Null_Server' end as servidor_origen
 from orders left join part on p_partkey = o_custkey""")
 
 cte("restr_raw", """
@@ -96,11 +96,14 @@ select 10000000 + c_custkey, concat(' ', cast(c_custkey as varchar(20))), '18',
 from customer where c_custkey % 10 = 1""")
 
 cte("api_raw", """
-select p_partkey as id_pelicula_api,
+select p_partkey as ord, p_partkey as id_pelicula_api,
   case when p_partkey % 25 = 1 then null else concat(' ', p_name, '  (api) ') end as titulo_api,
   cast(case when p_partkey % 25 = 1 then null else (p_partkey * 137 % 20000) / 100.0 end as double) as popularidad_api,
   cast(case when p_partkey % 25 = 1 then null else (p_partkey % 101) / 10.0 end as double) as votos_promedio_api
-from part where p_partkey % 25 <> 0""")
+from part where p_partkey % 25 <> 0
+union all
+select case when p_partkey % 10 = 3 then 10000000 + p_partkey else -p_partkey end, p_partkey, null, null, null
+from part where p_partkey % 10 in (3, 4)""")
 
 cte("stg_clean", f"""
 select ord,
@@ -125,6 +128,12 @@ select id_pelicula,
   string_agg(distinct servidor_origen, ', ' order by servidor_origen) as servidores_origen
 from stg_clean where id_pelicula is not null group by id_pelicula""", "stg_clean")
 
+cte("restr_plain", """
+select ord, id_pelicula, clasificacion_chile,
+  case when ord % 6 = 0 then concat('dice "', advertencia_contenido, '", y mas') else advertencia_contenido end
+    as advertencia_contenido, bloqueo_horario_infantil
+from restr_raw""", "restr_raw")
+
 cte("restr_norm", f"""
 select ord, {_id('id_pelicula')} as id_pelicula,
   nullif(upper({_strip('clasificacion_chile')}), '') as clasificacion_raw,
@@ -145,7 +154,7 @@ from (select *, row_number() over (partition by id_pelicula order by ord) as rn
 where rn = 1""", "restr_valid")
 
 cte("api_typed", f"""
-select {_id('cast(id_pelicula_api as varchar)')} as id_pelicula,
+select ord, {_id('cast(id_pelicula_api as varchar)')} as id_pelicula,
   nullif(regexp_replace({_strip('titulo_api')}, '{_BLANK_RUN}', ' ', 'g'), '') as titulo_api,
   case when isnan(popularidad_api) then null else popularidad_api end as popularidad_api,
   case when isnan(votos_promedio_api) then null else votos_promedio_api end as votos_promedio_api
@@ -153,8 +162,7 @@ from api_raw""", "api_raw")
 
 cte("api_clean", """
 select id_pelicula, titulo_api, popularidad_api, votos_promedio_api
-from (select *, row_number() over (partition by id_pelicula
-        order by titulo_api nulls first, popularidad_api nulls first, votos_promedio_api nulls first) as rn
+from (select *, row_number() over (partition by id_pelicula order by ord) as rn
       from api_typed where id_pelicula is not null)
 where rn = 1""", "api_typed")
 

@@ -16,6 +16,7 @@ from marquee.operators import classifier as M
 from marquee.operators import clustering as K
 from marquee.plans.oracle import _q, cte, with_ctes
 from marquee.plans.registry import query
+from marquee.sinks.models import write_classifier, write_segmentation
 
 # Fixed labelling used by the SQL-checkable cluster queries.
 FIXED_K = 4
@@ -83,6 +84,72 @@ def _predictions(ctx):
     return pred
 
 
+# Evaluation of a fixed prediction rule, which SQL can state too.
+RULE_PLAYS = 4000
+cte("ml_rule", f"""
+select objetivo as y_real, cast(reproducciones_mensuales < {RULE_PLAYS} as integer) as y_pred
+from ml_split where es_test""", "ml_split")
+
+
+def _rule_predictions(ctx):
+    return M.stratified_split(M.model_frame(ctx.stored_curated)).where("es_test").select(
+        F.col(M.LABEL).alias("y_real"), (F.col("reproducciones_mensuales") < RULE_PLAYS).cast("int").alias("y_pred"))
+
+
+@query("eval_accuracy_rule", "M5", with_ctes(
+    "select count(*) as n, avg(cast(y_real = y_pred as double)) as accuracy from ml_rule", "ml_rule"))
+def eval_accuracy_rule(ctx):
+    return M.accuracy(_rule_predictions(ctx))
+
+
+@query("eval_confusion_rule", "M6", with_ctes(
+    "select y_real, y_pred, count(*) as n from ml_rule group by all", "ml_rule"))
+def eval_confusion_rule(ctx):
+    return M.confusion(_rule_predictions(ctx))
+
+
+@query("eval_report_rule", "M7", with_ctes("""
+select clase, round(p, 9) as precision, round(r, 9) as recall, round(f, 9) as f1, s as support from (
+  select cast(c as varchar) as clase, p, r, case when p + r > 0 then 2 * p * r / (p + r) else 0 end as f, s from pr
+  union all
+  select 'macro avg', avg(p), avg(r), avg(case when p + r > 0 then 2 * p * r / (p + r) else 0 end), cast(sum(s) as bigint) from pr
+  union all
+  select 'weighted avg', sum(p * s) / sum(s), sum(r * s) / sum(s),
+         sum(case when p + r > 0 then 2 * p * r / (p + r) else 0 end * s) / sum(s), cast(sum(s) as bigint) from pr)""".replace(
+    "from pr", """from (select c, case when pp > 0 then tp * 1.0::double / pp else 0 end as p,
+          case when s > 0 then tp * 1.0::double / s else 0 end as r, s from (
+            select c, count_if(y_real = c and y_pred = c) as tp, count_if(y_pred = c) as pp, count_if(y_real = c) as s
+            from ml_rule, (values (0), (1)) v(c) group by c))"""), "ml_rule"))
+def eval_report_rule(ctx):
+    return M.classification_report(_rule_predictions(ctx)).select(
+        "clase", *[F.round(c, 9).alias(c) for c in ("precision", "recall", "f1")], "support")
+
+
+def _checks(spark, found: dict[str, bool]):
+    return spark.createDataFrame([(k, bool(v)) for k, v in found.items()], "comprobacion string, ok boolean")
+
+
+@query("rf_checks", "M4 M8", """
+select * from (values ('ids_de_prueba', true), ('reales_coinciden', true), ('predicciones_binarias', true),
+                      ('supera_mayoria', true)) t(comprobacion, ok)""")
+def rf_checks(ctx):
+    """What must hold of any fitted forest: every test row once, its real class, 0/1, better than the majority."""
+    pred = _predictions(ctx).persist()
+    try:
+        test = M.stratified_split(M.model_frame(ctx.stored_curated)).where("es_test").select(M.KEY, M.LABEL)
+        both = pred.groupBy(M.KEY).agg(F.count(F.lit(1)).alias("n"), F.min("y_real").alias("y_real")).join(test, M.KEY, "full")
+        c = both.agg(F.count_if(F.col("n").isNull() | (F.col("n") != 1) | F.col(M.LABEL).isNull()).alias("ids"),
+                     F.count_if(~F.col("y_real").eqNullSafe(F.col(M.LABEL))).alias("real")).first()
+        p = pred.agg(F.count_if(~F.coalesce(F.col("y_pred").isin(0, 1), F.lit(False))).alias("odd"),
+                     F.avg((F.col("y_real") == F.col("y_pred")).cast("double")).alias("acc"),
+                     F.avg(F.col("y_real").cast("double")).alias("ones")).first()
+    finally:
+        pred.unpersist()
+    return _checks(ctx.spark, {"ids_de_prueba": c["ids"] == 0, "reales_coinciden": c["real"] == 0,
+                               "predicciones_binarias": p["odd"] == 0,
+                               "supera_mayoria": p["acc"] >= max(p["ones"], 1 - p["ones"])})
+
+
 @query("rf_predictions", "M4 M8")
 def rf_predictions(ctx):
     return _predictions(ctx)
@@ -192,19 +259,17 @@ def cluster_features(ctx):
                         *[c for c in feats.columns if c.startswith(K.CLASS_COL)])
 
 
-def _fixed_metrics(ctx, k: int):
-    feats, names = _fixed_features(ctx, k)
-    feats = feats.persist()
+def _metrics_frame(ctx, ks):
+    prep, cur = _prep(ctx), ctx.stored_curated
+    labels = {k: f"cluster_{k}" for k in ks}
+    cur = cur.withColumns({x: K.popularity_bands(cur, k) for k, x in labels.items()})
+    feats = K.feature_columns(cur, prep, keep=tuple(labels.values())).persist()
     try:
-        row = K.cluster_metrics(feats, names).collect()[0]
+        found = K.many_cluster_metrics(feats, K.feature_names(prep), list(labels.values()))
     finally:
         feats.unpersist()
-    return row["silhouette_score"], row["inercia"]
-
-
-def _metrics_frame(ctx, ks):
-    rows = [(k, *_fixed_metrics(ctx, k)) for k in ks]
-    df = ctx.spark.createDataFrame(rows, "k int, silhouette_score double, inercia double")
+    df = ctx.spark.createDataFrame([(k, *found[x]) for k, x in labels.items()],
+                                   "k int, silhouette_score double, inercia double")
     return df.select("k", F.round("silhouette_score", 6).alias("silhouette_score"),
                      F.round("inercia", 6).alias("inercia"))
 
@@ -303,11 +368,69 @@ def k_metrics(ctx):
     return metrics
 
 
+@query("kmeans_checks", "M13 M16", """
+select * from (values ('centro_mas_cercano', true), ('k_grupos', true), ('inercia_recalculada', true),
+                      ('mejor_k', true)) t(comprobacion, ok)""")
+def kmeans_checks(ctx):
+    """What must hold of any search: rows at their nearest centre, k groups, the reported cost, the best k."""
+    from pyspark.ml.functions import vector_to_array
+    metrics, models = _search(ctx)
+    rows = {r["k"]: r for r in metrics.collect()}
+    nearest = groups = cost = True
+    feats = _model_features(ctx).select("features").persist()
+    try:
+        for k, model in models.items():
+            f = vector_to_array("features")
+            dists = [F.aggregate(F.zip_with(f, F.lit([float(x) for x in c]), lambda a, b: (a - b) * (a - b)), F.lit(0.0),
+                                 lambda a, x: a + x) for c in model.clusterCenters()]
+            own = model.transform(feats).withColumn("d", F.array(*dists))
+            r = own.agg(F.count_if(F.get("d", F.col("cluster")) > F.array_min("d") + 1e-9).alias("far"),
+                        F.count_distinct("cluster").alias("k"), F.sum(F.array_min("d")).alias("cost")).first()
+            nearest &= r["far"] == 0
+            groups &= r["k"] == k
+            cost &= abs(r["cost"] - rows[k]["inercia"]) <= 1e-6 * max(1.0, r["cost"])
+    finally:
+        feats.unpersist()
+    best = K.best_k(metrics).first()["mejor_k"]
+    return _checks(ctx.spark, {"centro_mas_cercano": nearest, "k_grupos": groups, "inercia_recalculada": cost,
+                               "mejor_k": rows[best]["silhouette_score"] == max(r["silhouette_score"] for r in rows.values())})
+
+
+def _segmentation(ctx):
+    metrics, models = _search(ctx)
+    k = K.best_k(metrics).collect()[0]["mejor_k"]
+    return metrics, K.fit_final(ctx.stored_curated, _prep(ctx), k, model=models[k])
+
+
+@query("model_outputs", "W5 W6 M8", with_ctes("""
+select 'predicciones' as archivo, count(*) as filas from ml_split where es_test
+union all select 'metricas', 5
+union all select 'resultados', count(*) from curated
+union all select 'resumen_peliculas', count(*) from curated
+union all select 'modelos_releidos', 2""", "ml_split", "curated"))
+def model_outputs(ctx):
+    # Fit, write every file, read all of it back.
+    from pyspark.ml import PipelineModel
+    base = ctx.landing("modelos")
+    forest, pred = ctx.fitted("forest", lambda: M.train_and_predict(M.model_frame(ctx.stored_curated)))
+    metrics, model = _segmentation(ctx)
+    clustered = K.with_segments(model.transform(ctx.stored_curated).select(
+        "id_pelicula", "titulo", "reproducciones_mensuales", "popularidad_api", "votos_promedio_api",
+        "clasificacion_edad_local", "alerta_accion", "fecha_actualizacion", "cluster"))
+    paths = write_classifier(forest, pred, base) | write_segmentation(
+        model, metrics, clustered, K.cluster_summary(clustered), base)
+    back = {n: ctx.spark.read.option("header", True).option("escape", '"').csv(paths[n])
+            for n in ("predicciones", "metricas", "resultados", "resumen")}
+    loaded = [PipelineModel.load(paths[n]) for n in ("modelo_clasificador", "modelo_segmentacion")]
+    counts = [(n, back[n].count()) for n in ("predicciones", "metricas", "resultados")]
+    counts.append(("resumen_peliculas", back["resumen"].agg(F.sum(F.col("peliculas").cast("bigint"))).first()[0]))
+    counts.append(("modelos_releidos", sum(len(m.stages) > 0 for m in loaded)))
+    return ctx.spark.createDataFrame(counts, "archivo string, filas bigint")
+
+
 @query("kmeans_clusters", "M16 P24 J5")
 def kmeans_clusters(ctx):
-    metrics, _ = _search(ctx)
-    k = K.best_k(metrics).collect()[0]["mejor_k"]
-    model = K.fit_final(ctx.stored_curated, _prep(ctx), k)
+    _, model = _segmentation(ctx)
     clustered = model.transform(ctx.stored_curated).select(
         "id_pelicula", "titulo", "reproducciones_mensuales", "popularidad_api", "votos_promedio_api",
         "clasificacion_edad_local", "alerta_accion", "fecha_actualizacion", "cluster")

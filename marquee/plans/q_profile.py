@@ -8,8 +8,10 @@ from marquee.operators.dedup import duplicated_rows, first_per_key
 from marquee.operators.profile import (after_clean_nulls, date_rows, dirty_plays, domain_profile,
                                        duplicate_row_count, id_profile, null_counts,
                                        value_profile)
-from marquee.plans.context import QueryContext
-from marquee.plans.etl import StageCounter, etl_from_fixtures
+from marquee.operators.clean import clean_ids
+from marquee.operators.classifier import model_frame
+from marquee.functions.numeric import to_int_id
+from marquee.sources.curated import CURATED_COLUMNS, model_columns
 from marquee.plans.oracle import _q, _strip, with_ctes
 from marquee.plans.registry import query
 from marquee.sources.fixtures import API_COLUMNS, RESTRICTION_COLUMNS, STAGING_COLUMNS
@@ -57,6 +59,52 @@ def profile_ids(ctx):
     return id_profile(ctx.etl.staging_clean)
 
 
+_ID_PROFILE = """select '{0}' as fuente, coalesce(sum(case when id is null then n end), 0) as ids_invalidos,
+  count(id) as ids_unicos, coalesce(sum(n - 1), 0) as duplicados_adicionales,
+  coalesce(sum(case when n > 1 then n end), 0) as filas_duplicadas
+from (select {1} as id, count(*) as n from {2} group by 1)"""
+
+
+@query("profile_ids_sources", "A10", with_ctes(" union all ".join(
+    _ID_PROFILE.format(*x) for x in (("staging", "id_pelicula", "stg_clean"), ("restricciones", "id_pelicula", "restr_norm"),
+                                     ("api", "id_pelicula", "api_typed"))), "stg_clean", "restr_norm", "api_typed"))
+def profile_ids_sources(ctx):
+    from pyspark.sql import functions as F
+    e, out = ctx.etl, None
+    frames = (("staging", clean_ids(e.staging_raw)), ("restricciones", normalise_restrictions(e.restrictions_raw)),
+              ("api", e.api_raw.select(to_int_id(F.col("id_pelicula_api").cast("string")).alias("id_pelicula"))))
+    for name, df in frames:
+        row = id_profile(df).select(F.lit(name).alias("fuente"), "*")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+_MODEL_COLUMNS = ("id_pelicula", "titulo", "reproducciones_mensuales", "popularidad_api", "votos_promedio_api",
+                  "clasificacion_edad_local", "alerta_accion", "fecha_actualizacion")
+_INTEGRATED = ("id_pelicula", "titulo", "reproducciones_mensuales", "fecha_estreno", "popularidad_api",
+               "votos_promedio_api", "clasificacion_edad_local", "advertencia_contenido", "bloqueo_horario_infantil",
+               "cantidad_registros_origen", "servidores_origen")
+_FRAMES = (("restricciones", "restr_raw", RESTRICTION_COLUMNS), ("api", "api_raw", API_COLUMNS),
+           ("integrado", "integrated", _INTEGRATED), ("final", "curated", CURATED_COLUMNS),
+           ("modelo", "curated", _MODEL_COLUMNS),
+           ("caracteristicas", "ml_base", ("id_pelicula", "objetivo", "popularidad_api", "votos_promedio_api",
+                                           "reproducciones_mensuales", "clasificacion_edad_local")))
+
+
+@query("profile_nulls_frames", "A8", with_ctes(" union all ".join(
+    f"select '{name}' as marco, '{c}' as columna, count_if({c} is null) as nulos from {table}"
+    for name, table, cols in _FRAMES for c in cols), *dict.fromkeys(t for _, t, _ in _FRAMES)))
+def profile_nulls_frames(ctx):
+    from pyspark.sql import functions as F
+    e, out = ctx.etl, None
+    stored = ctx.stored_curated
+    frames = (e.restrictions_raw, e.api_raw, e.integrated, stored, model_columns(stored), model_frame(stored))
+    for (name, _, cols), df in zip(_FRAMES, frames):
+        rows = null_counts(df, cols).select(F.lit(name).alias("marco"), "*")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def _value_sql(col: str) -> str:
     return (f"select count(*) as total_filas, count({col}) as validos, "
             f"count_if({col} is null) as invalidos, min({col}) as minimo, max({col}) as maximo "
@@ -104,14 +152,17 @@ _STAGES = (("staging", "stg_raw"), ("restricciones", "restr_raw"), ("api", "api_
     f"select '{n}' as etapa, count(*) as filas from {t}" for n, t in _STAGES),
     *[t for _, t in _STAGES]))
 def source_counts(ctx):
-    # One run of the whole ETL (no-op sink) with a row count observed at
-    # every stage; the nine counts come out of that single job. The run uses a
-    # child session, so the observation bookkeeping stays out of the caller's.
-    run = QueryContext(ctx.spark.newSession(), ctx.data_dir)
-    counter = StageCounter()
-    e = etl_from_fixtures(run.fixtures, tap=counter.tap)
-    e.final.write.format("noop").mode("overwrite").save()
-    return ctx.spark.createDataFrame(counter.counts(), "etapa string, filas bigint")
+    # Plain aggregates, right however often tasks run again. Counting needs no
+    # cleaned values, so column pruning leaves little of each stage's work.
+    from pyspark.sql import functions as F
+    e = ctx.etl
+    stages = (e.staging_raw, e.restrictions_raw, e.api_raw, e.staging_clean, e.consolidated, e.restrictions,
+              e.api, e.integrated, e.final)
+    out = None
+    for (name, _), df in zip(_STAGES, stages):
+        row = df.agg(F.count(F.lit(1)).alias("filas")).select(F.lit(name).alias("etapa"), "filas")
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
 @query("dirty_plays", "P13", with_ctes(f"""
@@ -153,5 +204,6 @@ def duplicate_rows(ctx):
     from pyspark.sql import functions as F
     cols = ("ord", "id_pelicula_original", "id_pelicula", "titulo_original",
             "reproducciones_mensuales", "servidor_origen")
-    return (duplicated_rows(ctx.etl.staging_clean.select(*cols), "id_pelicula")
+    # counts on the bare id, before titles and dates are cleaned
+    return (duplicated_rows(ctx.etl.staging_clean.select(*cols), "id_pelicula", clean_ids(ctx.etl.staging_raw))
             .orderBy(F.asc_nulls_last("id_pelicula"), "ord"))

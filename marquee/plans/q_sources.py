@@ -6,12 +6,15 @@ from pyspark.sql import functions as F
 
 from marquee.plans.oracle import _strip, cte, with_ctes
 from marquee.plans.registry import query
+from marquee.operators.clean import clean_restrictions
+from marquee.sinks.curated import current_version
+from marquee.sinks.staging import replace_staging
 from marquee.sinks.files import write_csv, write_jsonl, write_text
 from marquee.sources.api import (api_id_candidates, parse_detail, read_api_pages,
                                  read_api_responses, valid_ids_numeric)
 from marquee.sources.curated import model_columns
 from marquee.sources.restrictions import read_restrictions_csv
-from marquee.sources.staging import select_staging, staging_count
+from marquee.sources.staging import read_staging, select_staging, staging_count
 
 cte("stg_ids", f"select {_strip('id_pelicula')} as id from stg_raw", "stg_raw")
 
@@ -33,6 +36,36 @@ def restr_extract(ctx):
     return read_restrictions_csv(ctx.spark, path, with_ord=True)
 
 
+@query("restr_extract_plain", "S3 W5", with_ctes(
+    "select id_pelicula, clasificacion_chile, advertencia_contenido, bloqueo_horario_infantil from restr_plain",
+    "restr_plain"))
+def restr_extract_plain(ctx):
+    # The file as it really is: four columns, quotes and commas in cells, order by place in the file.
+    return _plain_restrictions(ctx).drop("ord")
+
+
+def _plain_restrictions(ctx):
+    rows = ctx.fixtures.plain_restrictions.orderBy("ord").drop("ord")
+    return read_restrictions_csv(ctx.spark, write_csv(rows, ctx.landing("restricciones_simple")))
+
+
+@query("clean_restrictions_plain", "S3 P6 D1", with_ctes(f"""
+select id_pelicula, clasificacion_chile, advertencia_contenido, bloqueo_horario_infantil
+from (select c.id_pelicula, c.clasificacion_chile, nullif({_strip('p.advertencia_contenido')}, '') as advertencia_contenido,
+             c.bloqueo_horario_infantil, row_number() over (partition by c.id_pelicula order by c.ord) as rn
+      from restr_valid c join restr_plain p on p.ord = c.ord)
+where rn = 1""", "restr_valid", "restr_plain"))
+def clean_restrictions_plain(ctx):
+    return clean_restrictions(_plain_restrictions(ctx))
+
+
+@query("staging_replace", "W4", with_ctes("select * from stg_raw", "stg_raw"))
+def staging_replace(ctx):
+    base = ctx.landing("stg_catalogo_interno")
+    replace_staging(ctx.fixtures.staging, base)
+    return read_staging(ctx.spark, current_version(ctx.spark, base))
+
+
 @query("api_extract", "S4", with_ctes("select * from api_raw", "api_raw"))
 def api_extract(ctx):
     # Land one JSON line per API response, then scan and parse the landing zone.
@@ -78,7 +111,9 @@ def dw_model_columns(ctx):
     return model_columns(ctx.stored_curated)
 
 
-@query("api_stream_ingest", "S4 S5 (streaming)", with_ctes("select * from api_raw", "api_raw"))
+@query("api_stream_ingest", "S4 S5 (streaming)", with_ctes("""
+select * exclude (rn) from (select *, row_number() over (partition by id_pelicula_api order by ord) as rn from api_raw)
+where rn = 1""", "api_raw"))
 def api_stream_ingest(ctx):
     # Land the responses, ingest them incrementally (available-now trigger), read the table.
     from marquee.session import scratch_path

@@ -1,7 +1,7 @@
 """Metadata-API responses landed as JSON lines, and id candidates for fetching.
 
 The HTTP client itself is out of scope: a fetcher lands one JSON line per
-request (``id``, ``status``, ``body``, ``error``) and list pages as JSON
+request (``seq``, ``id``, ``status``, ``body``, ``error``) and list pages as JSON
 documents; everything after landing is a Spark scan.
 """
 
@@ -15,6 +15,7 @@ from marquee.functions.numeric import is_digits, to_double
 from marquee.functions.text import strip_blanks
 
 RESPONSE_SCHEMA = T.StructType([
+    T.StructField("seq", T.LongType()),  # landing sequence: which response came first
     T.StructField("id", T.StringType()),
     T.StructField("status", T.IntegerType()),
     T.StructField("body", T.StringType()),
@@ -42,13 +43,16 @@ def read_api_responses(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_detail(responses: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Landed responses -> (id_pelicula_api, titulo_api, popularidad_api, votos_promedio_api).
+    """Landed responses -> (ord, id_pelicula_api, titulo_api, popularidad_api, votos_promedio_api).
 
     * transport failure (no status) -> no row;
     * status other than 200 -> the id with three nulls;
     * status 200 with a body that is not a JSON object -> no row (the fetch
       raised while decoding).
+
+    ``ord`` is the landing sequence ``seq`` (null where the responses have none).
     """
+    seq = F.col("seq").cast("bigint") if "seq" in responses.columns else F.lit(None).cast("bigint")
     ok = F.col("status") == 200
     valid_json = F.json_object_keys("body").isNotNull()
     detail = F.from_json("body", DETAIL_SCHEMA)
@@ -56,6 +60,7 @@ def parse_detail(responses: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         responses
         .where(F.col("status").isNotNull() & (~ok | valid_json))
         .select(
+            seq.alias("ord"),
             F.col("id").try_cast("bigint").alias("id_pelicula_api"),
             F.when(ok, detail["title"]).alias("titulo_api"),
             F.when(ok, to_double(detail["popularity"])).alias("popularidad_api"),

@@ -54,13 +54,13 @@ def staging_rows(orders: DataFrame, part: DataFrame) -> DataFrame:
              .otherwise(plays_n).alias("reproducciones_mensuales"),
             F.when(ok % 3 == 0, F.date_format("o_orderdate", "yyyy-MM-dd"))
              .when(ok % 3 == 1, F.date_format("o_orderdate", "dd/MM/yyyy"))
-             .when(ok % 4 == 0, F.lit("Próximamente"))
-             .when(ok % 4 == 1, F.lit("PENDIENTE"))
+             .when(ok % 4 == 0, F.lit("Por confirmar"))
+             .when(ok % 4 == 1, F.lit("SIN FECHA"))
              .when(ok % 4 == 2, F.lit(""))
              .otherwise(F.lit("00/00/0000")).alias("fecha_estreno_plataforma"),
-            F.when(ok % 4 == 0, F.lit("Servidor_CL_Principal"))
-             .when(ok % 4 == 1, F.lit("Servidor_Latam_Backup"))
-             .when(ok % 4 == 2, F.lit(" Node_Santiago_East "))
+            F.when(ok % 4 == 0, F.lit("Nodo_Andes_Uno"))
+             .when(ok % 4 == 1, F.lit("Nodo_Costa_Dos"))
+             .when(ok % 4 == 2, F.lit(" Nodo_Valle_Tres "))
              .otherwise(F.lit("Null_Server")).alias("servidor_origen"),
         )
     )
@@ -89,22 +89,29 @@ def restriction_rows(customer: DataFrame) -> DataFrame:
 
 
 def _api_fields(part: DataFrame) -> DataFrame:
+    """One response per part, and second ones: ids ending in 3 get a later 404, ids ending in 4 an earlier one."""
     pk = F.col("p_partkey")
     missing = pk % 25 == 1
-    return part.select(
-        pk,
+    first = part.select(
+        pk.alias("seq"), pk,
         F.when(~missing, F.concat(F.lit(" "), F.col("p_name"), F.lit("  (api) "))).alias("title"),
         F.when(~missing, (pk * 137 % 20000) / F.lit(100.0)).alias("popularity"),
         F.when(~missing, (pk % 101) / F.lit(10.0)).alias("vote_average"),
         F.when(pk % 25 == 0, F.lit(None).cast("int"))
          .when(missing, F.lit(404)).otherwise(F.lit(200)).alias("status"),
     )
+    again = part.where((pk % 10).isin(3, 4)).select(
+        F.when(pk % 10 == 3, F.lit(10000000) + pk).otherwise(-pk).alias("seq"), pk,
+        F.lit(None).cast("string").alias("title"), F.lit(None).cast("double").alias("popularity"),
+        F.lit(None).cast("double").alias("vote_average"), F.lit(404).alias("status"))
+    return first.unionByName(again)
 
 
 def api_rows(part: DataFrame) -> DataFrame:
     """Flattened API detail records (what the extractor hands to the ETL)."""
     f = _api_fields(part).where(F.col("status").isNotNull())
     return f.select(
+        F.col("seq").alias("ord"),
         F.col("p_partkey").alias("id_pelicula_api"),
         F.col("title").alias("titulo_api"),
         F.col("popularity").cast("double").alias("popularidad_api"),
@@ -113,7 +120,7 @@ def api_rows(part: DataFrame) -> DataFrame:
 
 
 def api_responses(part: DataFrame) -> DataFrame:
-    """Landed detail responses, one per requested id: (id, status, body, error).
+    """Landed detail responses: (seq, id, status, body, error), some ids with two.
 
     Ids with ``p_partkey % 25 == 0`` failed in transport (no status, an error
     text); ``% 25 == 1`` answered 404; the rest answered 200 with a JSON body.
@@ -123,6 +130,7 @@ def api_responses(part: DataFrame) -> DataFrame:
     not_found = F.lit('{"success":false,"status_code":34,'
                       '"status_message":"The resource you requested could not be found."}')
     return f.select(
+        "seq",
         F.col("p_partkey").cast("string").alias("id"),
         F.col("status"),
         F.when(F.col("status") == 200, ok_body).when(F.col("status").isNotNull(), not_found)
@@ -147,6 +155,13 @@ def api_pages(part: DataFrame, page_size: int = 20) -> DataFrame:
     )
 
 
+def plain_restriction_rows(customer: DataFrame) -> DataFrame:
+    """The same rows with quotes and commas in some warnings, to be written without their order column."""
+    text = F.col("advertencia_contenido")
+    return restriction_rows(customer).withColumn("advertencia_contenido", F.when(
+        F.col("ord") % 6 == 0, F.concat(F.lit('dice "'), text, F.lit('", y mas'))).otherwise(text))
+
+
 class Fixtures:
     """The three domain inputs for one data directory."""
 
@@ -161,6 +176,10 @@ class Fixtures:
     def restrictions(self) -> DataFrame:
         return restriction_rows(self.tables.customer)
 
+    @property
+    def plain_restrictions(self) -> DataFrame:
+        return plain_restriction_rows(self.tables.customer)
+
     @property
     def api(self) -> DataFrame:
         return api_rows(self.tables.part)

@@ -18,18 +18,25 @@ CSV_SCHEMA_WITH_ORD = T.StructType([T.StructField("ord", T.StringType())] + list
 
 
 def read_restrictions_csv(spark: SparkSession, path: str, with_ord: bool = False,
-                          sep: str = ",", encoding: str = "UTF-8") -> DataFrame:
+                          sep: str = ",", encoding: str = "UTF-8", multi_line: bool = False) -> DataFrame:
     """Read the restrictions file with an explicit all-text schema.
 
     An explicit schema keeps class codes such as ``14`` text (inference would
-    make them numbers) and avoids a second pass over the file. Missing paths
-    raise Spark's PATH_NOT_FOUND error.
+    make them numbers) and avoids a second pass over the file. Quotes inside
+    quoted cells are doubled. ``multi_line`` allows line breaks inside cells, at
+    the price of one task per file. Missing paths raise Spark's PATH_NOT_FOUND.
+
+    ``ord`` is the file's own ``ord`` column (``with_ord``) or else the place of
+    the row: its file's path, then the split's first byte, then the row's turn
+    in the split. Of several files the first by path comes first.
     """
     schema = CSV_SCHEMA_WITH_ORD if with_ord else CSV_SCHEMA
     raw = (spark.read.schema(schema)
            .option("header", True).option("sep", sep).option("encoding", encoding)
+           .option("quote", '"').option("escape", '"').option("multiLine", multi_line)
            .option("mode", "PERMISSIVE").option("enforceSchema", False)
            .csv(path))
     cols = [F.when(~F.col(c).isin(*NULL_TOKENS), F.col(c)).alias(c) for c in RESTRICTION_COLUMNS]
-    ord_col = F.col("ord").try_cast("bigint") if with_ord else F.lit(None).cast("bigint")
-    return raw.select(ord_col.alias("ord"), *cols)
+    place = F.struct(F.col("_metadata.file_path").alias("archivo"), F.col("_metadata.file_block_start").alias("inicio"),
+                     F.monotonically_increasing_id().alias("fila"))
+    return raw.select((F.col("ord").try_cast("bigint") if with_ord else place).alias("ord"), *cols)

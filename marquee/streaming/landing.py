@@ -39,6 +39,6 @@ def ingest_api_responses(spark: SparkSession, landing_path: str, table_path: str
 
 
 def current_api_records(spark: SparkSession, table_path: str) -> DataFrame:
-    """One record per film from the ingested table: the first landed response wins."""
-    df = spark.read.parquet(table_path).withColumnRenamed("landed_at", "ord")
-    return first_per_key(df, "id_pelicula_api").drop("ord")
+    """One record per film from the ingested table: the first landed response wins (by sequence, then landing time)."""
+    df = spark.read.parquet(table_path)
+    return first_per_key(df, "id_pelicula_api", ("ord", "landed_at")).drop("landed_at")

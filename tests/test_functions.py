@@ -36,8 +36,8 @@ def test_plays_thousands_option(spark):
 
 def test_dates(spark):
     got = _one(spark, ["2025-05-12", "12/05/2025", "2025-5-1", "1/5/2025", "00/00/0000",
-                       "2025-02-30", "2025-05-12 10:00:00", "25-05-12", "Próximamente",
-                       "PENDIENTE", "", None, " 2025-05-12 "], parse_date)
+                       "2025-02-30", "2025-05-12 10:00:00", "25-05-12", "Por confirmar",
+                       "SIN FECHA", "", None, " 2025-05-12 "], parse_date)
     d = dt.date
     assert got == [d(2025, 5, 12), d(2025, 5, 12), d(2025, 5, 1), d(2025, 5, 1), None, None, None,
                    None, None, None, None, None, d(2025, 5, 12)]
@@ -63,9 +63,9 @@ def test_strip_unicode_blanks(spark):
 
 def test_servers(spark):
     df = spark.createDataFrame([(v,) for v in [" null_server ", "NULL_SERVER", "Null_Server", "  ",
-                                               " Node_Santiago_East ", None]], "servidor_origen string")
+                                               " Nodo_Valle_Tres ", None]], "servidor_origen string")
     got = [r[0] for r in df.select(clean_server()).collect()]
-    assert got == [None, None, None, None, "Node_Santiago_East", None]
+    assert got == [None, None, None, None, "Nodo_Valle_Tres", None]
 
 
 def test_nan_becomes_null(spark):
