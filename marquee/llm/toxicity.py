@@ -12,10 +12,11 @@ logistic classifiers are trained this way, each in a task of its own on the
 positives and its own draw of unlabelled documents, and their weights averaged.
 
 A document's features are the words of its whole text and their 4 to 6 byte
-beginnings, hashed, as occurrences per ``UNIT`` words (short texts are eased by
-``EASE`` words more). The fit keeps those found in at least ``min_share`` of the
-positives and, by the class prior, mostly in positives. The score is the
-logistic of the weighted sum.
+beginnings, hashed. Each counts twice: as occurrences per ``UNIT`` words (short
+texts are eased by ``EASE`` words more) and, where that is no coincidence, as
+occurrences up to ``FEW``, which a long harmless remainder does not dilute. The
+fit keeps features found in at least ``min_share`` of the positives and, by the
+class prior, mostly in positives. The score is the logistic of the weighted sum.
 
 Fitting reads a bounded sample (``max_positive`` and ``bags`` times
 ``max_unlabelled`` documents, smallest hashes of their ids first); scoring reads
@@ -45,7 +46,7 @@ from marquee.llm.decontaminate import text_hash, words_of
 PREFIXES = (4, 5, 6)
 SPACE = (1 << 22) - 1
 CACHE = 1 << 17
-UNIT, EASE = 100, 50
+UNIT, EASE, FEW = 100, 50, 3
 
 
 @dataclass(frozen=True)
@@ -56,6 +57,7 @@ class ToxicParams:
     features: int = 512
     min_share: float = 0.02
     min_purity: float = 0.6
+    min_evidence: float = 12.0
     steps: int = 400
     rate: float = 0.1
     l2: float = 1e-4
@@ -63,8 +65,8 @@ class ToxicParams:
 
 @dataclass(frozen=True)
 class ToxicModel:
-    """Weights of hashed features, and the bias."""
-    weights: dict[int, float]
+    """Weights of hashed features, by amount and by occurrence, and the bias."""
+    weights: dict[int, tuple[float, float]]
     bias: float
 
 
@@ -72,62 +74,71 @@ def word_features(word: bytes) -> tuple[int, ...]:
     return (crc32(word) & SPACE, *(crc32(word[:k] + b"*") & SPACE for k in PREFIXES if len(word) > k))
 
 
-def text_features(data: bytes) -> dict[int, float]:
-    """Feature -> occurrences per UNIT words."""
+def text_features(data: bytes) -> tuple[dict[int, int], int]:
+    """Feature -> occurrences, and the number of words."""
     words = words_of(data)
-    scale = UNIT / (len(words) + EASE)
-    out: dict[int, float] = {}
+    out: dict[int, int] = {}
     for w, n in Counter(words).items():
         for f in word_features(w):
-            out[f] = out.get(f, 0.0) + n * scale
-    return out
+            out[f] = out.get(f, 0) + n
+    return out, len(words)
 
 
 def feature_rows(docs: DataFrame) -> DataFrame:
-    """(bag, positive, features, amounts) of the sampled documents."""
+    """(bag, positive, features, counts, words) of the sampled documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             feats = [text_features(t or b"") for t in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array([list(x) for x in feats], pa.list_(pa.int32())),
-                 pa.array([list(x.values()) for x in feats], pa.list_(pa.float32()))],
-                ["bag", "positive", "features", "amounts"])
+                [b.column(0), b.column(1), pa.array([list(x) for x, _ in feats], pa.list_(pa.int32())),
+                 pa.array([list(x.values()) for x, _ in feats], pa.list_(pa.int32())), pa.array([n for _, n in feats], pa.int64())],
+                ["bag", "positive", "features", "counts", "words"])
 
     own = docs.select("bag", "positive", F.col("text").cast("binary").alias("text"))
-    return own.mapInArrow(run, "bag int, positive boolean, features array<int>, amounts array<float>")
+    return own.mapInArrow(run, "bag int, positive boolean, features array<int>, counts array<int>, words long")
 
 
-Rows = list[tuple[np.ndarray, np.ndarray]]
+Rows = list[tuple[np.ndarray, np.ndarray, float]]  # features, occurrences, UNIT / (words + EASE)
 
 
 def totals(rows: Rows, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Per feature: how many rows have it, and its mean amount over all rows."""
     place = np.searchsorted(ids, np.concatenate([np.zeros(0, np.int32), *(r[0] for r in rows)]))
-    amounts = np.concatenate([np.zeros(0, np.float32), *(r[1] for r in rows)])
+    amounts = np.concatenate([np.zeros(0), *(r[1] * r[2] for r in rows)])
     return (np.bincount(place, minlength=len(ids)),
             np.bincount(place, weights=amounts, minlength=len(ids)) / len(rows))
 
 
-def chosen_features(pos: Rows, unl: Rows, prior: float, p: ToxicParams) -> np.ndarray:
-    """Features in enough positives whose amount in unlabelled text the positives in it explain, most telling first."""
+def chosen_features(pos: Rows, unl: Rows, prior: float, p: ToxicParams) -> tuple[np.ndarray, np.ndarray]:
+    """Features whose amount in unlabelled text the positives in it explain, most telling first, and which of them may count by occurrence.
+
+    The latter need presence that is as pure, and evidence beyond chance: the
+    positives times the divergence of the two presence rates (the exponent of
+    the chance that so many positives have the feature at the unlabelled rate).
+    """
     ids = np.unique(np.concatenate([np.zeros(0, np.int32), *(r[0] for r in (*pos, *unl))]))
-    (in_p, mean_p), (_, mean_u) = totals(pos, ids), totals(unl, ids)
+    (in_p, mean_p), (in_u, mean_u) = totals(pos, ids), totals(unl, ids)
     purity = prior * mean_p / np.maximum(mean_u, 1e-12)
     fit = (in_p >= max(2, p.min_share * len(pos))) & (purity >= p.min_purity)
     gain = np.where(fit, mean_p, 0)
     best = np.argsort(-gain, kind="stable")[:p.features]
-    return np.sort(ids[best[gain[best] > 0]])
+    best = np.sort(best[gain[best] > 0])
+    a, b = np.minimum(in_p[best] / len(pos), 1 - 1e-9), np.minimum((in_u[best] + 1) / (len(unl) + 1), 1 - 1e-9)
+    evidence = len(pos) * (a * np.log(a / b) + (1 - a) * np.log((1 - a) / (1 - b)))
+    return ids[best], (a > b) & (evidence >= p.min_evidence) & (prior * a / b >= p.min_purity)
 
 
-def dense(rows: Rows, chosen: np.ndarray) -> np.ndarray:
-    """Matrix of the chosen features' amounts, with a column of ones for the bias."""
-    x = np.zeros((len(rows), len(chosen) + 1), np.float32)
+def dense(rows: Rows, chosen: np.ndarray, by_count: np.ndarray) -> np.ndarray:
+    """Matrix of the chosen features' amounts, then their occurrences (0 where these don't count), and ones for the bias."""
+    k = len(chosen)
+    x = np.zeros((len(rows), 2 * k + 1), np.float32)
     x[:, -1] = 1
-    if len(chosen):
-        for i, (f, amount) in enumerate(rows):
-            at = np.minimum(np.searchsorted(chosen, f), len(chosen) - 1)
+    if k:
+        for i, (f, count, scale) in enumerate(rows):
+            at = np.minimum(np.searchsorted(chosen, f), k - 1)
             hit = chosen[at] == f
-            x[i, at[hit]] = amount[hit]
+            x[i, at[hit]] = count[hit] * scale
+            x[i, k + at[hit]] = np.minimum(count[hit], FEW) / FEW * by_count[at[hit]]
     return x
 
 
@@ -186,53 +197,60 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, eligible: Column, p: ToxicP
     share = float(prior)
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = [(np.asarray(f, np.int32), np.asarray(a, np.float32)) for f, a in zip(pdf["features"], pdf["amounts"])]
+        rows = [(np.asarray(f, np.int32), np.asarray(c, np.int64), UNIT / (n + EASE))
+                for f, c, n in zip(pdf["features"], pdf["counts"], pdf["words"])]
         pos = [r for r, y in zip(rows, pdf["positive"]) if y]
         unl = [r for r, y in zip(rows, pdf["positive"]) if not y]
         if not pos or not unl:
-            return pd.DataFrame({"feature": [-1], "weight": [np.log(share / (1 - share))]})
-        chosen = chosen_features(pos, unl, share, p)
-        w = fit_nnpu(dense(pos, chosen), dense(unl, chosen), share, p.steps, p.rate, p.l2)
-        return pd.DataFrame({"feature": [*chosen.tolist(), -1], "weight": w})
+            return pd.DataFrame({"feature": [-1], "weight": [np.log(share / (1 - share))], "few": [0.0]})
+        chosen, by_count = chosen_features(pos, unl, share, p)
+        w = fit_nnpu(dense(pos, chosen, by_count), dense(unl, chosen, by_count), share, p.steps, p.rate, p.l2)
+        k = len(chosen)
+        return pd.DataFrame({"feature": [*chosen.tolist(), -1], "weight": [*w[:k], w[-1]], "few": [*w[k:2 * k], 0.0]})
 
     rows = feature_rows(training_sample(docs, labels, eligible, p))
-    fitted = rows.groupBy("bag").applyInPandas(fit, "feature int, weight double").collect()  # bags * (features + 1) rows
-    sums: dict[int, float] = {}
+    fitted = rows.groupBy("bag").applyInPandas(fit, "feature int, weight double, few double").collect()  # bags * (features + 1) rows
     bags = max(1, sum(r["feature"] == -1 for r in fitted))
+    sums: dict[int, tuple[float, float]] = {}
     for r in fitted:
-        sums[r["feature"]] = sums.get(r["feature"], 0.0) + r["weight"] / bags
-    bias = sums.pop(-1, float(np.log(share / (1 - share))))
+        a, f = sums.get(r["feature"], (0.0, 0.0))
+        sums[r["feature"]] = a + r["weight"] / bags, f + r["few"] / bags
+    bias, _ = sums.pop(-1, (float(np.log(share / (1 - share))), 0.0))
     return ToxicModel(sums, bias)
 
 
 def score_toxicity(docs: DataFrame, model: ToxicModel) -> DataFrame:
     """(doc_id, text_hash, score) of every row, from its whole text."""
     prepare(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # plain values: executors need not know the model's class
+    shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, bias = shared.value.weights, shared.value.bias
-        known: dict[bytes, float] = {}
+        weights, bias = shared.value
+        known: dict[bytes, tuple[int, ...]] = {}
 
-        def weigh(word: bytes) -> float:
+        def marks(word: bytes) -> tuple[int, ...]:
             if len(known) > CACHE:
                 known.clear()
-            got = known[word] = sum(weights.get(f, 0.0) for f in word_features(word))
+            got = known[word] = tuple(f for f in word_features(word) if f in weights)
             return got
 
         for b in batches:
             scores = []
             for t in b.column(2).to_pylist():
                 words = words_of(t or b"")
-                marked = {}
+                counts: dict[int, int] = {}
                 for w in set(words):
-                    weight = known.get(w)
-                    if weight is None:
-                        weight = weigh(w)
-                    if weight:
-                        marked[w] = weight
-                total = sum(words.count(w) * marked[w] for w in sorted(marked))
-                scores.append(bias + total * UNIT / (len(words) + EASE))
+                    hit = known.get(w)
+                    if hit is None:
+                        hit = marks(w)
+                    if hit:
+                        n = words.count(w)
+                        for f in hit:
+                            counts[f] = counts.get(f, 0) + n
+                scale = UNIT / (len(words) + EASE)
+                scores.append(bias + sum(weights[f][0] * n * scale + weights[f][1] * min(n, FEW) / FEW
+                                         for f, n in sorted(counts.items())))
             g = np.clip(np.array(scores, np.float64), -500, 500)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(1 / (1 + np.exp(-g)))],
                                              ["doc_id", "text_hash", "score"])
