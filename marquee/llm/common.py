@@ -47,22 +47,31 @@ def keep_columns(df: DataFrame, names: list[str]) -> DataFrame:
     return df.select(*[F.col(f"`{n}`") for n in names])
 
 
-def heavy_values(counts: DataFrame, total: int, parts: int = 1000) -> DataFrame:
-    """Rows of ``counts`` (with a column ``n`` summing to ``total``) holding over 1/parts of it.
+# A group of more rows than this is split up wherever it would meet in one task.
+GROUP_ROWS = 500_000
 
-    At most ``parts`` rows can do so, whatever the data: the result is small
-    enough to broadcast by construction.
+
+def heavy_cut(total: int) -> int:
+    """Rows from which a key counts as heavy: over 1/1000 of ``total``, or over GROUP_ROWS.
+
+    At most max(1000, total / GROUP_ROWS) keys can be that frequent, whatever the
+    data: a table of them is small enough to broadcast by construction.
     """
-    return counts.filter(F.col("n") > F.lit(max(1, total // parts)))
+    return max(1, min(total // 1000, GROUP_ROWS))
+
+
+def heavy_values(counts: DataFrame, total: int) -> DataFrame:
+    """Rows of ``counts`` whose ``n`` (summing to ``total``) is over the cut."""
+    return counts.filter(F.col("n") > heavy_cut(total))
 
 
 def spread_join(left: DataFrame, right: DataFrame, on: str, n: str, total: int) -> DataFrame:
     """Inner join of ``left`` with ``right``, whose ``on`` is unique and whose column ``n`` says how many left rows match.
 
-    Keys with over 1/1000 of ``total`` left rows (at most 1000 keys) are broadcast,
-    so that their rows stay where they are; the rest is left to Spark's join.
+    Heavy keys (see ``heavy_cut``) are broadcast, so that their rows stay where
+    they are; the rest is left to Spark's join.
     """
-    cut = max(1, total // 1000)
+    cut = heavy_cut(total)
     heavy = F.broadcast(right.filter(F.col(n) > cut).drop(n))
     light = right.filter(F.col(n) <= cut).drop(n)
     return left.join(heavy, on).unionByName(left.join(heavy.select(on), on, "left_anti").join(light, on))

@@ -6,9 +6,10 @@ streamed in that order: where the document changes a new document is counted,
 and the run's first line is its first occurrence. What comes back per document
 is a run-length coded keep bitmap, not text.
 
-Hashes that hold over 1/1000 of all lines (at most 1000 of them, whatever the
-data) would make long runs in one task. They are counted by a map-side combined
-aggregate instead and reach their lines by a broadcast of at most 1000 rows.
+Hashes that hold over 1/1000 of all lines, or over 500,000, would make long
+runs in one task. There are few of them by construction (``heavy_cut``). They
+are counted by a map-side combined aggregate instead and reach their lines by a
+broadcast.
 
 A line's key is the line without ``[\\x20\\x09-\\x0D]`` at both ends and with
 A-Z lower-cased; keys shorter than ``min_chars`` code points are never dropped.
@@ -65,7 +66,7 @@ def mark_heavy(lines: DataFrame, heavy: DataFrame) -> DataFrame:
     per_doc = own.groupBy("h1", "h2", *DOC).agg(F.min("pos").alias("pos"))
     stats = per_doc.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n_docs"),
                                             F.min(F.struct(*DOC, "pos")).alias("first"))
-    # one row per heavy hash, so at most 1000 rows
+    # one row per heavy hash: few by construction
     return own.join(F.broadcast(stats), ["h1", "h2"]).select(
         *DOC, "pos", "n_docs", F.struct(*DOC, "pos").eqNullSafe(F.col("first")).alias("is_first"))
 

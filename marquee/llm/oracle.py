@@ -1,5 +1,7 @@
 """DuckDB SQL of the queries that SQL can express, written from their definitions, not from the operators."""
 
+from marquee.llm.mixing import MixParams, constants
+
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 OP1 = """
@@ -137,5 +139,89 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
-ORACLES = {"op1_kdtree_topk": OP1, "op4_line_dedup": OP4, "op5_warc": OP5, "op6_url_filter": OP6,
+
+def _mix_hash(v: str, a: int, b: int) -> str:
+    p = 2147483647
+    x = f"((((({v}) % {p}) + {p}) % {p}) * {a} + {b}) % {p}"
+    return f"((((({x}) * 40503) >> 7) % {p}) * {b} + {a}) % {p}"
+
+
+def _mixing_sql() -> str:
+    """The mix in whole: targets, draws, permutations and taken words.
+
+    Bucketed running sums are one plain running sum here; the permutation's
+    rounds are chained CTEs. The hash's constants are parameters of the mix.
+    """
+    p = MixParams()
+    rounds, last = [], "p0"
+    for r in range(p.rounds):
+        ka, kb = constants(p.seed, 2 * r)
+        ba, bb = constants(p.seed, 2 * r + 1)
+        rounds.append(f"""q{r} AS (SELECT *, ((({_mix_hash('key', ka, kb)} - x) % n_blocks) + n_blocks) % n_blocks AS y FROM {last}),
+p{r + 1} AS (SELECT * EXCLUDE (x, y), CASE WHEN (({_mix_hash('greatest(x, y) + key * 65537', ba, bb)}) >> 10) & 1 = 1
+  THEN y ELSE x END AS x FROM q{r})""")
+        last = f"p{r + 1}"
+    n, m, k = p.block_words, p.shard_slots, p.max_epochs
+    return f"""
+WITH sizes AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size FROM documents),
+ranked AS (
+  SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank, {k} * source_size AS cap
+  FROM (SELECT source, count(*) AS docs, sum(size)::BIGINT AS source_size FROM sizes GROUP BY source)),
+weighed AS (SELECT *, {list(p.weights)}[(rank % {len(p.weights)} + 1)::INTEGER]::BIGINT AS weight FROM ranked),
+filled AS (
+  SELECT *, cap * sum(weight) OVER (ORDER BY cap / weight, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+    <= (sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY cap / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+       * weight AS is_full
+  FROM weighed),
+targets AS (
+  SELECT source, rank, docs, source_size, CASE WHEN is_full THEN cap::DOUBLE ELSE
+    ((sum(source_size) OVER () - sum(CASE WHEN is_full THEN cap ELSE 0 END) OVER ()) * weight)::DOUBLE
+    / (sum(CASE WHEN is_full THEN 0 ELSE weight END) OVER ())::DOUBLE END AS target FROM filled),
+wants AS (
+  SELECT rank, (source_size + {n - 1}) // {n} AS n_blocks, target * ((source_size + {n - 1}) // {n}) / source_size AS want
+  FROM targets WHERE source_size > 0),
+quotas AS (SELECT *, ceil(round(sum(want) OVER (), 3))::BIGINT AS slots FROM wants),
+grid0 AS (SELECT *, unnest(range(0, (slots - 1) // {m} + 1)) AS shard FROM quotas),
+grid1 AS (SELECT *, least({m}, slots - shard * {m}) AS in_shard FROM grid0),
+grid2 AS (SELECT *, want * in_shard / slots AS expect FROM grid1),
+grid3 AS (SELECT *, floor(expect + 1e-9::DOUBLE)::BIGINT AS sure FROM grid2),
+grid4 AS (SELECT *, greatest(0, floor((expect - sure) * 1048576))::BIGINT AS ticks FROM grid3),
+grid AS (
+  SELECT *, (in_shard - sum(sure) OVER (PARTITION BY shard))::BIGINT AS rest, (sum(ticks) OVER (PARTITION BY shard))::BIGINT AS all_ticks,
+         coalesce(sum(ticks) OVER (PARTITION BY shard ORDER BY rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS low
+  FROM grid4),
+spare0 AS (
+  SELECT shard, all_ticks, unnest(range(0, rest)) AS draw
+  FROM (SELECT DISTINCT shard, rest, all_ticks FROM grid WHERE all_ticks > 0 AND rest > 0)),
+spare AS (SELECT shard, ({_mix_hash('shard * 4099 + draw', *constants(p.seed, 901))}) % all_ticks AS u FROM spare0),
+drawn AS (
+  SELECT g.shard, g.rank, count(*) AS extra FROM spare s JOIN grid g ON g.shard = s.shard AND u >= low AND u < low + ticks
+  GROUP BY g.shard, g.rank),
+counts AS (
+  SELECT g.rank, n_blocks, g.shard, sure + coalesce(extra, 0) AS n FROM grid g LEFT JOIN drawn d ON d.shard = g.shard AND d.rank = g.rank),
+firsts AS (
+  SELECT *, coalesce(sum(n) OVER (PARTITION BY rank ORDER BY shard ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS f FROM counts),
+slots AS (SELECT rank, n_blocks, unnest(range(f, f + n)) AS j FROM firsts WHERE n > 0),
+p0 AS (SELECT rank, n_blocks, rank * 1009 + (j // n_blocks) * 31 AS key, j % n_blocks AS x FROM slots WHERE j < n_blocks * {k}),
+{", ".join(rounds)},
+reads AS (SELECT rank, x AS block, count(*) AS times FROM {last} GROUP BY rank, x),
+dealt AS (
+  SELECT doc_id, rank, size, ({_mix_hash('coalesce(doc_id, 0)', *constants(p.seed, 900))}) % greatest(1, (docs + {p.bucket_rows - 1}) // {p.bucket_rows}) AS bucket
+  FROM sizes s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source WHERE size > 0),
+placed AS (
+  SELECT *, (sum(size) OVER (PARTITION BY rank ORDER BY bucket, doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING) - size)::BIGINT AS start FROM dealt),
+pieces AS (SELECT *, unnest(range(start // {n}, (start + size - 1) // {n} + 1)) AS block FROM placed),
+taken AS (
+  SELECT p.rank, start, doc_id, size, sum((least(start + size, (p.block + 1) * {n}) - greatest(start, p.block * {n})) * coalesce(times, 0))::BIGINT AS taken
+  FROM pieces p LEFT JOIN reads r ON r.rank = p.rank AND r.block = p.block GROUP BY p.rank, start, doc_id, size)
+SELECT doc_id, size, source_size, target, taken FROM taken JOIN targets USING (rank)
+UNION ALL
+SELECT doc_id, size, source_size, target, 0 FROM sizes s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source WHERE size = 0
+"""
+
+
+OP3 = _mixing_sql()
+
+ORACLES = {"op1_kdtree_topk": OP1, "op3_mixing": OP3, "op4_line_dedup": OP4, "op5_warc": OP5, "op6_url_filter": OP6,
            "op7_chat_format": OP7, "op9_decontamination": OP9}

@@ -9,9 +9,9 @@ a beta prior, root -> suffix -> domain -> host; how strongly is estimated per
 level from the spread of its groups (beta-binomial moments). A host is blocked
 where the lower bound of its posterior bad rate exceeds ``max_bad``.
 
-Counts combine before the shuffle. Hosts with over 1/1000 of the pages (at most
-1000) meet their pages by a broadcast, the others by a shuffle join, so a host
-with a third of the pages stays spread over all tasks.
+Counts combine before the shuffle. Heavy hosts (few by construction, see
+``common.heavy_cut``) meet their pages by a broadcast, the others by a shuffle
+join, so a host with a third of the pages stays spread over all tasks.
 
 Null urls and urls without ``://`` have an empty host and path, and the
 reputation of the empty host. Outcomes of unknown pages count nothing; several

@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 
 from marquee.llm.common import prepare
 from marquee.session import scratch_path
+from marquee.storage import remove_older
 
 # Fixed values of the format.
 MAGIC = b"WARC/1.1\r\n"
@@ -246,6 +247,7 @@ def page_of(record_id: Column) -> Column:
     return F.regexp_extract(record_id, r"urn:page:([^>]*)>", 1).try_cast("bigint")
 
 
-def archive_folder(spark: SparkSession) -> str:
-    """A new folder for archives under the shared checkpoint folder."""
+def archive_folder(spark: SparkSession, hours: float = 24.0) -> str:
+    """A new folder for archives under the shared checkpoint folder; those ``hours`` old are cleared."""
+    remove_older(spark, scratch_path(spark, "llm", "warc"), hours)
     return scratch_path(spark, "llm", "warc", unique=True)
