@@ -55,9 +55,11 @@ def mark_runs(lines: DataFrame) -> DataFrame:
     order = run.orderBy(*DOC, "pos")
     last = F.lag(F.struct(*DOC)).over(order)
     opened = F.when(last.isNull() | ~last.eqNullSafe(F.struct(*DOC)), 1).otherwise(0)
-    return (ranged.withColumn("opened", opened).withColumn("nth", F.row_number().over(order))
+    # rows repeated in the table stand side by side here: one document, and all of them first
+    first = F.first(F.struct(*DOC, "pos")).over(order)
+    return (ranged.withColumn("opened", opened).withColumn("is_first", F.struct(*DOC, "pos").eqNullSafe(first))
             .withColumn("n_docs", F.sum("opened").over(run))
-            .select(*DOC, "pos", "n_docs", (F.col("nth") == 1).alias("is_first")))
+            .select(*DOC, "pos", "n_docs", "is_first"))
 
 
 def mark_heavy(lines: DataFrame, heavy: DataFrame) -> DataFrame:
@@ -73,7 +75,7 @@ def mark_heavy(lines: DataFrame, heavy: DataFrame) -> DataFrame:
 
 def dropped_lines(docs: DataFrame, min_docs: int, min_chars: int, keep_first: bool) -> DataFrame:
     """(doc_id, text_hash, dropped): sorted positions of each document's dropped lines."""
-    lines = line_hashes(docs, min_chars).distinct().checkpoint()
+    lines = line_hashes(docs, min_chars).checkpoint()
     total = lines.count()
     counts = lines.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"))
     heavy = heavy_values(counts, total).select("h1", "h2").checkpoint()
@@ -112,8 +114,10 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1,
     """
     gone = line_bitmaps(docs, min_docs, min_chars, keep_first).select(
         F.col("doc_id").alias("g_id"), F.col("text_hash").alias("g_hash"), "dropped")
-    others = [f"`{c}`" for c in docs.columns if c not in ADDED]
-    own = document_key(docs.select("doc_id", F.col("text").alias("text"), F.struct(*others).alias("row")))
+    kept_columns = [c for c in docs.columns if c not in ADDED]
+    # other columns travel in a struct, so that none of their names can clash; the text travels once
+    others = F.struct(*[f"`{c}`" for c in kept_columns if c != "text"])
+    own = document_key(docs.select("doc_id", F.col("text").alias("text"), others.alias("row")))
     lines = text_lines(F.col("text"))
     out = (own.join(gone, F.col("doc_id").eqNullSafe(F.col("g_id")) & (F.col("text_hash") == F.col("g_hash")), "left")
            .select("row", "text", F.size(lines).alias("n_lines"),
@@ -122,4 +126,5 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1,
            .withColumn("keep_runs", keep_runs(F.col("dropped"), F.col("n_lines"))))
     kept = F.array_join(F.flatten(F.transform("keep_runs", lambda r: F.slice(lines, r["start"] + 1, r["length"]))), "\n")
     kept = F.when(F.col("n_dropped") == 0, F.coalesce(F.col("text"), F.lit(""))).otherwise(kept)
-    return out.select("row.*", "n_lines", "n_dropped", "keep_runs", kept.alias("kept_text"))
+    return out.select(*[F.col("text") if c == "text" else F.col(f"row.`{c}`") for c in kept_columns],
+                      "n_lines", "n_dropped", "keep_runs", kept.alias("kept_text"))
