@@ -217,7 +217,8 @@ def mix_slots(targets: DataFrame, p: MixParams) -> DataFrame:
     A source's slots beyond ``max_epochs`` passes stay empty: no block is read
     more often than that.
     """
-    draws = shard_draws(slot_quotas(targets, p), p).filter("count > 0")
+    # few rows that become many: spread them first
+    draws = shard_draws(slot_quotas(targets, p), p).filter("count > 0").repartition("rank", "shard")
     slots = (draws.select("rank", "n_blocks", "shard",
                           F.explode(F.expr("sequence(first, first + count - 1)")).alias("j"))
              .filter(F.col("j") < F.col("n_blocks") * p.max_epochs))
@@ -239,7 +240,8 @@ def mix(docs: DataFrame, p: MixParams = MixParams()) -> DataFrame:
     sizes, targets = measured(docs, p)
     pieces = blocks(token_offsets(sizes, targets, p), p)
     names = targets.select("rank", "source")
-    return (mix_slots(targets, p).join(pieces, ["rank", "block"]).join(names, "rank")
+    # slots grow with the corpus but look small to the planner before they are unfolded: no broadcast
+    return (mix_slots(targets, p).hint("merge").join(pieces, ["rank", "block"]).join(names, "rank")
             .select("shard", "slot", "source", "block", "doc_id", "skip", "words"))
 
 
@@ -252,7 +254,8 @@ def mix_report(docs: DataFrame, p: MixParams = MixParams()) -> DataFrame:
     sizes, targets = measured(docs, p)
     offsets = token_offsets(sizes, targets, p)
     reads = mix_slots(targets, p).groupBy("rank", "block").agg(F.count(F.lit(1)).alias("times"))
-    taken = (blocks(offsets, p).join(reads, ["rank", "block"], "left")
+    # reads grow with the corpus but look small to the planner before they are unfolded: no broadcast
+    taken = (blocks(offsets, p).join(reads.hint("merge"), ["rank", "block"], "left")
              .groupBy("rank", "start", "doc_id", "size")
              .agg(F.sum(F.col("words") * F.coalesce(F.col("times"), F.lit(0))).alias("taken")))
     src = targets.select("source", "rank", "source_size", "target")
