@@ -42,11 +42,6 @@ def held_out_fold(doc_id: Column, modulus: int, remainder: int) -> Column:
                   F.lit(modulus)) == remainder
 
 
-def keep_columns(df: DataFrame, names: list[str]) -> DataFrame:
-    """Only the named columns, whatever else (or however clashing) the table carries."""
-    return df.select(*[F.col(f"`{n}`") for n in names])
-
-
 # A group of more rows than this is split up wherever it would meet in one task.
 GROUP_ROWS = 500_000
 

@@ -40,12 +40,13 @@ def document_key(df: DataFrame) -> DataFrame:
 
 
 def line_hashes(docs: DataFrame, min_chars: int) -> DataFrame:
-    """(doc_id, text_hash, pos, h1, h2) of every line whose key is long enough."""
-    lines = document_key(docs.select("doc_id", "text")).select(*DOC, F.posexplode(text_lines(F.col("text"))).alias("pos", "line"))
-    keys = lines.select(*DOC, "pos", lower_ascii(F.btrim("line", F.lit(BLANKS))).alias("key"))
+    """(doc_id, text_hash, n_lines, pos, h1, h2) of every line whose key is long enough."""
+    own = document_key(docs.select("doc_id", "text")).select(*DOC, text_lines(F.col("text")).alias("lines"))
+    lines = own.select(*DOC, F.size("lines").alias("n_lines"), F.posexplode("lines").alias("pos", "line"))
+    keys = lines.select(*DOC, "n_lines", "pos", lower_ascii(F.btrim("line", F.lit(BLANKS))).alias("key"))
     h1, h2 = hash128(F.col("key"))
     return (keys.filter(F.char_length("key") >= max(1, min_chars))
-            .select(*DOC, "pos", h1.alias("h1"), h2.alias("h2")))
+            .select(*DOC, "n_lines", "pos", h1.alias("h1"), h2.alias("h2")))
 
 
 def mark_runs(lines: DataFrame) -> DataFrame:
@@ -59,7 +60,7 @@ def mark_runs(lines: DataFrame) -> DataFrame:
     first = F.first(F.struct(*DOC, "pos")).over(order)
     return (ranged.withColumn("opened", opened).withColumn("is_first", F.struct(*DOC, "pos").eqNullSafe(first))
             .withColumn("n_docs", F.sum("opened").over(run))
-            .select(*DOC, "pos", "n_docs", "is_first"))
+            .select(*DOC, "n_lines", "pos", "n_docs", "is_first"))
 
 
 def mark_heavy(lines: DataFrame, heavy: DataFrame) -> DataFrame:
@@ -70,21 +71,7 @@ def mark_heavy(lines: DataFrame, heavy: DataFrame) -> DataFrame:
                                             F.min(F.struct(*DOC, "pos")).alias("first"))
     # one row per heavy hash: few by construction
     return own.join(F.broadcast(stats), ["h1", "h2"]).select(
-        *DOC, "pos", "n_docs", F.struct(*DOC, "pos").eqNullSafe(F.col("first")).alias("is_first"))
-
-
-def dropped_lines(docs: DataFrame, min_docs: int, min_chars: int, keep_first: bool) -> DataFrame:
-    """(doc_id, text_hash, dropped): sorted positions of each document's dropped lines."""
-    lines = line_hashes(docs, min_chars).checkpoint()
-    total = lines.count()
-    counts = lines.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"))
-    heavy = heavy_values(counts, total).select("h1", "h2").checkpoint()
-    marked = (mark_runs(lines.join(F.broadcast(heavy), ["h1", "h2"], "left_anti"))
-              .unionByName(mark_heavy(lines, heavy)))
-    drop = F.col("n_docs") >= min_docs
-    if keep_first:
-        drop = drop & ~F.col("is_first")
-    return marked.filter(drop).groupBy(*DOC).agg(F.array_sort(F.collect_set("pos")).alias("dropped"))
+        *DOC, "n_lines", "pos", "n_docs", F.struct(*DOC, "pos").eqNullSafe(F.col("first")).alias("is_first"))
 
 
 def keep_runs(dropped: Column, n_lines: Column) -> Column:
@@ -98,8 +85,24 @@ def keep_runs(dropped: Column, n_lines: Column) -> Column:
 
 def line_bitmaps(docs: DataFrame, min_docs: int = 10, min_chars: int = 1,
                  keep_first: bool = False) -> DataFrame:
-    """Per dropped-from document: doc_id, text_hash, dropped positions. ``keep_first`` spares first occurrences."""
-    return dropped_lines(docs, min_docs, min_chars, keep_first)
+    """The keep bitmap of every document that loses lines: doc_id, text_hash, n_lines, n_dropped, keep_runs.
+
+    Lines whose key at least ``min_docs`` documents have go; ``keep_first`` spares
+    the first occurrence of each. A document that keeps all lines has no row.
+    """
+    lines = line_hashes(docs, min_chars).checkpoint()
+    total = lines.count()
+    counts = lines.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"))
+    heavy = heavy_values(counts, total).select("h1", "h2").checkpoint()
+    marked = (mark_runs(lines.join(F.broadcast(heavy), ["h1", "h2"], "left_anti"))
+              .unionByName(mark_heavy(lines, heavy)))
+    drop = F.col("n_docs") >= min_docs
+    if keep_first:
+        drop = drop & ~F.col("is_first")
+    gone = marked.filter(drop).groupBy(*DOC).agg(F.max("n_lines").alias("n_lines"),
+                                                 F.array_sort(F.collect_set("pos")).alias("dropped"))
+    return gone.select(*DOC, "n_lines", F.size("dropped").alias("n_dropped"),
+                       keep_runs(F.col("dropped"), F.col("n_lines")).alias("keep_runs"))
 
 
 ADDED = ("n_lines", "n_dropped", "keep_runs", "kept_text")
@@ -112,18 +115,17 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1,
     Rows, their number and every other column stay as they are; a column that
     has one of the added names is replaced.
     """
-    gone = line_bitmaps(docs, min_docs, min_chars, keep_first).select(
-        F.col("doc_id").alias("g_id"), F.col("text_hash").alias("g_hash"), "dropped")
+    maps = line_bitmaps(docs, min_docs, min_chars, keep_first).select(
+        F.col("doc_id").alias("g_id"), F.col("text_hash").alias("g_hash"), "n_dropped", "keep_runs")
     kept_columns = [c for c in docs.columns if c not in ADDED]
     # other columns travel in a struct, so that none of their names can clash; the text travels once
     others = F.struct(*[f"`{c}`" for c in kept_columns if c != "text"])
     own = document_key(docs.select("doc_id", F.col("text").alias("text"), others.alias("row")))
     lines = text_lines(F.col("text"))
-    out = (own.join(gone, F.col("doc_id").eqNullSafe(F.col("g_id")) & (F.col("text_hash") == F.col("g_hash")), "left")
-           .select("row", "text", F.size(lines).alias("n_lines"),
-                   F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped"))
-           .withColumn("n_dropped", F.size("dropped"))
-           .withColumn("keep_runs", keep_runs(F.col("dropped"), F.col("n_lines"))))
+    whole = F.array(F.struct(F.lit(0).alias("start"), F.col("n_lines").alias("length")))
+    out = (own.join(maps, F.col("doc_id").eqNullSafe(F.col("g_id")) & (F.col("text_hash") == F.col("g_hash")), "left")
+           .select("row", "text", F.size(lines).alias("n_lines"), F.coalesce("n_dropped", F.lit(0)).alias("n_dropped"), "keep_runs")
+           .withColumn("keep_runs", F.coalesce("keep_runs", whole)))
     kept = F.array_join(F.flatten(F.transform("keep_runs", lambda r: F.slice(lines, r["start"] + 1, r["length"]))), "\n")
     kept = F.when(F.col("n_dropped") == 0, F.coalesce(F.col("text"), F.lit(""))).otherwise(kept)
     return out.select(*[F.col("text") if c == "text" else F.col(f"row.`{c}`") for c in kept_columns],

@@ -37,6 +37,14 @@ def test_line_dedup_keeps_columns_and_first_occurrences(spark, monkeypatch):
     assert line_dedup.dedup_lines(empty_docs(spark)).count() == 0
 
 
+def test_line_bitmaps_code_kept_lines(spark):
+    docs = docs_frame(spark, [(k, "x\nsame\ny%d\nz\nsame" % k, "a") for k in range(4)] + [(9, "alone", "a")])
+    maps = {r.doc_id: (r.n_lines, r.n_dropped, [tuple(x) for x in r.keep_runs]) for r in line_dedup.line_bitmaps(docs, min_docs=3).collect()}
+    assert maps == {k: (5, 4, [(2, 1)]) for k in range(4)}
+    maps = {r.doc_id: (r.n_dropped, [tuple(x) for x in r.keep_runs]) for r in line_dedup.line_bitmaps(docs, 3, keep_first=True).collect()}
+    assert maps == {0: (1, [(0, 4)]), **{k: (4, [(2, 1)]) for k in range(1, 4)}}
+
+
 # --- simhash ----------------------------------------------------------------
 
 def test_simhash_matches_brute_force(spark):
