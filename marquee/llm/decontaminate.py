@@ -48,7 +48,7 @@ FILTER_BITS = 1 << 24
 @dataclass(frozen=True)
 class DeconParams:
     window: int = 10
-    shingle: int = 3
+    shingle: int = 5
     batch_bytes: int = 2 << 20
 
 
