@@ -38,11 +38,11 @@ PRIME = 2147483647
 class MixParams:
     weights: tuple[int, ...] = WEIGHTS
     max_epochs: int = 3
-    block_words: int = 64
+    block_words: int = 32
     shard_slots: int = 16384
     bucket_rows: int = 4096
     seed: int = 20240607
-    rounds: int = 12
+    rounds: int = 10
 
 
 def mix_hash(value: Column, a: Column, b: Column) -> Column:
@@ -190,39 +190,56 @@ def shard_draws(quotas: DataFrame, p: MixParams) -> DataFrame:
             .select("rank", "n_blocks", "shard", "count", "first"))
 
 
-def permuted_index(slots: DataFrame, p: MixParams) -> DataFrame:
-    """Add ``block``: slot number ``j`` through the permutation of its source and pass.
+def permutation_key(rank: Column, epoch: Column) -> Column:
+    return rank.cast("long") * 1009 + epoch * 31
 
-    Swap-or-not: in each round an index x and its partner K - x (mod n) change
-    places or not, by one pseudorandom bit of the larger of the two. The rounds
-    run in one higher-order function, so the plan holds the round once.
-    """
-    n = F.col("n_blocks")
-    rounds = F.array(*[F.struct(*[F.lit(v).cast("long").alias(c) for c, v in zip(
-        ("ka", "kb", "ba", "bb"), (*constants(p.seed, 2 * r), *constants(p.seed, 2 * r + 1)))]) for r in range(p.rounds)])
+
+def permutation_rounds(key: Column, n: Column, p: MixParams) -> Column:
+    """The rounds of one permutation of 0..n-1: per round (k, a, b), all that does not depend on the index."""
+    return F.array(*[F.struct(
+        F.pmod(mix_hash(key, *(F.lit(v).cast("long") for v in constants(p.seed, 2 * r))), n).alias("k"),
+        F.lit(constants(p.seed, 2 * r + 1)[0]).cast("long").alias("a"),
+        mix_hash(key, *(F.lit(v).cast("long") for v in constants(p.seed, 2 * r + 1))).alias("b")) for r in range(p.rounds)])
+
+
+def permute(index: Column, n: Column, rounds: Column) -> Column:
+    """Swap-or-not: in each round an index x and its partner k - x (mod n) change
+    places or not, by one pseudorandom bit of the larger of the two."""
+    prime, one = F.lit(PRIME).cast("long"), F.lit(1).cast("long")
 
     def swap(x: Column, r: Column) -> Column:
-        partner = F.pmod(mix_hash(F.col("key"), r["ka"], r["kb"]) - x, n)
-        bit = F.shiftright(mix_hash(F.greatest(x, partner) + F.col("key") * 65537, r["ba"], r["bb"]), 10).bitwiseAND(F.lit(1).cast("long"))
-        return F.when(bit == 1, partner).otherwise(x)
+        partner = F.pmod(r["k"] - x, n)
+        top = F.pmod(F.greatest(x, partner), prime)
+        bit = F.shiftright(F.pmod(top * r["a"] + r["b"], prime), 10).bitwiseAND(one)
+        return F.when(bit == one, partner).otherwise(x)
 
-    return (slots.withColumn("pass", F.floor(F.col("j") / n))
-            .withColumn("key", F.col("rank").cast("long") * 1009 + F.col("pass") * 31)
-            .withColumn("block", F.aggregate(rounds, F.pmod(F.col("j"), n), swap)).drop("key"))
+    return F.aggregate(rounds, index, swap)
 
 
 def mix_slots(targets: DataFrame, p: MixParams) -> DataFrame:
     """(rank, shard, slot, pass, block): every output slot and the block it reads.
 
-    A source's slots beyond ``max_epochs`` passes stay empty: no block is read
+    Slot j of a source reads block ``perm(j mod n_blocks)`` of pass ``j div
+    n_blocks``. Slots beyond ``max_epochs`` passes stay empty: no block is read
     more often than that.
     """
-    # few rows that become many: spread them first
-    draws = shard_draws(slot_quotas(targets, p), p).filter("count > 0").repartition("rank", "shard")
-    slots = (draws.select("rank", "n_blocks", "shard",
-                          F.explode(F.expr("sequence(first, first + count - 1)")).alias("j"))
-             .filter(F.col("j") < F.col("n_blocks") * p.max_epochs))
-    return permuted_index(slots, p).select("rank", "shard", F.col("j").alias("slot"), "pass", "block")
+    # few rows that become many: spread them first, over a stated number of tasks, as
+    # adaptive execution would put rows this small into one
+    tasks = int(targets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = F.col("n_blocks")
+    last = F.least(F.col("first") + F.col("count"), (F.col("pass") + 1) * n) - 1
+    parts = (shard_draws(slot_quotas(targets, p), p).filter("count > 0")
+             .withColumn("pass", F.explode(F.array(*[F.lit(e).cast("long") for e in range(p.max_epochs)])))
+             .select("rank", "shard", "n_blocks", "pass", F.greatest(F.col("first"), F.col("pass") * n).alias("lo"), last.alias("hi"))
+             .filter("lo <= hi").repartition(tasks, "rank", "shard", "pass"))
+    # Checkpointed (a row per source, shard and pass), as the optimiser would else compute the
+    # rounds anew for every slot; and unfolded by an outer generator, as it would put a filter on
+    # the permuted array below any other and compute it twice. No array is empty here.
+    rounds = permutation_rounds(permutation_key(F.col("rank"), F.col("pass")), n, p)
+    parts = parts.withColumn("rounds", rounds).checkpoint()
+    blocks = F.transform(F.sequence("lo", "hi"), lambda j: permute(j - F.col("pass") * n, n, F.col("rounds")))
+    return (parts.select("rank", "shard", "pass", "lo", F.posexplode_outer(blocks).alias("nth", "block"))
+            .select("rank", "shard", (F.col("lo") + F.col("nth")).alias("slot"), "pass", "block"))
 
 
 def measured(docs: DataFrame, p: MixParams) -> tuple[DataFrame, DataFrame]:

@@ -157,8 +157,8 @@ def _mixing_sql() -> str:
     for r in range(p.rounds):
         ka, kb = constants(p.seed, 2 * r)
         ba, bb = constants(p.seed, 2 * r + 1)
-        rounds.append(f"""q{r} AS (SELECT *, ((({_mix_hash('key', ka, kb)} - x) % n_blocks) + n_blocks) % n_blocks AS y FROM {last}),
-p{r + 1} AS (SELECT * EXCLUDE (x, y), CASE WHEN (({_mix_hash('greatest(x, y) + key * 65537', ba, bb)}) >> 10) & 1 = 1
+        rounds.append(f"""q{r} AS (SELECT *, ((({_mix_hash('key', ka, kb)}) % n_blocks - x) % n_blocks + n_blocks) % n_blocks AS y FROM {last}),
+p{r + 1} AS (SELECT * EXCLUDE (x, y), CASE WHEN ((((greatest(x, y) % 2147483647) * {ba} + {_mix_hash('key', ba, bb)}) % 2147483647) >> 10) & 1 = 1
   THEN y ELSE x END AS x FROM q{r})""")
         last = f"p{r + 1}"
     n, m, k = p.block_words, p.shard_slots, p.max_epochs

@@ -153,17 +153,22 @@ def test_targets_match_repeated_sharing(spark):
         assert got == pytest.approx(brute.targets(sizes)), (trial, sizes)
 
 
+def permuted(spark, n, epoch, rank=2):
+    p, size = mixing.MixParams(), F.lit(n).cast("long")
+    rounds = mixing.permutation_rounds(mixing.permutation_key(F.lit(rank), F.lit(epoch).cast("long")), size, p)
+    rows = spark.range(n).select("id", mixing.permute(F.col("id"), size, rounds).alias("block")).collect()
+    return [r.block for r in sorted(rows, key=lambda r: r.id)]
+
+
 def test_permutation_is_a_bijection_and_shuffles(spark):
-    p = mixing.MixParams()
-    slots = spark.range(3 * 501).select(F.col("id").alias("j"), F.lit(501).cast("long").alias("n_blocks"), F.lit(2).alias("rank"))
-    got = mixing.permuted_index(slots, p).collect()
-    for k in range(3):
-        seq = [r.block for r in sorted(got, key=lambda r: r.j) if getattr(r, "pass") == k]
+    seen = [permuted(spark, 501, epoch) for epoch in range(3)] + [permuted(spark, 501, 0, rank=3)]
+    for seq in seen:
         assert sorted(seq) == list(range(501))
         assert sum(abs(a - b) < 5 for a, b in zip(seq, seq[1:])) < 40
+        assert sum(k == x for k, x in enumerate(seq)) < 10
+    assert len({tuple(s) for s in seen}) == 4
     for n in (1, 2, 3):
-        tiny = spark.range(n).select(F.col("id").alias("j"), F.lit(n).cast("long").alias("n_blocks"), F.lit(0).alias("rank"))
-        assert sorted(r.block for r in mixing.permuted_index(tiny, p).collect()) == list(range(n))
+        assert sorted(permuted(spark, n, 0)) == list(range(n))
 
 
 def test_mix_meets_targets_and_never_exceeds_three_passes(spark):
