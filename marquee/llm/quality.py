@@ -131,7 +131,7 @@ def fit_quality(features: DataFrame, labels: DataFrame, eligible: Column,
     spread[spread < 1e-9] = 1.0
     marked = (labels.filter("quality is not null and doc_id is not null").filter(eligible)
               .groupBy("doc_id").agg(F.min(F.col("quality").cast("int")).alias("quality"))
-              .join(features.select("doc_id").distinct(), "doc_id", "left_semi")
+              .join(features.select("doc_id"), "doc_id", "left_semi")
               .orderBy(F.xxhash64(F.lit(13), "doc_id"), "doc_id").limit(p.max_labelled))
     # at most max_labelled distinct ids; one row of features each
     sample = (features.join(F.broadcast(marked), "doc_id").groupBy("doc_id", "quality")

@@ -170,11 +170,12 @@ def training_sample(docs: DataFrame, labels: DataFrame, eligible: Column, p: Tox
     """
     order = F.xxhash64(F.lit(11), "doc_id")
     pos = (labels.filter("toxic = 1 and doc_id is not null").filter(eligible).select("doc_id").distinct()
-           .join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
+           .join(docs.select("doc_id"), "doc_id", "left_semi")
            .orderBy(order, "doc_id").limit(p.max_positive)
            .select("doc_id", F.explode(F.sequence(F.lit(0), F.lit(p.bags - 1))).alias("bag"), F.lit(True).alias("positive")))
-    unl = (docs.filter("doc_id is not null").filter(eligible).select("doc_id").distinct()
-           .orderBy(order, "doc_id").limit(p.max_unlabelled * p.bags)
+    # the first ids of each task, then of all: no shuffle of every id; ids repeated count once
+    unl = (docs.filter("doc_id is not null").filter(eligible).select("doc_id")
+           .orderBy(order, "doc_id").limit(p.max_unlabelled * p.bags).distinct()
            .select("doc_id", F.pmod(F.xxhash64(F.lit(12), "doc_id"), F.lit(p.bags)).cast("int").alias("bag"),
                    F.lit(False).alias("positive")))
     chosen = pos.unionByName(unl)
