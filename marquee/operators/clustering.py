@@ -240,7 +240,7 @@ def _best_of(features: DataFrame, k: int, restarts: int, seed: int, parallelism:
 
 
 def kmeans_search(features: DataFrame, ks=C.K_RANGE, restarts: int = C.KMEANS_RESTARTS,
-                  seed: int = C.SEED, parallelism: int = 4) -> tuple[DataFrame, dict]:
+                  seed: int = C.SEED, parallelism: int = 8) -> tuple[DataFrame, dict]:
     """For each k: the lowest-cost model over ``restarts`` seeds; its silhouette and cost.
 
     Returns (metrics frame, {k: model}). ``features`` has a ``features`` vector;
@@ -271,7 +271,7 @@ def best_k(metrics: DataFrame) -> DataFrame:
 
 
 def fit_final(df: DataFrame, prep: ClusterPrep, k: int, restarts: int = C.KMEANS_RESTARTS,
-              seed: int = C.SEED, parallelism: int = 4, model=None) -> PipelineModel:
+              seed: int = C.SEED, parallelism: int = 8, model=None) -> PipelineModel:
     """Preprocessing + KMeans(k), best of ``restarts`` seeds, as one PipelineModel.
 
     ``model`` is the search's model for k, if there was a search: the same fits
