@@ -9,8 +9,8 @@ Reading: the files are cut into byte ranges. A task looks for the record magic
 in its range and emits a candidate for each: its offset, and by its
 Content-Length the offset where its successor must begin. Payloads may contain
 the magic, so candidates prove nothing by themselves. Per file, pointer jumping
-from the file's start marks what the chain reaches; only those are records.
-Their payloads are then read by offset, range by range.
+from the file's start marks what the chain reaches; only those are records. A chain
+that does not end where its file ends is an error. Their payloads are then read by offset, range by range.
 
 Archives are opened through pyarrow's file systems (local or mounted folders,
 HDFS, S3, GCS); the listing comes from Spark.
@@ -145,16 +145,39 @@ def header_fields(head: bytes) -> dict[str, str]:
 
 
 def candidates(path: str, start: int, end: int, p: WarcParams) -> Iterator[tuple[int, int]]:
-    """(offset, successor offset) of every well-formed record header that begins in [start, end)."""
+    """(offset, successor offset) of every well-formed record header that begins in [start, end).
+
+    A header is read to its blank line however long it is, ``header_bytes`` beyond the range at first,
+    twice as far each time after. A line that is no field ends the attempt.
+    """
     with open_file(path) as f:
         f.seek(start)
         data = f.read(end - start + p.header_bytes)
         at = data.find(MAGIC)
+        stop, length, length_at, after = -1, b"", -1, -1  # of the lines read last, which end before ``after``
         while 0 <= at < end - start:
-            stop = data.find(BREAK.encode(), at, at + p.header_bytes)
-            length = header_fields(data[at + len(MAGIC):stop + 2]).get("content-length", "") if stop >= 0 else ""
-            if length.isdigit() and len(length) < 19:
-                yield start + at, start + stop + 4 + int(length) + 4
+            if at >= after:  # else its lines are the last ones of those
+                stop, length, length_at, after = -1, b"", -1, at + len(MAGIC)
+                while True:
+                    eol = data.find(b"\r\n", after)
+                    while eol < 0:
+                        seen = len(data)
+                        more = f.read(max(p.header_bytes, seen - at))
+                        if not more:
+                            break
+                        data += more
+                        eol = data.find(b"\r\n", max(after, seen - 1))
+                    line = data[after:eol] if eol >= 0 else b""
+                    if eol == after:
+                        stop = eol
+                    if not line or not (b":" in line or line[:1] in b" \t"):
+                        break
+                    name, _, value = line.partition(b":")
+                    if name.lower() == b"content-length":
+                        length, length_at = value.strip(), after
+                    after = eol + 2
+            if stop >= 0 and at < length_at and length.isdigit() and len(length) < 19:
+                yield start + at, start + stop + 2 + int(length) + 4
             at = data.find(MAGIC, at + 1)
 
 
@@ -186,12 +209,17 @@ def record_offsets(spark: SparkSession, path: str, p: WarcParams) -> DataFrame:
         for b in batches:
             for name, length, start in zip(*(b.column(i).to_pylist() for i in range(3))):
                 got = list(candidates(name, start, min(length, start + p.range_bytes), p))
+                if start + p.range_bytes >= length:
+                    got.append((length, -1))  # the file's end
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([name] * len(got), pa.string()), pa.array([x for x, _ in got], pa.int64()),
                      pa.array([x for _, x in got], pa.int64())], ["path", "offset", "next"])
 
     def chain(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pdf[reachable(pdf["offset"].to_numpy(), pdf["next"].to_numpy())]
+        seen, end = reachable(pdf["offset"].to_numpy(), pdf["next"].to_numpy()), pdf["next"].to_numpy() < 0
+        if not seen[end].all():
+            raise ValueError(f"the records of {pdf['path'].iloc[0]} do not reach its end")
+        return pdf[seen & ~end]
 
     kinds = "path string, offset long, next long"
     # two integers per record: an archive file of millions of records is one small group
@@ -229,7 +257,7 @@ def read_warc(spark: SparkSession, path: str, p: WarcParams = WarcParams(), payl
                     size, digest = len(payload), base64.b32encode(hashlib.sha1(payload).digest()).decode()
                 rows.append((path_, at, fields.get("warc-type"), fields.get("warc-record-id"), fields.get("warc-target-uri"),
                              fields.get("warc-refers-to"), size, digest, payload if payloads else None))
-                held += len(payload or b"") if payloads else 0
+                held += len(head) + (len(payload or b"") if payloads else 0)
                 if held > 8 << 20:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), out.types)], schema=out)
                     held, rows = 0, []

@@ -146,6 +146,28 @@ def test_warc_of_nothing(spark):
     assert warc.read_warc(spark, folder).count() == 0
 
 
+@pytest.mark.parametrize("p", [warc.WarcParams(), warc.WarcParams(range_bytes=777, header_bytes=64)])
+def test_warc_headers_of_any_length(spark, p):
+    magic = "WARC/1.1\r\nA: b\r\n"
+    rows = [(1, "é" * 30_000, "first"), (2, "http://b/" + "x" * 200_000, magic * 40 + "\r\n"), (3, "http://c/", "last" + magic)]
+    folder = warc.archive_folder(spark)
+    warc.write_warc(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), folder, p)
+    got = warc.read_warc(spark, folder, p).withColumn("page_id", warc.page_of(F.col("record_id"))).collect()
+    assert sorted((r.page_id, bytes(r.payload).decode()) for r in got) == [(i, h) for i, _, h in rows]
+    assert {r.page_id: len(r.target) for r in got} == {1: 180_000, 2: 200_009, 3: 9}
+
+
+@pytest.mark.parametrize("cut", ["end", "start"])
+def test_warc_chain_must_reach_the_end(spark, tmp_dir, cut):
+    folder = warc.archive_folder(spark)
+    warc.write_warc(spark.createDataFrame(web_pages(), "page_id long, url string, html string").coalesce(1), folder)
+    raw = bytes(spark.read.format("binaryFile").load(folder).first().content)
+    with open(f"{tmp_dir}/a.warc", "wb") as f:
+        f.write(raw[:-20] if cut == "end" else raw[20:])
+    with pytest.raises(Exception, match="do not reach its end"):
+        warc.read_warc(spark, "file://" + tmp_dir).count()
+
+
 def test_pointer_jumping():
     off = np.array([50, 0, 10, 30, 12, 60])
     nxt = np.array([60, 10, 30, 50, 30, 99])
