@@ -2,15 +2,18 @@
 
 A document's strength is a linear function of its text features. Preference
 pairs (a good document over a bad one) are fitted with the logistic loss on the
-difference of their features. The threshold is a quantile of the scores: the
-level is chosen on the labelled sample, where it parts good from bad best, and
-the score is placed so that this quantile lies at ``threshold_score``.
+difference of their features. The threshold is the point that parts the scores
+of all eligible labelled documents, good from bad, with the fewest mistakes, found
+on a histogram of ``bins`` steps; the score is placed so that it lies at
+``threshold_score``.
 
 Features come from the whole text: shares of capitals, symbols, bars,
 exclamation marks and digits, of words that repeat the word before, of distinct
 words, the mean word length and the length; their means and spreads are taken
 over all documents. The fit reads a bounded sample of labelled rows
-(``max_labelled``, smallest hashes of their ids first) and ``max_pairs`` pairs.
+(``max_labelled``, smallest hashes of their ids first) and ``max_pairs`` pairs;
+the threshold is then taken over every labelled document, by its lowest score
+where its id has several rows.
 
 Null or empty text has all features zero. Null ids are scored, never fitted on.
 Null labels say nothing; of several labels of one document the lowest counts.
@@ -21,7 +24,7 @@ not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from operator import eq
 
@@ -47,6 +50,7 @@ class QualityParams:
     l2: float = 1e-3
     threshold_score: float = 0.7
     seed: int = 17
+    bins: int = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -103,21 +107,38 @@ def fit_pairs(better: np.ndarray, worse: np.ndarray, l2: float) -> np.ndarray:
 
 
 def best_cut(scores: np.ndarray, good: np.ndarray) -> float:
-    """The score quantile that parts good from bad with the fewest mistakes (each class weighed alike).
+    """The point that parts good from bad scores with the fewest mistakes (each class weighed alike)."""
+    order = np.argsort(scores, kind="stable")
+    s, g = scores[order], good[order]
+    return step_cut(s, s, g.astype(np.int64), (~g).astype(np.int64))
+
+
+def step_cut(low: np.ndarray, high: np.ndarray, good: np.ndarray, bad: np.ndarray) -> float:
+    """The same between ascending steps: least and greatest score, number of good and of bad ones of each.
 
     Between the last bad and the first good score it lies nearer the bad one: new
     documents that are good in an unusual way fall between the two.
     """
-    order = np.argsort(scores, kind="stable")
-    s, g = scores[order], good[order]
     # cut before place k: good below it and bad from it on are mistakes
-    wrong = np.concatenate([[0], np.cumsum(g)]) / max(1, g.sum()) + (
-        (~g).sum() - np.concatenate([[0], np.cumsum(~g)])) / max(1, (~g).sum())
+    wrong = np.concatenate([[0], np.cumsum(good)]) / max(1, good.sum()) + (
+        bad.sum() - np.concatenate([[0], np.cumsum(bad)])) / max(1, bad.sum())
     places = np.nonzero(wrong <= wrong.min() + 1e-12)[0]
     k = int(places[0])
     if k == 0:
-        return float(s[0]) - 1.0
-    return float(s[-1]) + 1.0 if k == len(s) else float(0.75 * s[k - 1] + 0.25 * s[k])
+        return float(low[0]) - 1.0
+    return float(high[-1]) + 1.0 if k == len(low) else float(0.75 * high[k - 1] + 0.25 * low[k])
+
+
+def labelled_cut(scored: DataFrame, bins: int) -> float:
+    """``best_cut`` over all rows (s, quality), to a step of 1 / ``bins`` of their range."""
+    low, high = scored.agg(F.min("s"), F.max("s")).first()
+    step = F.floor((F.col("s") - F.lit(low)) * F.lit(bins / max(high - low, 1e-300)))
+    good = F.sum((F.col("quality") >= 1).cast("long"))
+    steps = (scored.groupBy(F.least(step, F.lit(bins - 1)).alias("step"))  # at most ``bins`` rows
+             .agg(F.min("s").alias("low"), F.max("s").alias("high"), good.alias("good"), F.count(F.lit(1)).alias("n")).collect())
+    steps.sort(key=lambda r: r["step"])
+    low, high, good, n = (np.array([r[c] for r in steps]) for c in ("low", "high", "good", "n"))
+    return step_cut(low, high, good, n - good)
 
 
 def fit_quality(features: DataFrame, labels: DataFrame, eligible: Column,
@@ -130,11 +151,11 @@ def fit_quality(features: DataFrame, labels: DataFrame, eligible: Column,
     spread = np.array([stats[f"s{i}"] or 0.0 for i in range(k)])
     spread[spread < 1e-9] = 1.0
     marked = (labels.filter("quality is not null and doc_id is not null").filter(eligible)
-              .groupBy("doc_id").agg(F.min(F.col("quality").cast("int")).alias("quality"))
-              .join(features.select("doc_id"), "doc_id", "left_semi")
-              .orderBy(F.xxhash64(F.lit(13), "doc_id"), "doc_id").limit(p.max_labelled))
+              .groupBy("doc_id").agg(F.min(F.col("quality").cast("int")).alias("quality")))
+    first = (marked.join(features.select("doc_id"), "doc_id", "left_semi")
+             .orderBy(F.xxhash64(F.lit(13), "doc_id"), "doc_id").limit(p.max_labelled))
     # at most max_labelled distinct ids; one row of features each
-    sample = (features.join(F.broadcast(marked), "doc_id").groupBy("doc_id", "quality")
+    sample = (features.join(F.broadcast(first), "doc_id").groupBy("doc_id", "quality")
               .agg(F.min("features").alias("features")).orderBy("doc_id").collect())
     x = (np.array([r["features"] for r in sample]).reshape(-1, k) - mean) / spread
     good = np.array([r["quality"] >= 1 for r in sample], bool)
@@ -143,16 +164,21 @@ def fit_quality(features: DataFrame, labels: DataFrame, eligible: Column,
     rng = np.random.default_rng(p.seed)
     a, b = np.nonzero(good)[0], np.nonzero(~good)[0]
     w = fit_pairs(x[rng.choice(a, p.max_pairs)], x[rng.choice(b, p.max_pairs)], p.l2)
-    s = x @ w
-    return QualityModel(tuple(mean), tuple(spread), tuple(w), best_cut(s, good),
-                        max(float(s.std()) / 2, 1e-9), p.threshold_score)
+    scored = (features.filter("doc_id is not null").select("doc_id", raw_score(F.col("features"), mean, spread, w).alias("s"))
+              .groupBy("doc_id").agg(F.min("s").alias("s")).join(marked, "doc_id").select("s", "quality").checkpoint())
+    return QualityModel(tuple(mean), tuple(spread), tuple(w), labelled_cut(scored, p.bins),
+                        max(float((x @ w).std()) / 2, 1e-9), p.threshold_score)
+
+
+def raw_score(features: Column, mean: Sequence[float], spread: Sequence[float], weights: Sequence[float]) -> Column:
+    return sum((F.lit(float(w)) * (F.get(features, i) - F.lit(float(mu))) / F.lit(float(sd))
+                for i, (mu, sd, w) in enumerate(zip(mean, spread, weights))), F.lit(0.0))
 
 
 def quality_score(features: Column, m: QualityModel | float) -> Column:
     if not isinstance(m, QualityModel):
         return F.lit(float(m))
-    s = sum((F.lit(float(w)) * (F.get(features, i) - F.lit(float(mu))) / F.lit(float(sd))
-             for i, (mu, sd, w) in enumerate(zip(m.mean, m.spread, m.weights))), F.lit(-float(m.cut)))
+    s = raw_score(features, m.mean, m.spread, m.weights) - F.lit(float(m.cut))
     at = float(np.log(m.threshold_score / (1 - m.threshold_score)))
     return 1 / (1 + F.exp(-(s / F.lit(m.scale) + F.lit(at))))
 

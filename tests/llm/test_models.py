@@ -87,3 +87,17 @@ def test_bradley_terry_orders_pairs():
     w = quality.fit_pairs(better, worse, 1e-3)
     assert (better @ w > worse @ w).mean() > 0.8
     assert quality.best_cut(np.array([0.1, 0.2, 0.8, 0.9]), np.array([False, False, True, True])) == pytest.approx(0.35)
+
+
+def test_quality_cut_covers_labels_beyond_the_sample(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(0, 1, (600, len(quality.FEATURES)))
+    good = x[:, 0] + rng.normal(0, 0.8, 600) > 0.5
+    features = spark.createDataFrame([(k, r.tolist()) for k, r in enumerate(x)], "doc_id long, features array<double>")
+    labels = spark.createDataFrame([(k, int(g), 0, "") for k, g in enumerate(good)], LABELS)
+    model = quality.fit_quality(features, labels, F.lit(True), quality.QualityParams(max_labelled=30, max_pairs=500))
+    s = ((x - model.mean) / model.spread) @ model.weights
+    assert model.cut == pytest.approx(quality.best_cut(s, good), abs=1e-6 + 2 * np.ptp(s) / 2 ** 16)
+    coarse = quality.labelled_cut(spark.createDataFrame([(float(k), int(k >= 70)) for k in range(100)], "s double, quality int"), 10)
+    assert coarse == pytest.approx(69.25, abs=0.51)
+    assert quality.labelled_cut(spark.createDataFrame([(2.0, 1), (2.0, 0)], "s double, quality int"), 10) == 1.0
