@@ -166,20 +166,23 @@ def training_sample(docs: DataFrame, labels: DataFrame, eligible: Column, p: Tox
     """(bag, positive, text) of the sampled documents: positives in every bag, unlabelled ones dealt to one.
 
     Ids are chosen first (smallest hashes, so at most the stated numbers); the
-    chosen ids, bounded by the parameters, are broadcast to the documents.
+    chosen ids, bounded by the parameters, are broadcast to the documents. Of the
+    rows that repeat an id the one with the smallest text is taken.
     """
     order = F.xxhash64(F.lit(11), "doc_id")
     pos = (labels.filter("toxic = 1 and doc_id is not null").filter(eligible).select("doc_id").distinct()
            .join(docs.select("doc_id"), "doc_id", "left_semi")
            .orderBy(order, "doc_id").limit(p.max_positive)
            .select("doc_id", F.explode(F.sequence(F.lit(0), F.lit(p.bags - 1))).alias("bag"), F.lit(True).alias("positive")))
-    # the first ids of each task, then of all: no shuffle of every id; ids repeated count once
-    unl = (docs.filter("doc_id is not null").filter(eligible).select("doc_id")
-           .orderBy(order, "doc_id").limit(p.max_unlabelled * p.bags).distinct()
+    # the limit counts ids, not rows; repeated ones combine before the shuffle
+    unl = (docs.filter("doc_id is not null").filter(eligible).select("doc_id").distinct()
+           .orderBy(order, "doc_id").limit(p.max_unlabelled * p.bags)
            .select("doc_id", F.pmod(F.xxhash64(F.lit(12), "doc_id"), F.lit(p.bags)).cast("int").alias("bag"),
                    F.lit(False).alias("positive")))
-    chosen = pos.unionByName(unl)
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("bag", "positive", "text")
+    chosen = pos.unionByName(unl).checkpoint()
+    texts = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id", "left_semi")
+             .groupBy("doc_id").agg(F.min("text").alias("text")))
+    return texts.join(F.broadcast(chosen), "doc_id").select("bag", "positive", "text")
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, eligible: Column, p: ToxicParams = ToxicParams(),

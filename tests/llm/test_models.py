@@ -61,6 +61,18 @@ def test_toxicity_learns_planted_words_and_keeps_columns(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [k for k in range(200) if k % 5]
 
 
+def test_toxicity_sample_counts_documents_not_rows(spark):
+    rows = [(k, f"text {k}", "a") for k in range(100)] * 2 + [(7, f"other {k}", "a") for k in range(300)]
+    labels = spark.createDataFrame([(k, 1, 1, "") for k in range(0, 100, 10)], LABELS)
+    p = toxicity.ToxicParams(max_positive=5, max_unlabelled=20, bags=2)
+    got = toxicity.training_sample(docs_frame(spark, rows), labels, F.lit(True), p).collect()
+    assert len({r.text for r in got if not r.positive}) == sum(not r.positive for r in got) == 40
+    assert sorted(r.bag for r in got if r.positive) == [0] * 5 + [1] * 5
+    p = toxicity.ToxicParams(max_positive=100, max_unlabelled=100, bags=2)
+    got = toxicity.training_sample(docs_frame(spark, rows), labels, F.lit(True), p).collect()
+    assert len(got) == 120 and len({r.text for r in got}) == 100
+
+
 def test_nnpu_turns_round_on_negative_clean_risk():
     """With few unlabelled rows the plain estimate would go below zero; weights stay finite and positives on top."""
     rng = np.random.default_rng(0)
