@@ -15,8 +15,9 @@ A document's features are the words of its whole text and their 4 to 6 byte
 beginnings, hashed. Each counts twice: as occurrences per ``UNIT`` words (short
 texts are eased by ``EASE`` words more) and, where that is no coincidence, as
 occurrences up to ``FEW``, which a long harmless remainder does not dilute. The
-fit keeps features found in at least ``min_share`` of the positives and, by the
-class prior, mostly in positives. The score is the logistic of the weighted sum.
+fit keeps features that are, by the class prior, mostly in positives and found in
+at least ``min_share`` of these or, however rare, in more of them than chance
+explains; of those the ``features`` with the largest mean amount. The score is the logistic of the weighted sum.
 
 Fitting reads a bounded sample (``max_positive`` and ``bags`` times
 ``max_unlabelled`` documents, smallest hashes of their ids first); scoring reads
@@ -115,17 +116,19 @@ def chosen_features(pos: Rows, unl: Rows, prior: float, p: ToxicParams) -> tuple
     The latter need presence that is as pure, and evidence beyond chance: the
     positives times the divergence of the two presence rates (the exponent of
     the chance that so many positives have the feature at the unlabelled rate).
+    The same evidence admits features of less than ``min_share``.
     """
     ids = np.unique(np.concatenate([np.zeros(0, np.int32), *(r[0] for r in (*pos, *unl))]))
     (in_p, mean_p), (in_u, mean_u) = totals(pos, ids), totals(unl, ids)
     purity = prior * mean_p / np.maximum(mean_u, 1e-12)
-    fit = (in_p >= max(2, p.min_share * len(pos))) & (purity >= p.min_purity)
+    a, b = np.minimum(in_p / len(pos), 1 - 1e-9), np.minimum((in_u + 1) / (len(unl) + 1), 1 - 1e-9)
+    evidence = len(pos) * (a * np.log(np.maximum(a, 1e-300) / b) + (1 - a) * np.log((1 - a) / (1 - b)))
+    shown = (a > b) & (evidence >= p.min_evidence)
+    fit = (in_p >= 2) & ((in_p >= p.min_share * len(pos)) | shown) & (purity >= p.min_purity)
     gain = np.where(fit, mean_p, 0)
     best = np.argsort(-gain, kind="stable")[:p.features]
     best = np.sort(best[gain[best] > 0])
-    a, b = np.minimum(in_p[best] / len(pos), 1 - 1e-9), np.minimum((in_u[best] + 1) / (len(unl) + 1), 1 - 1e-9)
-    evidence = len(pos) * (a * np.log(a / b) + (1 - a) * np.log((1 - a) / (1 - b)))
-    return ids[best], (a > b) & (evidence >= p.min_evidence) & (prior * a / b >= p.min_purity)
+    return ids[best], (shown & (prior * a / b >= p.min_purity))[best]
 
 
 def dense(rows: Rows, chosen: np.ndarray, by_count: np.ndarray) -> np.ndarray:

@@ -73,6 +73,18 @@ def test_toxicity_sample_counts_documents_not_rows(spark):
     assert len(got) == 120 and len({r.text for r in got}) == 100
 
 
+def test_toxicity_learns_rare_words_from_many_positives():
+    """A word of 1 % of the positives, ten times rarer elsewhere, is kept; a word of everyone and a single hit are not."""
+    def row(k, every, more=()):
+        f = np.array(sorted({1, *((2,) if every and k % every == 0 else ()), *more}), np.int32)
+        return f, np.ones(len(f), np.int64), 1.0
+
+    pos = [row(k, 100, (9,) if k == 5 else ()) for k in range(3000)]
+    unl = [row(k, 1000) for k in range(4000)]
+    chosen, by_count = toxicity.chosen_features(pos, unl, 0.1, toxicity.ToxicParams())
+    assert chosen.tolist() == [2] and by_count.tolist() == [True]
+
+
 def test_nnpu_turns_round_on_negative_clean_risk():
     """With few unlabelled rows the plain estimate would go below zero; weights stay finite and positives on top."""
     rng = np.random.default_rng(0)
