@@ -227,8 +227,8 @@ def near_links(fps: DataFrame, p: SimHashParams) -> DataFrame:
     return grouped.mapInArrow(run, "a bigint, b bigint")
 
 
-def near_duplicates(docs: DataFrame, p: SimHashParams = SimHashParams()) -> DataFrame:
-    """Per row: doc_id, text_hash, fp (signed long), component_id (smallest doc_id of its component)."""
+def components(docs: DataFrame, p: SimHashParams) -> DataFrame:
+    """Per row: doc_id, text_hash, fp (signed long), component_id (smallest doc_id of its component), root (a fingerprint of it)."""
     prints = fingerprints(docs, p).checkpoint()
     total = prints.count()
     classes = prints.groupBy("fp").agg(F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("n")).checkpoint()
@@ -237,8 +237,13 @@ def near_duplicates(docs: DataFrame, p: SimHashParams = SimHashParams()) -> Data
               .withColumn("root", F.coalesce("root", "fp")).checkpoint())
     comps = placed.groupBy("root").agg(F.min("least_id").alias("component_id"), F.count(F.lit(1)).alias("members")).checkpoint()
     named = spread_join(placed.select("fp", "n", "root"), comps, "root", "members", max(1, total)).checkpoint()
-    return (spread_join(prints, named.select("fp", "component_id", "n"), "fp", "n", max(1, total))
-            .select("doc_id", "text_hash", "fp", "component_id"))
+    return (spread_join(prints, named.select("fp", "component_id", "root", "n"), "fp", "n", max(1, total))
+            .select("doc_id", "text_hash", "fp", "component_id", "root"))
+
+
+def near_duplicates(docs: DataFrame, p: SimHashParams = SimHashParams()) -> DataFrame:
+    """Per row: doc_id, text_hash, fp (signed long), component_id (smallest doc_id of its component)."""
+    return components(docs, p).drop("root")
 
 
 def hex_fingerprint(fp):
@@ -247,11 +252,18 @@ def hex_fingerprint(fp):
 
 
 def drop_near_duplicates(docs: DataFrame, p: SimHashParams = SimHashParams()) -> DataFrame:
-    """The documents without near-duplicates: of every component the rows with its smallest doc_id stay.
+    """One document of every component: the one of the smallest (doc_id, text_hash), null ids last.
 
-    All columns are kept. Rows that share that id stay together; rows whose id is
-    null stay, as no id tells them apart.
+    All columns are kept. Of rows that repeat both any one stays.
     """
-    gone = (near_duplicates(docs, p).filter("doc_id <> component_id").select("doc_id", "text_hash").distinct()
-            .select(F.col("doc_id").alias("g_id"), F.col("text_hash").alias("g_hash")))
-    return docs.join(gone, (docs["doc_id"] == gone["g_id"]) & (text_hash() == gone["g_hash"]), "left_anti")
+    keys = (components(docs, p).groupBy("root", F.col("doc_id").alias("k_id"), F.col("text_hash").alias("k_hash"))
+            .agg(F.count(F.lit(1)).alias("n")).checkpoint())
+    own = F.struct(F.col("k_id").isNull().alias("lost"), "k_id", "k_hash")
+    first = keys.groupBy("root").agg(F.min(own).alias("first"), F.count(F.lit(1)).alias("keys"))
+    kept = spread_join(keys, first, "root", "keys", max(1, keys.count())).withColumn("gone", ~own.eqNullSafe(F.col("first")))
+    # only documents that go and those that come again are joined
+    marks = kept.filter("gone or n > 1").select("k_id", "k_hash", "gone").checkpoint()
+    found = docs.withColumn("k_own", text_hash()).join(
+        marks, F.col("k_own").eqNullSafe(F.col("k_hash")) & docs["doc_id"].eqNullSafe(marks["k_id"]), "left")
+    again = found.filter("not gone").dropDuplicates(["doc_id", "k_own"])
+    return found.filter("gone is null").unionByName(again).drop("k_id", "k_hash", "gone", "k_own")

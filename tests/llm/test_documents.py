@@ -101,6 +101,16 @@ def test_simhash_chunked_buckets_lose_no_link(spark):
     assert brute.components(len(fps), [(at[a], at[b]) for a, b in links]) == brute.components(len(fps), brute.near_links(fps, 4))
 
 
+def test_drop_near_duplicates_counts_null_and_repeated_ids(spark):
+    words = [" ".join(f"w{g}x{j}" for j in range(60)) for g in range(4)]
+    rows = [(None, words[0], "a")] * 3 + [(5, words[0], "a"), (4, words[0], "a"), (4, words[0], "a")]  # 4 stays, once
+    rows += [(None, words[1], "a")] * 2 + [(8, words[2], "a")] * 40 + [(8, words[3], "a")] + [(None, None, "a")] * 2
+    kept = simhash.drop_near_duplicates(docs_frame(spark, rows))
+    assert kept.columns == docs_frame(spark, rows).columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(
+        [(4, words[0]), (None, words[1]), (8, words[2]), (8, words[3]), (None, None)], key=str)
+
+
 def test_drop_near_duplicates_keeps_one_of_each_group(spark):
     rows = [r for r in awkward_docs() if r[0] is not None]
     kept = [r.doc_id for r in simhash.drop_near_duplicates(docs_frame(spark, rows)).collect()]
