@@ -223,5 +223,63 @@ SELECT doc_id, size, source_size, target, 0 FROM sizes s JOIN targets t ON s.sou
 
 OP3 = _mixing_sql()
 
+OP11 = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^ \\x09]+') AS words FROM pieces),
+total AS (SELECT lang, sum(len(words))::BIGINT AS n FROM w GROUP BY lang),
+g AS (
+  SELECT lang, size, array_to_string(words[pos:pos + size - 1], ' ') AS phrase
+  FROM (SELECT lang, words, size, unnest(range(1, len(words) - size + 2)) AS pos
+        FROM w, (SELECT unnest([1, 2, 3, 4]) AS size) WHERE len(words) >= size)),
+f AS (SELECT lang, phrase, size, count(*)::BIGINT AS a FROM g GROUP BY ALL),
+c AS (SELECT *, string_split(phrase, ' ') AS words FROM f WHERE size >= 2 AND a >= 30),
+cuts AS (
+  SELECT c.lang, c.phrase, c.a, k, p1.a AS l, p2.a AS r, (2000000::HUGEINT * c.a) // (p1.a::HUGEINT + p2.a) AS score
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM c) c
+  JOIN f p1 ON p1.lang = c.lang AND p1.phrase = array_to_string(c.words[1:k], ' ')
+  JOIN f p2 ON p2.lang = c.lang AND p2.phrase = array_to_string(c.words[k + 1:], ' ')),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (
+  SELECT lang, a, array_to_string(words[pos:pos + part - 1], ' ') AS phrase
+  FROM (SELECT *, unnest(range(1, size - part + 2)) AS pos FROM (SELECT *, unnest(range(2, size)) AS part FROM c))),
+longer AS (SELECT lang, phrase, max(a) AS a FROM inside GROUP BY ALL),
+kept AS (
+  SELECT b.* FROM best b LEFT JOIN longer ON longer.lang = b.lang AND longer.phrase = b.phrase
+  WHERE coalesce(100::HUGEINT * longer.a < 80::HUGEINT * b.a, true)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
+
+# crc32 by its definition: reflected polynomial 0xEDB88320, one byte and one bit at a time
+_BITS = "list_reduce(list_concat([{0}], range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))"
+_CRC = ("xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(range(1, strlen({0}) + 1), "
+        "lambda j: ascii(substr({0}, j, 1))::BIGINT)), lambda c, b: " + _BITS.format("xor(c, b)") + "), 4294967295)")
+
+OP12 = f"""
+WITH turns AS (
+  SELECT conv_id, list([coalesce(role, ''), coalesce(text, '')] ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS own
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+h AS (SELECT conv_id, own, {_CRC.format("conv_id::VARCHAR")} % 4 AS h FROM turns),
+c AS (SELECT h.conv_id, list_concat(coalesce(base.own, [])[1:h], h.own[h + 1:]) AS seq
+      FROM h LEFT JOIN turns base ON base.conv_id = h.conv_id - h.conv_id % 20),
+m AS (SELECT conv_id, d AS depth, seq[1:d] AS node, d = len(seq) AS ends FROM (SELECT *, unnest(range(0, len(seq) + 1)) AS d FROM c)),
+n AS (SELECT depth, node, min(conv_id) AS conv_id, count(*) AS n_convs,
+             sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256,
+             CASE WHEN depth = 0 THEN 0 ELSE
+               (count(*) - 1) * len(regexp_extract_all(node[depth][2], '[^\\x20\\x09-\\x0D]+')) END AS saved
+      FROM m GROUP BY depth, node),
+k AS (SELECT p.depth, p.node, count(*) AS n_children FROM n p JOIN n x ON x.depth = p.depth + 1 AND x.node[1:p.depth] = p.node GROUP BY ALL),
+a AS (SELECT n.*, coalesce(k.n_children, 0) AS n_children FROM n LEFT JOIN k USING (depth, node)),
+below AS (
+  SELECT depth, node[1:depth] AS node, sum((n_children = 0)::BIGINT)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+  FROM (SELECT node, n_children, saved, unnest(range(0, depth + 1)) AS depth FROM a) GROUP BY ALL)
+SELECT a.conv_id, a.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, a.n_convs, a.n_children, b.n_leaves, b.saved_tokens, a.ends_sha256
+FROM a JOIN below b ON b.depth = a.depth AND b.node = a.node
+LEFT JOIN n p ON p.depth = a.depth - 1 AND p.node = a.node[1:p.depth]
+"""
+
 ORACLES = {"op1_kdtree_topk": OP1, "op3_mixing": OP3, "op4_line_dedup": OP4, "op5_warc": OP5, "op6_url_filter": OP6,
-           "op7_chat_format": OP7, "op9_decontamination": OP9}
+           "op7_chat_format": OP7, "op9_decontamination": OP9,
+           "op11_phrases": OP11, "op12_prefix_trie": OP12}

@@ -11,8 +11,11 @@ from marquee.llm.chat import format_chats
 from marquee.llm.common import held_out_fold, prepare
 from marquee.llm.decontaminate import contamination_report
 from marquee.llm.line_dedup import dedup_lines
+from marquee.llm.minhash import edit_report
 from marquee.llm.mixing import mix_report
 from marquee.llm.oracle import ORACLES
+from marquee.llm.phrases import mine_phrases
+from marquee.llm.prefix_trie import prefix_trie, share_openings, turn_sequences
 from marquee.llm.quality import score_quality
 from marquee.llm.simhash import hex_fingerprint, near_duplicates
 from marquee.llm.topk import top_k
@@ -97,9 +100,24 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(docs).select("doc_id", hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine_phrases(table(spark, sf_dir, "documents", "text", "lang"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = turn_sequences(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+    nodes = prefix_trie(share_openings(turns, every=20, spread=4))
+    return nodes.withColumn("depth", F.col("depth").cast("long"))
+
+
+def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_report(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_kdtree_topk, op2_toxicity, op3_mixing, op4_line_dedup, op5_warc, op6_url_filter,
-                                    op7_chat_format, op8_quality, op9_decontamination, op10_simhash)}
+                                    op7_chat_format, op8_quality, op9_decontamination, op10_simhash, op11_phrases,
+                                    op12_prefix_trie, op13_minhash)}
 
 
 def oracle_sql() -> dict[str, str]:
