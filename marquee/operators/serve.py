@@ -1,18 +1,19 @@
 """Serving queries over the curated table: lookups, listings, dashboard data.
 
 Filters are plain predicates on the curated columns, so they reach the
-parquet scan as pushed filters (row-group skipping on ``id_pelicula`` and
-``clasificacion_edad_local``).
+parquet scan as pushed filters. On a stored version the file index narrows the
+scan first: a lookup opens the one file whose id range holds the id, a page of
+the listing the files that hold its places, a class the files that have it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.config import (CRITICAL_ALERT_PATTERN, DEFAULT_CONFIG, HIGHLIGHT_CRITICAL,
                             HIGHLIGHT_OPPORTUNITY, CatalogConfig)
-from marquee.sources.curated import CURATED_COLUMNS
+from marquee.sources.curated import CURATED_COLUMNS, file_index
 
 OPERATIONAL_COLUMNS = ("id_pelicula", "titulo", "clasificacion_edad_local",
                        "reproducciones_mensuales", "popularidad_api", "alerta_accion")
@@ -28,6 +29,57 @@ def film_by_id(curated: DataFrame, film_id: int) -> DataFrame:
     return curated.select(*CURATED_COLUMNS).where(F.col("id_pelicula") == F.lit(film_id))
 
 
+# Files named one by one in a scan; a selection of more reads the whole version with the filter pushed down.
+MAX_FILES = 2000
+
+
+def indexed_scan(spark: SparkSession, version: str, wanted: Column) -> DataFrame:
+    """The rows of those of a version's files whose index row fits ``wanted``."""
+    whole = spark.read.parquet(version)
+    files = [r["archivo"] for r in file_index(spark, version).filter(wanted).select("archivo").limit(MAX_FILES + 1).collect()]
+    if len(files) > MAX_FILES:
+        return whole
+    if not files:
+        return whole.limit(0)
+    return spark.read.schema(whole.schema).parquet(*files)
+
+
+def lookup_film(spark: SparkSession, version: str, film_id: int) -> DataFrame:
+    """``film_by_id`` on a stored version: only the file that can hold the id is opened."""
+    return film_by_id(indexed_scan(spark, version, F.lit(film_id).between(F.col("desde"), F.col("hasta"))), film_id)
+
+
+def films_of_class(spark: SparkSession, version: str, age_class: str | None) -> DataFrame:
+    """``by_class`` on a stored version: files without the class are not opened."""
+    if not age_class:
+        return spark.read.parquet(version)
+    return by_class(indexed_scan(spark, version, F.array_contains("clases", age_class)), age_class)
+
+
+def numbered_films(spark: SparkSession, version: str) -> DataFrame:
+    """The listing with its total: every film with ``posicion`` (its place by id, from 1) and ``total_registros``.
+
+    The place is the file's rows before it plus the row's own place in the file,
+    so nothing is sorted or shuffled; the index has one row per file.
+    """
+    return _numbered(file_index(spark, version), spark.read.parquet(version))
+
+
+def film_page(spark: SparkSession, version: str, first: int, rows: int) -> DataFrame:
+    """The listing's rows at places ``first`` to ``first + rows - 1``, in order; only the files that hold them are opened."""
+    last = first + rows - 1
+    holds = (F.col("antes") < last) & (F.col("antes") + F.col("filas") >= first)
+    return (_numbered(file_index(spark, version), indexed_scan(spark, version, holds))
+            .filter(F.col("posicion").between(first, last)).orderBy("posicion"))
+
+
+def _numbered(index: DataFrame, rows: DataFrame) -> DataFrame:
+    places = index.select("archivo", "antes", F.col("total").cast("bigint").alias("total_registros"))
+    own = rows.select(*CURATED_COLUMNS, F.col("_metadata.file_path").alias("archivo"), F.col("_metadata.row_index").alias("fila"))
+    return own.join(places, "archivo").select(
+        *CURATED_COLUMNS, (F.col("antes") + F.col("fila") + 1).cast("bigint").alias("posicion"), "total_registros")
+
+
 def films_json(curated: DataFrame) -> DataFrame:
     """One JSON object per film: nulls kept as null, dates ISO, numbers native."""
     return curated.select(

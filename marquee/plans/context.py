@@ -11,7 +11,7 @@ from marquee.plans.etl import EtlFrames, etl_from_fixtures
 from marquee.session import apply_session_conf, scratch_path
 from marquee.sources.fixtures import Fixtures
 from marquee.sources.tables import Tables
-from marquee.storage import fingerprint, remove_older
+from marquee.storage import fingerprint, hold, remove_older
 
 
 # Tables the ETL derives its sources from.
@@ -23,8 +23,6 @@ INPUTS = ("orders", "part", "customer")
 _LOADED: dict[tuple, str] = {}
 # Models fitted on a loaded version (several queries report on one fit).
 _FITTED: dict[tuple, object] = {}
-# Hours after which another run's landed files are removed.
-LANDING_HOURS = 24.0
 
 
 class QueryContext:
@@ -39,14 +37,14 @@ class QueryContext:
     def etl(self) -> EtlFrames:
         return etl_from_fixtures(self.fixtures)
 
-    def landing(self, kind: str) -> str:
-        """A new landing path of this call alone, under the shared checkpoint folder.
+    def landing(self, *kind: str) -> str:
+        """A new path of this call alone under the shared checkpoint folder, leased as long as the session lives.
 
-        Frames read their landed files lazily, so these stay until they are a
-        day old and some later run clears them.
+        Frames read their landed files lazily, so these stay; folders whose
+        lease has run out are cleared by some later run.
         """
-        remove_older(self.spark, scratch_path(self.spark, "landing", kind), LANDING_HOURS)
-        return scratch_path(self.spark, "landing", kind, unique=True)
+        remove_older(self.spark, scratch_path(self.spark, *kind))
+        return hold(self.spark, scratch_path(self.spark, *kind, unique=True))
 
     def curated_base(self) -> str:
         """The curated table's folder for this data directory."""
@@ -76,7 +74,7 @@ class QueryContext:
         key = self.spark.sparkContext.applicationId, self.data_dir, files
         if key not in _LOADED:
             # a folder of its own: other processes prune versions in theirs
-            base = scratch_path(self.spark, "curated", "served", unique=True)
+            base = self.landing("curated", "served")
             _LOADED[key] = load_curated(self.etl.ruled, base, self.etl.run_ts)
         return _LOADED[key]
 

@@ -411,7 +411,7 @@ union all select 'modelos_releidos', 2""", "ml_split", "curated"))
 def model_outputs(ctx):
     # Fit, write every file, read all of it back.
     from pyspark.ml import PipelineModel
-    base = ctx.landing("modelos")
+    base = ctx.landing("landing", "modelos")
     forest, pred = ctx.fitted("forest", lambda: M.train_and_predict(M.model_frame(ctx.stored_curated)))
     metrics, model = _segmentation(ctx)
     clustered = K.with_segments(model.transform(ctx.stored_curated).select(

@@ -11,6 +11,7 @@ from marquee.sinks.curated import load_curated, read_current
 
 LOOKUP_ID = 11
 LOOKUP_CLASS = "18"
+PAGE_FIRST, PAGE_ROWS = 101, 50
 
 cte("dash", """
 select id_pelicula, titulo, coalesce(reproducciones_mensuales, 0) as reproducciones_mensuales,
@@ -30,7 +31,7 @@ _KPI_SQL = f"""count(*) as total_peliculas,
 @query("load_roundtrip", "W1 W2", with_ctes("select * from curated", "curated"))
 def load_roundtrip(ctx):
     # Validate, write, verify and publish in one run of the ETL, then read what is current.
-    base = ctx.landing("dw_peliculas_analitica")
+    base = ctx.landing("landing", "dw_peliculas_analitica")
     load_curated(ctx.etl.ruled, base, ctx.etl.run_ts)
     return read_current(ctx.spark, base)
 
@@ -54,10 +55,24 @@ def dw_list(ctx):
     return S.list_films(ctx.stored_curated)
 
 
+@query("dw_list_total", "D4", with_ctes(
+    "select *, row_number() over (order by id_pelicula) as posicion, count(*) over () as total_registros from curated",
+    "curated"))
+def dw_list_total(ctx):
+    return S.numbered_films(ctx.spark, ctx.stored_version)
+
+
+@query("dw_page", "D4", with_ctes(
+    "select * from (select *, row_number() over (order by id_pelicula) as posicion, count(*) over () as total_registros "
+    f"from curated) where posicion between {PAGE_FIRST} and {PAGE_FIRST + PAGE_ROWS - 1}", "curated"))
+def dw_page(ctx):
+    return S.film_page(ctx.spark, ctx.stored_version, PAGE_FIRST, PAGE_ROWS)
+
+
 @query("dw_by_id", "P15", with_ctes(
     f"select * from curated where id_pelicula = {LOOKUP_ID}", "curated"))
 def dw_by_id(ctx):
-    return S.film_by_id(ctx.stored_curated, LOOKUP_ID)
+    return S.lookup_film(ctx.spark, ctx.stored_version, LOOKUP_ID)
 
 
 def _json_text(c: str) -> str:
@@ -88,7 +103,7 @@ def dw_json(ctx):
 @query("dw_by_class", "P16", with_ctes(
     f"select * from curated where clasificacion_edad_local = '{LOOKUP_CLASS}'", "curated"))
 def dw_by_class(ctx):
-    return S.by_class(ctx.stored_curated, LOOKUP_CLASS)
+    return S.films_of_class(ctx.spark, ctx.stored_version, LOOKUP_CLASS)
 
 
 @query("dashboard_base", "P17", with_ctes("select * from dash", "dash"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from marquee.plans.oracle import _strip, cte, with_ctes
 from marquee.plans.registry import query
 from marquee.operators.clean import clean_restrictions
-from marquee.sinks.curated import current_version
+from marquee.sinks.versions import current_version
 from marquee.sinks.staging import replace_staging
 from marquee.sinks.files import write_csv, write_jsonl, write_text
 from marquee.sources.api import (api_id_candidates, parse_detail, read_api_pages,
@@ -32,7 +32,7 @@ def stg_count(ctx):
 @query("restr_extract", "S3 W5", with_ctes("select * from restr_raw", "restr_raw"))
 def restr_extract(ctx):
     # Land the restrictions as a headed CSV, then scan it back with the reader.
-    path = write_csv(ctx.fixtures.restrictions, ctx.landing("restricciones_csv"))
+    path = write_csv(ctx.fixtures.restrictions, ctx.landing("landing", "restricciones_csv"))
     return read_restrictions_csv(ctx.spark, path, with_ord=True)
 
 
@@ -46,7 +46,7 @@ def restr_extract_plain(ctx):
 
 def _plain_restrictions(ctx):
     rows = ctx.fixtures.plain_restrictions.orderBy("ord").drop("ord")
-    return read_restrictions_csv(ctx.spark, write_csv(rows, ctx.landing("restricciones_simple")))
+    return read_restrictions_csv(ctx.spark, write_csv(rows, ctx.landing("landing", "restricciones_simple")))
 
 
 @query("clean_restrictions_plain", "S3 P6 D1", with_ctes(f"""
@@ -61,7 +61,7 @@ def clean_restrictions_plain(ctx):
 
 @query("staging_replace", "W4", with_ctes("select * from stg_raw", "stg_raw"))
 def staging_replace(ctx):
-    base = ctx.landing("stg_catalogo_interno")
+    base = ctx.landing("landing", "stg_catalogo_interno")
     replace_staging(ctx.fixtures.staging, base)
     return read_staging(ctx.spark, current_version(ctx.spark, base))
 
@@ -69,7 +69,7 @@ def staging_replace(ctx):
 @query("api_extract", "S4", with_ctes("select * from api_raw", "api_raw"))
 def api_extract(ctx):
     # Land one JSON line per API response, then scan and parse the landing zone.
-    path = write_jsonl(ctx.fixtures.api_responses, ctx.landing("api_detalle"))
+    path = write_jsonl(ctx.fixtures.api_responses, ctx.landing("landing", "api_detalle"))
     return parse_detail(read_api_responses(ctx.spark, path))
 
 
@@ -82,7 +82,7 @@ def api_parse(ctx):
     "select cast(floor(p_partkey / 20) + 1 as integer) as page, p_partkey as id, p_name as titulo "
     "from part"))
 def api_flatten_pages(ctx):
-    path = write_text(ctx.fixtures.api_pages, ctx.landing("api_paginas"))
+    path = write_text(ctx.fixtures.api_pages, ctx.landing("landing", "api_paginas"))
     return read_api_pages(ctx.spark, path)
 
 
@@ -116,9 +116,8 @@ select * exclude (rn) from (select *, row_number() over (partition by id_pelicul
 where rn = 1""", "api_raw"))
 def api_stream_ingest(ctx):
     # Land the responses, ingest them incrementally (available-now trigger), read the table.
-    from marquee.session import scratch_path
     from marquee.streaming import current_api_records, ingest_api_responses
-    run = scratch_path(ctx.spark, "streams", "api_ingest_run", unique=True)
+    run = ctx.landing("streams", "api_ingest_run")
     landing = write_jsonl(ctx.fixtures.api_responses, f"{run}/landing")
     ingest_api_responses(ctx.spark, landing, f"{run}/table", f"{run}/checkpoint").awaitTermination()
     return current_api_records(ctx.spark, f"{run}/table")

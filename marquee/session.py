@@ -61,7 +61,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     The setting is read, not invented. Where it is unset, a folder in the
-    warehouse serves, which all executors share too.
+    warehouse serves, unless the session runs on several machines and the
+    warehouse is a folder of one of them: then this is an error.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
@@ -69,6 +70,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         root = sc.getCheckpointDir()
     if not root:
         root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
+        if not sc.master.startswith("local") and root.startswith(("file:", "/")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root.rstrip("/")

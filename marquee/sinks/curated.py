@@ -1,27 +1,28 @@
-"""Curated-table load: write a candidate, validate it, write a version, verify, publish.
+"""Curated-table load: write a candidate, validate it, write a version, verify, commit.
 
 The ETL runs once per load: its output is written as a candidate with the wide
 types it was computed in, the constraints are checked on those files, and the
-typed version is written from them. A version becomes current by creating one
-empty marker file named after it; nothing is overwritten, so a reader sees
-either the old or the new version and a crash leaves the old one. Versions
-older than the newest ``keep`` are removed after publishing.
+typed version is written from them. ``versions`` commits it: a reader sees
+either the old or the new version, a crash leaves the old one, and of two loads
+at the same time the one that commits later is current and neither is lost.
+
+A version's files are ranges of ``id_pelicula``, sorted by it, so a film lies in
+one file. A file index (``_index`` inside the version) has each file's rows, id
+range and age classes, and the rows before it.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import time
-import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from marquee.config import JDBC_BATCH_SIZE
-from marquee.operators.final import constraint_violations, final_projection, load_check, total_violations
-from marquee.storage import create_marker, folder_names, remove
-
-MARKERS = "_published"
-
+from marquee.operators.final import constraint_violations, final_projection, total_violations
+from marquee.sources.curated import INDEX, file_index
+from marquee.sinks.versions import commit, current_version, new_version
+from marquee.storage import remove, unique_name
 
 class LoadValidationError(RuntimeError):
     pass
@@ -35,59 +36,57 @@ def validate_before_load(ruled: DataFrame) -> dict:
     return row.asDict()
 
 
-def new_version(base_path: str) -> tuple[str, str]:
-    """(name, path) of a version to write; names sort by time."""
-    name = f"{time.time_ns():020d}_{uuid.uuid4().hex[:8]}"
-    return name, f"{base_path.rstrip('/')}/version={name}"
-
-
-def publish(spark: SparkSession, base_path: str, name: str, keep: int = 3) -> None:
-    """Make a written version current, then remove all but the newest ``keep``."""
-    base = base_path.rstrip("/")
-    create_marker(spark, f"{base}/{MARKERS}/{name}")
-    for old in folder_names(spark, f"{base}/{MARKERS}")[:-keep]:
-        remove(spark, f"{base}/{MARKERS}/{old}")
-        remove(spark, f"{base}/version={old}")
+def write_index(spark: SparkSession, path: str) -> DataFrame:
+    """Write and return the version's file index: archivo, filas, distintos, desde, hasta, clases, antes, total.
 
-
-def write_curated(final: DataFrame, base_path: str, expected_rows: int | None = None, keep: int = 3) -> str:
-    """Write a typed frame as a new version, read it back for its checks, publish it; returns its path.
+    A range partition never splits an id, so ids distinct in each file are distinct in all.
+    """
+    per_file = (spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("archivo"))
+                .agg(F.count(F.lit(1)).alias("filas"), F.count_distinct("id_pelicula").alias("distintos"),
+                     F.min("id_pelicula").alias("desde"), F.max("id_pelicula").alias("hasta"),
+                     F.collect_set("clasificacion_edad_local").alias("clases")))
+    # one row per file: small beside the table
+    before = Window.orderBy("desde").rowsBetween(Window.unboundedPreceding, -1)
+    index = (per_file.withColumn("antes", F.coalesce(F.sum("filas").over(before), F.lit(0)))
+             .withColumn("total", F.sum("filas").over(Window.partitionBy())))
+    index.write.parquet(f"{path}/{INDEX}")
+    return file_index(spark, path)
+
+
+def write_curated(final: DataFrame, base_path: str, expected_rows: int | None = None, keep: int = 3,
+                  expect: int | None = None) -> str:
+    """Write a typed frame as a new version, read it back for its checks, commit it; returns its path.
 
     Repeated ids, or a row count other than ``expected_rows``, fail the load:
-    the files go and the current version stays.
+    the files go and the current version stays. ``expect``: see ``commit``.
     """
     spark = final.sparkSession
-    name, path = new_version(base_path)
-    final.write.mode("errorifexists").parquet(path)
-    check = load_check(spark.read.parquet(path)).collect()[0]
-    if check["ids_duplicados"] or (expected_rows is not None and check["total_cargado"] != expected_rows):
-        remove(spark, path)
-        raise LoadValidationError(f"post-load check failed: {check.asDict()}")
-    publish(spark, base_path, name, keep)
+    with new_version(spark, base_path) as path:
+        (final.repartitionByRange("id_pelicula").sortWithinPartitions("id_pelicula")
+         .write.mode("errorifexists").parquet(path))
+        check = write_index(spark, path).agg(
+            F.coalesce(F.sum("filas"), F.lit(0)).alias("total_cargado"),
+            F.coalesce(F.sum(F.col("filas") - F.col("distintos")), F.lit(0)).alias("ids_duplicados")).first()
+        if check["ids_duplicados"] or (expected_rows is not None and check["total_cargado"] != expected_rows):
+            raise LoadValidationError(f"post-load check failed: {check.asDict()}")
+        commit(spark, path, keep, expect)
     return path
 
 
-def load_curated(ruled: DataFrame, base_path: str, run_ts: dt.datetime | None = None, keep: int = 3) -> str:
+def load_curated(ruled: DataFrame, base_path: str, run_ts: dt.datetime | None = None, keep: int = 3,
+                 expect: int | None = None) -> str:
     """The validated load of the rule output: one run of the ETL, whatever is checked; returns the version's path."""
     spark = ruled.sparkSession
-    candidate = f"{base_path.rstrip('/')}/_candidate={uuid.uuid4().hex}"
+    candidate = f"{base_path.rstrip('/')}/_candidate={unique_name()}"
     ruled.write.parquet(candidate)
     try:
         stored = spark.read.schema(ruled.schema).parquet(candidate)
         validate_before_load(stored)
-        return write_curated(final_projection(stored, run_ts), base_path, stored.count(), keep)
+        return write_curated(final_projection(stored, run_ts), base_path, stored.count(), keep, expect)
     finally:
         remove(spark, candidate)
 
 
-def current_version(spark: SparkSession, base_path: str) -> str:
-    """The path of the version published last."""
-    names = folder_names(spark, f"{base_path.rstrip('/')}/{MARKERS}")
-    if not names:
-        raise FileNotFoundError(f"no curated version under {base_path}")
-    return f"{base_path.rstrip('/')}/version={names[-1]}"
-
-
 def read_current(spark: SparkSession, base_path: str) -> DataFrame:
     return spark.read.parquet(current_version(spark, base_path))
 

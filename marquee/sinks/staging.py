@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from marquee.sinks.curated import LoadValidationError, new_version, publish
+from marquee.sinks.curated import LoadValidationError
+from marquee.sinks.versions import commit, new_version
 from marquee.sources.staging import select_staging
-from marquee.storage import remove
 
 
 def replace_staging(rows: DataFrame, base_path: str, keep: int = 3) -> str:
@@ -17,11 +17,10 @@ def replace_staging(rows: DataFrame, base_path: str, keep: int = 3) -> str:
     """
     spark = rows.sparkSession
     staged = select_staging(rows)
-    name, path = new_version(base_path)
-    staged.write.mode("errorifexists").parquet(path)
-    wrote, have = spark.read.parquet(path).count(), staged.count()
-    if wrote != have:
-        remove(spark, path)
-        raise LoadValidationError(f"{wrote} staging rows written of {have}")
-    publish(spark, base_path, name, keep)
+    with new_version(spark, base_path) as path:
+        staged.write.mode("errorifexists").parquet(path)
+        wrote, have = spark.read.parquet(path).count(), staged.count()
+        if wrote != have:
+            raise LoadValidationError(f"{wrote} staging rows written of {have}")
+        commit(spark, path, keep)
     return path

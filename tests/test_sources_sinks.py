@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from marquee.operators.clean import clean_restrictions
-from marquee.sinks.curated import (LoadValidationError, current_version, load_curated, read_current,
-                                   validate_before_load, write_curated)
+from marquee.sinks.curated import LoadValidationError, load_curated, read_current, validate_before_load, write_curated
+from marquee.sinks.versions import current_version
 from marquee.sinks.files import write_csv
 from marquee.sources.api import (api_id_candidates, flatten_pages, parse_detail,
                                  read_api_responses, valid_ids_numeric)
