@@ -134,6 +134,13 @@ select ord, id_pelicula, clasificacion_chile,
     as advertencia_contenido, bloqueo_horario_infantil
 from restr_raw""", "restr_raw")
 
+cte("restr_broken", """
+select ord, id_pelicula, clasificacion_chile,
+  case ord % 5 when 0 then 'uno' || chr(10) || advertencia_contenido || chr(10) || '"tres", y' || chr(10) || chr(10) || 'cinco'
+    when 1 then '"' || chr(10) || ',' || advertencia_contenido || '",' || chr(10)
+    else advertencia_contenido end as advertencia_contenido, bloqueo_horario_infantil
+from restr_raw""", "restr_raw")
+
 cte("restr_norm", f"""
 select ord, {_id('id_pelicula')} as id_pelicula,
   nullif(upper({_strip('clasificacion_chile')}), '') as clasificacion_raw,

@@ -49,6 +49,15 @@ def _plain_restrictions(ctx):
     return read_restrictions_csv(ctx.spark, write_csv(rows, ctx.landing("landing", "restricciones_simple")))
 
 
+@query("restr_extract_breaks", "S3 W5", with_ctes("""
+select id_pelicula, clasificacion_chile, advertencia_contenido, bloqueo_horario_infantil from restr_broken""",
+    "restr_broken"))
+def restr_extract_breaks(ctx):
+    # Line breaks, quotes and commas inside quoted cells.
+    rows = ctx.fixtures.broken_restrictions.orderBy("ord").drop("ord")
+    return read_restrictions_csv(ctx.spark, write_csv(rows, ctx.landing("landing", "restricciones_saltos"))).drop("ord")
+
+
 @query("clean_restrictions_plain", "S3 P6 D1", with_ctes(f"""
 select id_pelicula, clasificacion_chile, advertencia_contenido, bloqueo_horario_infantil
 from (select c.id_pelicula, c.clasificacion_chile, nullif({_strip('p.advertencia_contenido')}, '') as advertencia_contenido,

@@ -162,6 +162,14 @@ def plain_restriction_rows(customer: DataFrame) -> DataFrame:
         F.col("ord") % 6 == 0, F.concat(F.lit('dice "'), text, F.lit('", y mas'))).otherwise(text))
 
 
+def broken_restriction_rows(customer: DataFrame) -> DataFrame:
+    """The same rows with line breaks in some warnings: alone, beside quotes, next to a comma, at the cell's end."""
+    text, k = F.col("advertencia_contenido"), F.col("ord") % 5
+    return restriction_rows(customer).withColumn("advertencia_contenido", F.when(
+        k == 0, F.concat(F.lit("uno\n"), text, F.lit('\n"tres", y\n\ncinco'))).when(
+        k == 1, F.concat(F.lit('"\n,'), text, F.lit('",\n'))).otherwise(text))
+
+
 class Fixtures:
     """The three domain inputs for one data directory."""
 
@@ -180,6 +188,10 @@ class Fixtures:
     def plain_restrictions(self) -> DataFrame:
         return plain_restriction_rows(self.tables.customer)
 
+    @property
+    def broken_restrictions(self) -> DataFrame:
+        return broken_restriction_rows(self.tables.customer)
+
     @property
     def api(self) -> DataFrame:
         return api_rows(self.tables.part)

@@ -56,7 +56,7 @@ def test_csv_multi_line_cells_and_round_trip(spark, tmp_dir):
     df = spark.createDataFrame([("1", "TE", 'a "quoted", cell', "NO"), ("2", "14", "two\nlines", "SI")],
                                "id_pelicula string, clasificacion_chile string, advertencia_contenido string, bloqueo_horario_infantil string")
     path = write_csv(df, os.path.join(tmp_dir, "ml"))
-    rows = {r.id_pelicula: r.advertencia_contenido for r in read_restrictions_csv(spark, path, multi_line=True).collect()}
+    rows = {r.id_pelicula: r.advertencia_contenido for r in read_restrictions_csv(spark, path).collect()}
     assert rows == {"1": 'a "quoted", cell', "2": "two\nlines"}
 
 
