@@ -10,18 +10,17 @@ statistics (count, feature sums, squared-norm sums) and never pair points.
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee import config as C
 from marquee.functions.guards import require_columns
+from marquee.operators.kmeans import Centres, best_per_k
+from marquee.operators.silhouette import silhouettes
 from marquee.operators.stats import exact_quantiles
 
 NUMERIC = ("reproducciones_mensuales", "popularidad_api", "votos_promedio_api")
@@ -225,42 +224,28 @@ def popularity_bands(df: DataFrame, k: int) -> Column:
 
 # -- KMeans search and final model --------------------------------------------------------
 
-def _best_of(features: DataFrame, k: int, restarts: int, seed: int, parallelism: int):
-    """Fit ``restarts`` seeds of KMeans(k) concurrently; keep the lowest cost."""
-    def fit(r: int):
-        m = KMeans(k=k, seed=seed + r, maxIter=C.DEFAULT_CONFIG.kmeans_iterations,
-                   featuresCol="features", predictionCol="cluster").fit(features)
-        # Keep the cost, drop the training summary (copy): it would travel
-        # inside every task closure of ``transform``.
-        return m.summary.trainingCost, r, m.copy()
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        fits = list(pool.map(fit, range(restarts)))
-    cost, _, model = min(fits, key=lambda t: (t[0], t[1]))
-    return cost, model
-
-
-def kmeans_search(features: DataFrame, ks=C.K_RANGE, restarts: int = C.KMEANS_RESTARTS,
-                  seed: int = C.SEED, parallelism: int = 8) -> tuple[DataFrame, dict]:
-    """For each k: the lowest-cost model over ``restarts`` seeds; its silhouette and cost.
-
-    Returns (metrics frame, {k: model}). ``features`` has a ``features`` vector;
-    it is cached for the duration of the search. Restarts are independent
-    Spark jobs submitted from ``parallelism`` driver threads.
+def kmeans_search(features: DataFrame, names: list[str], ks=C.K_RANGE, restarts: int = C.KMEANS_RESTARTS,
+                  seed: int = C.SEED, key: str = KEY) -> tuple[DataFrame, dict[int, Centres]]:
+    """For each k: the lowest-cost model over ``restarts`` seedings, its silhouettes and cost.
+
+    Returns (metrics frame, {k: model}). ``features`` has ``key`` and the feature
+    columns ``names``; it is cached for the search, whose models all advance in
+    the same passes (``kmeans``). ``silhouette_score`` is Euclidean, within
+    ``silhouette_error`` of the exact mean (``silhouette``);
+    ``silhouette_cuadrada`` is the squared form, exact.
     """
-    spark = features.sparkSession
-    features = features.select("features").persist()
-    evaluator = ClusteringEvaluator(featuresCol="features", predictionCol="cluster",
-                                    distanceMeasure="squaredEuclidean")
-    rows, models = [], {}
+    features = features.select(key, *names).persist()
     try:
-        for k in ks:
-            cost, model = _best_of(features, k, restarts, seed, parallelism)
-            sil = evaluator.evaluate(model.transform(features))
-            rows.append((int(k), float(sil), float(cost)))
-            models[k] = model
+        models = best_per_k(features.select(*names), ks, restarts, seed, C.DEFAULT_CONFIG.kmeans_iterations)
+        labels = {k: f"c{k}" for k in models}
+        labelled = features.select(key, *names, *[m.label().alias(labels[k]) for k, m in models.items()])
+        euclid = silhouettes(labelled, names, list(labels.values()), key)
+        square = many_cluster_metrics(labelled, names, list(labels.values()))
     finally:
         features.unpersist()
-    metrics = spark.createDataFrame(rows, "k int, silhouette_score double, inercia double")
+    rows = [(k, *euclid[x], square[x][0], models[k].cost) for k, x in labels.items()]
+    metrics = features.sparkSession.createDataFrame(
+        rows, "k int, silhouette_score double, silhouette_error double, silhouette_cuadrada double, inercia double")
     return metrics, models
 
 
@@ -270,21 +255,32 @@ def best_k(metrics: DataFrame) -> DataFrame:
         F.col("k").alias("mejor_k"), "silhouette_score")
 
 
+def cluster_stage(model: Centres, prep: ClusterPrep) -> SQLTransformer:
+    """The nearest centre as a pipeline stage over the preprocessed columns: one SQL statement, so it persists."""
+    columns = [*[z_name(c) for c in NUMERIC],
+               *["(CASE WHEN clase_imputada = '" + v.replace("'", "''") + "' THEN 1D ELSE 0D END)" for v in prep.levels]]
+    dist = ", ".join(" + ".join(f"power({c} - ({float(x)!r}D), 2)" for c, x in zip(columns, row)) for row in model.values)
+    return SQLTransformer(statement=(
+        f"SELECT * EXCEPT (_d), CAST(array_position(_d, array_min(_d)) - 1 AS INT) AS cluster FROM "
+        f"(SELECT *, array({dist}) AS _d FROM __THIS__)"))
+
+
 def fit_final(df: DataFrame, prep: ClusterPrep, k: int, restarts: int = C.KMEANS_RESTARTS,
-              seed: int = C.SEED, parallelism: int = 8, model=None) -> PipelineModel:
-    """Preprocessing + KMeans(k), best of ``restarts`` seeds, as one PipelineModel.
+              seed: int = C.SEED, model: Centres | None = None) -> PipelineModel:
+    """Preprocessing and the nearest of k centres, best of ``restarts`` seedings, as one PipelineModel.
 
     ``model`` is the search's model for k, if there was a search: the same fits
     need not run again.
     """
     pre = Pipeline(stages=preprocessing_stages(prep)).fit(df)
     if model is None:
-        feats = pre.transform(df).select("features").persist()
+        names = feature_names(prep)
+        rows = feature_columns(df, prep).select(*names).persist()
         try:
-            _, model = _best_of(feats, k, restarts, seed, parallelism)
+            model = best_per_k(rows, [k], restarts, seed, C.DEFAULT_CONFIG.kmeans_iterations)[k]
         finally:
-            feats.unpersist()
-    return PipelineModel(stages=[*pre.stages, model])
+            rows.unpersist()
+    return PipelineModel(stages=[*pre.stages, cluster_stage(model, prep)])
 
 
 # -- summaries and segment names --------------------------------------------------------------

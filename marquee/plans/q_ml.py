@@ -288,6 +288,34 @@ def silhouette_fixed(ctx):
     return K.silhouette_sq(feats, names).select(F.round("silhouette_score", 6).alias("silhouette_score"))
 
 
+def _euclid_sql(k: int) -> str:
+    """The exact mean Euclidean silhouette of a fixed labelling, from all pairs."""
+    gap = " + ".join(f"(a.{x} - b.{x}) * (a.{x} - b.{x})" for x in map(_q_ident, _DIMS))
+    return f"""(
+with pts as (select *, {_band_sql(k)} as cluster from cl_feat),
+n as (select cluster, count(*) as n from pts group by cluster),
+pair as (select a.id_pelicula, a.cluster as own, b.cluster as other, sum(sqrt({gap})) as total
+         from pts a cross join pts b group by all),
+m as (select id_pelicula, own, other, total / (case when own = other then greatest(n - 1, 1) else n end) as d, n
+      from pair join n on n.cluster = pair.other),
+ab as (select id_pelicula, max(case when own = other then d end) as a, min(case when own <> other then d end) as b,
+              max(case when own = other then n end) as n from m group by id_pelicula)
+select {k} as k, round(avg(case when n = 1 or greatest(a, b) = 0 then 0 else (b - a) / greatest(a, b) end), 6) as silhouette_score
+from ab)"""
+
+
+@query("silhouette_euclidean", "M15", with_ctes(
+    " union all ".join(f"select * from {_euclid_sql(k)}" for k in C.K_RANGE), "cl_feat"))
+def silhouette_euclidean(ctx):
+    # Clusters beyond silhouette.SAMPLE rows are sampled: see the module for the bound.
+    from marquee.operators.silhouette import silhouettes
+    feats, names = K.feature_columns(ctx.stored_curated, _prep(ctx), keep=("popularidad_api",)), K.feature_names(_prep(ctx))
+    labels = {k: f"c{k}" for k in C.K_RANGE}
+    banded = feats.select("id_pelicula", *names, *[K.popularity_bands(feats, k).alias(x) for k, x in labels.items()])
+    found = silhouettes(banded, names, list(labels.values()), "id_pelicula")
+    return ctx.spark.createDataFrame([(k, round(found[x][0], 6)) for k, x in labels.items()], "k int, silhouette_score double")
+
+
 @query("k_metrics_fixed", "M13 M14 M15", with_ctes(
     " union all ".join(f"select * from {_metrics_sql(k)}" for k in C.K_RANGE), "cl_feat"))
 def k_metrics_fixed(ctx):
@@ -353,13 +381,12 @@ def cluster_distribution(ctx):
 
 
 def _model_features(ctx):
-    from pyspark.ml import Pipeline
     prep = _prep(ctx)
-    return Pipeline(stages=K.preprocessing_stages(prep)).fit(ctx.stored_curated).transform(ctx.stored_curated)
+    return K.feature_columns(ctx.stored_curated, prep), K.feature_names(prep)
 
 
 def _search(ctx):
-    return ctx.fitted("kmeans_search", lambda: K.kmeans_search(_model_features(ctx)))
+    return ctx.fitted("kmeans_search", lambda: K.kmeans_search(*_model_features(ctx)))
 
 
 @query("k_metrics", "M13 M14 M15")
@@ -373,17 +400,17 @@ select * from (values ('centro_mas_cercano', true), ('k_grupos', true), ('inerci
                       ('mejor_k', true)) t(comprobacion, ok)""")
 def kmeans_checks(ctx):
     """What must hold of any search: rows at their nearest centre, k groups, the reported cost, the best k."""
-    from pyspark.ml.functions import vector_to_array
     metrics, models = _search(ctx)
     rows = {r["k"]: r for r in metrics.collect()}
     nearest = groups = cost = True
-    feats = _model_features(ctx).select("features").persist()
+    feats, names = _model_features(ctx)
+    point = F.array(*names)
+    feats = feats.select(*names).persist()
     try:
         for k, model in models.items():
-            f = vector_to_array("features")
-            dists = [F.aggregate(F.zip_with(f, F.lit([float(x) for x in c]), lambda a, b: (a - b) * (a - b)), F.lit(0.0),
-                                 lambda a, x: a + x) for c in model.clusterCenters()]
-            own = model.transform(feats).withColumn("d", F.array(*dists))
+            dists = [F.aggregate(F.zip_with(point, F.lit([float(x) for x in c]), lambda a, b: (a - b) * (a - b)), F.lit(0.0),
+                                 lambda a, x: a + x) for c in model.values]
+            own = feats.withColumn("cluster", model.label()).withColumn("d", F.array(*dists))
             r = own.agg(F.count_if(F.get("d", F.col("cluster")) > F.array_min("d") + 1e-9).alias("far"),
                         F.count_distinct("cluster").alias("k"), F.sum(F.array_min("d")).alias("cost")).first()
             nearest &= r["far"] == 0
