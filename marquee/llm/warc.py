@@ -6,11 +6,17 @@ Writing: a record per page; of pages with equal payloads of at least
 puts the records into plain ``.warc`` files, with its commit protocol.
 
 Reading: the files are cut into byte ranges. A task looks for the record magic
-in its range and emits a candidate for each: its offset, and by its
-Content-Length the offset where its successor must begin. Payloads may contain
-the magic, so candidates prove nothing by themselves. Per file, pointer jumping
-from the file's start marks what the chain reaches; only those are records. A chain
-that does not end where its file ends is an error. Their payloads are then read by offset, range by range.
+in its range and emits a candidate for each: its offset, by its Content-Length
+the offset where its successor must begin, and the exit: where the chain from it
+leaves the range. Payloads may contain the magic, so candidates prove nothing by
+themselves. Pointer jumping by joins, over the few offsets where some chain
+enters a range, finds those reached from the file's start; inside a range the
+chain from its entry is followed. Only what is reached is a record, and no task
+or group holds more than a range. A file whose chain does not reach its end is an
+error. Payloads are then read by offset, range by range.
+
+How many tasks read is stated from the listed bytes: rows are some bytes each,
+whatever they stand for, so a partition count drawn from their size would be one.
 
 Archives are opened through pyarrow's file systems (local or mounted folders,
 HDFS, S3, GCS); the listing comes from Spark.
@@ -36,9 +42,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm.common import prepare
+from marquee.llm.common import heavy_cut, prepare
 from marquee.session import scratch_path
-from marquee.storage import remove_older
+from marquee.storage import hold, remove_older
 
 # Fixed values of the format.
 MAGIC = b"WARC/1.1\r\n"
@@ -46,8 +52,8 @@ BREAK = "\r\n\r\n"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 DIGITS32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 
-# Payload groups are found by 16 bits of their digests: at most 65,536 rows to broadcast.
-PREFIX = 4
+# Payload groups are found by three base32 digits of their digests: at most 32,768 rows to broadcast.
+PREFIX = 3
 
 
 @dataclass(frozen=True)
@@ -55,6 +61,8 @@ class WarcParams:
     min_bytes: int = 0
     date: str = "2024-01-01T00:00:00Z"
     range_bytes: int = 8 << 20
+    task_bytes: int = 32 << 20   # of archive that one task scans or reads, about
+    max_tasks: int = 20_000
     header_bytes: int = 1 << 16
 
 
@@ -84,12 +92,18 @@ def mark_revisits(payloads: DataFrame, p: WarcParams) -> DataFrame:
     """
     shared = (payloads.filter(F.col("payload_bytes") >= p.min_bytes).groupBy("payload_digest")
               .agg(F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
-              .filter("n > 1").select("payload_digest", "first_id").checkpoint())
+              .filter("n > 1").checkpoint())
     begin = F.substring("payload_digest", 1, PREFIX)
     few = F.broadcast(shared.select(begin.alias("begin")).distinct().withColumn("maybe", F.lit(True)))
     flagged = payloads.withColumn("begin", begin).join(few, "begin", "left").drop("begin")
     alone = flagged.filter("maybe is null").withColumn("first_id", F.lit(None).cast(payloads.schema["page_id"].dataType))
-    both = alone.unionByName(flagged.filter("maybe").join(shared, "payload_digest", "left")).drop("maybe")
+    # digests of very many pages go to where these are; the others meet in a join
+    cut = heavy_cut(shared.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"])
+    heavy = F.broadcast(shared.filter(F.col("n") > cut).select("payload_digest", "first_id", F.lit(True).alias("hot")))
+    met = flagged.filter("maybe").join(heavy, "payload_digest", "left")
+    light = shared.filter(F.col("n") <= cut).select("payload_digest", "first_id")
+    cool = met.filter("hot is null").drop("first_id").join(light, "payload_digest", "left")
+    both = alone.unionByName(met.filter("hot").drop("hot")).unionByName(cool.drop("hot")).drop("maybe")
     follows = (F.col("payload_bytes") >= p.min_bytes) & F.col("first_id").isNotNull() & (
         F.col("page_id").isNull() | (F.col("page_id") != F.col("first_id")))
     return both.withColumn("refers_to", F.when(follows, F.col("first_id"))).drop("first_id")
@@ -181,50 +195,84 @@ def candidates(path: str, start: int, end: int, p: WarcParams) -> Iterator[tuple
             at = data.find(MAGIC, at + 1)
 
 
-def reachable(offsets: np.ndarray, successors: np.ndarray) -> np.ndarray:
-    """Which candidates the chain from offset 0 reaches, by pointer jumping (log2 rounds)."""
-    order = np.argsort(offsets, kind="stable")
-    own, nxt = offsets[order], successors[order]
-    n = len(own)
-    place = np.searchsorted(own, nxt)
-    jump = np.append(np.where((place < n) & (own[np.minimum(place, n - 1)] == nxt), place, n), n)  # n: nowhere
-    seen = np.zeros(n + 1, bool)
-    if n and own[0] == 0:
-        seen[0] = True
-        for _ in range(max(1, int(n).bit_length())):
-            seen[jump[seen]] = True
-            jump = jump[jump]
-    out = np.zeros(n, bool)
-    out[order] = seen[:n]
-    return out
-
-
-def record_offsets(spark: SparkSession, path: str, p: WarcParams) -> DataFrame:
-    """(path, offset, next) of the verified records of all ``.txt``/``.warc`` files of a folder."""
+def exits(offsets: np.ndarray, successors: np.ndarray, end: int) -> np.ndarray:
+    """Where the chain from each candidate of a range leaves it (at ``end`` or beyond); -1 where it breaks off. Ascending offsets."""
+    n = len(offsets)
+    place = np.searchsorted(offsets, successors)
+    hit = (place < n) & (offsets[np.minimum(place, max(n - 1, 0))] == successors) if n else np.zeros(0, bool)
+    out = np.where(successors >= end, successors, -1)
+    jump = np.where((successors < end) & hit, place, np.arange(n))  # successors lie further on; the others stand still
+    for _ in range(int(n).bit_length()):
+        jump = jump[jump]
+    return out[jump]
+
+
+def follow(offsets: np.ndarray, successors: np.ndarray, entry: int) -> np.ndarray:
+    """Which candidates of a range the chain from ``entry`` reaches, by pointer jumping (log2 rounds). Ascending offsets."""
+    n = len(offsets)
+    place = np.searchsorted(offsets, successors)
+    jump = np.append(np.where((place < n) & (offsets[np.minimum(place, n - 1)] == successors), place, n), n)  # n: nowhere
+    seen = offsets == entry
+    seen = np.append(seen, False)
+    for _ in range(max(1, int(n).bit_length())):
+        seen[jump[seen]] = True
+        jump = jump[jump]
+    return seen[:n]
+
+
+def chain_entries(found: DataFrame, files: DataFrame, rounds: int) -> DataFrame:
+    """(path, offset): the offsets where each file's true chain enters a range, and its end; an error if one has none.
+
+    Nodes are the offsets at which the chain from any candidate enters a range:
+    about one a range. Every round doubles how many ranges a jump spans.
+    """
+    goals = found.filter("exit >= 0").select("path", F.col("exit").alias("offset")).distinct()
+    jump = (found.join(goals.unionByName(files.select("path", F.lit(0).cast("long").alias("offset"))).distinct(), ["path", "offset"])
+            .filter("exit >= 0").select("path", "offset", F.col("exit").alias("to")).checkpoint())
+    reached = files.select("path", F.lit(0).cast("long").alias("offset"))
+    for turn in range(rounds):
+        reached = (reached.unionByName(reached.join(jump, ["path", "offset"]).select("path", F.col("to").alias("offset")))
+                   .distinct().checkpoint())
+        if turn + 1 == rounds:
+            break
+        further = jump.select("path", F.col("offset").alias("to"), F.col("to").alias("far"))
+        jump = jump.join(further, ["path", "to"]).select("path", "offset", F.col("far").alias("to")).checkpoint()
+    lost = files.join(reached.withColumnRenamed("offset", "length"), ["path", "length"], "left_anti").limit(1).collect()
+    if lost:
+        raise ValueError(f"the records of {lost[0]['path']} do not reach its end")
+    return reached
+
+
+def record_offsets(spark: SparkSession, path: str, p: WarcParams) -> tuple[DataFrame, int]:
+    """(path, offset, next) of the verified records of all files of a folder, and the tasks that reading them takes."""
     prepare(spark)
-    files = spark.read.format("binaryFile").load(path).select("path", "length").filter("length > 0")
+    files = spark.read.format("binaryFile").load(path).select("path", "length").filter("length > 0").checkpoint()
+    size = files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("all"), F.coalesce(F.max("length"), F.lit(0)).alias("most")).first()
+    tasks = max(1, min(p.max_tasks, -(-size["all"] // p.task_bytes)))
     ranges = files.select("path", "length", F.explode(F.expr(f"sequence(0L, length - 1, {p.range_bytes}L)")).alias("start"))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for name, length, start in zip(*(b.column(i).to_pylist() for i in range(3))):
-                got = list(candidates(name, start, min(length, start + p.range_bytes), p))
-                if start + p.range_bytes >= length:
-                    got.append((length, -1))  # the file's end
+                end = min(length, start + p.range_bytes)
+                got = np.array(list(candidates(name, start, end, p)), np.int64).reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([name] * len(got), pa.string()), pa.array([x for x, _ in got], pa.int64()),
-                     pa.array([x for _, x in got], pa.int64())], ["path", "offset", "next"])
+                    [pa.array([name] * len(got), pa.string()), pa.array(np.full(len(got), start)), pa.array(got[:, 0]), pa.array(got[:, 1]),
+                     pa.array(exits(got[:, 0], got[:, 1], end))], ["path", "start", "offset", "next", "exit"])
 
     def chain(pdf: pd.DataFrame) -> pd.DataFrame:
-        seen, end = reachable(pdf["offset"].to_numpy(), pdf["next"].to_numpy()), pdf["next"].to_numpy() < 0
-        if not seen[end].all():
-            raise ValueError(f"the records of {pdf['path'].iloc[0]} do not reach its end")
-        return pdf[seen & ~end]
+        pdf = pdf.sort_values("offset")
+        return pdf[follow(pdf["offset"].to_numpy(), pdf["next"].to_numpy(), int(pdf["entry"].iloc[0]))][["path", "offset", "next"]]
 
-    kinds = "path string, offset long, next long"
-    # two integers per record: an archive file of millions of records is one small group
-    return (ranges.repartition("path", "start").mapInArrow(find, kinds)
-            .groupBy("path").applyInPandas(chain, kinds))
+    found = (ranges.repartition(tasks, "path", "start")
+             .mapInArrow(find, "path string, start long, offset long, next long, exit long").checkpoint())
+    # the true chain enters a range at most once, and after as many jumps as there are ranges it is at the end
+    rounds = (max(1, -(-size["most"] // p.range_bytes))).bit_length()
+    reached = chain_entries(found, files, rounds)
+    entries = reached.join(files, "path").filter("offset < length").select("path", (F.col("offset") - F.col("offset") % p.range_bytes).alias("start"), F.col("offset").alias("entry"))
+    # two integers and a path a candidate, of one range at a time
+    inside = found.join(entries, ["path", "start"]).groupBy("path", "start").applyInPandas(chain, "path string, offset long, next long")
+    return inside, tasks
 
 
 def read_warc(spark: SparkSession, path: str, p: WarcParams = WarcParams(), payloads: bool = True) -> DataFrame:
@@ -233,7 +281,7 @@ def read_warc(spark: SparkSession, path: str, p: WarcParams = WarcParams(), payl
     Length and digest of a response are taken from its payload as read; a
     revisit has them from its header. ``payloads=False`` leaves payloads out.
     """
-    spots = record_offsets(spark, path, p)
+    spots, tasks = record_offsets(spark, path, p)
     out = pa.schema([("path", pa.string()), ("offset", pa.int64()), ("record_type", pa.string()), ("record_id", pa.string()),
                      ("target", pa.string()), ("refers_to", pa.string()), ("payload_bytes", pa.int64()),
                      ("payload_digest", pa.string()), ("payload", pa.binary())])
@@ -265,7 +313,7 @@ def read_warc(spark: SparkSession, path: str, p: WarcParams = WarcParams(), payl
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), out.types)], schema=out)
 
     near = F.floor(F.col("offset") / p.range_bytes)
-    return (spots.repartition("path", near).sortWithinPartitions("path", "offset")
+    return (spots.repartition(tasks, "path", near).sortWithinPartitions("path", "offset")
             .mapInArrow(load, "path string, offset long, record_type string, record_id string, target string, "
                               "refers_to string, payload_bytes long, payload_digest string, payload binary"))
 
@@ -276,6 +324,6 @@ def page_of(record_id: Column) -> Column:
 
 
 def archive_folder(spark: SparkSession, hours: float = 24.0) -> str:
-    """A new folder for archives under the shared checkpoint folder; those ``hours`` old are cleared."""
+    """A new folder for archives under the shared checkpoint folder; those nobody holds for ``hours`` are cleared."""
     remove_older(spark, scratch_path(spark, "llm", "warc"), hours)
-    return scratch_path(spark, "llm", "warc", unique=True)
+    return hold(spark, scratch_path(spark, "llm", "warc", unique=True))
