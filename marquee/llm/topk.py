@@ -8,7 +8,8 @@ every node with its tight bounding box. No vector in a box scores above
 
 A query walks a tree best bound first and stops when no box can still reach its
 kth score. That score is carried along: from the query's home shard, which is
-searched first, to all others, and from shard to shard inside a task.
+searched first, to all others, and from shard to shard inside a task. It counts
+distinct ids, whatever the lengths of their vectors.
 
 Queries come in blocks of about ``block_rows``; each block meets each tree once.
 Trees and blocks are rows of bounded size, written to the checkpoint folder, so a
@@ -34,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.llm.common import prepare
+from marquee.llm.common import heavy_values, prepare
 
 LEAST = np.iinfo(np.int64).min
 
@@ -187,7 +188,7 @@ def shard_trees(vecs: DataFrame, shards: int, p: TopKParams) -> DataFrame:
         return pd.DataFrame([[dim, int(key[1]), *tree.pack()]], columns=["dim", "shard", *TREE_COLS])
 
     kinds = ", ".join(f"`{c}` binary" for c in TREE_COLS)
-    return (vecs.withColumn("dim", F.size("vec")).withColumn("shard", F.pmod(F.xxhash64(F.lit(3), "id"), F.lit(shards)))
+    return (vecs.withColumn("dim", F.size("vec")).withColumn("shard", F.pmod(F.xxhash64(F.lit(3), "id", "vec"), F.lit(shards)))
             .groupBy("dim", "shard").applyInPandas(build, f"dim int, shard long, {kinds}"))
 
 
@@ -239,6 +240,9 @@ def top_k(vectors: DataFrame, is_query: Column, p: TopKParams = TopKParams(),
     prepare(vectors.sparkSession)
     vecs = quantised(vectors, id_col, vec_col, p.scale)
     n = vecs.count()
+    # rows repeated under one id would fill a shard: ids that many rows share are reduced to distinct rows first
+    many = F.broadcast(heavy_values(vecs.groupBy("id").agg(F.count(F.lit(1)).alias("n")), n).select("id"))
+    vecs = vecs.join(many, "id", "left_anti").unionByName(vecs.join(many, "id").distinct())
     shards = max(1, -(-n // p.shard_rows))
     trees = shard_trees(vecs, shards, p).checkpoint()
     queries = vecs.filter(is_query)
@@ -249,12 +253,13 @@ def top_k(vectors: DataFrame, is_query: Column, p: TopKParams = TopKParams(),
     nothing = F.transform("qids", lambda _: F.lit(None).cast("long"))
     seeded = search(blocks.withColumn("shard", home).withColumn("floors", nothing).join(trees, ["dim", "shard"]), p.k).checkpoint()
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id").asc())
-    first = (seeded.groupBy("query_id", "dim", "block", "vec_id").agg(F.max("score").alias("score"))
+    # the kth of distinct candidates: an id found at several vector lengths counts once, as in the result
+    first = (seeded.groupBy("query_id", "block", "vec_id").agg(F.max("score").alias("score"))
              .withColumn("rank", F.row_number().over(order)).filter(F.col("rank") == p.k)
-             .groupBy("dim", "block").agg(F.map_from_entries(F.collect_list(F.struct("query_id", "score"))).alias("known")))
+             .groupBy("block").agg(F.map_from_entries(F.collect_list(F.struct("query_id", "score"))).alias("known")))
     floors = F.transform("qids", lambda x: F.try_element_at(F.coalesce("known", F.create_map().cast("map<bigint,bigint>")), x))
     # ... and then all the other trees.
-    rest = (blocks.join(first, ["dim", "block"], "left").withColumn("floors", floors).drop("known")
+    rest = (blocks.join(first, "block", "left").withColumn("floors", floors).drop("known")
             .withColumn("home", home).withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
             .filter("shard <> home"))
     found = search(rest.join(trees, ["dim", "shard"]), p.k).unionByName(seeded)
