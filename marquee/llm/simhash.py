@@ -263,7 +263,9 @@ def drop_near_duplicates(docs: DataFrame, p: SimHashParams = SimHashParams()) ->
     kept = spread_join(keys, first, "root", "keys", max(1, keys.count())).withColumn("gone", ~own.eqNullSafe(F.col("first")))
     # only documents that go and those that come again are joined
     marks = kept.filter("gone or n > 1").select("k_id", "k_hash", "gone").checkpoint()
-    found = docs.withColumn("k_own", text_hash()).join(
-        marks, F.col("k_own").eqNullSafe(F.col("k_hash")) & docs["doc_id"].eqNullSafe(marks["k_id"]), "left")
-    again = found.filter("not gone").dropDuplicates(["doc_id", "k_own"])
-    return found.filter("gone is null").unionByName(again).drop("k_id", "k_hash", "gone", "k_own")
+    # the row travels in a struct, so that none of its names can clash
+    row = F.struct(*[f"`{c}`" for c in docs.columns])
+    own = docs.select(row.alias("row"), F.col("doc_id").alias("r_id"), text_hash().alias("r_hash"))
+    found = own.join(marks, F.col("r_hash").eqNullSafe(F.col("k_hash")) & F.col("r_id").eqNullSafe(F.col("k_id")), "left")
+    again = found.filter("not gone").dropDuplicates(["r_id", "r_hash"])
+    return found.filter("gone is null").unionByName(again).select(*[F.col(f"row.`{c}`") for c in docs.columns])

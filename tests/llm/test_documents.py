@@ -111,6 +111,16 @@ def test_drop_near_duplicates_counts_null_and_repeated_ids(spark):
         [(4, words[0]), (None, words[1]), (8, words[2]), (8, words[3]), (None, None)], key=str)
 
 
+def test_drop_near_duplicates_keeps_columns_of_any_name(spark):
+    rows = [(k, f"{k // 2} " + "same words in all of these " * 5) for k in range(6)]
+    names = ("gone", "k_own", "k_id", "k_hash", "r_id", "row", "root", "n")
+    frame = spark.createDataFrame([(*r, *[f"{c}{r[0]}" for c in names]) for r in rows],
+                                  "doc_id long, text string, " + ", ".join(f"{c} string" for c in names))
+    kept = simhash.drop_near_duplicates(frame)
+    assert kept.columns == frame.columns
+    assert all(r[c] == f"{c}{r.doc_id}" for r in kept.collect() for c in names) and 0 < kept.count() < 6
+
+
 def test_drop_near_duplicates_keeps_one_of_each_group(spark):
     rows = [r for r in awkward_docs() if r[0] is not None]
     kept = [r.doc_id for r in simhash.drop_near_duplicates(docs_frame(spark, rows)).collect()]

@@ -74,6 +74,25 @@ def test_top_k_matches_brute_force(spark, p):
     assert got == sorted(want)
 
 
+def test_top_k_counts_an_id_found_at_two_lengths_once(spark):
+    """Candidates with vectors of both lengths must not raise the carried score, nor one hot id fill a shard."""
+    rng = np.random.default_rng(6)
+    rows = [(20, [0.5] * 4), (20, [0.5] * 2)]
+    rows += [(k, [float(x) for x in rng.normal(0, 0.4, d)]) for k in range(200, 440) for d in (4, 2)]
+    rows += [(777, [float(x) for x in rng.normal(0, 0.4, 4)]) for _ in range(150)] + [(778, [0.3] * 4)] * 200
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    p = topk.TopKParams(k=5, shard_rows=60, leaf_rows=4, block_rows=3)
+    got = sorted(map(tuple, topk.top_k(frame, F.col("id") == 20, p).collect()))
+    usable = {(i, tuple(int(np.floor(64 * x)) for x in v)) for i, v in rows}
+    best = {}
+    for i, v in usable:
+        for j, u in usable:
+            if i == 20 and j != 20 and len(u) == len(v):
+                s = sum(a * b for a, b in zip(u, v))
+                best[j] = max(s, best.get(j, s))
+    assert got == [(20, r, j, s) for r, (j, s) in enumerate(sorted(best.items(), key=lambda x: (-x[1], x[0]))[:5], 1)]
+
+
 def test_top_k_of_nothing(spark):
     frame = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.top_k(frame, F.col("id") % 20 == 0).count() == 0
@@ -168,13 +187,34 @@ def test_warc_chain_must_reach_the_end(spark, tmp_dir, cut):
         warc.read_warc(spark, "file://" + tmp_dir).count()
 
 
-def test_pointer_jumping():
-    off = np.array([50, 0, 10, 30, 12, 60])
-    nxt = np.array([60, 10, 30, 50, 30, 99])
-    assert warc.reachable(off, nxt).tolist() == [True, True, True, True, False, True]
-    assert not warc.reachable(np.array([5]), np.array([9])).any()
+def test_pointer_jumping_in_a_range():
+    off, nxt = np.array([0, 10, 12, 30, 50, 60]), np.array([10, 30, 30, 50, 60, 99])
+    assert warc.follow(off, nxt, 0).tolist() == [True, True, False, True, True, True]
+    assert warc.follow(off, nxt, 12).tolist() == [False, False, True, True, True, True]
+    assert not warc.follow(off, nxt, 11).any() and not warc.follow(off[:0], nxt[:0], 0).any()
+    assert warc.exits(off, nxt, 80).tolist() == [99] * 6
+    assert warc.exits(off, np.array([10, 31, 30, 50, 60, 99]), 80).tolist() == [-1, -1, 99, 99, 99, 99]
     chain = np.arange(0, 5000, 5)
-    assert warc.reachable(chain[::-1], chain[::-1] + 5).all()
+    assert warc.follow(chain, chain + 5, 0).all() and (warc.exits(chain, chain + 5, 5000) == 5000).all()
+
+
+def test_archives_are_scanned_and_read_by_many_tasks(spark):
+    """Under AQE's own settings; candidates of one file meet by range only."""
+    rows = [(k, f"http://h/{k}", f"page {k} " + "WARC/1.1\r\nContent-Length: 5\r\n\r\n" * (k % 4) + "y" * (k % 977)) for k in range(1500)]
+    folder = warc.archive_folder(spark)
+    warc.write_warc(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), folder)
+    p = warc.WarcParams(range_bytes=20_000, task_bytes=50_000)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.minPartitionSize")
+    try:
+        spots, tasks = warc.record_offsets(spark, folder, p)
+        read = warc.read_warc(spark, folder, p)
+        used = read.select(F.spark_partition_id().alias("p"), "record_id").groupBy("p").count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
+    assert tasks > 8 and len(used) > 5 and max(r["count"] for r in used) < 500
+    assert sorted(r.page_id for r in read.select(warc.page_of(F.col("record_id")).alias("page_id")).collect()) == [k for k, _, _ in rows]
+    plan = spots._jdf.queryExecution().analyzed().toString()
+    assert "FlatMapGroupsInPandas [path" in plan and "start" in plan.split("FlatMapGroupsInPandas [", 1)[1].split("]", 1)[0]
 
 
 # --- URL filter -------------------------------------------------------------
