@@ -103,7 +103,7 @@ def test_sampled_clusters_stay_within_the_stated_bound(spark, t):
     samples = silhouette.cluster_samples(frame, ["a", "b"], ["k"], "id_pelicula", t)["k"]
     assert all(len(s) <= 3 * t for _, s, _ in samples.values())
     assert {n for n, _, _ in samples.values()} == {1502, 500}
-    far = samples[0][1]
+    far = samples["0"][1]
     assert t < 60 or (far == [60, 60]).all(axis=1).any()  # drawn for certain, as it weighs most
 
 
