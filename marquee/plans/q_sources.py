@@ -130,3 +130,32 @@ def api_stream_ingest(ctx):
     landing = write_jsonl(ctx.fixtures.api_responses, f"{run}/landing")
     ingest_api_responses(ctx.spark, landing, f"{run}/table", f"{run}/checkpoint").awaitTermination()
     return current_api_records(ctx.spark, f"{run}/table")
+
+
+def _landed_stream(ctx):
+    """Current records of the landed responses, in two batches: later sequences land first, earlier ones late, after a restart."""
+    from marquee.streaming import keep_current
+    run = ctx.landing("streams", "api_current")
+    responses = ctx.fixtures.api_responses
+    late = F.col("seq") < 0
+    for n, part in enumerate((responses.where(~late), responses.where(late))):
+        write_jsonl(part, f"{run}/landing", mode="append" if n else "overwrite")
+        keep_current(ctx.spark, f"{run}/landing", f"{run}/current", f"{run}/checkpoint", compact_every=2).awaitTermination()
+    return f"{run}/current"
+
+
+@query("api_stream_current", "S4 S5 (streaming)", with_ctes("""
+select * exclude (rn) from (select *, row_number() over (partition by id_pelicula_api order by ord) as rn from api_raw)
+where rn = 1""", "api_raw"))
+def api_stream_current(ctx):
+    from marquee.streaming import read_current_records
+    return read_current_records(ctx.spark, _landed_stream(ctx))
+
+
+@query("api_id_candidates_landed", "S7", with_ctes(
+    "select distinct id from stg_ids where regexp_matches(id, '^[0-9]+$') "
+    "and id not in (select cast(id_pelicula_api as varchar) from api_raw) order by id", "stg_ids", "api_raw"))
+def api_candidates_landed(ctx):
+    # Ids of the staging rows that have no record yet, by the id column of the current table.
+    from marquee.streaming import fetched_ids
+    return api_id_candidates(ctx.fixtures.staging, fetched_ids(ctx.spark, _landed_stream(ctx)))
