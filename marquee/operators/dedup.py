@@ -39,13 +39,14 @@ def duplicated_rows(df: DataFrame, key: str, keys: DataFrame | None = None) -> D
     """Rows whose ``key`` appears more than once (every copy).
 
     ``keys`` may be a cheaper frame of the same rows that has the key alone; the
-    counts come from it and combine map-side. Null keys repeat one another: they
-    go round the join (one group of them would be a single task), kept or
-    dropped as a whole. AQE splits a hot key's partition of the semi join.
+    counts come from it and combine map-side, the null keys' among them. Null
+    keys repeat one another: they go round the join of the others (one group of
+    them would be a single task) and meet the one row that says whether there
+    are two or more. AQE splits a hot key's partition of the semi join.
     """
     keys = df.select(key) if keys is None else keys.select(key)
-    dup_keys = keys.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(key)
-    out = df.join(dup_keys, key, "left_semi").select(*df.columns)
-    if len(keys.where(F.col(key).isNull()).take(2)) < 2:
-        return out
-    return out.unionByName(df.where(F.col(key).isNull()))
+    repeated = keys.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    out = df.join(repeated.where(F.col(key).isNotNull()).select(key), key, "left_semi").select(*df.columns)
+    nulls = repeated.where(F.col(key).isNull()).select(F.lit(True).alias("_any"))  # one row or none
+    lost = df.where(F.col(key).isNull()).withColumn("_null", F.lit(True))
+    return out.unionByName(lost.join(F.broadcast(nulls), F.col("_null") == F.col("_any"), "left_semi").select(*df.columns))

@@ -23,7 +23,9 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MOVE = 1e-4  # a model whose centres all move less than this has converged
+# A model has converged when its centres' squared moves sum to no more than this share of the features' mean
+# variance (the usual default of such searches).
+MOVE = 1e-4
 SEED_ROUNDS = 2
 
 
@@ -149,6 +151,8 @@ def fit_all(rows: DataFrame, kinds: list[int], seed: int, iterations: int) -> li
     """One converged model for each k of ``kinds``; ``rows`` has the feature columns alone."""
     names = tuple(rows.columns)
     centres = seed_models(rows, kinds, seed)
+    spread = rows.agg(*[F.coalesce(F.var_pop(c), F.lit(0.0)).alias(c) for c in names]).first()
+    enough = MOVE * float(np.mean(list(spread)))
     costs = [0.0] * len(kinds)
     moving = list(range(len(kinds)))
     for turn in range(iterations + 1):
@@ -156,7 +160,7 @@ def fit_all(rows: DataFrame, kinds: list[int], seed: int, iterations: int) -> li
         for m, (n, sums, cost) in zip(moving, centre_sums(rows, [centres[m] for m in moving])):
             costs[m] = cost  # of the centres as they are, before the step
             step = np.where(n[:, None] > 0, sums / np.maximum(n, 1)[:, None], centres[m])
-            if turn < iterations and ((step - centres[m]) ** 2).sum(axis=1).max() > MOVE ** 2:
+            if turn < iterations and ((step - centres[m]) ** 2).sum() > enough:
                 centres[m] = step
                 still.append(m)
         moving = still

@@ -44,6 +44,12 @@ def id_profile(df: DataFrame, key: str = "id_pelicula") -> DataFrame:
     )
 
 
+def row_and_key_counts(df: DataFrame, key: str) -> DataFrame:
+    """(filas, claves): all rows and different non-null keys, from one aggregate that combines map-side."""
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    return per_key.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("filas"), F.count(key).alias("claves"))
+
+
 def value_profile(df: DataFrame, column: str) -> DataFrame:
     """Total rows, valid / invalid (null) values, minimum and maximum."""
     c = F.col(column)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.operators.kmeans import matrix, squared
+from marquee.operators.kmeans import matrix
 
 SAMPLE = 2048     # t: rows of a cluster beyond which it is sampled
 SIGMAS = 3.0
@@ -60,6 +60,15 @@ def cluster_samples(features: DataFrame, names: list[str], labels: list[str], ke
     return out
 
 
+def distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """(rows of x, rows of y) distances by one matrix product; pairs too near for it by their differences."""
+    norms = (x * x).sum(axis=1)[:, None] + (y * y).sum(axis=1)[None, :]
+    d = norms - 2.0 * (x @ y.T)
+    i, j = np.nonzero(d < 1e-4 * norms)
+    d[i, j] = ((x[i] - y[j]) ** 2).sum(axis=1)
+    return np.sqrt(np.maximum(d, 0.0))
+
+
 def row_scores(x: np.ndarray, label: np.ndarray, clusters: dict) -> tuple[np.ndarray, np.ndarray]:
     """Silhouette and error of each row, given its cluster."""
     order = list(clusters)
@@ -68,10 +77,10 @@ def row_scores(x: np.ndarray, label: np.ndarray, clusters: dict) -> tuple[np.nda
     for j, c in enumerate(order):
         n, sample, p = clusters[c]
         own[:, j] = label == c
-        d = np.sqrt(squared(x, sample))
+        d = distances(x, sample)
         count = np.where(own[:, j], max(n - 1, 1), n)
-        mean[:, j] = (d / p).sum(axis=1) / count
-        error[:, j] = SIGMAS * np.sqrt((d ** 2 * ((1 - p) / p ** 2)).sum(axis=1)) / count
+        mean[:, j] = (d @ (1 / p)) / count
+        error[:, j] = SIGMAS * np.sqrt((d * d) @ ((1 - p) / p ** 2)) / count
     size = np.array([clusters[c][0] for c in order])
     a, a_error = mean[own], error[own]
     others = np.where(own, np.inf, mean)

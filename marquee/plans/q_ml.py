@@ -391,6 +391,13 @@ def _search(ctx):
 
 @query("k_metrics", "M13 M14 M15")
 def k_metrics(ctx):
+    metrics, _ = _search(ctx)
+    return metrics.select("k", "silhouette_score", "inercia")
+
+
+@query("k_metrics_both", "M15")
+def k_metrics_both(ctx):
+    # The Euclidean silhouette with its error bound, and the squared form beside it.
     metrics, _ = _search(ctx)
     return metrics
 

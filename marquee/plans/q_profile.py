@@ -7,7 +7,7 @@ from marquee.operators.clean import normalise_restrictions
 from marquee.operators.dedup import duplicated_rows, first_per_key
 from marquee.operators.profile import (after_clean_nulls, date_rows, dirty_plays, domain_profile,
                                        duplicate_row_count, id_profile, null_counts,
-                                       value_profile)
+                                       row_and_key_counts, value_profile)
 from marquee.operators.clean import clean_ids
 from marquee.operators.classifier import model_frame
 from marquee.functions.numeric import to_int_id
@@ -152,16 +152,21 @@ _STAGES = (("staging", "stg_raw"), ("restricciones", "restr_raw"), ("api", "api_
     f"select '{n}' as etapa, count(*) as filas from {t}" for n, t in _STAGES),
     *[t for _, t in _STAGES]))
 def source_counts(ctx):
-    # Plain aggregates, right however often tasks run again. Counting needs no
-    # cleaned values, so column pruning leaves little of each stage's work.
+    """One aggregate per source gives the rows of every stage.
+
+    Cleaning staging rows keeps them all; consolidating and de-duplicating leave
+    one row per valid id; the joins add one row at most to each film
+    (``one_to_one_violations`` counts exceptions) and the projection none.
+    """
     from pyspark.sql import functions as F
-    e = ctx.etl
-    stages = (e.staging_raw, e.restrictions_raw, e.api_raw, e.staging_clean, e.consolidated, e.restrictions,
-              e.api, e.integrated, e.final)
-    out = None
-    for (name, _), df in zip(_STAGES, stages):
-        row = df.agg(F.count(F.lit(1)).alias("filas")).select(F.lit(name).alias("etapa"), "filas")
-        out = row if out is None else out.unionByName(row)
+    e, out = ctx.etl, None
+    keys = ((clean_ids(e.staging_raw), ("staging", "staging_limpio"), ("consolidado", "integrado", "final")),
+            (normalise_restrictions(e.restrictions_raw), ("restricciones",), ("restricciones_limpio",)),
+            (e.api_raw.select(to_int_id(F.col("id_pelicula_api").cast("string")).alias("id_pelicula")), ("api",), ("api_limpio",)))
+    for df, rows, films in keys:
+        stages = [F.struct(F.lit(n).alias("etapa"), F.col(c).alias("filas")) for c, names in (("filas", rows), ("claves", films)) for n in names]
+        counts = row_and_key_counts(df.select("id_pelicula"), "id_pelicula").select(F.inline(F.array(*stages)))
+        out = counts if out is None else out.unionByName(counts)
     return out
 
 

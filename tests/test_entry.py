@@ -10,7 +10,7 @@ from tests.oracle_check import compare, duck
 # Raw model outputs: their values depend on seeds; rf_checks, kmeans_checks, model_outputs
 # and the eval_*_rule queries hold what must be true of them against SQL.
 MODEL_FITS = {"rf_predictions", "eval_accuracy", "eval_confusion", "eval_report", "k_metrics",
-              "kmeans_clusters"}
+              "k_metrics_both", "kmeans_clusters"}
 CORE = spark_queries()
 
 
