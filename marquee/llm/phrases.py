@@ -32,16 +32,17 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.llm.common import prepare, spread_join
 
 # A-Z lower-cased, piece separators to line ends, tab to blank: no upper-case
-# letter is left, so the word "A" can mark the end of a piece.
+# letter is left, so the words "A" and "B" can mark the ends of pieces and texts.
 SEPARATORS = b".,;:!?\n\x0b\x0c\r"
 FOLD = bytes(b + 32 if 65 <= b <= 90 else 10 if b in SEPARATORS else 32 if b == 9 else b for b in range(256))
-END = b"A"
+END_OF_PIECE, END_OF_TEXT = b"A", b"B"
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
@@ -51,75 +52,107 @@ class PhraseParams:
     least: int = 30
     covered: int = 80        # per cent of a phrase's count that a longer one must have to replace it
     top: int = 2000
-    block_words: int = 1 << 20
+    block_bytes: int = 8 << 20   # of text hashed together
     bits: int = 64           # of a fingerprint; fewer only to test collisions
     filter_bits: int = 1 << 28   # at most: 32 MB, whatever the corpus holds
 
 
 # --- words and fingerprints -------------------------------------------------
 
-def tokens(text: bytes) -> list[bytes]:
-    """The text's words with END after each piece."""
-    return [w for w in text.translate(FOLD).replace(b"\n", b" A ").split(b" ") if w] + [END]
-
-
 def mixed(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return h ^ (h >> np.uint64(31))
 
 
+def word_hashes(words: pa.Array) -> np.ndarray:
+    """(words, 2) 64-bit hashes: sums over a word's bytes of a mixed value of byte and place."""
+    ends = np.frombuffer(words.buffers()[1], np.int64 if pa.types.is_large_binary(words.type) else np.int32)[
+        words.offset:words.offset + len(words) + 1].astype(np.int64)
+    size = np.diff(ends)
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[ends[0]:ends[-1]].astype(np.uint64)
+    place = np.arange(len(data)) - np.repeat(ends[:-1] - ends[0], size)
+    out = np.zeros((len(words), 2), np.uint64)
+    some = np.nonzero(size)[0]
+    for c, base in enumerate(BASES):
+        value = mixed(data + np.uint64(1) + place.astype(np.uint64) * np.uint64(256) + np.uint64(base))
+        out[some, c] = np.add.reduceat(value, (ends[:-1] - ends[0])[some]) if len(some) else 0
+    return mixed(out + size[:, None].astype(np.uint64))
+
+
+class Powers:
+    """Powers of both bases and of their inverses modulo 2^64, kept for the longest block so far."""
+
+    def __init__(self):
+        self.up = self.down = np.ones((2, 0), np.uint64)
+
+    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if self.up.shape[1] < n:
+            # the bases are odd, so they have inverses
+            self.up, self.down = (np.stack([np.cumprod(np.r_[np.uint64(1), np.full(n - 1, pow(base, sign, 1 << 64), np.uint64)])
+                                            for base in BASES]) for sign in (1, -1))
+        return self.up[:, :n], self.down[:, :n]
+
+
 class Block:
     """The words of some texts and the running polynomials over their hashes."""
 
-    def __init__(self, texts: list[list[bytes]], langs: list[str]):
-        self.words, self.langs = [w for t in texts for w in t], langs
-        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-        self.text = np.repeat(np.arange(len(texts)), sizes)
-        coded = pa.array(self.words, pa.binary()).dictionary_encode()
-        codes = coded.indices.to_numpy()
-        digests = b"".join(blake2b(w, digest_size=16).digest() for w in coded.dictionary.to_pylist())
-        hashes = np.frombuffer(digests, "<u8").reshape(-1, 2)
-        marks = np.fromiter((w == END for w in coded.dictionary.to_pylist()), bool, len(coded.dictionary))
-        self.ends = np.r_[0, np.cumsum(marks[codes])]
-        self.start = [np.frombuffer(blake2b(x.encode(), digest_size=16, person=b"lang").digest(), "<u8") for x in langs]
-        self.sums, self.unshift = [], []
-        for c, base in enumerate(BASES):
-            powers = np.cumprod(np.r_[np.uint64(1), np.full(max(0, len(codes) - 1), base, np.uint64)])
-            self.sums.append(np.r_[np.uint64(0), np.cumsum(hashes[codes, c] * powers)])
-            # the base is odd, so its powers have inverses modulo 2^64
-            self.unshift.append(np.cumprod(np.r_[np.uint64(1), np.full(max(0, len(codes) - 1), pow(base, -1, 1 << 64), np.uint64)]))
-
-    def ngrams(self, n: int, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(place, fingerprint, check) of every n-gram within a piece."""
-        at = np.arange(max(0, len(self.words) - n + 1))
-        at = at[self.ends[at + n] == self.ends[at]]
-        out = []
+    def __init__(self, texts: list[bytes], langs: list[str], powers: Powers | None = None):
+        data = b" A B ".join([t.translate(FOLD).replace(b"\n", b" A ") for t in texts] + [b""])
+        split = pc.split_pattern(pa.array([data], pa.large_binary()), b" ").flatten().dictionary_encode()
+        del data
+        self.dictionary, codes = split.dictionary, split.indices.to_numpy()
+        known = pc.index_in(pa.array([b"", END_OF_PIECE, END_OF_TEXT], self.dictionary.type), self.dictionary).to_pylist()
+        nothing, piece, text = (-1 if k is None else k for k in known)
+        if nothing >= 0:
+            codes = codes[codes != nothing]  # from blanks in a row
+        self.codes, self.langs = codes, langs
+        over = codes == text
+        self.text = np.minimum(np.cumsum(over) - over, max(len(texts) - 1, 0)).astype(np.int32)
+        self.ends = np.r_[0, np.cumsum((codes == piece) | over)].astype(np.int32)
+        hashes = word_hashes(self.dictionary)
+        up, self.unshift = (powers or Powers()).upto(len(codes))
+        self.sums = np.zeros((2, len(codes) + 1), np.uint64)
         for c in (0, 1):
-            start = np.array([s[c] for s in self.start], np.uint64)
-            poly = (self.sums[c][at + n] - self.sums[c][at]) * self.unshift[c][at]
-            out.append(mixed(poly + start[self.text[at]] * np.uint64(2 * n + 1)))
-        return at, out[0] >> np.uint64(64 - bits), out[1]
+            np.cumsum(hashes[:, c][codes] * up[c], out=self.sums[c, 1:])
+        seeds = np.frombuffer(b"".join(blake2b(x.encode(), digest_size=16, person=b"lang").digest() for x in langs), "<u8")
+        self.seeds = seeds.reshape(-1, 2)
+
+    def places(self, n: int) -> np.ndarray:
+        """Where an n-gram within a piece begins."""
+        at = np.arange(max(0, len(self.codes) - n + 1))
+        return at[self.ends[at + n] == self.ends[at]]
+
+    def hashed(self, at: np.ndarray, n: int, c: int) -> np.ndarray:
+        """Fingerprints (c = 0) or check hashes (c = 1) of the n-grams at these places."""
+        poly = (self.sums[c][at + n] - self.sums[c][at]) * self.unshift[c][at]
+        return mixed(poly + self.seeds[self.text[at], c] * np.uint64(2 * n + 1))
+
+    def fingerprints(self, at: np.ndarray, n: int, bits: int) -> np.ndarray:
+        return self.hashed(at, n, 0) >> np.uint64(64 - bits)
+
+    def phrase(self, at: int, n: int) -> str:
+        return b" ".join(self.dictionary[int(c)].as_py() for c in self.codes[at:at + n]).decode()
 
 
 def blocks(batches: Iterator[pa.RecordBatch], p: PhraseParams) -> Iterator[tuple[Block, np.ndarray]]:
-    """Batches of (lang, pointer, text, ...) in blocks of about ``block_words`` words, each with its rows' pointers."""
-    texts: list[list[bytes]] = []
+    """Batches of (lang, pointer, text, ...) in blocks of about ``block_bytes`` of text, each with its rows' pointers."""
+    texts: list[bytes] = []
     langs: list[str] = []
     pointers: list[int] = []
-    size = 0
+    size, powers = 0, Powers()
     for batch in batches:
         lang, pointer, text = (batch.column(c).to_pylist() for c in range(3))
         for one, at, t in zip(lang, pointer, text):
-            texts.append(tokens(t))
+            texts.append(t)
             langs.append(one)
             pointers.append(at)
-            size += len(texts[-1])
-            if size >= p.block_words:
-                yield Block(texts, langs), np.array(pointers, np.int64)
+            size += len(t)
+            if size >= p.block_bytes:
+                yield Block(texts, langs, powers), np.array(pointers, np.int64)
                 texts, langs, pointers, size = [], [], [], 0
     if texts:
-        yield Block(texts, langs), np.array(pointers, np.int64)
+        yield Block(texts, langs, powers), np.array(pointers, np.int64)
 
 
 def sources(docs: DataFrame) -> DataFrame:
@@ -136,6 +169,11 @@ def slots(fp: np.ndarray, size: int) -> np.ndarray:
     return (mixed(fp) & np.uint64(size - 1)).astype(np.int64)
 
 
+def in_filter(fp: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    slot = slots(fp, len(bits) * 8)
+    return (bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)
+
+
 def bit_filter(frequent: DataFrame, count: int, p: PhraseParams) -> np.ndarray:
     """The filter of the fingerprints ``fp``: tasks set bits, the driver gets one row per used 4 KB of it."""
     size = max(1 << 15, min(p.filter_bits, 1 << (16 * max(1, count) - 1).bit_length()))
@@ -163,22 +201,25 @@ def ngram_counts(docs: DataFrame, n: int, shorter: np.ndarray | None, p: PhraseP
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, pointers in blocks(batches, p):
-            at, fp, check = block.ngrams(n, p.bits)
+            at = block.places(n)
             if shared is not None:
-                bits = shared.value
-                where, part, _ = block.ngrams(n - 1, p.bits)
-                slot = slots(part, len(bits) * 8)
-                held = np.zeros(len(block.words) + 1, bool)
-                held[where] = bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1
-                fit = held[at] & held[at + 1]
-                at, fp, check = at[fit], fp[fit], check[fit]
-            order = np.lexsort((check, fp))
-            at, fp, check = at[order], fp[order], check[order]
-            new = np.nonzero(np.r_[True, (fp[1:] != fp[:-1]) | (check[1:] != check[:-1])])[0] if len(fp) else np.zeros(0, np.int64)
-            times = np.diff(np.r_[new, len(fp)])
+                where = block.places(n - 1)
+                held = np.zeros(len(block.codes) + 1, bool)
+                held[where] = in_filter(block.fingerprints(where, n - 1, p.bits), shared.value)
+                at = at[held[at] & held[at + 1]]
+            fp = block.fingerprints(at, n, p.bits)
+            order = np.argsort(fp)
+            fp, at = fp[order], at[order]
+            check = block.hashed(at, n, 1)
+            new, other = fp[1:] != fp[:-1], check[1:] != check[:-1]
+            if (other & ~new).any():  # n-grams that share a fingerprint in this block
+                order = np.lexsort((check, fp))
+                fp, at, check = fp[order], at[order], check[order]
+                new, other = fp[1:] != fp[:-1], check[1:] != check[:-1]
+            first = np.nonzero(np.r_[True, new | other])[0] if len(fp) else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(fp[new].view(np.int64)), pa.array(check[new].view(np.int64)), pa.array(times),
-                 pa.array(pointers[block.text[at[new]]])], ["fp", "check", "n_seen", "pointer"])
+                [pa.array(fp[first].view(np.int64)), pa.array(check[first].view(np.int64)), pa.array(np.diff(np.r_[first, len(fp)])),
+                 pa.array(pointers[block.text[at[first]]])], ["fp", "check", "n_seen", "pointer"])
 
     return sources(docs).mapInArrow(run, "fp long, check long, n_seen long, pointer long")
 
@@ -210,25 +251,26 @@ def read_phrases(docs: DataFrame, frequent: DataFrame, p: PhraseParams) -> DataF
     bits = docs.sparkSession.sparkContext.broadcast(bit_filter(marks, marks.count(), p))
 
     def pointed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = bits.value
         for batch in batches:
-            slot = slots(batch.column(1).to_numpy().view(np.uint64), len(table) * 8)
-            yield batch.filter(pa.array((table[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)))
+            yield batch.filter(pa.array(in_filter(batch.column(1).to_numpy().view(np.uint64), bits.value)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        powers = Powers()
         for batch in batches:
             out: list[tuple] = []
             for lang, text, asked in zip(*(batch.column(c).to_pylist() for c in ("lang", "text", "wanted"))):
-                block = Block([tokens(text)], [lang])
+                block = Block([text], [lang], powers)
                 for n in sorted({w["n"] for w in asked}):
-                    at, fp, check = block.ngrams(n, p.bits)
                     counts = {(w["fp"], w["check"]): w["a"] for w in asked if w["n"] == n}
-                    fps = np.array([k[0] for k in counts], np.int64)
-                    near = np.nonzero(np.isin(fp.view(np.int64), fps))[0]
-                    for k in near.tolist():
-                        a = counts.pop((int(fp.view(np.int64)[k]), int(check.view(np.int64)[k])), None)
+                    at = block.places(n)
+                    fp = block.fingerprints(at, n, p.bits).view(np.int64)
+                    hit = np.isin(fp, np.array([k[0] for k in counts], np.int64))
+                    at, fp = at[hit], fp[hit]
+                    check = block.hashed(at, n, 1).view(np.int64)
+                    for place, *both in zip(at.tolist(), fp.tolist(), check.tolist()):
+                        a = counts.pop(tuple(both), None)
                         if a is not None:
-                            out.append((lang, b" ".join(block.words[at[k]:at[k] + n]).decode(), n, a))
+                            out.append((lang, block.phrase(place, n), n, a))
             yield phrase_batch(out)
 
     texts = sources(docs).mapInArrow(pointed, "lang string, pointer long, text binary").dropDuplicates(["pointer"])
@@ -256,12 +298,11 @@ def recount_clashes(docs: DataFrame, frequent: DataFrame, p: PhraseParams) -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, _ in blocks(batches, p):
             for n, bits in shared.value.items():
-                at, fp, _ = block.ngrams(n, p.bits)
-                slot = slots(fp, len(bits) * 8)
-                hit = at[(bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)]
+                at = block.places(n)
+                hit = at[in_filter(block.fingerprints(at, n, p.bits), bits)]
                 seen: dict[tuple, int] = {}
                 for k in hit.tolist():
-                    key = (block.langs[block.text[k]], b" ".join(block.words[k:k + n]).decode(), n)
+                    key = (block.langs[block.text[k]], block.phrase(k, n), n)
                     seen[key] = seen.get(key, 0) + 1
                 yield phrase_batch([(*key, a) for key, a in seen.items()])
 

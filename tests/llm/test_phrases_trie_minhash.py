@@ -28,7 +28,7 @@ def chatter():
     return rows + [("en", "sun sea " * 30000), ("en", "A\x01 A\x01 " * 50), ("pt", "\x85nb\xa0sp x　y " * 40)]
 
 
-@pytest.mark.parametrize("p", [phrases.PhraseParams(), phrases.PhraseParams(bits=7, block_words=500), phrases.PhraseParams(filter_bits=1 << 15)])
+@pytest.mark.parametrize("p", [phrases.PhraseParams(), phrases.PhraseParams(bits=7, block_bytes=500), phrases.PhraseParams(filter_bits=1 << 15)])
 def test_phrases_match_brute_force(spark, p):
     rows = chatter()
     docs = spark.createDataFrame([(a, b, "x", 1) for a, b in rows], "lang string, text string, phrase string, n int")
@@ -51,11 +51,14 @@ def test_only_the_best_phrases_are_kept_and_none_of_nothing(spark):
 
 
 def test_blocks_hash_the_same_phrase_alike_wherever_it_stands():
-    one = phrases.Block([phrases.tokens(b"x y z"), phrases.tokens(b"q, X y z!")], ["en", "en"])
-    at, fp, check = one.ngrams(3, 64)
-    assert [one.words[k] for k in at] == [b"x", b"x"] and fp[0] == fp[1] and check[0] == check[1]
-    other = phrases.Block([phrases.tokens(b"x y z")], ["de"])
-    assert other.ngrams(3, 64)[1][0] != fp[0]
+    one = phrases.Block([b"x y z", b"q,  X\ty z! ", b""], ["en", "en", "en"])
+    at = one.places(3)
+    fp, check = one.hashed(at, 3, 0), one.hashed(at, 3, 1)
+    assert [one.phrase(k, 3) for k in at] == ["x y z", "x y z"] and fp[0] == fp[1] and check[0] == check[1] and fp[0] != check[0]
+    assert [one.phrase(k, 1) for k in one.places(1)] == ["x", "y", "z", "q", "x", "y", "z"]
+    other = phrases.Block([b"x y z"], ["de"])
+    assert other.hashed(other.places(3), 3, 0)[0] != fp[0]
+    assert len(phrases.Block([], []).places(1)) == len(phrases.Block([b" .. "], ["en"]).places(1)) == 0
 
 
 # --- the trie ---------------------------------------------------------------
