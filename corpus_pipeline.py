@@ -12,7 +12,7 @@ from marquee.llm.mixing import mix_report
 from marquee.llm.simhash import drop_near_duplicates
 from marquee.llm.toxicity import drop_toxic, fit_toxicity
 from marquee.session import scratch_path
-from marquee.storage import remove_older
+from marquee.storage import hold, remove_older
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -64,8 +64,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages; each one's result is written to the shared folder and read back as the next one's documents."""
     docs = _table(spark, sf_dir, "documents")
-    remove_older(spark, scratch_path(spark, "pipeline"), hours=24)
-    folder = scratch_path(spark, "pipeline", unique=True)
+    remove_older(spark, scratch_path(spark, "pipeline"))
+    folder = hold(spark, scratch_path(spark, "pipeline", unique=True))
     for name, stage in STAGES:
         path = f"{folder}/{name}"
         stage(spark, docs, sf_dir).write.parquet(path)

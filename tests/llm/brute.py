@@ -192,8 +192,10 @@ def minhash(text, shingle=5, bins=256, bits=8, probes=8):
     lanes = []
     for j in range(bins):
         walk = [j] + [_long(j, _long(r)) & bins - 1 for r in range(probes)]
-        walk += sorted(range(bins), key=lambda b: _signed(_long(b - bins // 2, _long(j, _long(probes)))))
-        lanes.append(_long(j, _long(next(least[b] for b in walk if b in least))) & (1 << bits) - 1)
+        found = next((b for b in walk if b in least), None)
+        if found is None:
+            found = min(least, key=lambda b: _signed(_long(b - bins // 2, _long(j, _long(probes)))))
+        lanes.append(_long(j, _long(least[found])) & (1 << bits) - 1)
     return lanes
 
 
