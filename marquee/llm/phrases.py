@@ -52,7 +52,7 @@ class PhraseParams:
     least: int = 30
     covered: int = 80        # per cent of a phrase's count that a longer one must have to replace it
     top: int = 2000
-    block_bytes: int = 8 << 20   # of text hashed together
+    block_bytes: int = 5 << 20   # of text hashed together
     bits: int = 64           # of a fingerprint; fewer only to test collisions
     filter_bits: int = 1 << 28   # at most: 32 MB, whatever the corpus holds
 
