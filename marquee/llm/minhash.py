@@ -40,9 +40,10 @@ class MinHashParams:
     bins: int = 256       # a power of two
     bits: int = 8         # 1, 2, 4, 8, 16 or 32
     probes: int = 8
-    bucket_rows: int = 4000   # documents that meet in one window when neighbours are found
+    bucket_rows: int = 500    # documents that meet in one window when neighbours are found
     max_cells: int = 512      # quantiles of doc_id held as literals
-    max_buckets: int = 50_000  # beyond it buckets grow instead
+    max_buckets: int = 400_000  # beyond it buckets grow instead
+    task_buckets: int = 8     # buckets a task, about
 
 
 def _signed(x: int) -> int:
@@ -195,6 +196,10 @@ def with_next(docs: DataFrame, p: MinHashParams = MinHashParams()) -> DataFrame:
                 F.struct(F.col("bucket").alias("bucket"), F.lit(False).alias("guest")),
                 F.struct(F.col("also").alias("bucket"), F.lit(True).alias("guest"))), lambda x: x["bucket"].isNotNull())))
             .select("doc_id", "text", "text_hash", "fp", "copies", "to.bucket", "to.guest"))
+    # partitions as many as the table needs, so that a task's share does not grow with it; bucket numbers are
+    # too regular to be dealt evenly as they are
+    sent = (sent.withColumn("bucket", F.xxhash64("bucket"))
+            .repartition(max(1, min(p.max_buckets, total // p.bucket_rows) // p.task_buckets), "bucket"))
     order = Window.partitionBy("bucket").orderBy("guest", F.col("doc_id").asc_nulls_first(), "text_hash")
     after = (sent.withColumn("next", F.lead(F.struct("text", "fp")).over(order)).filter(~F.col("guest"))
              .select("doc_id", "text", "fp", "copies", "next"))
