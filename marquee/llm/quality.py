@@ -2,18 +2,19 @@
 
 A document's strength is a linear function of its text features. Preference
 pairs (a good document over a bad one) are fitted with the logistic loss on the
-difference of their features. The threshold is the point that parts the scores
-of all eligible labelled documents, good from bad, with the fewest mistakes, found
-on a histogram of ``bins`` steps; the score is placed so that it lies at
-``threshold_score``.
+difference of their features. The threshold is a quantile of the scores of all
+documents, labelled or not. Its level is learned from every eligible label: the
+share of documents below the point that parts the scores of the good from those
+of the bad with the fewest mistakes, both read from one histogram of ``bins``
+steps. The score is placed so that the quantile lies at ``threshold_score``.
 
 Features come from the whole text: shares of capitals, symbols, bars,
 exclamation marks and digits, of words that repeat the word before, of distinct
 words, the mean word length and the length; their means and spreads are taken
 over all documents. The fit reads a bounded sample of labelled rows
 (``max_labelled``, smallest hashes of their ids first) and ``max_pairs`` pairs;
-the threshold is then taken over every labelled document, by its lowest score
-where its id has several rows.
+the level is then taken from every labelled document, by its lowest score where
+its id has several rows, and the quantile over every row of the documents.
 
 Null or empty text has all features zero. Null ids are scored, never fitted on.
 Null labels say nothing; of several labels of one document the lowest counts.
@@ -55,10 +56,14 @@ class QualityParams:
 
 @dataclass(frozen=True)
 class QualityModel:
-    """score = logistic((weights . (features - mean) / spread - cut) / scale + logit(threshold_score))."""
+    """score = logistic((weights . (features - mean) / spread - cut) / scale + logit(threshold_score)).
+
+    ``cut`` is the quantile of all documents' raw scores at ``level``.
+    """
     mean: tuple[float, ...]
     spread: tuple[float, ...]
     weights: tuple[float, ...]
+    level: float
     cut: float
     scale: float
     threshold_score: float
@@ -106,39 +111,66 @@ def fit_pairs(better: np.ndarray, worse: np.ndarray, l2: float) -> np.ndarray:
     return w
 
 
-def best_cut(scores: np.ndarray, good: np.ndarray) -> float:
-    """The point that parts good from bad scores with the fewest mistakes (each class weighed alike)."""
-    order = np.argsort(scores, kind="stable")
-    s, g = scores[order], good[order]
-    return step_cut(s, s, g.astype(np.int64), (~g).astype(np.int64))
-
+def level_bounds(good: np.ndarray, bad: np.ndarray) -> tuple[int, int]:
+    """(last step below, first step above) of the cut between ascending steps with the fewest mistakes.
 
-def step_cut(low: np.ndarray, high: np.ndarray, good: np.ndarray, bad: np.ndarray) -> float:
-    """The same between ascending steps: least and greatest score, number of good and of bad ones of each.
-
-    Between the last bad and the first good score it lies nearer the bad one: new
-    documents that are good in an unusual way fall between the two.
+    ``good`` and ``bad`` are the labels of each step; each class is weighed alike. Steps
+    without labels between the two belong to neither. -1 and the number of steps
+    stand for the ends.
     """
     # cut before place k: good below it and bad from it on are mistakes
     wrong = np.concatenate([[0], np.cumsum(good)]) / max(1, good.sum()) + (
         bad.sum() - np.concatenate([[0], np.cumsum(bad)])) / max(1, bad.sum())
     places = np.nonzero(wrong <= wrong.min() + 1e-12)[0]
-    k = int(places[0])
-    if k == 0:
+    first = int(places[0])
+    marked = np.nonzero(good[first:] + bad[first:])[0]  # only unlabelled steps lie before the next label
+    return first - 1, first + int(marked[0]) if len(marked) else len(good)
+
+
+def quantile_level(total: np.ndarray, good: np.ndarray, bad: np.ndarray) -> float:
+    """The share of all documents (``total`` of each step) that the least-error cut leaves below.
+
+    Between the last bad and the first good score it lies nearer the bad one: new
+    documents that are good in an unusual way fall between the two.
+    """
+    below, above = level_bounds(good, bad)
+    upto = np.concatenate([[0], np.cumsum(total)])
+    return float(0.75 * upto[below + 1] + 0.25 * upto[above]) / max(1, int(upto[-1]))
+
+
+def step_quantile(low: np.ndarray, high: np.ndarray, total: np.ndarray, level: float) -> float:
+    """The quantile of all scores at a level, from ascending steps: least and greatest score and rows of each.
+
+    Where the level falls between two steps, the quantile lies between their
+    scores, nearer the lower one; inside a step it goes up in a straight line.
+    Below all scores at level 0, above them at level 1.
+    """
+    upto = np.cumsum(total)
+    rank = level * int(upto[-1])
+    if rank <= 1e-9 * upto[-1]:
         return float(low[0]) - 1.0
-    return float(high[-1]) + 1.0 if k == len(low) else float(0.75 * high[k - 1] + 0.25 * low[k])
+    if rank >= upto[-1] * (1 - 1e-9):
+        return float(high[-1]) + 1.0
+    k = int(np.searchsorted(upto, rank - 1e-9 * upto[-1]))
+    if abs(upto[k] - rank) <= 1e-9 * upto[-1]:
+        return float(0.75 * high[k] + 0.25 * low[k + 1])
+    return float(low[k] + (high[k] - low[k]) * (rank - (upto[k] - total[k])) / total[k])
 
 
-def labelled_cut(scored: DataFrame, bins: int) -> float:
-    """``best_cut`` over all rows (s, quality), to a step of 1 / ``bins`` of their range."""
-    low, high = scored.agg(F.min("s"), F.max("s")).first()
-    step = F.floor((F.col("s") - F.lit(low)) * F.lit(bins / max(high - low, 1e-300)))
-    good = F.sum((F.col("quality") >= 1).cast("long"))
-    steps = (scored.groupBy(F.least(step, F.lit(bins - 1)).alias("step"))  # at most ``bins`` rows
-             .agg(F.min("s").alias("low"), F.max("s").alias("high"), good.alias("good"), F.count(F.lit(1)).alias("n")).collect())
-    steps.sort(key=lambda r: r["step"])
-    low, high, good, n = (np.array([r[c] for r in steps]) for c in ("low", "high", "good", "n"))
-    return step_cut(low, high, good, n - good)
+def score_quantile(scores: DataFrame, labelled: DataFrame, bins: int) -> tuple[float, float]:
+    """(level, cut): the level learned from ``labelled`` (s, quality) and the quantile of all ``scores`` (s) there.
+
+    One histogram of at most ``bins`` equal steps of the scores' range reaches the driver.
+    """
+    low, high = scores.agg(F.min("s"), F.max("s")).first()
+    step = F.least(F.floor((F.col("s") - F.lit(low)) * F.lit(bins / max(high - low, 1e-300))), F.lit(bins - 1)).alias("step")
+    good = F.col("quality") >= 1
+    every = scores.groupBy(step).agg(F.min("s").alias("low"), F.max("s").alias("high"), F.count(F.lit(1)).alias("n"))
+    marks = labelled.groupBy(step).agg(F.count_if(good).alias("good"), F.count_if(~good).alias("bad"))
+    rows = sorted(every.join(marks, "step", "left").na.fill(0, ["good", "bad"]).collect(), key=lambda r: r["step"])
+    low, high, n, good, bad = (np.array([r[c] for r in rows]) for c in ("low", "high", "n", "good", "bad"))
+    level = quantile_level(n, good, bad)
+    return level, step_quantile(low, high, n, level)
 
 
 def fit_quality(features: DataFrame, labels: DataFrame, eligible: Column,
@@ -164,9 +196,11 @@ def fit_quality(features: DataFrame, labels: DataFrame, eligible: Column,
     rng = np.random.default_rng(p.seed)
     a, b = np.nonzero(good)[0], np.nonzero(~good)[0]
     w = fit_pairs(x[rng.choice(a, p.max_pairs)], x[rng.choice(b, p.max_pairs)], p.l2)
-    scored = (features.filter("doc_id is not null").select("doc_id", raw_score(F.col("features"), mean, spread, w).alias("s"))
-              .groupBy("doc_id").agg(F.min("s").alias("s")).join(marked, "doc_id").select("s", "quality").checkpoint())
-    return QualityModel(tuple(mean), tuple(spread), tuple(w), labelled_cut(scored, p.bins),
+    scores = features.select("doc_id", raw_score(F.col("features"), mean, spread, w).alias("s"))
+    labelled = (scores.filter("doc_id is not null").groupBy("doc_id").agg(F.min("s").alias("s"))
+                .join(marked, "doc_id").select("s", "quality"))
+    level, cut = score_quantile(scores.select("s"), labelled, p.bins)
+    return QualityModel(tuple(mean), tuple(spread), tuple(w), level, cut,
                         max(float((x @ w).std()) / 2, 1e-9), p.threshold_score)
 
 

@@ -110,18 +110,69 @@ def test_bradley_terry_orders_pairs():
     better, worse = rng.normal(1, 1, (500, 3)), rng.normal(0, 1, (500, 3))
     w = quality.fit_pairs(better, worse, 1e-3)
     assert (better @ w > worse @ w).mean() > 0.8
-    assert quality.best_cut(np.array([0.1, 0.2, 0.8, 0.9]), np.array([False, False, True, True])) == pytest.approx(0.35)
 
 
-def test_quality_cut_covers_labels_beyond_the_sample(spark):
+def plain_quantile(scores, level):
+    """Rank of the level among the sorted scores, a quarter of the way between two where it falls between them."""
+    s, rank = np.sort(scores), round(level * len(scores))
+    return s[0] - 1 if rank == 0 else s[-1] + 1 if rank == len(s) else 0.75 * s[rank - 1] + 0.25 * s[rank]
+
+
+def plain_level(scores, labelled, good):
+    """Every cut tried in turn; of the unlabelled documents in the gap a quarter stay below it."""
+    order = np.argsort(labelled)
+    s, g = labelled[order], good[order]
+    wrong = [g[:k].sum() / g.sum() + (~g[k:]).sum() / (~g).sum() for k in range(len(s) + 1)]
+    k = int(np.argmin(np.round(wrong, 12)))
+    low = (scores <= s[k - 1]).sum() if k else 0
+    high = (scores < s[k]).sum() if k < len(s) else len(scores)
+    return (0.75 * low + 0.25 * high) / len(scores)
+
+
+def test_quality_cut_is_a_quantile_of_all_scores(spark):
+    """Labels beyond the sample say the level; documents without a label move the cut."""
     rng = np.random.default_rng(3)
-    x = rng.normal(0, 1, (600, len(quality.FEATURES)))
-    good = x[:, 0] + rng.normal(0, 0.8, 600) > 0.5
+    x = rng.normal(0, 1, (900, len(quality.FEATURES)))
+    good = x[:600, 0] + rng.normal(0, 0.8, 600) > 0.5
     features = spark.createDataFrame([(k, r.tolist()) for k, r in enumerate(x)], "doc_id long, features array<double>")
     labels = spark.createDataFrame([(k, int(g), 0, "") for k, g in enumerate(good)], LABELS)
     model = quality.fit_quality(features, labels, F.lit(True), quality.QualityParams(max_labelled=30, max_pairs=500))
     s = ((x - model.mean) / model.spread) @ model.weights
-    assert model.cut == pytest.approx(quality.best_cut(s, good), abs=1e-6 + 2 * np.ptp(s) / 2 ** 16)
-    coarse = quality.labelled_cut(spark.createDataFrame([(float(k), int(k >= 70)) for k in range(100)], "s double, quality int"), 10)
-    assert coarse == pytest.approx(69.25, abs=0.51)
-    assert quality.labelled_cut(spark.createDataFrame([(2.0, 1), (2.0, 0)], "s double, quality int"), 10) == 1.0
+    step = 2 * np.ptp(s) / 2 ** 16
+    assert model.level == pytest.approx(plain_level(s, s[:600], good), abs=3 / 900)
+    near = np.sort(s)[[int(model.level * 900) - 1, int(model.level * 900) + 1]]
+    assert near[0] - step <= model.cut <= near[1] + step
+    assert (s < model.cut).mean() == pytest.approx(model.level, abs=1.5 / 900)
+
+
+def test_quantiles_of_steps():
+    one = np.ones(4, int)
+    s = np.array([0.1, 0.2, 0.8, 0.9])
+    assert quality.quantile_level(one, np.array([0, 0, 1, 1]), np.array([1, 1, 0, 0])) == 0.5
+    assert quality.step_quantile(s, s, one, 0.5) == pytest.approx(0.35) == plain_quantile(s, 0.5)
+    for level in (0.0, 0.25, 0.75, 1.0):
+        assert quality.step_quantile(s, s, one, level) == pytest.approx(plain_quantile(s, level))
+    # a level inside a step of many rows, and unlabelled steps between bad and good
+    assert quality.step_quantile(np.array([0.0, 1.0]), np.array([0.5, 2.0]), np.array([4, 4]), 0.75) == pytest.approx(1.5)
+    bad, good = np.array([1, 0, 0, 0, 0, 0]), np.array([0, 0, 0, 0, 0, 1])
+    assert quality.quantile_level(np.ones(6, int), good, bad) == pytest.approx((0.75 * 1 + 0.25 * 5) / 6)
+    # one class beyond the other's reach: nothing below, everything below
+    assert quality.quantile_level(one, np.array([1, 1, 1, 1]), np.zeros(4, int)) == 0.0
+    assert quality.step_quantile(s, s, one, 1.0) == pytest.approx(1.9)
+
+
+def test_all_scores_equal(spark):
+    frame = spark.createDataFrame([(2.0, 1), (2.0, 0)], "s double, quality int")
+    level, cut = quality.score_quantile(frame.select("s"), frame, 10)
+    assert (level, cut) in ((0.0, 1.0), (1.0, 3.0))
+
+
+@pytest.mark.parametrize("column,name,wrong", [("toxic", "op2_toxicity", 1), ("quality", "op8_quality", 0)])
+def test_recall_and_false_alarms_held_out(spark, column, name, wrong):
+    """The class to catch and the rest, apart: answering one class everywhere passes neither."""
+    labels = spark.read.parquet(f"{SF01}/labels.parquet").select("doc_id", column)
+    rows = queries()[name](spark, SF01).join(labels, "doc_id").filter("held_out").collect()
+    caught = [r.predicted == wrong for r in rows if r[column] == wrong]
+    alarms = [r.predicted == wrong for r in rows if r[column] != wrong]
+    assert caught and alarms
+    assert np.mean(caught) >= 0.8 and np.mean(alarms) <= 0.03
