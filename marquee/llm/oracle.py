@@ -67,11 +67,13 @@ parts AS (
   SELECT *, string_split(name, '.') AS l, regexp_matches(name, '^[0-9.]+$|^\\[') AS address FROM names),
 cut AS (
   SELECT *, array_to_string(l[-1:], '.') AS one, array_to_string(l[-2:], '.') AS two, array_to_string(l[-3:], '.') AS three FROM parts),
+ends AS (
+  SELECT *, regexp_full_match(two, '(ac|co|com|edu|gov|net|org)\\.[a-z][a-z]') AS deep FROM cut),
 levels AS (
   SELECT page_id, host,
-    CASE WHEN address THEN name WHEN two IN ('co.uk','org.uk','ac.uk','com.au','co.jp','com.br','co.nz','co.in') THEN three ELSE two END AS domain,
-    CASE WHEN address THEN name WHEN two IN ('co.uk','org.uk','ac.uk','com.au','co.jp','com.br','co.nz','co.in') THEN two ELSE one END AS suffix
-  FROM cut),
+    CASE WHEN address THEN name WHEN deep THEN three ELSE two END AS domain,
+    CASE WHEN address THEN name WHEN deep THEN two ELSE one END AS suffix
+  FROM ends),
 hosts AS (
   SELECT host, domain, suffix, coalesce(sum(n), 0)::DOUBLE AS n, coalesce(sum(bad), 0)::DOUBLE AS bad
   FROM levels LEFT JOIN outcome USING (page_id) GROUP BY ALL),

@@ -29,8 +29,9 @@ from pyspark.sql import functions as F
 
 from marquee.llm.common import lower_ascii, spread_join
 
-# Suffixes under which names are registered one label deeper (a parameter; extend at will).
-DEEP_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "co.jp", "com.br", "co.nz", "co.in")
+# Labels that, before a two-letter country, make a suffix under which names are registered
+# one label deeper (co.uk, com.br, co.za, ...).
+DEEP_LABELS = ("ac", "co", "com", "edu", "gov", "net", "org")
 
 
 @dataclass(frozen=True)
@@ -50,7 +51,8 @@ class Reputation:
     z: float = 1.645
     min_strength: float = 1.0
     max_strength: float = 1000.0
-    deep_suffixes: tuple[str, ...] = DEEP_SUFFIXES
+    deep_labels: tuple[str, ...] = DEEP_LABELS
+    deep_suffixes: tuple[str, ...] = ()  # others of two labels, such as those of hosting services
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
@@ -72,12 +74,16 @@ def longest_rule(host: Column, path: Column, rules: list[Rule]) -> tuple[Column,
     return text, verdict
 
 
-def host_levels(host: Column, deep: tuple[str, ...]) -> tuple[Column, Column]:
-    """(registered domain, suffix) of a host, its port left out. An address is its own domain and suffix."""
+def host_levels(host: Column, p: Reputation = Reputation()) -> tuple[Column, Column]:
+    """(registered domain, suffix) of a host, its port left out. An address is its own domain and suffix.
+
+    A suffix has two labels where the rule of ``deep_labels`` or the list
+    ``deep_suffixes`` says so, else one.
+    """
     name = F.regexp_replace(host, r":\d*$", "")
     two = F.substring_index(name, ".", -2)
     three = F.substring_index(name, ".", -3)
-    is_deep = two.isin(*deep)
+    is_deep = two.isin(*p.deep_suffixes) | two.rlike(rf"^({'|'.join(p.deep_labels)})\.[a-z]{{2}}$")
     address = name.rlike(r"^[\d.]+$|^\[")
     domain = F.when(address, name).when(is_deep, three).otherwise(two)
     suffix = F.when(address, name).when(is_deep, two).otherwise(F.substring_index(name, ".", -1))
@@ -113,7 +119,7 @@ def host_reputation(pages: DataFrame, outcomes: DataFrame, p: Reputation = Reput
     """
     seen = outcomes.filter("bad is not null").groupBy("page_id").agg(
         F.count(F.lit(1)).alias("n"), F.sum("bad").alias("bad"))
-    domain, suffix = host_levels(F.col("host"), p.deep_suffixes)
+    domain, suffix = host_levels(F.col("host"), p)
     hosts = (pages.join(seen, "page_id", "left").groupBy("host")
              .agg(F.count(F.lit(1)).alias("n_pages"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
                   F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))

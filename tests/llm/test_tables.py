@@ -224,6 +224,19 @@ URLS = [(1, "http://A.Example.NET/en/x?y#z"), (2, "https://example.net/en"), (3,
         (12, "http://a.net://b/"), (13, "http://a.example.com:80/de/"), (13, "http://a.example.com:80/de/"), (None, "http://net/x")]
 
 
+def test_registered_domains_and_suffixes(spark):
+    want = {"a.b.example.com": ("example.com", "com"), "www.shop.co.uk:8080": ("shop.co.uk", "co.uk"),
+            "spam1.co.za": ("spam1.co.za", "co.za"), "x.spam2.com.mx": ("spam2.com.mx", "com.mx"), "co.za": ("co.za", "co.za"),
+            "me.hosting.io": ("hosting.io", "io"), "10.0.0.1:80": ("10.0.0.1", "10.0.0.1"), "[::1]": ("[::1]", "[::1]"),
+            "localhost": ("localhost", "localhost"), "": ("", ""), "co.museum": ("co.museum", "museum")}
+    frame = spark.createDataFrame([(h,) for h in want], "host string")
+    got = {r.host: (r.domain, r.suffix) for r in frame.select(
+        "host", *(c.alias(n) for c, n in zip(url_filter.host_levels(F.col("host")), ("domain", "suffix")))).collect()}
+    assert got == want
+    domain, suffix = url_filter.host_levels(F.lit("me.hosting.io"), url_filter.Reputation(deep_suffixes=("hosting.io",)))
+    assert tuple(frame.select(domain, suffix).first()) == ("me.hosting.io", "hosting.io")
+
+
 def test_url_rules(spark):
     from marquee.llm.queries import RULES
 
