@@ -60,8 +60,8 @@ def heavy_values(counts: DataFrame, total: int) -> DataFrame:
     return counts.filter(F.col("n") > heavy_cut(total))
 
 
-def spread_join(left: DataFrame, right: DataFrame, on: str, n: str, total: int) -> DataFrame:
-    """Inner join of ``left`` with ``right``, whose ``on`` is unique and whose column ``n`` says how many left rows match.
+def spread_join(left: DataFrame, right: DataFrame, on: str | list[str], n: str, total: int) -> DataFrame:
+    """Inner join of ``left`` with ``right``, whose ``on`` (a column or several) is unique and whose column ``n`` says how many left rows match.
 
     Heavy keys (see ``heavy_cut``) are broadcast, so that their rows stay where
     they are; the rest is left to Spark's join.

@@ -5,10 +5,14 @@ form shingles of ``shingle`` words joined by blanks, repeats included; a bit is
 1 where it is set in over half the shingles' XXH64 hashes. Shorter texts hash
 their whole word sequence, texts without words have fingerprint zero.
 
-Equal fingerprints are merged first. Two fingerprints within ``radius`` bits
-agree on at least one of radius + 1 bands, so comparisons run inside buckets of
-equal band values; a bucket beyond ``chunk`` members is cut into chunks, and
-each pair of chunks becomes a group of its own. In a group the fingerprints lie
+Equal fingerprints are merged first. The 64 bits are cut into m > ``radius``
+blocks; two fingerprints within ``radius`` bits agree on at least m - radius of
+them, so comparisons run inside buckets of equal bits, one table for every choice
+of m - radius blocks. More blocks make longer keys and more tables: m follows from
+the number of distinct fingerprints, so that the comparisons of one fingerprint
+stay bounded while the corpus grows; the links are the same for every m. A bucket
+beyond ``chunk`` members is cut into chunks, and each pair of chunks becomes a
+group of its own. In a group the fingerprints lie
 vertically, one machine word per bit and 64 members; a fingerprint meets 64
 others at once, distances add up in carry-save counters, and a block is
 abandoned as soon as all of its 64 distances exceed the radius. A group gives a
@@ -24,6 +28,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +49,8 @@ class SimHashParams:
     radius: int = 4
     seed: int = 42
     chunk: int = 4096
+    blocks: int | None = None  # None: chosen by the number of distinct fingerprints
+    row_cost: int = 1000  # what dealing a fingerprint into a bucket costs, in comparisons
 
 
 # --- fingerprints -----------------------------------------------------------
@@ -196,22 +204,44 @@ def group_links(values: np.ndarray, sizes: np.ndarray, radius: int, step: int =
     return values[linked], padded[root[linked]]
 
 
-def band_bounds(radius: int) -> list[tuple[int, int]]:
-    """(first bit, width) of radius + 1 bands that cover 64 bits."""
-    cuts = [round(64 * k / (radius + 1)) for k in range(radius + 2)]
-    return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
+def block_masks(blocks: int, radius: int) -> list[int]:
+    """A 64-bit mask for every choice of ``blocks - radius`` out of ``blocks`` consecutive, nearly equal blocks."""
+    cuts = [round(64 * k / blocks) for k in range(blocks + 1)]
+    own = [(1 << b) - (1 << a) for a, b in zip(cuts, cuts[1:])]
+    return [sum(chosen) for chosen in combinations(own, blocks - radius)]
+
+
+def expected_comparisons(blocks: int, radius: int, total: int) -> float:
+    """Comparisons of one fingerprint over all tables, were the ``total`` fingerprints spread evenly."""
+    return comb(blocks, radius) * total / 2 ** (64 * (blocks - radius) / blocks)
+
+
+def chosen_blocks(total: int, p: SimHashParams) -> int:
+    """The number of blocks with the least cost: rows dealt into tables and comparisons inside them."""
+    if p.blocks:
+        return p.blocks
+    return min(range(p.radius + 1, min(64, p.radius + 6) + 1),
+               key=lambda m: comb(m, p.radius) * p.row_cost + expected_comparisons(m, p.radius, total))
 
 
 def near_links(fps: DataFrame, p: SimHashParams) -> DataFrame:
     """(a, b): links between distinct fingerprints (column fp) that keep every component of the radius graph."""
-    bands = F.array(*[F.struct(F.lit(k).alias("band"), F.shiftrightunsigned("fp", a).bitwiseAND(F.lit((1 << w) - 1)).alias("key"))
-                      for k, (a, w) in enumerate(band_bounds(p.radius))])
+    total = fps.count()
+    blocks = chosen_blocks(total, p)
+    masks = block_masks(blocks, p.radius)
+    signed = [m - (1 << 64) if m >> 63 else m for m in masks]
+    bands = F.array(*[F.struct(F.lit(k).alias("band"), F.col("fp").bitwiseAND(F.lit(m).cast("long")).alias("key"))
+                      for k, m in enumerate(signed)])
     keyed = fps.select("fp", F.explode(bands).alias("b")).select("fp", "b.band", "b.key")
-    # At most (radius + 1) * 2^ceil(64 / (radius + 1)) buckets, 36,864 for radius 4: small by construction.
     counts = (keyed.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-              .select("band", "key", F.ceil(F.col("n") / p.chunk).alias("chunks")))
+              .select("band", "key", F.ceil(F.col("n") / p.chunk).alias("chunks"), "n"))
+    if blocks == p.radius + 1:
+        # At most (radius + 1) * 2^ceil(64 / (radius + 1)) buckets, 36,864 for radius 4: small by construction.
+        placed = keyed.join(F.broadcast(counts.drop("n")), ["band", "key"])
+    else:
+        placed = spread_join(keyed, counts.checkpoint(), ["band", "key"], "n", max(1, total * len(masks)))
     own = F.pmod(F.xxhash64("fp"), F.col("chunks"))
-    grouped = (keyed.join(F.broadcast(counts), ["band", "key"]).withColumn("own", own)
+    grouped = (placed.withColumn("own", own)
                .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
                .groupBy("band", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
                .agg(F.array_sort(F.collect_list("fp")).alias("fps")).filter(F.size("fps") > 1).select("fps"))

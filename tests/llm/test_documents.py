@@ -1,5 +1,6 @@
 """Operators over documents: brute force, awkward rows, empty tables."""
 
+import itertools
 import random
 
 import pytest
@@ -101,6 +102,33 @@ def test_simhash_chunked_buckets_lose_no_link(spark):
     assert brute.components(len(fps), [(at[a], at[b]) for a, b in links]) == brute.components(len(fps), brute.near_links(fps, 4))
 
 
+@pytest.mark.parametrize("blocks", [5, 6, 7, 8])
+def test_simhash_finds_the_same_links_with_any_number_of_blocks(spark, blocks):
+    rng = random.Random(blocks)
+    centres = [rng.getrandbits(64) for _ in range(20)]
+    fps = sorted({(c ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 4)))) for c in centres for _ in range(20)})
+    frame = spark.createDataFrame([(f - (1 << 64) if f >> 63 else f,) for f in fps], "fp long")
+    for chunk in (16, 4096):
+        links = simhash.near_links(frame, simhash.SimHashParams(blocks=blocks, chunk=chunk)).distinct().collect()
+        at = {f: k for k, f in enumerate(fps)}
+        got = brute.components(len(fps), [(at[r.a % (1 << 64)], at[r.b % (1 << 64)]) for r in links])
+        assert got == brute.components(len(fps), brute.near_links(fps, 4))
+
+
+def test_simhash_comparisons_stay_bounded_as_fingerprints_grow():
+    p = simhash.SimHashParams()
+    totals = [10 ** k for k in range(2, 13)]
+    blocks = [simhash.chosen_blocks(n, p) for n in totals]
+    assert blocks == sorted(blocks) and blocks[0] == 5 and blocks[-1] > 7
+    assert all(simhash.expected_comparisons(m, 4, n) < 60_000 for m, n in zip(blocks, totals))
+    for m in (5, 6, 7, 8):  # any four blocks hit leave a table whose bits all agree
+        masks = simhash.block_masks(m, 4)
+        cuts = [round(64 * k / m) for k in range(m)]
+        for hit in itertools.combinations(cuts, 4):
+            assert any(not mask & sum(1 << b for b in hit) for mask in masks)
+    assert simhash.SimHashParams(radius=0).radius == 0 and simhash.block_masks(1, 0) == [(1 << 64) - 1]
+
+
 def test_drop_near_duplicates_counts_null_and_repeated_ids(spark):
     words = [" ".join(f"w{g}x{j}" for j in range(60)) for g in range(4)]
     rows = [(None, words[0], "a")] * 3 + [(5, words[0], "a"), (4, words[0], "a"), (4, words[0], "a")]  # 4 stays, once
