@@ -28,10 +28,10 @@ class LoadValidationError(RuntimeError):
     pass
 
 
-def validate_before_load(ruled: DataFrame) -> dict:
-    """Constraint violations of the rule output; raise when any is non-zero."""
+def validate_before_load(ruled: DataFrame, tolerate: tuple[str, ...] = ()) -> dict:
+    """Constraint violations of the rule output; raise when any is non-zero, but those named in ``tolerate``."""
     row = constraint_violations(ruled).collect()[0]
-    if total_violations(row):
+    if total_violations(row, tolerate):
         raise LoadValidationError(f"curated constraints violated: {row.asDict()}")
     return row.asDict()
 
@@ -74,14 +74,17 @@ def write_curated(final: DataFrame, base_path: str, expected_rows: int | None =
 
 
 def load_curated(ruled: DataFrame, base_path: str, run_ts: dt.datetime | None = None, keep: int = 3,
-                 expect: int | None = None) -> str:
-    """The validated load of the rule output: one run of the ETL, whatever is checked; returns the version's path."""
+                 expect: int | None = None, tolerate: tuple[str, ...] = ()) -> str:
+    """The validated load of the rule output: one run of the ETL, whatever is checked; returns the version's path.
+
+    Rows with a violation named in ``tolerate`` (none by default) are loaded as they are.
+    """
     spark = ruled.sparkSession
     candidate = f"{base_path.rstrip('/')}/_candidate={unique_name()}"
     ruled.write.parquet(candidate)
     try:
         stored = spark.read.schema(ruled.schema).parquet(candidate)
-        validate_before_load(stored)
+        validate_before_load(stored, tolerate)
         return write_curated(final_projection(stored, run_ts), base_path, stored.count(), keep, expect)
     finally:
         remove(spark, candidate)
