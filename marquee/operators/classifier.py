@@ -125,7 +125,9 @@ def forest_pipeline(levels: list[str], num_trees: int = RF_TREES, max_depth: int
     """Class one-hot (first level alphabetically dropped) + numeric features -> forest.
 
     ``levels`` are the classes of the whole frame, so a class that only the test
-    rows have is known to the encoder.
+    rows have is known to the encoder. Each row's node ids are kept on the
+    executors: without them every task of a level carries all trees so far,
+    packed by the driver, which deep trees soon fill.
     """
     indexer = StringIndexerModel.from_labels(sorted(levels, reverse=True), inputCol=CLASS_COL,
                                              outputCol="_clase_idx", handleInvalid="error")
@@ -133,7 +135,7 @@ def forest_pipeline(levels: list[str], num_trees: int = RF_TREES, max_depth: int
     assemble = VectorAssembler(inputCols=[*NUMERIC_FEATURES, "_clase_vec"], outputCol="features")
     forest = RandomForestClassifier(labelCol=LABEL, featuresCol="features", weightCol="peso",
                                     numTrees=num_trees, maxDepth=max_depth,
-                                    featureSubsetStrategy="sqrt", seed=seed)
+                                    featureSubsetStrategy="sqrt", seed=seed, cacheNodeIds=True)
     return Pipeline(stages=[indexer, onehot, assemble, forest])
 
 
@@ -148,18 +150,37 @@ def without_summaries(model: PipelineModel) -> PipelineModel:
                                  for st in model.stages])
 
 
+def for_levels(train: DataFrame, rows_per_partition: int = 500_000, spare: int = 4) -> DataFrame:
+    """The same rows in about as many partitions as there are cores, where there are far more.
+
+    On every level of the trees each partition, however few its rows, sends the
+    statistics of all open nodes through the shuffle. The split leaves most of
+    its partitions (those of the boundary buckets) nearly empty. Partitions hold
+    up to ``rows_per_partition`` rows, and rows are in a stated order, as the
+    bootstrap draws by position.
+    """
+    most = max(train.sparkSession.sparkContext.defaultParallelism, -(-train.count() // rows_per_partition))
+    if train.rdd.getNumPartitions() <= spare * most:
+        return train
+    return train.repartition(most).sortWithinPartitions(*train.columns)
+
+
 def train_and_predict(frame: DataFrame, num_trees: int = RF_TREES, max_depth: int | None = None,
                       seed: int = SEED, cfg: CatalogConfig = DEFAULT_CONFIG) -> tuple[PipelineModel, DataFrame]:
     """Split, weight, fit on train, predict test -> (model, (id, y_real, y_pred)).
 
     The training rows are cached while the stages are fitted, so the split runs once.
+    They are dealt for the forest's passes (``for_levels``) and then cached as dealt.
     """
     split = stratified_split(frame, seed=seed, cfg=cfg)
     levels = class_levels(frame, cfg=cfg)
     train = weighted(split.where(~F.col("es_test")), cfg=cfg).persist()
+    dealt = train
     try:
-        model = without_summaries(forest_pipeline(levels, num_trees, max_depth or cfg.forest_depth, seed).fit(train))
+        dealt = for_levels(train).persist()
+        model = without_summaries(forest_pipeline(levels, num_trees, max_depth or cfg.forest_depth, seed).fit(dealt))
     finally:
+        dealt.unpersist()
         train.unpersist()
     pred = model.transform(split.where(F.col("es_test"))).select(
         KEY, F.col(LABEL).alias("y_real"), F.col("prediction").cast("int").alias("y_pred"))

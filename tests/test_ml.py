@@ -206,3 +206,30 @@ def test_cluster_pipeline_roundtrip(spark, tmp_dir):
     # z-scores: population standard deviation, mean zero
     z = K.feature_columns(df, prep).agg(F.avg("z_popularidad_api"), F.stddev_pop("z_popularidad_api")).collect()[0]
     assert abs(z[0]) < 1e-9 and math.isclose(z[1], 1.0, rel_tol=1e-9)
+
+
+def test_forest_is_fitted_on_few_partitions(spark, monkeypatch):
+    """Nearly empty partitions, such as the split's, do not reach the forest; all rows do, in a stated order."""
+    rows = [(k, k % 2, float(k % 2) * 10 + k % 3, 1.0, 2.0, "A" if k % 3 else "B") for k in range(90)] + [(None, 1, None, None, None, None)]
+    frame = spark.createDataFrame(rows, "id_pelicula long, objetivo int, popularidad_api double, votos_promedio_api double, "
+                                        "reproducciones_mensuales double, clasificacion_edad_local string")
+    cores = spark.sparkContext.defaultParallelism
+    many = frame.unionByName(frame.limit(3)).repartition(cores * 5, "id_pelicula")
+    dealt = M.for_levels(many)
+    assert dealt.rdd.getNumPartitions() == cores
+    assert sorted(dealt.collect(), key=str) == sorted(many.collect(), key=str)
+    assert dealt.collect() == M.for_levels(many).collect()
+    few = frame.coalesce(2)
+    assert M.for_levels(few) is few                       # nothing to deal
+    assert M.for_levels(many, rows_per_partition=1) is many  # rows enough for each partition
+
+    seen, fit = [], M.Pipeline.fit
+
+    def watched(self, df, *more):
+        seen.append((df.rdd.getNumPartitions(), df.count(), self.getStages()[-1].getCacheNodeIds()))
+        return fit(self, df, *more)
+
+    monkeypatch.setattr(M.Pipeline, "fit", watched)
+    whole = frame.where("id_pelicula is not null").repartition(cores * 5, "id_pelicula")
+    _, pred = M.train_and_predict(whole, num_trees=3, max_depth=3)
+    assert seen == [(cores, 72, True)] and pred.count() == 18
