@@ -107,6 +107,65 @@ def test_sampled_clusters_stay_within_the_stated_bound(spark, t):
     assert t < 60 or (far == [60, 60]).all(axis=1).any()  # drawn for certain, as it weighs most
 
 
+def large(spark, n=5000):
+    """Clusters of thousands of rows, rows that come often, a far row, a cluster of one row; keys null or repeated."""
+    rng = np.random.default_rng(17)
+    x = np.vstack([rng.normal(0, 1, (n // 2, 2)), rng.normal(3, 2, (n // 2 - 300, 2)), np.tile([[0.5, -0.25]], (300, 1)), [[80, -90]]])
+    labels = {"two": (x[:, 0] > 1).astype(int), "five": np.r_[rng.integers(0, 4, n), 4]}
+    rows = [(None if i % 3 else 7, float(a), float(b), int(p), f"c{q}") for i, ((a, b), p, q) in enumerate(zip(x, *labels.values()))]
+    return x, labels, spark.createDataFrame(rows, "id_pelicula long, a double, b double, two int, five string").repartition(5)
+
+
+@pytest.mark.parametrize("least", [100, 700, 10_000])
+def test_large_clusters_are_taken_whole(spark, monkeypatch, least):
+    x, labels, frame = large(spark)
+    monkeypatch.setattr(silhouette, "LEAST_ROWS", least)
+    monkeypatch.setattr(silhouette, "BLOCK_ROWS", 1500)
+    found = silhouette.silhouettes(frame, ["a", "b"], list(labels), "id_pelicula")
+    for by, label in labels.items():
+        assert found[by][1] == 0 and abs(found[by][0] - exact(x, label)) < 1e-12
+
+
+def test_silhouette_query_matches_all_pairs_of_large_clusters(spark, tmp_path):
+    import datetime as dt
+
+    import duckdb
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from marquee.plans.registry import oracle_queries, spark_queries
+    from tests.oracle_check import compare
+    films = 4600
+    tables = {
+        "orders": {"o_orderkey": list(range(1, films * 2)), "o_custkey": [k * 37 % films for k in range(1, films * 2)],
+                   "o_orderdate": [dt.datetime(2001, 1, 1) + dt.timedelta(days=k % 999) for k in range(1, films * 2)]},
+        "part": {"p_partkey": list(range(films)), "p_name": [f"blue film {k}" for k in range(films)]},
+        "customer": {"c_custkey": list(range(films)), "c_nationkey": [k * 7 % 25 for k in range(films)]},
+    }
+    con = duckdb.connect()
+    for name, columns in tables.items():
+        pq.write_table(pa.table(columns), tmp_path / f"{name}.parquet")
+        con.execute(f"create view {name} as select * from read_parquet('{tmp_path}/{name}.parquet')")
+    res = compare(spark_queries()["silhouette_euclidean"](spark, str(tmp_path)), oracle_queries()["silhouette_euclidean"], con)
+    assert res["match"], res
+
+
+def test_blocks_meet_whole_whatever_their_runs():
+    """Near, equal and far rows, runs shorter than a tile and longer, rows that count several times."""
+    rng = np.random.default_rng(3)
+    for n, m, width, kinds, scale in ((700, 900, 3, 7, 1.0), (300, 300, 2, 40, 1.0), (700, 900, 3, 7, 1e-5), (10, 3, 1, 2, 1.0)):
+        x, y = (rng.normal(5, scale, (k, width)) for k in (n, m))
+        y[:m // 3], y[0] = x[0], 1000.0
+        p, q = (np.sort(rng.integers(0, kinds, k)) for k in (n, m))
+        p, q = (np.column_stack([g, kinds + g % 3]) for g in (p, q))
+        times, other = rng.integers(1, 4, n).astype(float), rng.integers(1, 4, m).astype(float)
+        d = np.sqrt(((x[:, None] - y[None]) ** 2).sum(axis=2))
+        of_x, of_y = silhouette.block_sums(x, times, p, y, other, q, kinds + 3, True)
+        for c in range(kinds + 3):
+            assert np.allclose(of_x[c], d @ (other * (q == c).any(axis=1)), rtol=1e-12, atol=1e-12 * d.sum())
+            assert np.allclose(of_y[c], (times * (p == c).any(axis=1)) @ d, rtol=1e-12, atol=1e-12 * d.sum())
+
+
 def test_equal_rows_and_one_cluster(spark):
     same = spark.createDataFrame([(i, 1.0, i % 2) for i in range(20)], "id_pelicula long, a double, k int")
     assert silhouette.silhouettes(same, ["a"], ["k"], "id_pelicula")["k"] == (0.0, 0.0)
