@@ -230,9 +230,8 @@ def kmeans_search(features: DataFrame, names: list[str], ks=C.K_RANGE, restarts:
 
     Returns (metrics frame, {k: model}). ``features`` has ``key`` and the feature
     columns ``names``; it is cached for the search, whose models all advance in
-    the same passes (``kmeans``). ``silhouette_score`` is Euclidean, within
-    ``silhouette_error`` of the exact mean (``silhouette``);
-    ``silhouette_cuadrada`` is the squared form, exact.
+    the same passes (``kmeans``). ``silhouette_score`` is Euclidean, from all pairs
+    (``silhouette``), so ``silhouette_error`` is 0; ``silhouette_cuadrada`` is the squared form.
     """
     features = features.select(key, *names).persist()
     try:

@@ -126,6 +126,15 @@ def test_large_clusters_are_taken_whole(spark, monkeypatch, least):
         assert found[by][1] == 0 and abs(found[by][0] - exact(x, label)) < 1e-12
 
 
+def test_the_search_reports_the_exact_silhouette_of_large_clusters(spark):
+    x, _, frame = large(spark)
+    metrics, models = K.kmeans_search(frame, ["a", "b"], ks=(2, 3), restarts=2)
+    for r in metrics.collect():
+        labels = ((x[:, None] - models[r.k].values[None]) ** 2).sum(axis=2).argmin(axis=1)
+        assert np.bincount(labels).max() > 2048
+        assert r.silhouette_error == 0 and abs(r.silhouette_score - exact(x, labels)) < 1e-12
+
+
 def test_silhouette_query_matches_all_pairs_of_large_clusters(spark, tmp_path):
     import datetime as dt
 
